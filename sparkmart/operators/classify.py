@@ -216,13 +216,12 @@ def sla_met(priority, created_at, reply_minutes) -> Column:
     """
     priority, created, reply = as_col(priority), as_col(created_at), as_col(reply_minutes)
     dow, hour = day_of_week(created), F.hour(created)
-    to_day_end = boundary_diff("minute", created, created + F.expr("INTERVAL 1 DAY"))
     met = (reply <= R.URGENT_MINUTES) & (priority == "urgent")
     for p, minutes in R.SLA_MINUTES.items():
-        friday = to_day_end + R.WEEKEND_MINUTES + (F.lit(minutes) - to_day_end)
+        over_weekend = R.WEEKEND_MINUTES + minutes
         met = met | ((reply <= minutes) & (priority == p))
-        met = met | ((priority == p) & (dow == 5) & (hour >= R.SLA_FRIDAY_HOUR[p]) & (reply <= friday))
-        met = met | (((priority == p) & (dow == 6)) | ((dow == 0) & (reply <= R.WEEKEND_MINUTES + minutes)))
+        met = met | ((priority == p) & (dow == 5) & (hour >= R.SLA_FRIDAY_HOUR[p]) & (reply <= over_weekend))
+        met = met | (((priority == p) & (dow == 6)) | ((dow == 0) & (reply <= over_weekend)))
     return F.coalesce(met, F.lit(False))
 
 
