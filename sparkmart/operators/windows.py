@@ -299,8 +299,8 @@ def period_to_date(df, by, day, col, periods=("week", "month", "quarter", "year"
 def last_in_period(df, out, by, order) -> DataFrame:
     """1 on the last row of each group, else 0; `order` lists ascending columns."""
     key = F.struct(*[as_col(c) for c in _list(order)])
-    side = partition_agg(df, by, __last=F.max(key))
-    return side.withColumn(out, (F.col("__last") == key).cast("int")).drop("__last")
+    side = partition_agg(df, by, __max_key=F.max(key))
+    return side.withColumn(out, (F.col("__max_key") == key).cast("int")).drop("__max_key")
 
 
 def agg_then_window(df, by, out, col, over=None, agg=F.avg) -> DataFrame:
