@@ -75,9 +75,9 @@ def path_to_column(c, sep: str = ".") -> Column:
 
 
 def split_name(c) -> tuple[Column, Column]:
-    """(first token, remaining tokens) of a full name."""
+    """(first token, second to tenth token) of a full name."""
     words = F.split(F.trim(as_col(c)), " ")
-    rest = F.array_join(F.slice(words, F.lit(2), F.greatest(F.size(words), F.lit(0))), " ")
+    rest = F.array_join(F.slice(words, 2, 9), " ")
     return words[0], rest
 
 

@@ -235,6 +235,6 @@ def latest_runs(df, item, started, finished, tiebreak) -> DataFrame:
 
 def last_success(df, item, at, ok, tiebreak) -> DataFrame:
     """Latest passing run of the items whose latest run fails: one aggregate."""
-    order = F.struct(as_col(at), as_col(tiebreak))
-    out = df.groupBy(item).agg(F.max_by(ok, order).alias("__ok"), F.max(F.when(ok, order)).alias("__last"))
-    return out.filter(~F.col("__ok") & F.col("__last").isNotNull()).select(item, F.col("__last")[0].alias("last_success_at"))
+    order = F.struct(as_col(at).alias("at"), as_col(tiebreak).alias("tie"))
+    out = df.groupBy(item).agg(F.max_by(as_col(ok), order).alias("__ok"), F.max(F.when(as_col(ok), order)).alias("__last"))
+    return out.filter(~F.col("__ok") & F.col("__last").isNotNull()).select(item, F.col("__last.at").alias("last_success_at"))

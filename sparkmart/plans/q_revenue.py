@@ -64,13 +64,12 @@ PRICE = "quantity * (CAST(arr AS DOUBLE) / nullif(quantity, 0) - CAST(parr AS DO
 
 
 @query("rev_4_arr_change_reason", GRID_SQL + f"""
-SELECT o_custkey, CAST(month AS VARCHAR) AS month, round(CASE WHEN pq <> quantity AND pq > 0 THEN coalesce(CAST(parr AS DOUBLE) / nullif(pq, 0) * (quantity - pq), 0) WHEN pq <> quantity AND pq = 0 THEN CAST(arr AS DOUBLE) ELSE 0 END, 5) AS seat_change_arr,
- round(CASE WHEN pc = product_category OR (pc <> product_category AND pr = product_ranking) THEN {PRICE} ELSE 0 END, 5) AS price_change_arr, round(CASE WHEN pr <> product_ranking THEN coalesce({PRICE}, 0) ELSE 0 END, 5) AS tier_change_arr,
- CASE WHEN pq <> quantity THEN quantity - pq ELSE 0 END AS seat_change_quantity, round(coalesce(CAST(arr AS DOUBLE) / nullif(quantity, 0) - CAST(parr AS DOUBLE) / nullif(pq, 0), 0), 5) AS annual_price_per_seat_change FROM p""")
+SELECT o_custkey, CAST(month AS VARCHAR) AS month, CASE WHEN pq <> quantity AND pq > 0 THEN coalesce(CAST(parr AS DOUBLE) / nullif(pq, 0) * (quantity - pq), 0) WHEN pq <> quantity AND pq = 0 THEN CAST(arr AS DOUBLE) ELSE 0 END AS seat_change_arr,
+ CASE WHEN pc = product_category OR (pc <> product_category AND pr = product_ranking) THEN {PRICE} ELSE 0 END AS price_change_arr, CASE WHEN pr <> product_ranking THEN coalesce({PRICE}, 0) ELSE 0 END AS tier_change_arr,
+ CASE WHEN pq <> quantity THEN quantity - pq ELSE 0 END AS seat_change_quantity, coalesce(CAST(arr AS DOUBLE) / nullif(quantity, 0) - CAST(parr AS DOUBLE) / nullif(pq, 0), 0) AS annual_price_per_seat_change FROM p""")
 def _(t):
     df = R.arr_change_reason(change(t))
-    rounded = ("seat_change_arr", "price_change_arr", "tier_change_arr", "annual_price_per_seat_change")
-    return df.select("o_custkey", "month", "seat_change_quantity", *[F.round(c, 5).alias(c) for c in rounded])
+    return df.select("o_custkey", "month", "seat_change_quantity", "seat_change_arr", "price_change_arr", "tier_change_arr", "annual_price_per_seat_change")
 
 
 @query("rev_5_retention", f"""
