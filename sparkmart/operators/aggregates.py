@@ -92,11 +92,8 @@ def percentiles(df, by, col, qs, width) -> DataFrame:
     inside = join_back(rows, needed, by + ["__bin"], "inner").groupBy(*by, "__bin", "__v").agg(F.count(F.lit(1)).alias("__c"))
     inside = wn.running(inside, "__before", by + ["__bin"], "__v", "__c", include_current=False)
     inside = inside.withColumn("__before", F.coalesce("__before", F.lit(0)))
-    spans = inside.groupBy(*by, "__bin").agg(F.array_sort(F.collect_list(F.struct("__before", "__c", "__v"))).alias("__spans"))
-    hit = join_back(targets, spans, by + ["__bin"], "inner")
     at = F.col("rank") - F.col("__prior")
-    value = F.filter("__spans", lambda s: (s["__before"] <= at) & (at < s["__before"] + s["__c"]))[0]["__v"]
-    hit = hit.withColumn("__x", value)
+    hit = join_back(inside, targets, by + ["__bin"], "inner").filter((F.col("__before") <= at) & (at < F.col("__before") + F.col("__c"))).withColumn("__x", F.col("__v"))
     both = hit.groupBy(*by, "q", "__total").agg(
         F.max(F.when(F.col("side") == "lo", F.col("__x"))).alias("__lo"), F.max(F.when(F.col("side") == "hi", F.col("__x"))).alias("__hi"))
     pos = F.col("q") * (F.col("__total") - 1)

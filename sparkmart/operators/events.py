@@ -51,18 +51,20 @@ def event_daily(df, ts, keys) -> DataFrame:
 def sessionize(df, user, ts, tiebreak, gap_seconds, chunk=None) -> DataFrame:
     """Session number per user: a new one after a silence longer than the gap."""
     order = [ts, tiebreak]
+    df, chunk = wn.cut(df, user, chunk, "__session_cut")
     out = wn.lag(df, "__prev", user, order, ts, chunk=chunk)
     micros = lambda c: F.unix_micros(as_col(c).cast("timestamp"))
     new = F.when(F.col("__prev").isNull() | (micros(ts) - micros("__prev") > gap_seconds * 1_000_000), 1).otherwise(0)
     out = out.withColumn("__new", new)
-    return wn.running(out, "session_index", user, order, "__new", chunk=chunk).drop("__prev", "__new")
+    return wn.running(out, "session_index", user, order, "__new", chunk=chunk).drop("__prev", "__new", "__session_cut")
 
 
 def page_views(df, user, ts, tiebreak, gap_seconds, chunk=None) -> DataFrame:
     """Events with session key and position within the session."""
+    df, chunk = wn.cut(df, user, chunk, "__view_cut")
     out = sessionize(df, user, ts, tiebreak, gap_seconds, chunk)
     out = wn.row_number(out, "page_view_in_session", [user, "session_index"], [ts, tiebreak], chunk=chunk)
-    return out.withColumn("session_id", surrogate_key(user, "session_index"))
+    return out.drop("__view_cut").withColumn("session_id", surrogate_key(user, "session_index"))
 
 
 def sessions(df, user, ts, tiebreak, gap_seconds, chunk=None) -> DataFrame:

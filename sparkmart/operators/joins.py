@@ -89,7 +89,7 @@ def asof(df, ts, scd, key, valid_from, valid_to, cols, tiebreak, chunk=None, how
     The validity rows of a key must not overlap beyond shared ends (audit with
     `scd.overlaps`). Both inputs are merged into one ordered pass per key that
     carries the last validity row forward, so cost is linear in both sides.
-    `chunk` maps a time column to its chunk for hot keys.
+    `chunk` maps a time column to a chunk (see `windows`) for hot keys.
     """
     keys = [key] if isinstance(key, str) else list(key)
     payload = F.struct(as_col(valid_to).alias("__to"), *[as_col(c) for c in cols])
@@ -226,9 +226,9 @@ def nearest(df, ts, other, other_ts, key, tiebreak, cols, chunk=None) -> DataFra
     left = df.withColumn("__t", as_col(ts)).withColumn("__side", F.lit(1))
     merged = left.unionByName(right, allowMissingColumns=True)
     order = [F.col("__t"), F.col("__side"), F.col(tiebreak)]
-    cut = lambda: None if chunk is None else chunk(F.col("__t"))
-    merged = wn.last_known(merged, "__before", key, order, "__p", chunk=cut())
-    merged = wn.next_known(merged, "__after", key, order, "__p", chunk=cut())
+    merged, cut = wn.cut(merged, key, None if chunk is None else chunk(F.col("__t")))
+    merged = wn.last_known(merged, "__before", key, order, "__p", chunk=cut)
+    merged = wn.next_known(merged, "__after", key, order, "__p", chunk=cut).drop("__cut")
     micros = lambda c: F.unix_micros(c.cast("timestamp"))
     back = micros(F.col("__t")) - micros(F.col("__before")["__at"])
     ahead = micros(F.col("__after")["__at"]) - micros(F.col("__t"))

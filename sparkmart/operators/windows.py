@@ -1,15 +1,22 @@
 """Window operators, each appending one column.
 
-A plain window puts every row of a partition key into one task. When a key may
-hold a large share of the table, pass `chunk`: a column expression that never
-decreases along the first sort column in sort order (a calendar period for a
-time order). Rows are then windowed inside (key, chunk) and the value carried in
-from earlier chunks comes from a summary holding one row per (key, chunk), which
-a map-side combine builds. Ties of the sort column share a chunk by construction.
+A plain window puts every row of a partition key into one task. Where a key may hold
+a large share of the table, pass `chunk`:
+
+* a column expression that never decreases along the first sort column, such as a
+  calendar period for a time order: every key is cut there;
+* `HotKeys(expression)`: only keys above a row limit are cut, the others stay whole.
+
+Rows are then windowed inside (key, chunk). What a row must know of earlier chunks
+arrives as one seed row per (key, chunk), computed from a summary that combines on the
+map side and holds a row per chunk. Seeds join the rows by union, so the rows are
+shuffled once, as for the plain window. Chunked orders are ascending and end in a
+unique tiebreak (except for rank); ties of the sort column share a chunk.
 """
 
 from __future__ import annotations
 
+from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
@@ -20,10 +27,19 @@ FULL = (W.unboundedPreceding, W.unboundedFollowing)
 RUNNING = (W.unboundedPreceding, W.currentRow)
 BEFORE = (W.unboundedPreceding, -1)
 AFTER = (1, W.unboundedFollowing)
+ONWARD = (W.currentRow, W.unboundedFollowing)
 
 _CHUNK = "__chunk"
 
 
+@dataclass(frozen=True)
+class HotKeys:
+    """Cut only the keys with more than `rows` rows, along `fine`."""
+
+    fine: Column
+    rows: int = 1_000_000
+
+
 def _list(x) -> list:
     if x is None:
         return []
@@ -39,9 +55,14 @@ def window(by, order=None, frame=None):
 
 
 def join_back(df: DataFrame, side: DataFrame, keys: list[str], how: str = "left") -> DataFrame:
-    """Attach a one-row-per-key summary; NULL keys match each other."""
+    """Attach a one-row-per-key summary; NULL keys match each other.
+
+    A global summary is one row: its values become scalar subqueries.
+    """
     if not keys:
-        return df.join(F.broadcast(side), how=how)  # a global aggregate: exactly one row
+        for c in side.columns:
+            df = df.withColumn(c, side.select(c).scalar())
+        return df
     renamed = side
     for k in keys:
         renamed = renamed.withColumnRenamed(k, f"__r_{k}")
@@ -49,24 +70,49 @@ def join_back(df: DataFrame, side: DataFrame, keys: list[str], how: str = "left"
     return df.join(renamed, cond, how).drop(*[f"__r_{k}" for k in keys])
 
 
-def _chunked(df: DataFrame, by: list[str], chunk: Column, aggs: list[Column]) -> tuple[DataFrame, DataFrame, list[str]]:
-    df = df.withColumn(_CHUNK, as_col(chunk))
-    keys = by + [_CHUNK]
-    return df, df.groupBy(*keys).agg(*aggs), keys
+def cut(df: DataFrame, by, chunk, name="__cut"):
+    """Resolve hot keys once: the frame with a chunk column and that column.
+
+    NULL keeps a key whole. Operators that chain several windows cut first and hand
+    the column on, so the keys are counted once.
+    """
+    by = _list(by)
+    if not isinstance(chunk, HotKeys):
+        return df, chunk
+    if not by:
+        return df.withColumn(name, chunk.fine), F.col(name)
+    # At most (rows of the table / chunk.rows) keys can be hot, which bounds the broadcast.
+    hot = df.groupBy(*by).agg(F.count(F.lit(1)).alias("__n")).filter(F.col("__n") > chunk.rows).select(*by, F.lit(True).alias("__hot"))
+    return join_back(df, F.broadcast(hot), by).withColumn(name, F.when(F.col("__hot"), chunk.fine)).drop("__hot"), F.col(name)
+
+
+def _cut(df: DataFrame, by: list[str], chunk) -> DataFrame:
+    df, col = cut(df, by, chunk, _CHUNK)
+    return df if isinstance(chunk, HotKeys) else df.withColumn(_CHUNK, as_col(col))
+
+
+def _per_chunk(df: DataFrame, keys: list[str], agg: Column) -> DataFrame:
+    """Summary of the cut keys; whole keys need none."""
+    return df.filter(F.col(_CHUNK).isNotNull()).groupBy(*keys).agg(agg)
+
+
+def _seeded(rows: DataFrame, seeds: DataFrame, at_end=False) -> DataFrame:
+    """Rows and seeds in one frame, ordered by `__seed` first."""
+    r, s = (0, 1) if at_end else (1, 0)
+    return rows.withColumn("__seed", F.lit(r)).withColumn("__row", F.lit(True)).unionByName(seeds.withColumn("__seed", F.lit(s)), allowMissingColumns=True)
+
+
+def _unseed(df: DataFrame) -> DataFrame:
+    return df.filter("__row").drop("__v", "__o", "__seed", "__row", _CHUNK)
 
 
 # ---------------------------------------------------------------- ranking
 
 def row_number(df, out, by, order, chunk=None) -> DataFrame:
     """ROW_NUMBER; `order` must end in a unique tiebreak."""
-    by = _list(by)
     if chunk is None:
         return df.withColumn(out, F.row_number().over(window(by, order)))
-    df, counts, keys = _chunked(df, by, chunk, [F.count(F.lit(1)).alias("__n")])
-    prior = counts.withColumn("__prior", F.coalesce(F.sum("__n").over(window(by, _CHUNK, BEFORE)), F.lit(0))).drop("__n")
-    df = join_back(df, prior, keys)
-    rn = F.row_number().over(window(keys, order)) + F.col("__prior")
-    return df.withColumn(out, rn.cast("long")).drop(_CHUNK, "__prior")
+    return running(df, out, by, order, F.lit(1).cast("long"), chunk=chunk)
 
 
 def rank(df, out, by, order, chunk=None) -> DataFrame:
@@ -74,90 +120,83 @@ def rank(df, out, by, order, chunk=None) -> DataFrame:
     by = _list(by)
     if chunk is None:
         return df.withColumn(out, F.rank().over(window(by, order)))
-    df, counts, keys = _chunked(df, by, chunk, [F.count(F.lit(1)).alias("__n")])
-    prior = counts.withColumn("__prior", F.coalesce(F.sum("__n").over(window(by, _CHUNK, BEFORE)), F.lit(0))).drop("__n")
-    df = join_back(df, prior, keys)
-    return df.withColumn(out, (F.rank().over(window(keys, order)) + F.col("__prior")).cast("long")).drop(_CHUNK, "__prior")
+    df, keys = _cut(df, by, chunk), by + [_CHUNK]
+    counts = _per_chunk(df, keys, F.count(F.lit(1)).alias("__n"))
+    seeds = counts.select(*keys, F.coalesce(F.sum("__n").over(window(by, _CHUNK, BEFORE)), F.lit(0)).alias("__v"))
+    both, inside = _seeded(df, seeds), ["__seed", *_list(order)]
+    # Where a seed leads, it counts as one row of the rank and brings the rows before.
+    offset = F.coalesce(F.first("__v").over(window(keys, inside, RUNNING)) - 1, F.lit(0))
+    return _unseed(both.withColumn(out, (F.rank().over(window(keys, inside)) + offset).cast("long")))
 
 
 def dense_rank(df, out, by, col, descending=False, chunk=None) -> DataFrame:
     """DENSE_RANK of a column, ranked over its distinct values only."""
     by = _list(by)
-    values = df.select(*by, as_col(col).alias("__v")).distinct()
-    order = F.col("__v").desc() if descending else F.col("__v").asc()
-    ranked = row_number(values, out, by, [order], None if chunk is None else chunk(F.col("__v")))
-    df = df.withColumn("__v", as_col(col))
-    return join_back(df, ranked, by + ["__v"]).drop("__v")
+    values = df.select(*by, as_col(col).alias("__k")).distinct()
+    order = F.col("__k").desc() if descending else F.col("__k").asc()
+    ranked = row_number(values, out, by, [order], None if chunk is None else chunk(F.col("__k")))
+    df = df.withColumn("__k", as_col(col))
+    return join_back(df, ranked, by + ["__k"]).drop("__k")
 
 
 # ---------------------------------------------------------------- offset
 
+def _neighbour(df, out, by, order, col, default, chunk, forward) -> DataFrame:
+    order_cols = [as_col(c) for c in _list(order)]
+    df = _cut(df.withColumn("__v", F.struct(as_col(col).alias("v"))).withColumn("__o", F.struct(*order_cols)), by, chunk)
+    keys = by + [_CHUNK]
+    edge = F.min_by("__v", "__o") if forward else F.max_by("__v", "__o")
+    step = F.lead if forward else F.lag
+    seeds = _per_chunk(df, keys, edge.alias("__e")).select(*keys, step("__e").over(window(by, _CHUNK)).alias("__v"))
+    both = _seeded(df, seeds, at_end=forward)
+    near = step("__v").over(window(keys, ["__seed", *order_cols]))
+    value = near["v"] if default is None else F.when(near.isNull(), F.lit(default)).otherwise(near["v"])
+    return _unseed(both.withColumn(out, value))
+
+
 def lag(df, out, by, order, col, n=1, default=None, chunk=None) -> DataFrame:
     """Value n rows earlier."""
-    by = _list(by)
-    col = as_col(col)
     if chunk is None:
-        return df.withColumn(out, F.lag(col, n, default).over(window(by, order)))
+        return df.withColumn(out, F.lag(as_col(col), n, default).over(window(by, order)))
     if n != 1:
         raise ValueError("chunked lag steps one row; use halo() for more")
-    order_cols = [as_col(c) for c in _list(order)]
-    df = df.withColumn("__v", F.struct(col.alias("v"))).withColumn("__o", F.struct(*order_cols))
-    df, last, keys = _chunked(df, by, chunk, [F.max_by("__v", "__o").alias("__last")])
-    carry = last.select(*keys, F.lag("__last").over(window(by, _CHUNK)).alias("__carry"))
-    df = join_back(df, carry, keys)
-    prev = F.coalesce(F.lag("__v").over(window(keys, order_cols)), F.col("__carry"))
-    value = F.when(prev.isNull(), F.lit(default)).otherwise(prev["v"]) if default is not None else prev["v"]
-    return df.withColumn(out, value).drop("__v", "__o", "__carry", _CHUNK)
+    return _neighbour(df, out, _list(by), order, col, default, chunk, forward=False)
 
 
 def lead(df, out, by, order, col, n=1, default=None, chunk=None) -> DataFrame:
     """Value n rows later."""
-    by = _list(by)
-    col = as_col(col)
     if chunk is None:
-        return df.withColumn(out, F.lead(col, n, default).over(window(by, order)))
+        return df.withColumn(out, F.lead(as_col(col), n, default).over(window(by, order)))
     if n != 1:
         raise ValueError("chunked lead steps one row; use halo() for more")
+    return _neighbour(df, out, _list(by), order, col, default, chunk, forward=True)
+
+
+def _nearest_known(df, out, by, order, col, frame, chunk, forward) -> DataFrame:
     order_cols = [as_col(c) for c in _list(order)]
-    df = df.withColumn("__v", F.struct(col.alias("v"))).withColumn("__o", F.struct(*order_cols))
-    df, first, keys = _chunked(df, by, chunk, [F.min_by("__v", "__o").alias("__first")])
-    carry = first.select(*keys, F.lead("__first").over(window(by, _CHUNK)).alias("__carry"))
-    df = join_back(df, carry, keys)
-    nxt = F.coalesce(F.lead("__v").over(window(keys, order_cols)), F.col("__carry"))
-    value = F.when(nxt.isNull(), F.lit(default)).otherwise(nxt["v"]) if default is not None else nxt["v"]
-    return df.withColumn(out, value).drop("__v", "__o", "__carry", _CHUNK)
+    value = as_col(col)
+    df = _cut(df.withColumn("__v", value).withColumn("__o", F.when(value.isNotNull(), F.struct(*order_cols))), by, chunk)
+    keys = by + [_CHUNK]
+    edge = F.min_by("__v", "__o") if forward else F.max_by("__v", "__o")
+    pick, side = (F.first, AFTER) if forward else (F.last, BEFORE)
+    seeds = _per_chunk(df, keys, edge.alias("__e")).select(*keys, pick("__e", ignorenulls=True).over(window(by, _CHUNK, side)).alias("__v"))
+    both = _seeded(df, seeds, at_end=forward)
+    return _unseed(both.withColumn(out, pick("__v", ignorenulls=True).over(window(keys, ["__seed", *order_cols], frame))))
 
 
 def last_known(df, out, by, order, col, include_current=True, chunk=None) -> DataFrame:
     """Last non-NULL value up to here (LAG IGNORE NULLS when the current row is excluded)."""
-    by = _list(by)
     frame = RUNNING if include_current else BEFORE
-    value = as_col(col)
     if chunk is None:
-        return df.withColumn(out, F.last(value, ignorenulls=True).over(window(by, order, frame)))
-    order_cols = [as_col(c) for c in _list(order)]
-    df = df.withColumn("__v", value).withColumn("__o", F.when(value.isNotNull(), F.struct(*order_cols)))
-    df, latest, keys = _chunked(df, by, chunk, [F.max_by("__v", "__o").alias("__last")])
-    carry = latest.select(*keys, F.last("__last", ignorenulls=True).over(window(by, _CHUNK, BEFORE)).alias("__carry"))
-    df = join_back(df, carry, keys)
-    inside = F.last("__v", ignorenulls=True).over(window(keys, order_cols, frame))
-    return df.withColumn(out, F.coalesce(inside, F.col("__carry"))).drop("__v", "__o", "__carry", _CHUNK)
+        return df.withColumn(out, F.last(as_col(col), ignorenulls=True).over(window(by, order, frame)))
+    return _nearest_known(df, out, _list(by), order, col, frame, chunk, forward=False)
 
 
 def next_known(df, out, by, order, col, chunk=None) -> DataFrame:
     """First non-NULL value from here on (back-fill)."""
-    by = _list(by)
-    frame = (W.currentRow, W.unboundedFollowing)
-    value = as_col(col)
     if chunk is None:
-        return df.withColumn(out, F.first(value, ignorenulls=True).over(window(by, order, frame)))
-    order_cols = [as_col(c) for c in _list(order)]
-    df = df.withColumn("__v", value).withColumn("__o", F.when(value.isNotNull(), F.struct(*order_cols)))
-    df, earliest, keys = _chunked(df, by, chunk, [F.min_by("__v", "__o").alias("__first")])
-    carry = earliest.select(*keys, F.first("__first", ignorenulls=True).over(window(by, _CHUNK, AFTER)).alias("__carry"))
-    df = join_back(df, carry, keys)
-    inside = F.first("__v", ignorenulls=True).over(window(keys, order_cols, frame))
-    return df.withColumn(out, F.coalesce(inside, F.col("__carry"))).drop("__v", "__o", "__carry", _CHUNK)
+        return df.withColumn(out, F.first(as_col(col), ignorenulls=True).over(window(by, order, ONWARD)))
+    return _nearest_known(df, out, _list(by), order, col, ONWARD, chunk, forward=True)
 
 
 # ---------------------------------------------------------------- whole partition
@@ -231,15 +270,13 @@ def running(df, out, by, order, col, agg="sum", include_current=True, chunk=None
     value = as_col(col)
     if chunk is None:
         return df.withColumn(out, fn(value).over(window(by, order, frame)))
-    merge = {"sum": lambda a, b: F.when(a.isNull() & b.isNull(), None).otherwise(F.coalesce(a, F.lit(0)) + F.coalesce(b, F.lit(0))),
-             "count": lambda a, b: F.coalesce(a, F.lit(0)) + F.coalesce(b, F.lit(0)),
-             "min": F.least, "max": F.greatest}[agg]
-    over = F.sum if agg == "count" else fn
-    df, part, keys = _chunked(df.withColumn("__v", value), by, chunk, [fn("__v").alias("__p")])
-    carry = part.select(*keys, over("__p").over(window(by, _CHUNK, BEFORE)).alias("__carry"))
-    df = join_back(df, carry, keys)
-    inside = fn("__v").over(window(keys, order, frame))
-    return df.withColumn(out, merge(inside, F.col("__carry"))).drop("__v", "__carry", _CHUNK)
+    if agg == "count":
+        value, fn = value.isNotNull().cast("long"), F.sum
+    df, keys = _cut(df.withColumn("__v", value), by, chunk), by + [_CHUNK]
+    seeds = _per_chunk(df, keys, fn("__v").alias("__p")).select(*keys, fn("__p").over(window(by, _CHUNK, BEFORE)).alias("__s"))
+    both = _seeded(df, seeds.withColumnRenamed("__s", "__v"))
+    total = fn("__v").over(window(keys, ["__seed", *_list(order)], frame))
+    return _unseed(both.withColumn(out, F.coalesce(total, F.lit(0)) if agg == "count" else total))
 
 
 def change_counter(df, out, by, order, col, chunk=None) -> DataFrame:
@@ -247,10 +284,11 @@ def change_counter(df, out, by, order, col, chunk=None) -> DataFrame:
 
     The first row starts island 0; NULL equals NULL.
     """
+    df, chunk = cut(df, by, chunk)
     df = lag(df, "__prev", by, order, F.struct(as_col(col).alias("x")), chunk=chunk)
     changed = F.when(F.col("__prev").isNull(), 0).when(F.col("__prev")["x"].eqNullSafe(as_col(col)), 0).otherwise(1)
     df = df.withColumn("__changed", changed)
-    return running(df, out, by, order, "__changed", chunk=chunk).drop("__prev", "__changed")
+    return running(df, out, by, order, "__changed", chunk=chunk).drop("__prev", "__changed", "__cut")
 
 
 def halo(df, by, order, before, after, chunk_rows, exprs: dict[str, callable], chunk=None) -> DataFrame:

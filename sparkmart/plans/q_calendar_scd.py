@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from sparkmart.functions import money, surrogate_key, trunc_to
 from sparkmart.operators import calendar as CAL, scd as S, topk, windows as wn
-from sparkmart.plans.registry import dsum, query
+from sparkmart.plans.registry import by_day, by_minute, dsum, query
 
 SPINE_SQL = "SELECT CAST(unnest(generate_series(date_trunc('year', (SELECT MIN(o_orderdate) FROM orders)), (SELECT MAX(o_orderdate) FROM orders), INTERVAL 1 DAY)) AS DATE) AS d"
 
@@ -167,7 +167,7 @@ CHANGES_SQL = "SELECT o_custkey, o_orderkey, o_orderstatus, o_orderdate AS valid
 def status_history(t):
     """Order status of a customer, each valid until the customer's next order."""
     df = t.orders.select("o_custkey", "o_orderkey", "o_orderstatus", F.col("o_orderdate").alias("valid_from"))
-    return wn.lead(df, "valid_to", "o_custkey", ["valid_from", "o_orderkey"], "valid_from", chunk=F.year("valid_from"))
+    return wn.lead(df, "valid_to", "o_custkey", ["valid_from", "o_orderkey"], "valid_from", chunk=by_day("valid_from"))
 
 
 @query("scd_6_snapshot_spine", f"""
@@ -190,7 +190,7 @@ def _(t):
 SELECT o_custkey, island, o_orderstatus, MIN(valid_from) AS valid_from, MAX(valid_to) AS valid_to FROM (SELECT *, CAST(SUM(ch) OVER (PARTITION BY o_custkey ORDER BY valid_from, o_orderkey ROWS UNBOUNDED PRECEDING) AS BIGINT) AS island FROM
  (SELECT *, CASE WHEN lag(o_orderstatus) OVER (PARTITION BY o_custkey ORDER BY valid_from, o_orderkey) <> o_orderstatus THEN 1 ELSE 0 END AS ch FROM ({CHANGES_SQL}))) GROUP BY 1, 2, 3""")
 def _(t):
-    return S.collapse_islands(status_history(t), "o_custkey", "o_orderstatus", "valid_from", "valid_to", "o_orderkey", chunk=F.year("valid_from"))
+    return S.collapse_islands(status_history(t), "o_custkey", "o_orderstatus", "valid_from", "valid_to", "o_orderkey", chunk=by_day("valid_from"))
 
 
 @query("scd_9_overlap_audit", """
@@ -205,7 +205,7 @@ def _(t):
 SELECT o_orderkey FROM (SELECT o_orderkey, a, MAX(b) OVER (PARTITION BY o_custkey ORDER BY a, o_orderkey ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS open_until FROM (SELECT *, o_orderdate AS a, o_orderdate + CAST(round(o_totalprice / 5000) AS INTEGER) * INTERVAL 1 DAY AS b FROM orders)) WHERE a < open_until""")
 def _(t):
     df = t.orders.select("o_custkey", "o_orderkey", F.col("o_orderdate").alias("valid_from"), F.expr("o_orderdate + make_dt_interval(int(round(o_totalprice / 5000)))").alias("valid_to"))
-    return S.overlaps(df, "o_custkey", "o_orderkey", chunk=F.year("valid_from")).select("o_orderkey")
+    return S.overlaps(df, "o_custkey", "o_orderkey", chunk=by_day("valid_from")).select("o_orderkey")
 
 
 @query("scd_10_multi_current", "SELECT o_custkey, COUNT(*) AS current_rows FROM orders WHERE o_orderstatus = 'O' GROUP BY 1 HAVING COUNT(*) > 1")
@@ -229,7 +229,7 @@ def _half(kind, n):
 SELECT a_id, b_id, greatest(a_from, b_from) AS overlap_from, least(a_to, b_to) AS overlap_to FROM ({_half("'view', 'signup'", 'a')}) a JOIN ({_half("'error'", 'b')}) b ON a.user_id = b.user_id AND a_from < b_to AND b_from < a_to""")
 def _(t):
     def half(kinds, n):
-        ev = wn.lead(t.events.filter(F.col("event_type").isin(*kinds)).select("user_id", "event_id", "ts"), "nxt", "user_id", ["ts", "event_id"], "ts", chunk=F.to_date("ts"))
+        ev = wn.lead(t.events.filter(F.col("event_type").isin(*kinds)).select("user_id", "event_id", "ts"), "nxt", "user_id", ["ts", "event_id"], "ts", chunk=by_minute())
         return ev.select("user_id", F.col("event_id").alias(f"{n}_id"), F.col("ts").alias(f"{n}_from"), F.coalesce("nxt", F.col("ts") + F.expr("INTERVAL 1 DAY")).alias(f"{n}_to"))
     out = S.intersect_histories(half(["view", "signup"], "a"), half(["error"], "b"), "user_id", ("a_from", "a_to"), ("b_from", "b_to"))
     return out.select("a_id", "b_id", "overlap_from", "overlap_to")

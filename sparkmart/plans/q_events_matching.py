@@ -4,9 +4,8 @@ from pyspark.sql import functions as F
 
 from sparkmart.functions import money, ratio
 from sparkmart.operators import events as E, joins as J, matching as M
-from sparkmart.plans.registry import dsum, query
+from sparkmart.plans.registry import by_minute, dsum, query
 
-DAY = lambda: F.to_date("ts")
 GAP = 6 * 3600
 
 
@@ -41,18 +40,18 @@ def views(t):
 
 @query("evt_3_page_views", f"SELECT event_id, session_index, row_number() OVER (PARTITION BY user_id, session_index ORDER BY ts, event_id) AS page_view_in_session, md5(user_id || '-' || session_index) AS session_id FROM ({SESSION_SQL})")
 def _(t):
-    return E.page_views(views(t), "user_id", "ts", "event_id", GAP, DAY()).select("event_id", "session_index", "page_view_in_session", "session_id")
+    return E.page_views(views(t), "user_id", "ts", "event_id", GAP, by_minute()).select("event_id", "session_index", "page_view_in_session", "session_id")
 
 
 @query("evt_3_sessions", f"SELECT user_id, session_index, MIN(ts) AS session_start, MAX(ts) AS session_end, COUNT(*) AS page_views FROM ({SESSION_SQL}) GROUP BY 1, 2")
 def _(t):
-    return E.sessions(views(t), "user_id", "ts", "event_id", GAP, DAY())
+    return E.sessions(views(t), "user_id", "ts", "event_id", GAP, by_minute())
 
 
 @query("evt_4_funnel", f"""
 SELECT user_id, session_index, MIN(ts) FILTER (event_type = 'view') AS start_at, MIN(ts) FILTER (event_type = 'purchase') AS success_at, COUNT(*) FILTER (event_type = 'purchase') > 0 AS reached_success FROM ({SESSION_SQL}) GROUP BY 1, 2 HAVING COUNT(*) FILTER (event_type = 'view') > 0""")
 def _(t):
-    df = E.sessionize(views(t), "user_id", "ts", "event_id", GAP, DAY())
+    df = E.sessionize(views(t), "user_id", "ts", "event_id", GAP, by_minute())
     return E.funnel(df, ["user_id", "session_index"], "ts", F.col("event_type") == "view", F.col("event_type") == "purchase")
 
 
@@ -115,20 +114,23 @@ def _score(df):
 
 
 ROLE_SQL = "CASE o_orderstatus WHEN 'F' THEN 'creator' WHEN 'O' THEN 'owner' ELSE 'user' END"
-ROLE = F.when(F.col("o_orderstatus") == "F", "creator").when(F.col("o_orderstatus") == "O", "owner").otherwise("user")
+
+
+def role():
+    return F.when(F.col("o_orderstatus") == "F", "creator").when(F.col("o_orderstatus") == "O", "owner").otherwise("user")
 
 
 @query("mat_1_match_score", _score_sql("c_nationkey * 100 + c_custkey % 97", "CASE WHEN c_mktsegment <> 'BUILDING' THEN c_mktsegment END", ROLE_SQL, "c_custkey", "orders JOIN customer ON c_custkey = o_custkey"))
 def _(t):
     df = t.orders.join(t.customer, F.col("c_custkey") == F.col("o_custkey"))
     org = F.when(F.col("c_mktsegment") != "BUILDING", F.col("c_mktsegment"))
-    return _score(M.match_score(df, F.col("c_nationkey") * 100 + F.col("c_custkey") % 97, org, ROLE, "c_custkey"))
+    return _score(M.match_score(df, F.col("c_nationkey") * 100 + F.col("c_custkey") % 97, org, role(), "c_custkey"))
 
 
 @query("mat_2_account_score", _score_sql("l_suppkey", "n_name", ROLE_SQL, "o_custkey", "lineitem JOIN orders ON o_orderkey = l_orderkey JOIN customer ON c_custkey = o_custkey JOIN nation ON n_nationkey = c_nationkey"))
 def _(t):
     df = t.lineitem.join(t.orders, F.col("o_orderkey") == F.col("l_orderkey")).join(t.customer, F.col("c_custkey") == F.col("o_custkey")).join(t.nation, F.col("n_nationkey") == F.col("c_nationkey"))
-    return _score(M.match_score(df, "l_suppkey", "n_name", ROLE, "o_custkey"))
+    return _score(M.match_score(df, "l_suppkey", "n_name", role(), "o_custkey"))
 
 
 @query("mat_3_attribution", """

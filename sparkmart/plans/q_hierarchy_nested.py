@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from sparkmart.functions import crc32_text, id15to18, money, path_first, path_last, path_to_column, regexp_to_array, salted_hash, trunc_to
 from sparkmart.operators import hierarchy as H, nested as N, windows as wn
-from sparkmart.plans.registry import dsum, query
+from sparkmart.plans.registry import by_day, dsum, query
 
 # A customer's parent is the customer with the last digit cut off; customers of one
 # segment are treated as deleted, which leaves children without their parent row.
@@ -49,7 +49,7 @@ MOVED_SQL = "SELECT o_orderkey AS id, lead(o_orderkey) OVER (PARTITION BY o_cust
 
 def moved(t):
     """Every order of a customer 'moved to' the customer's next order."""
-    return wn.lead(t.orders.select("o_orderkey", "o_custkey", "o_orderdate"), "nxt", "o_custkey", ["o_orderdate", "o_orderkey"], "o_orderkey", chunk=F.year("o_orderdate"))
+    return wn.lead(t.orders.select("o_orderkey", "o_custkey", "o_orderdate"), "nxt", "o_custkey", ["o_orderdate", "o_orderkey"], "o_orderkey", chunk=by_day("o_orderdate"))
 
 
 @query("hier_3_resolve_chain", f"""

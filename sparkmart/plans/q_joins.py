@@ -4,9 +4,8 @@ from pyspark.sql import functions as F
 
 from sparkmart.functions import boundary_diff, money, trunc_to
 from sparkmart.operators import joins as J
-from sparkmart.plans.registry import dsum, query
+from sparkmart.plans.registry import by_minute, dsum, query
 
-DAY = F.to_date
 
 
 @query("jn_1_star", f"""
@@ -79,10 +78,10 @@ SELECT event_id, state FROM (SELECT event_id, state, row_number() OVER (PARTITIO
 def _(t):
     from sparkmart.operators import windows as wn
     ev = t.events.select("event_id", "user_id", "ts", "event_type")
-    scd = wn.lead(ev.filter("event_type <> 'purchase'"), "nxt", "user_id", ["ts", "event_id"], "ts", chunk=F.to_date("ts"))
+    scd = wn.lead(ev.filter("event_type <> 'purchase'"), "nxt", "user_id", ["ts", "event_id"], "ts", chunk=by_minute())
     scd = scd.select("user_id", F.col("event_type").alias("state"), F.col("ts").alias("valid_from"), (F.col("nxt") - F.expr("INTERVAL 1 MILLISECOND")).alias("valid_to"))
     points = ev.filter("event_type = 'purchase'")
-    return J.asof(points, "ts", scd, "user_id", "valid_from", "valid_to", ["state"], "event_id", chunk=DAY).select("event_id", "state")
+    return J.asof(points, "ts", scd, "user_id", "valid_from", "valid_to", ["state"], "event_id", chunk=by_minute).select("event_id", "state")
 
 
 @query("jn_9_range_lookup", """
@@ -103,7 +102,7 @@ def _(t):
 
     def hist(kind, n):
         ev = t.events.filter(F.col("event_type") == kind).select("user_id", "event_id", "ts")
-        ev = wn.lead(ev, "nxt", "user_id", ["ts", "event_id"], "ts", chunk=F.to_date("ts"))
+        ev = wn.lead(ev, "nxt", "user_id", ["ts", "event_id"], "ts", chunk=by_minute())
         return ev.select("user_id", F.col("event_id").alias(f"{n}_id"), F.col("ts").alias(f"{n}_from"), F.coalesce("nxt", F.col("ts") + F.expr("INTERVAL 1 DAY")).alias(f"{n}_to"))
 
     out = J.overlap_join(hist("view", "a"), hist("click", "b"), "user_id", ("a_from", "a_to"), ("b_from", "b_to"), F.to_date, F.expr("INTERVAL 1 DAY"))
@@ -206,4 +205,4 @@ SELECT event_id, other_id FROM (SELECT a.event_id, b.event_id AS other_id, row_n
 def _(t):
     ev = t.events.select("event_id", "user_id", "ts", "event_type")
     other = ev.filter("event_type = 'signup'").select("user_id", F.col("event_id").alias("other_id"), F.col("ts").alias("other_ts"))
-    return J.nearest(ev.filter("event_type = 'purchase'"), "ts", other, "other_ts", "user_id", "event_id", ["other_id"], chunk=DAY).select("event_id", "other_id")
+    return J.nearest(ev.filter("event_type = 'purchase'"), "ts", other, "other_ts", "user_id", "event_id", ["other_id"], chunk=by_minute).select("event_id", "other_id")

@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from sparkmart.functions import money, trunc_to
 from sparkmart.operators import calendar as CAL, revenue as R, windows as wn
-from sparkmart.plans.registry import dsum, query
+from sparkmart.plans.registry import by_day, dsum, query
 
 CATEGORY = {"1-URGENT": 3, "2-HIGH": 2, "3-MEDIUM": 1}
 RANK_SQL = "CASE o_orderpriority WHEN '1-URGENT' THEN 3 WHEN '2-HIGH' THEN 2 WHEN '3-MEDIUM' THEN 1 ELSE 0 END"
@@ -116,7 +116,7 @@ FROM (SELECT *, CAST(o_totalprice AS DECIMAL(18,2)) AS mrr, lag(CAST(o_totalpric
 def _(t):
     status = F.when(F.col("o_orderstatus") == "F", "Cancelled").when(F.col("o_orderstatus") == "O", "Active").otherwise("Draft")
     df = t.orders.select("o_custkey", "o_orderkey", "o_orderdate", money("o_totalprice").alias("mrr"), status.alias("status"), F.date_add("o_orderdate", 365).alias("end_date"))
-    out = R.charge_delta(df, ["o_custkey"], ["o_orderdate", "o_orderkey"], "mrr", "status", "end_date", "2001-06-30", chunk=F.year("o_orderdate"))
+    out = R.charge_delta(df, ["o_custkey"], ["o_orderdate", "o_orderkey"], "mrr", "status", "end_date", "2001-06-30", chunk=by_day("o_orderdate"))
     return out.select("o_orderkey", "previous_mrr", "delta_mrr")
 
 
@@ -245,4 +245,4 @@ def _(t):
     price = F.floor("o_totalprice").cast("int")
     df = t.orders.select("o_orderkey", "o_custkey", "o_orderdate", F.trunc(F.date_add("o_orderdate", price % 500), "month").alias("s"), F.trunc(F.date_add("o_orderdate", 365 + price % 700), "month").alias("e"))
     df = df.withColumn("version", F.struct("o_orderdate", "o_orderkey")).withColumn("fy", F.year("e"))
-    return R.prune_terms(df, "o_custkey", "version", "s", "e", "fy", chunk=F.year("o_orderdate")).select("o_orderkey")
+    return R.prune_terms(df, "o_custkey", "version", "s", "e", "fy", chunk=by_day("o_orderdate")).select("o_orderkey")

@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from sparkmart.functions import money, ratio
 from sparkmart.operators import calendar as CAL, scd as S, topk, usage as U, windows as wn
-from sparkmart.plans.registry import dsum, query
+from sparkmart.plans.registry import by_day, by_minute, dsum, query
 
 # Monthly counter per customer; months without an order have no ping (NULL).
 PING_SQL = """
@@ -56,7 +56,7 @@ ORDER_PING_SQL = "SELECT o_orderkey, o_custkey, o_orderdate, 'orders.' || o_orde
 
 
 def order_pings(t):
-    df = wn.row_number(t.orders.select("o_orderkey", "o_custkey", "o_orderdate", "o_orderstatus"), "value", ["o_custkey", "o_orderstatus"], ["o_orderdate", "o_orderkey"], chunk=F.year("o_orderdate"))
+    df = wn.row_number(t.orders.select("o_orderkey", "o_custkey", "o_orderdate", "o_orderstatus"), "value", ["o_custkey", "o_orderstatus"], ["o_orderdate", "o_orderkey"], chunk=by_day("o_orderdate"))
     return df.select("o_orderkey", "o_custkey", "o_orderdate", F.concat(F.lit("orders."), "o_orderstatus").alias("metric"), (F.col("value") * 10).alias("value"))
 
 
@@ -72,7 +72,7 @@ def _(t):
 SELECT event_id, CASE WHEN v - lag(v) OVER w >= 0 THEN v - lag(v) OVER w ELSE v END AS v_change FROM (SELECT *, CAST(floor(value) AS BIGINT) AS v FROM events) WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id)""")
 def _(t):
     df = t.events.select("event_id", "user_id", "ts", F.floor("value").alias("v"))
-    return U.monthly_change(df, "v", "user_id", ["ts", "event_id"], chunk=F.to_date("ts")).select("event_id", "v_change")
+    return U.monthly_change(df, "v", "user_id", ["ts", "event_id"], chunk=by_minute()).select("event_id", "v_change")
 
 
 @query("met_7_usage_estimate", """
@@ -171,7 +171,7 @@ def _(t):
 SELECT event_id, lead(event_type) OVER w AS next_stage, date_diff('day', ts, coalesce(lead(ts) OVER w, TIMESTAMP '2024-02-01')) AS days_in_stage, date_diff('day', MIN(ts) OVER (PARTITION BY user_id), MAX(ts) OVER (PARTITION BY user_id)) AS days_in_pipeline, lead(ts) OVER w IS NULL AS is_current_stage
 FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id)""")
 def _(t):
-    df = U.stage_durations(t.events.select("event_id", "user_id", "ts", "event_type"), ["user_id"], "event_type", "ts", "event_id", "2024-02-01", chunk=F.to_date("ts"))
+    df = U.stage_durations(t.events.select("event_id", "user_id", "ts", "event_type"), ["user_id"], "event_type", "ts", "event_id", "2024-02-01", chunk=by_minute())
     return df.select("event_id", "next_stage", "days_in_stage", "days_in_pipeline", "is_current_stage")
 
 
@@ -203,7 +203,7 @@ def _(t):
     items = t.orders.select("o_orderkey", "o_custkey", F.col("o_orderdate").alias("c"), F.when(F.col("o_orderstatus") != "O", F.date_add("o_orderdate", 40)).alias("e"))
     history = topk.latest_per_key(t.orders.select("o_custkey", "o_orderdate", "o_orderkey", F.col("o_orderpriority").alias("label")), ["o_custkey", "o_orderdate"], [F.desc("o_orderkey")])
     history = history.select("o_custkey", "label", F.col("o_orderdate").alias("f"), F.lit(None).cast("timestamp_ntz").alias("until"))
-    df = U.open_items(items, "o_custkey", "c", "e", "2001-05-01", "2001-06-15", history, "f", "until", ["label"], lambda c: F.trunc(c, "month"))
+    df = U.open_items(items, "o_custkey", "c", "e", "2001-05-01", "2001-06-15", history, "f", "until", ["label"], by_day)
     return df.groupBy("day", "label").agg(F.count(F.lit(1)).alias("open_items"), F.sum("open_age_days").alias("total_age"))
 
 

@@ -4,21 +4,20 @@ from pyspark.sql import functions as F
 
 from sparkmart.functions import money, trunc_to
 from sparkmart.operators import windows as wn
-from sparkmart.plans.registry import dsum, query
+from sparkmart.plans.registry import by_day, by_minute, dsum, query
 
-DAY = lambda: F.to_date("ts")
 EV = ["ts", "event_id"]
 
 
 @query("wn_1_row_number", "SELECT event_id, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS rn FROM events")
 def _(t):
-    df = wn.row_number(t.events.select("event_id", "user_id", "ts"), "rn", "user_id", EV, chunk=DAY())
+    df = wn.row_number(t.events.select("event_id", "user_id", "ts"), "rn", "user_id", EV, chunk=by_minute())
     return df.select("event_id", "rn")
 
 
 @query("wn_2_rank", "SELECT o_orderkey, rank() OVER (PARTITION BY o_custkey ORDER BY o_orderdate) AS rnk FROM orders")
 def _(t):
-    df = wn.rank(t.orders.select("o_orderkey", "o_custkey", "o_orderdate"), "rnk", "o_custkey", "o_orderdate", chunk=F.year("o_orderdate"))
+    df = wn.rank(t.orders.select("o_orderkey", "o_custkey", "o_orderdate"), "rnk", "o_custkey", "o_orderdate", chunk=by_day("o_orderdate"))
     return df.select("o_orderkey", "rnk")
 
 
@@ -34,8 +33,8 @@ SELECT event_id, lag(event_type, 1, 'none') OVER w AS prev_type, lead(event_type
 FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id)""")
 def _(t):
     df = t.events.select("event_id", "user_id", "ts", "event_type")
-    df = wn.lag(df, "prev_type", "user_id", EV, "event_type", default="none", chunk=DAY())
-    df = wn.lead(df, "next_type", "user_id", EV, "event_type", chunk=DAY())
+    df = wn.lag(df, "prev_type", "user_id", EV, "event_type", default="none", chunk=by_minute())
+    df = wn.lead(df, "next_type", "user_id", EV, "event_type", chunk=by_minute())
     return df.select("event_id", "prev_type", "next_type")
 
 
@@ -45,7 +44,7 @@ SELECT event_id, lag(value, 3) OVER (PARTITION BY user_id ORDER BY ts, event_id)
 def _(t):
     df = t.events.select("event_id", "user_id", "ts", "value")
     exprs = {"value_3_back": lambda w: F.lag("value", 3).over(w), "value_2_on": lambda w: F.lead("value", 2).over(w)}
-    return wn.halo(df, "user_id", EV, 3, 2, 100_000, exprs, chunk=DAY()).select("event_id", *exprs)
+    return wn.halo(df, "user_id", EV, 3, 2, 100_000, exprs, chunk=by_minute()).select("event_id", *exprs)
 
 
 @query("wn_5_lag_ignore_nulls", """
@@ -53,7 +52,7 @@ SELECT event_id, last_value(CASE WHEN event_type='purchase' THEN value END IGNOR
  (PARTITION BY user_id ORDER BY ts, event_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS prev_purchase FROM events""")
 def _(t):
     bought = F.when(F.col("event_type") == "purchase", F.col("value"))
-    df = wn.last_known(t.events.select("event_id", "user_id", "ts", "event_type", "value"), "prev_purchase", "user_id", EV, bought, include_current=False, chunk=DAY())
+    df = wn.last_known(t.events.select("event_id", "user_id", "ts", "event_type", "value"), "prev_purchase", "user_id", EV, bought, include_current=False, chunk=by_minute())
     return df.select("event_id", "prev_purchase")
 
 
@@ -73,7 +72,7 @@ SELECT event_id, first_value(CASE WHEN event_type='purchase' THEN value END IGNO
  (PARTITION BY user_id ORDER BY ts, event_id ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS next_purchase FROM events""")
 def _(t):
     bought = F.when(F.col("event_type") == "purchase", F.col("value"))
-    df = wn.next_known(t.events.select("event_id", "user_id", "ts", "event_type", "value"), "next_purchase", "user_id", EV, bought, chunk=DAY())
+    df = wn.next_known(t.events.select("event_id", "user_id", "ts", "event_type", "value"), "next_purchase", "user_id", EV, bought, chunk=by_minute())
     return df.select("event_id", "next_purchase")
 
 
@@ -104,13 +103,13 @@ def _running_sql(frame, name):
 
 @query("wn_10_running_total", _running_sql("CURRENT ROW", "spent"))
 def _(t):
-    df = wn.running(t.events.select("event_id", "user_id", "ts", "value"), "spent", "user_id", EV, money("value"), chunk=DAY())
+    df = wn.running(t.events.select("event_id", "user_id", "ts", "value"), "spent", "user_id", EV, money("value"), chunk=by_minute())
     return df.select("event_id", "spent")
 
 
 @query("wn_11_prior_running_total", _running_sql("1 PRECEDING", "spent_before"))
 def _(t):
-    df = wn.running(t.events.select("event_id", "user_id", "ts", "value"), "spent_before", "user_id", EV, money("value"), include_current=False, chunk=DAY())
+    df = wn.running(t.events.select("event_id", "user_id", "ts", "value"), "spent_before", "user_id", EV, money("value"), include_current=False, chunk=by_minute())
     return df.select("event_id", "spent_before")
 
 
@@ -118,7 +117,7 @@ def _(t):
 SELECT event_id, CAST(SUM(CAST(value AS DECIMAL(18,2))) OVER (PARTITION BY user_id ORDER BY ts, event_id
  ROWS BETWEEN 2 PRECEDING AND CURRENT ROW) AS DOUBLE) AS last_three FROM events""")
 def _(t):
-    df = wn.rolling(t.events.select("event_id", "user_id", "ts", "value"), "last_three", "user_id", EV, money("value"), 2, chunk=DAY())
+    df = wn.rolling(t.events.select("event_id", "user_id", "ts", "value"), "last_three", "user_id", EV, money("value"), 2, chunk=by_minute())
     return df.select("event_id", "last_three")
 
 
@@ -166,7 +165,7 @@ SELECT event_id, CAST(SUM(ch) OVER (PARTITION BY user_id ORDER BY ts, event_id R
  (SELECT *, CASE WHEN lag(event_type) OVER (PARTITION BY user_id ORDER BY ts, event_id) <> event_type THEN 1 ELSE 0 END AS ch FROM events)""")
 def _(t):
     df = t.events.select("event_id", "user_id", "ts", "event_type")
-    return wn.change_counter(df, "island", "user_id", EV, "event_type", chunk=DAY()).select("event_id", "island")
+    return wn.change_counter(df, "island", "user_id", EV, "event_type", chunk=by_minute()).select("event_id", "island")
 
 
 @query("wn_18_bool_over", """

@@ -9,6 +9,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
+from sparkmart.operators.windows import HotKeys
 from sparkmart.session import tune
 
 
@@ -73,6 +74,16 @@ def all_queries() -> dict[str, Query]:
     return dict(_QUERIES)
 
 
+def by_minute(c="ts") -> HotKeys:
+    """Hot keys of an event table are cut by the minute."""
+    return HotKeys(F.date_trunc("minute", c))
+
+
+def by_day(c) -> HotKeys:
+    """Hot keys of a table with dates are cut by the day."""
+    return HotKeys(F.to_date(c))
+
+
 def dec(expr: str) -> str:
     """Oracle text of an exact two-place decimal."""
     return f"CAST({expr} AS DECIMAL(18,2))"
