@@ -9,16 +9,30 @@ from sparkmart.operators import calendar as cal, classify as cls, windows as wn
 from sparkmart.operators.windows import join_back, window
 
 
-def mrr_monthly(charges, start, end, keys, as_of, **sums: Column) -> DataFrame:
+def _month_from(d) -> Column:
+    """First month start on or after a date."""
+    return F.trunc(F.date_add(F.last_day(F.date_sub(as_col(d), 1)), 1), "month")
+
+
+def mrr_monthly(charges, start, end, keys, as_of, sums: dict) -> DataFrame:
     """Charges to monthly facts: a charge counts in every month with start <= month < end.
 
-    Open charges run to `as_of`. Each charge generates its own months, so no range
-    join to a calendar is needed, and the sums combine before the shuffle.
+    Open charges run to `as_of`; sums: {output: value column}. A charge adds its value in
+    its first month and takes it back in the month it has ended, so it costs two rows
+    however long it runs. The deltas combine before the shuffle; a running total over the
+    months of a key restores the monthly values.
     """
-    first = F.trunc(F.date_add(F.last_day(F.date_sub(F.to_date(as_col(start)), 1)), 1), "month")
-    last = F.coalesce(F.date_sub(F.to_date(as_col(end)), 1), F.lit(as_of).cast("date"))
-    months = charges.filter(first <= last).withColumn("charge_month", F.explode(F.sequence(first, last, F.expr("INTERVAL 1 MONTH"))))
-    return months.groupBy(*keys, "charge_month").agg(*[c.alias(n) for n, c in sums.items()])
+    first = _month_from(F.to_date(as_col(start)))
+    until = _month_from(F.coalesce(F.to_date(as_col(end)), F.date_add(F.lit(as_of).cast("date"), 1)))
+    moves = F.array(F.struct(first.alias("__m"), F.lit(1).alias("__sign")), F.struct(until.alias("__m"), F.lit(-1).alias("__sign")))
+    rows = charges.filter(first < until).select(*keys, *[as_col(c).alias(n) for n, c in sums.items()], F.inline(moves))
+    signed = lambda n: F.sum(F.when(F.col("__sign") > 0, F.col(n)).otherwise(-F.col(n)))
+    deltas = rows.groupBy(*keys, "__m").agg(F.sum("__sign").alias("__live"), *[signed(n).alias(n) for n in sums])
+    w = window(keys, "__m")
+    run = w.rowsBetween(*wn.RUNNING)
+    levels = deltas.select(*keys, "__m", F.lead("__m").over(w).alias("__next"), F.sum("__live").over(run).alias("__live"), *[F.sum(n).over(run).alias(n) for n in sums])
+    months = F.explode(F.sequence("__m", F.add_months("__next", -1), F.expr("INTERVAL 1 MONTH"))).alias("charge_month")
+    return levels.filter("__live > 0").select(*keys, months, *sums)
 
 
 def split_by(df, keys, dim, values: dict, cols) -> DataFrame:
@@ -157,20 +171,25 @@ def waterfall(schedule, line, contract, segment, created, period, amount) -> Dat
     line its own grid; an anti join leaves the missing ones.
     """
     keys = [contract, line, segment]
-    rows = schedule.withColumn("as_of_period", F.explode(F.sequence(as_col(created), as_col(period))))
-    base = rows.groupBy(*keys, "as_of_period", as_col(period).alias("period")).agg(F.sum(as_col(amount)).alias("amount"))
-    lines = base.groupBy(contract, line).agg(F.min("period").alias("__lo"), F.max(F.struct("as_of_period", "period")).alias("__last"))
-    ends = base.groupBy(contract).agg(F.max("period").alias("__hi"))
-    # The last waterfall line of a line names the segments that are carried on.
-    last = base.join(lines, [contract, line]).filter((F.col("as_of_period") == F.col("__last.as_of_period")) & (F.col("period") == F.col("__last.period")))
-    grid = last.select(*keys, "__lo").join(ends, contract).select(*keys, F.explode(F.sequence("__lo", F.greatest("__lo", "__hi"))).alias("period"))
-    present = base.filter("as_of_period = period").select(contract, line, "period").distinct()
+    plan = schedule.groupBy(*keys, as_col(created).alias("__created"), as_col(period).alias("period")).agg(F.sum(as_col(amount)).alias("amount"))
+    spread = plan.withColumn("as_of_period", F.explode(F.sequence("__created", "period")))
+    base = spread.groupBy(*keys, "as_of_period", "period").agg(F.sum("amount").alias("amount"))
+    # A line's last row has its last period, both as period and as as-of period; the
+    # segments scheduled there are the ones carried on.
+    last = plan.groupBy(*keys).agg(F.min("period").alias("__lo"), F.max("period").alias("__hi"))
+    whole = last.groupBy(contract, line).agg(F.min("__lo").alias("__first"), F.max("__hi").alias("__last"))
+    ends = plan.groupBy(contract).agg(F.max("period").alias("__end"))
+    grid = last.join(whole, [contract, line]).filter("__hi = __last").join(ends, contract)
+    grid = grid.select(*keys, F.explode(F.sequence("__first", "__end")).alias("period"))
+    present = plan.select(contract, line, "period").distinct()
     filler = grid.join(present, [contract, line, "period"], "left_anti").select(*keys, F.col("period").alias("as_of_period"), "period", F.lit(0).cast(base.schema["amount"].dataType).alias("amount"))
     full = base.unionByName(filler)
-    released = full.filter("as_of_period = period").groupBy(line, segment, "as_of_period").agg(F.sum("amount").alias("__a"))
-    released = wn.running(released, "__prior", [line, segment], "as_of_period", "__a", include_current=False).drop("__a")
-    out = join_back(full, released, [line, segment, "as_of_period"])
-    return out.withColumn("prior_total", F.coalesce("__prior", F.lit(0))).drop("__prior")
+    # Released so far, where the as-of period itself has a released row; months bound the window.
+    own = F.col("as_of_period") == F.col("period")
+    by_time = window([line, segment], "as_of_period")
+    prior = F.sum(F.when(own, F.col("amount"))).over(by_time.rangeBetween(wn.BEFORE[0], -1))
+    here = F.max(own).over(by_time.rangeBetween(0, 0))
+    return full.withColumn("prior_total", F.when(here, F.coalesce(prior, F.lit(0))).otherwise(0))
 
 
 def renewals(df, key, end_month, as_of) -> DataFrame:

@@ -37,7 +37,8 @@ FACTS_SQL = f"""SELECT l_suppkey, l_returnflag, m AS charge_month, CAST(SUM(CAST
 def facts(t):
     s = F.trunc("l_shipdate", "month")
     charges = t.lineitem.select("l_suppkey", "l_returnflag", s.alias("s"), F.when(F.col("l_linenumber") < 6, F.add_months(s, (F.col("l_quantity") % 12).cast("int"))).alias("e"), "l_extendedprice", "l_quantity")
-    return R.mrr_monthly(charges, "s", "e", ["l_suppkey", "l_returnflag"], "2002-01-15", mrr=F.sum(money("l_extendedprice")), arr=F.sum(money("l_extendedprice")) * 12, quantity=F.sum(F.col("l_quantity").cast("long")))
+    return R.mrr_monthly(charges, "s", "e", ["l_suppkey", "l_returnflag"], "2002-01-15",
+                         {"mrr": money("l_extendedprice"), "arr": money("l_extendedprice") * 12, "quantity": F.col("l_quantity").cast("long")})
 
 
 @query("rev_1_mrr_monthly", f"SELECT l_suppkey, l_returnflag, CAST(charge_month AS VARCHAR) AS charge_month, mrr, arr, quantity FROM ({FACTS_SQL})")
