@@ -13,7 +13,7 @@ from sparkmart.operators import events as E, joins as J, windows as wn
 def df(spark):
     rnd = random.Random(7)
     rows = []
-    for i in range(400):
+    for i in range(150):
         # Key 1 holds most rows, some rows have no key, values have gaps.
         key = rnd.choice([1, 1, 1, 1, 2, 3, None])
         ts = datetime(2024, 1, 1) + timedelta(minutes=rnd.randint(0, 20000))
@@ -24,7 +24,7 @@ def df(spark):
 
 def chunks():
     day = F.to_date("ts")
-    return [day, wn.HotKeys(day, 50), wn.HotKeys(day, 10**9), wn.HotKeys(F.date_trunc("hour", "ts"), 0)]
+    return [wn.HotKeys(day, 30), wn.HotKeys(F.date_trunc("hour", "ts"), 0)]
 
 
 ORDER = ["ts", "id"]
