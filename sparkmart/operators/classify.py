@@ -83,7 +83,7 @@ def deal_size(c) -> Column:
 def arr_segmentation(df, arr, level_cols=(), chunk=None) -> DataFrame:
     """Value segment, rank by value within the level and rank segment."""
     arr = as_col(arr)
-    df = wn.rank(df, "arr_rank", list(level_cols), arr.desc(), chunk=chunk)
+    df = wn.rank_of_value(df, "arr_rank", list(level_cols), arr, descending=True, chunk=chunk)
     df = classify(df, "arr_segmentation", below(arr, R.ARR_SEGMENTS))
     return classify(df, "rank_segmentation", below("arr_rank", R.RANK_SEGMENTS))
 

@@ -139,6 +139,21 @@ def dense_rank(df, out, by, col, descending=False, chunk=None) -> DataFrame:
     return join_back(df, ranked, by + ["__k"]).drop("__k")
 
 
+def rank_of_value(df, out, by, col, descending=False, chunk=None) -> DataFrame:
+    """RANK of a column from the counts of its distinct values.
+
+    Equal values are counted, not sorted, so neither a large key nor a value shared by
+    most rows weighs on one task. `chunk` maps the value to a band that never decreases
+    in sort order; without it a key's distinct values are one window.
+    """
+    by = _list(by)
+    values = df.groupBy(*by, as_col(col).alias("__k")).agg(F.count(F.lit(1)).alias("__c"))
+    order = F.col("__k").desc() if descending else F.col("__k").asc()
+    ahead = running(values, "__ahead", by, [order], "__c", include_current=False, chunk=None if chunk is None else chunk(F.col("__k")))
+    side = ahead.select(*by, "__k", (F.coalesce("__ahead", F.lit(0)) + 1).alias(out))
+    return join_back(df.withColumn("__k", as_col(col)), side, by + ["__k"]).drop("__k")
+
+
 # ---------------------------------------------------------------- offset
 
 def _neighbour(df, out, by, order, col, default, chunk, forward) -> DataFrame:

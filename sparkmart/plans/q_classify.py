@@ -74,8 +74,8 @@ SELECT o_custkey, arr_rank, CASE WHEN arr < 5000 THEN 'Under 5K' WHEN arr < 5000
 FROM (SELECT *, rank() OVER (ORDER BY arr DESC) AS arr_rank FROM (SELECT o_custkey, SUM(CAST(o_totalprice AS DECIMAL(18,2))) AS arr FROM orders GROUP BY 1))""")
 def _(t):
     arr = t.orders.groupBy("o_custkey").agg(F.sum(F.col("o_totalprice").cast("decimal(18,2)")).alias("arr"))
-    # The rank is global: it runs inside value bands, from the highest band down.
-    df = C.arr_segmentation(arr, "arr", chunk=-F.floor(F.col("arr") / 10000))
+    # The rank is global: distinct values are counted inside bands, from the highest band down.
+    df = C.arr_segmentation(arr, "arr", chunk=lambda v: -F.floor(v / 10000))
     return df.drop("arr")
 
 

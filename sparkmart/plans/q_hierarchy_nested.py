@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from sparkmart.functions import crc32_text, id15to18, money, path_first, path_last, path_to_column, regexp_to_array, salted_hash, trunc_to
 from sparkmart.operators import hierarchy as H, nested as N, windows as wn
-from sparkmart.plans.registry import by_day, dsum, query
+from sparkmart.plans.registry import dsum, query
 
 # A customer's parent is the customer with the last digit cut off; customers of one
 # segment are treated as deleted, which leaves children without their parent row.
@@ -44,12 +44,12 @@ def _(t):
     return out.select("id", joined("lineage"), "ultimate_parent_id", "depth", "lineage_valid_from", "lineage_valid_to")
 
 
-MOVED_SQL = "SELECT o_orderkey AS id, lead(o_orderkey) OVER (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey) AS nxt FROM orders"
+MOVED_SQL = "SELECT o_orderkey AS id, CASE WHEN o_orderkey >= 10 AND o_orderstatus <> 'F' THEN o_orderkey // 10 END AS nxt FROM orders"
 
 
 def moved(t):
-    """Every order of a customer 'moved to' the customer's next order."""
-    return wn.lead(t.orders.select("o_orderkey", "o_custkey", "o_orderdate"), "nxt", "o_custkey", ["o_orderdate", "o_orderkey"], "o_orderkey", chunk=by_day("o_orderdate"))
+    """An open order was 'moved to' the order with the last digit cut off: chains of at most one order per digit."""
+    return t.orders.select("o_orderkey", F.expr("CASE WHEN o_orderkey >= 10 AND o_orderstatus <> 'F' THEN o_orderkey div 10 END").alias("nxt"))
 
 
 @query("hier_3_resolve_chain", f"""
@@ -61,7 +61,7 @@ def _(t):
 
 RENEWAL_SQL = """
 RECURSIVE k AS (SELECT o_custkey, o_orderkey, dense_rank() OVER (PARTITION BY o_custkey ORDER BY date_trunc('year', o_orderdate)) AS g FROM orders WHERE o_orderstatus = 'F'),
- n AS (SELECT a.o_orderkey AS id, list(b.o_orderkey ORDER BY b.o_orderkey) AS nx FROM k a JOIN k b ON a.o_custkey = b.o_custkey AND b.g = a.g + 1 GROUP BY 1),
+ b AS (SELECT o_custkey, g - 1 AS g, list_sort(list_distinct([MIN(o_orderkey), MAX(o_orderkey)])) AS nx FROM k GROUP BY 1, 2), n AS (SELECT o_orderkey AS id, nx FROM k JOIN b USING (o_custkey, g)),
  e AS (SELECT id, unnest(nx) AS nxt FROM n), leaf AS (SELECT o_orderkey AS id FROM k WHERE o_orderkey NOT IN (SELECT id FROM n)),
  r AS (SELECT id, [id] AS l FROM leaf UNION ALL SELECT e.id, list_prepend(e.id, r.l) FROM r JOIN e ON e.nxt = r.id),
  best AS (SELECT id, l FROM r QUALIFY row_number() OVER (PARTITION BY id ORDER BY len(l) DESC, array_to_string(l, ',')) = 1),
@@ -70,9 +70,9 @@ RECURSIVE k AS (SELECT o_custkey, o_orderkey, dense_rank() OVER (PARTITION BY o_
 
 
 def renewals(t):
-    """A won order is renewed by all won orders of the customer's next year with orders."""
+    """A won order is renewed by the first and the last won order of the customer's next year with any."""
     k = wn.dense_rank(t.orders.filter("o_orderstatus = 'F'").select("o_custkey", "o_orderkey", F.year("o_orderdate").alias("y")), "g", ["o_custkey"], "y")
-    nxt = k.groupBy("o_custkey", (F.col("g") - 1).alias("g")).agg(F.array_sort(F.collect_list("o_orderkey")).alias("renewals"))
+    nxt = k.groupBy("o_custkey", (F.col("g") - 1).alias("g")).agg(F.array_distinct(F.array(F.min("o_orderkey"), F.max("o_orderkey"))).alias("renewals"))
     return k.join(nxt, ["o_custkey", "g"], "left").select("o_orderkey", "renewals")
 
 

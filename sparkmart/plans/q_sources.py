@@ -25,11 +25,12 @@ def _(t):
 
 
 @query("src_3_join_log_streams", """
-SELECT user_id AS correlation_id, a.event_id, a.value AS size_bytes, b.ts AS accessed_at FROM events a JOIN events b USING (user_id) WHERE a.event_type = 'purchase' AND b.event_type = 'signup' AND CAST(a.ts AS DATE) = CAST(b.ts AS DATE)""")
+SELECT a.event_id // 2 AS correlation_id, a.event_id, a.value AS size_bytes, b.ts AS accessed_at FROM events a JOIN events b ON b.event_id = a.event_id + 1 WHERE a.event_id % 2 = 0""")
 def _(t):
-    log = t.events.select(F.concat_ws("/", "user_id", F.to_date("ts")).alias("correlation_id"), "event_type", "event_id", "value", "ts", "user_id")
-    df = R.join_log_streams(log, "event_type", "purchase", "signup", "correlation_id", ["event_id", "value", "user_id"], [F.col("ts").alias("accessed_at")])
-    return df.select(F.col("user_id").alias("correlation_id"), "event_id", F.col("value").alias("size_bytes"), "accessed_at")
+    # Consecutive events stand for the two log lines of one request.
+    kind = F.when(F.col("event_id") % 2 == 0, "blob downloaded").otherwise("access")
+    log = t.events.select(F.floor(F.col("event_id") / 2).alias("correlation_id"), kind.alias("msg"), "event_id", "value", "ts")
+    return R.join_log_streams(log, "msg", "blob downloaded", "access", "correlation_id", ["event_id", F.col("value").alias("size_bytes")], [F.col("ts").alias("accessed_at")])
 
 
 @query("src_4_event_tsv", "SELECT CAST(event_id AS VARCHAR) AS event_id, event_type, props, NULL::VARCHAR AS contexts FROM events")
@@ -71,7 +72,7 @@ def _(t):
     return R.probe_load(t.lineitem.select("l_orderkey", "l_partkey").distinct(), "l_orderkey", ["l_orderkey", "l_partkey"])
 
 
-@query("src_10_schema_drift")
+@query("src_10_schema_drift", "SELECT COUNT(*) AS rows_checked, false AS metadata_only, true AS column_lost FROM orders")
 def _(t):
     same = W.schema_changed(t.orders, t.orders.withColumn("_uploaded_at", F.lit(1)))
     drift = W.schema_changed(t.orders, t.orders.drop("o_orderstatus"))

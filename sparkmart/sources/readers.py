@@ -8,7 +8,7 @@ from datetime import datetime, timedelta
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from sparkmart.functions import as_col, pack_columns
-from sparkmart.operators import sets
+from sparkmart.operators import sets, windows as wn
 
 
 def read_seed(spark: SparkSession, path: str, schema: str) -> DataFrame:
@@ -122,9 +122,21 @@ def rollup_clones(clones: dict[str, DataFrame], schema: T.StructType, last: str
 
 
 def recent_sample(df, ts, tiebreak, days, n, as_of) -> DataFrame:
-    """The newest rows of the last days, at most n (a sampling operator)."""
+    """The newest rows of the last days, at most n (a sampling operator).
+
+    Counts per minute say which minutes fit whole and in which one the sample ends;
+    only that minute is ranked, so no task receives the whole sample.
+    """
     low = F.date_sub(F.lit(as_of).cast("date"), days).cast("timestamp_ntz")
-    return df.filter(as_col(ts) >= low).orderBy(as_col(ts).desc(), as_col(tiebreak)).limit(n)
+    rows = df.filter(as_col(ts) >= low).withColumn("__minute", F.date_trunc("minute", as_col(ts)))
+    counts = rows.groupBy("__minute").agg(F.count(F.lit(1)).alias("__n"))
+    counts = wn.running(counts, "__before", [], F.desc("__minute"), "__n", include_current=False)
+    quota = counts.select("__minute", (n - F.coalesce("__before", F.lit(0))).alias("__quota"), "__n").filter("__quota > 0")
+    kept = rows.join(quota, "__minute")
+    whole = kept.filter("__n <= __quota")
+    edge = kept.filter("__n > __quota").withColumn("__rn", F.row_number().over(wn.window("__minute", [as_col(ts).desc(), as_col(tiebreak)])))
+    edge = edge.filter("__rn <= __quota").drop("__rn")
+    return whole.unionByName(edge).drop("__minute", "__quota", "__n")
 
 
 def rows_since_max(source, target, col) -> DataFrame:

@@ -107,17 +107,21 @@ def pump_rows(df, ts=None, start=None, end=None, limit=1_000_000, order=None) ->
     return out.limit(limit)
 
 
-def write_monthly(df, ts, path, mode="append") -> None:
-    """Route rows to year and month folders; rows of a month meet before they are written
-    and a hot month is spread over several files by the record limit."""
+def _by_month(df, ts) -> DataFrame:
+    """Rows of a month meet before they are written, so tasks do not each open a file per
+    month; a rebalance splits large months again and merges small ones."""
     out = df.withColumn("year", F.year(as_col(ts))).withColumn("month", F.month(as_col(ts)))
-    out.write.mode(mode).option("maxRecordsPerFile", 5_000_000).partitionBy("year", "month").parquet(path)
+    return out.hint("rebalance", F.col("year"), F.col("month"))
+
+
+def write_monthly(df, ts, path, mode="append") -> None:
+    """Route rows to year and month folders."""
+    _by_month(df, ts).write.mode(mode).option("maxRecordsPerFile", 5_000_000).partitionBy("year", "month").parquet(path)
 
 
 def overwrite_months(df, ts, path) -> None:
     """Replace only the months present in `df` (dynamic partition overwrite)."""
-    out = df.withColumn("year", F.year(as_col(ts))).withColumn("month", F.month(as_col(ts)))
-    out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("year", "month").parquet(path)
+    _by_month(df, ts).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("year", "month").parquet(path)
 
 
 def backup(df, root, day: str) -> str:

@@ -47,6 +47,15 @@ def test_writes(spark, tmp_path):
     assert spark.read.option("header", True).csv(str(tmp_path / "csv")).count() == 2
 
 
+def test_recent_sample_is_exact(spark):
+    df = spark.range(1000).select("id", F.expr("timestamp_ntz'2024-01-30 00:00:00' - make_dt_interval(0, 0, 0, id div 3 * 7)").alias("ts"))
+    want = [r["id"] for r in df.orderBy(F.desc("ts"), "id").limit(137).collect()]
+    for n in (137, 1, 1000, 5000):
+        got = sorted(r["id"] for r in R.recent_sample(df, "ts", "id", 7, n, "2024-01-30").select("id").collect())
+        assert got == sorted(r["id"] for r in df.orderBy(F.desc("ts"), "id").limit(n).collect())
+    assert len(want) == 137
+
+
 def test_rollup_clones(spark):
     schema = T.StructType([T.StructField("k", T.LongType()), T.StructField("v", T.DoubleType())])
     a = spark.createDataFrame([("1", "x")], "k string, v string")

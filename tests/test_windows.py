@@ -60,6 +60,15 @@ def test_chunked_equals_plain(df, name):
         assert result(OPS[name](df, chunk)) == plain, chunk
 
 
+def test_rank_of_value(df):
+    for desc in (False, True):
+        order = F.col("v").desc() if desc else F.col("v").asc()
+        want = result(df.withColumn("o", F.rank().over(wn.window("k", order))))
+        assert result(wn.rank_of_value(df, "o", "k", "v", descending=desc)) == want
+        band = lambda v: F.coalesce(-F.floor(v / 3) if desc else F.floor(v / 3), F.lit(99 if desc else -99))
+        assert result(wn.rank_of_value(df, "o", "k", "v", descending=desc, chunk=band)) == want
+
+
 def test_halo_equals_plain(df):
     w = wn.window("k", ORDER)
     want = {r["id"]: (r["a"], r["b"], r["s"]) for r in df.select(
