@@ -168,7 +168,7 @@ def waterfall(schedule, line, contract, segment, created, period, amount) -> Dat
     the periods a contract outlives its lines, and the total released before.
 
     Periods are month numbers. Every row generates its own as-of periods and every
-    line its own grid; an anti join leaves the missing ones.
+    line its own missing months.
     """
     keys = [contract, line, segment]
     plan = schedule.groupBy(*keys, as_col(created).alias("__created"), as_col(period).alias("period")).agg(F.sum(as_col(amount)).alias("amount"))
@@ -176,13 +176,13 @@ def waterfall(schedule, line, contract, segment, created, period, amount) -> Dat
     base = spread.groupBy(*keys, "as_of_period", "period").agg(F.sum("amount").alias("amount"))
     # A line's last row has its last period, both as period and as as-of period; the
     # segments scheduled there are the ones carried on.
-    last = plan.groupBy(*keys).agg(F.min("period").alias("__lo"), F.max("period").alias("__hi"))
-    whole = last.groupBy(contract, line).agg(F.min("__lo").alias("__first"), F.max("__hi").alias("__last"))
+    last = plan.groupBy(*keys).agg(F.max("period").alias("__hi"))
+    # The months a line has are a set bounded by the calendar, so the missing ones need no anti join.
+    whole = plan.groupBy(contract, line).agg(F.min("period").alias("__first"), F.max("period").alias("__last"), F.collect_set("period").alias("__months"))
     ends = plan.groupBy(contract).agg(F.max("period").alias("__end"))
     grid = last.join(whole, [contract, line]).filter("__hi = __last").join(ends, contract)
-    grid = grid.select(*keys, F.explode(F.sequence("__first", "__end")).alias("period"))
-    present = plan.select(contract, line, "period").distinct()
-    filler = grid.join(present, [contract, line, "period"], "left_anti").select(*keys, F.col("period").alias("as_of_period"), "period", F.lit(0).cast(base.schema["amount"].dataType).alias("amount"))
+    missing = F.explode(F.array_except(F.sequence("__first", "__end"), "__months"))
+    filler = grid.select(*keys, missing.alias("period")).select(*keys, F.col("period").alias("as_of_period"), "period", F.lit(0).cast(base.schema["amount"].dataType).alias("amount"))
     full = base.unionByName(filler)
     # Released so far, where the as-of period itself has a released row; months bound the window.
     own = F.col("as_of_period") == F.col("period")

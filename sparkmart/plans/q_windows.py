@@ -32,9 +32,9 @@ def _(t):
 SELECT event_id, lag(event_type, 1, 'none') OVER w AS prev_type, lead(event_type) OVER w AS next_type
 FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id)""")
 def _(t):
-    df = t.events.select("event_id", "user_id", "ts", "event_type")
-    df = wn.lag(df, "prev_type", "user_id", EV, "event_type", default="none", chunk=by_minute())
-    df = wn.lead(df, "next_type", "user_id", EV, "event_type", chunk=by_minute())
+    df, chunk = wn.cut(t.events.select("event_id", "user_id", "ts", "event_type"), "user_id", by_minute())
+    df = wn.lag(df, "prev_type", "user_id", EV, "event_type", default="none", chunk=chunk)
+    df = wn.lead(df, "next_type", "user_id", EV, "event_type", chunk=chunk)
     return df.select("event_id", "prev_type", "next_type")
 
 

@@ -44,34 +44,37 @@ def drain(stream: DataFrame, folder: str, mode: str, write: Callable[[DataFrame,
     return data
 
 
-def current(spark: SparkSession, data: str, keys) -> DataFrame:
-    """Newest row per key of a drained folder."""
-    rows = spark.read.parquet(data)
-    return topk.latest_per_key(rows, list(keys), [F.desc("batch_id")]).drop("batch_id")
+def drained(stream: DataFrame, data: str, schema=None) -> DataFrame:
+    """Rows of a drained folder; empty when no batch had any input yet."""
+    spark = stream.sparkSession
+    if sinks.path_exists(spark, data):
+        return spark.read.parquet(data)
+    return spark.createDataFrame([], schema or stream.schema).withColumn("batch_id", F.lit(0))
 
 
 def tumble_counts(stream, ts, width, keys, folder, watermark="30 minutes") -> DataFrame:
     """Tumbling counts kept up to date by window and key."""
     counted = inc.tumble(event_time(stream, ts).withWatermark(ts, watermark), ts, width, keys)
     data = drain(counted, folder, "update")
-    return current(stream.sparkSession, data, ["window_start", *keys])
+    return topk.latest_per_key(drained(counted, data), ["window_start", *keys], [F.desc("batch_id")]).drop("batch_id")
 
 
 def dedupe(stream, ts, key, folder, watermark="30 minutes") -> DataFrame:
     """One row per key; state is dropped once the watermark has passed."""
     once = event_time(stream, ts).withWatermark(ts, watermark).dropDuplicatesWithinWatermark([key])
-    return stream.sparkSession.read.parquet(drain(once, folder, "append")).drop("batch_id")
+    return drained(once, drain(once, folder, "append")).drop("batch_id")
 
 
 def session_counts(stream, ts, gap, keys, folder, watermark="30 minutes") -> DataFrame:
     """Closed sessions, appended as the watermark passes their end."""
     closed = inc.session(event_time(stream, ts).withWatermark(ts, watermark), ts, gap, keys)
-    return stream.sparkSession.read.parquet(drain(closed, folder, "append")).drop("batch_id")
+    return drained(closed, drain(closed, folder, "append")).drop("batch_id")
 
 
 def enrich(stream, dim, key, folder) -> DataFrame:
     """Stream-static join."""
-    return stream.sparkSession.read.parquet(drain(inc.enrich(stream, dim, key), folder, "append")).drop("batch_id")
+    joined = inc.enrich(stream, dim, key)
+    return drained(joined, drain(joined, folder, "append")).drop("batch_id")
 
 
 def route(stream, bad, folder) -> tuple[DataFrame, DataFrame]:
@@ -92,13 +95,13 @@ def upsert(stream, key, order, folder) -> DataFrame:
 
     order: descending columns with a unique tiebreak.
     """
-    spark, root = stream.sparkSession, folder.rstrip("/")
+    root = folder.rstrip("/")
 
     def write(batch: DataFrame, batch_id: int) -> None:
         topk.latest_per_key(batch, [key], order).write.mode("overwrite").parquet(f"{root}/data/batch_id={batch_id}")
 
     data = drain(stream, folder, "append", write)
-    return topk.latest_per_key(spark.read.parquet(data).drop("batch_id"), [key], order)
+    return topk.latest_per_key(drained(stream, data).drop("batch_id"), [key], order)
 
 
 def last_changed(stream, key, cols, now: datetime, folder) -> DataFrame:
@@ -121,4 +124,5 @@ def last_changed(stream, key, cols, now: datetime, folder) -> DataFrame:
 
 def increment(spark, path, schema, folder) -> DataFrame:
     """Files not yet read: the checkpoint is the high watermark."""
-    return spark.read.parquet(drain(read_stream(spark, path, schema), folder, "append")).drop("batch_id")
+    stream = read_stream(spark, path, schema)
+    return drained(stream, drain(stream, folder, "append")).drop("batch_id")

@@ -129,3 +129,11 @@ def test_dedupe_stream_drops_replays(spark, files):
     ev, src, out = files
     twice = J.read_stream(spark, src, ev.schema, 1).withColumn("copy", F.explode(F.array(F.lit(1), F.lit(2))))
     assert J.dedupe(twice, "ts", "event_id", out, watermark="60 days").count() == ev.count()
+
+
+def test_stream_without_input(spark, tmp_path):
+    src = tmp_path / "none"
+    src.mkdir()
+    stream = J.read_stream(spark, str(src), "event_id long, ts timestamp_ntz, user_id long")
+    assert J.upsert(stream, "user_id", [F.desc("ts")], str(tmp_path / "o1")).count() == 0
+    assert J.dedupe(stream, "ts", "event_id", str(tmp_path / "o2")).count() == 0
