@@ -121,6 +121,10 @@ def lead_source_category(c, own: dict | None = None) -> Column:
     return case(members(c, {**(own or {}), **R.LEAD_SOURCE_CATEGORY}), "Other")
 
 
+def lead_source_bucket(c, own: dict | None = None) -> Column:
+    return case(members(c, {**(own or {}), **R.LEAD_SOURCE_BUCKET}), "Other")
+
+
 def marketing_channel(c) -> Column:
     return case(members(c, R.MARKETING_CHANNEL), "Other")
 
@@ -175,11 +179,12 @@ def grouped(c, groups) -> Column:
 
 def product_category(c, own=()) -> Column:
     """`own` adds (patterns, label) rules for a company's own product names."""
-    return case(likes(F.trim(as_col(c)), [*R.PRODUCT_CATEGORY, *own]), "Not Applicable")
+    rules = [*likes(c, R.PRODUCT_CATEGORY), *members(F.trim(as_col(c)), R.PRODUCT_CATEGORY_NAMES), *likes(c, own)]
+    return case(rules, "Not Applicable")
 
 
 def delivery(category) -> Column:
-    return case(likes(category, R.DELIVERY))
+    return case([*likes(category, R.DELIVERY), *members(category, R.DELIVERY_NAMES)])
 
 
 def product_rank(c) -> Column:

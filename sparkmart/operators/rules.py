@@ -94,6 +94,30 @@ LEAD_SOURCE_CATEGORY = {
     "Sales": ["AE Generated"],
     "DiscoverOrg": ["DiscoverOrg"],
 }
+LEAD_SOURCE_BUCKET = {
+    "core": ["CORE Check-Up", "CE Download", "CE Usage Ping", "CE Version Check"],
+    "inbound": [
+        "Consultancy Request", "Contact Request", "Content", "Demo", "Drift", "Education", "EE Version Check", "Email Request",
+        "Email Subscription", "Enterprise Trial", "Gated Content - eBook", "Gated Content - General", "Gated Content - Report",
+        "Gated Content - Video", "Gated Content - Whitepaper", "Newsletter", "OSS", "Request - Community", "Request - Contact",
+        "Request - Professional Services", "Request - Public Sector", "Security Newsletter", "Startup Application", "Web",
+        "Web Chat", "White Paper",
+    ],
+    "outbound": [
+        "AE Generated", "Clearbit", "Datanyze", "DiscoverOrg", "Leadware", "LinkedIn", "Live Event", "Prospecting",
+        "Prospecting - General", "Prospecting - LeadIQ", "SDR Generated", "Zoominfo",
+    ],
+    "paid demand gen": [
+        "Advertisement", "Conference", "Executive Roundtable", "Field Event", "Owned Event", "Promotion", "Virtual Sponsorship",
+    ],
+    "purchased list": ["Purchased List"],
+    "referral": [
+        "Employee Referral", "Event Partner", "Existing Client", "External Referral", "Partner", "Seminar - Partner", "Word of mouth",
+    ],
+    "trial": ["Trial - Enterprise"],
+    "virtual event": ["Webcast", "Webinar"],
+    "web direct": ["Web Direct"],
+}
 MARKETING_CHANNEL = {
     "Inbound Free Channels": [
         "Other", "Direct", "Organic Search.Bing", "Web Referral", "Social.Twitter", "Social.Other", "Social.LinkedIn",
@@ -155,16 +179,29 @@ PRODUCT_CATEGORY = [
     (["plus%"], "Plus"),
     (["standard%"], "Standard"),
     (["basic%"], "Basic"),
-    (["trueup"], "Trueup"),
     (["%quick start with ha%", "%proserv training per-seat add-on%"], "Support"),
     (["ci runner%"], "SaaS - Other"),
     (["discount%"], "Other"),
 ]
+# label -> exact names, blanks around them ignored
+PRODUCT_CATEGORY_NAMES = {
+    "Trueup": ["Trueup"],
+    "Support": [
+        "Implementation Services Quick Start", "Implementation Support", "Support Package", "Admin Training", "CI/CD Training",
+        "Travel Expenses", "Training Workshop", "InnerSourcing Training - Remote for your team", "Self-Managed Rapid Results Consulting",
+        "InnerSourcing Training - At your site", "Migration+", "One Time Discount", "LDAP Integration", "Dedicated Implementation Services",
+        "Quick Start without HA, less than 500 users", "Jenkins Integration", "Hourly Consulting", "JIRA Integration",
+        "Custom PS Education Services", "Dedicated Engineer - 3 Month (w/ Security Clearance)", "Dedicated Engineer - 12 Month",
+        "Dedicated Engineer - 3 Month", "Dedicated Engineer - 6 Month (w/ Security Clearance)", "Dedicated Engineer - 6 Month",
+    ],
+    "Other": ["Payment Gateway Test", "EdCast Settlement Revenue"],
+    "SaaS - Other": ["File Locking", "Time Tracking", "1,000 CI Minutes"],
+}
 DELIVERY = [
     (["%saas%", "storage", "standard", "basic", "plus"], "SaaS"),
     (["%self-managed%"], "Self-Managed"),
-    (["other", "support", "trueup"], "Others"),
 ]
+DELIVERY_NAMES = {"Others": ["Other", "Support", "Trueup"]}
 BACKEND_CATEGORY = [
     (r".*https_git$", "HTTPs Git Data Transfer"),
     (r".*registry$", "Registry Data Transfer"),

@@ -112,11 +112,11 @@ SOURCES = ["BDR Generated", "Web", "Partner", "Trial - Enterprise", "AE Generate
 
 
 @query("cls_7_source_remap", f"""
-SELECT c_custkey, CASE WHEN s = 'BDR Generated' THEN 'SDR Generated' ELSE s END AS qualified, {sql_in('s', R.LEAD_SOURCE_CATEGORY, "'Other'")} AS category
+SELECT c_custkey, CASE WHEN s = 'BDR Generated' THEN 'SDR Generated' ELSE s END AS qualified, {sql_in('s', R.LEAD_SOURCE_CATEGORY, "'Other'")} AS category, {sql_in('s', R.LEAD_SOURCE_BUCKET, "'Other'")} AS bucket
 FROM (SELECT c_custkey, {sql_pick('c_custkey', SOURCES)} AS s FROM customer)""")
 def _(t):
     s = pick("c_custkey", SOURCES)
-    return t.customer.select("c_custkey", C.qualified_source(s).alias("qualified"), C.lead_source_category(s).alias("category"))
+    return t.customer.select("c_custkey", C.qualified_source(s).alias("qualified"), C.lead_source_category(s).alias("category"), C.lead_source_bucket(s).alias("bucket"))
 
 
 CHANNELS = ["Direct", "Display.Google", "IQM.IQM", "Trial.Trial", "Email", "Unheard Of", "Paid Search.Bing"]
@@ -183,12 +183,12 @@ def _(t):
                            C.enum(u % 27, R.PIPELINE_FAILURE).alias("failure"), C.enum(u % 10, R.USER_ROLE).alias("role"), C.enum(u % 4, R.RESOURCE_EVENT).alias("resource_event"))
 
 
-PRODUCTS = ["Gold Plan", "Silver", "Ultimate", "Premium x", "bronze", "Starter", "Plus 1", "standard", "Basic", "Trueup", "Discount 5%", "Widget", "CI Runner", "Quick Start with HA"]
+PRODUCTS = ["Gold Plan", "Silver", "Ultimate", "Premium x", "bronze", "Starter", "Plus 1", "standard", "Basic", "Trueup", "Discount 5%", "Widget", "CI Runner", "Quick Start with HA", " Admin Training ", "File Locking", "trueup"]
 
 
 @query("cls_14_product_delivery", f"""
-SELECT p_partkey, cat AS category, {sql_likes('cat', R.DELIVERY)} AS delivery, CASE p WHEN 'Silver' THEN 2 WHEN 'Ultimate' THEN 3 WHEN 'Starter' THEN 1 ELSE 0 END AS product_rank
-FROM (SELECT *, {sql_likes('p', R.PRODUCT_CATEGORY, "'Not Applicable'")} AS cat FROM (SELECT p_partkey, {sql_pick('p_partkey', PRODUCTS)} AS p FROM part))""")
+SELECT p_partkey, cat AS category, {sql_likes('cat', R.DELIVERY, sql_in('cat', R.DELIVERY_NAMES, 'NULL'))} AS delivery, CASE p WHEN 'Silver' THEN 2 WHEN 'Ultimate' THEN 3 WHEN 'Starter' THEN 1 ELSE 0 END AS product_rank
+FROM (SELECT *, {sql_likes('p', R.PRODUCT_CATEGORY, sql_in('trim(p)', R.PRODUCT_CATEGORY_NAMES, "'Not Applicable'"))} AS cat FROM (SELECT p_partkey, {sql_pick('p_partkey', PRODUCTS)} AS p FROM part))""")
 def _(t):
     p = pick("p_partkey", PRODUCTS)
     df = t.part.select("p_partkey", C.product_category(p).alias("category"), C.product_rank(p).alias("product_rank"))
