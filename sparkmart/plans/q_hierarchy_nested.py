@@ -190,9 +190,9 @@ def _check_char(start):
 
 
 @query("udf_1_id15to18", f"""
-SELECT doc_id, CASE WHEN length(s) = 15 THEN s || {_check_char(1)} || {_check_char(6)} || {_check_char(11)} ELSE s END AS id18 FROM (SELECT doc_id, CASE WHEN lang = 'en' THEN substr(regexp_replace(text, '[^A-Za-z]', '', 'g'), 1, 15) ELSE source END AS s FROM documents)""")
+SELECT doc_id, CASE WHEN length(s) = 15 THEN s || {_check_char(1)} || {_check_char(6)} || {_check_char(11)} ELSE s END AS id18 FROM (SELECT doc_id, CASE WHEN lang = 'en' THEN substr(base64(unhex(md5(text))), 1, 15) ELSE source END AS s FROM documents)""")
 def _(t):
-    s = F.when(F.col("lang") == "en", F.substring(F.regexp_replace("text", "[^A-Za-z]", ""), 1, 15)).otherwise(F.col("source"))
+    s = F.when(F.col("lang") == "en", F.substring(F.base64(F.unhex(F.md5("text"))), 1, 15)).otherwise(F.col("source"))
     return t.documents.select("doc_id", s.alias("s")).select("doc_id", id15to18("s").alias("id18"))
 
 
