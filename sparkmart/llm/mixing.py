@@ -64,8 +64,10 @@ def mix(
     the order of size, so neighbours stand in for each other and the words taken differ from the
     target by about one of the largest rows at most. Reruns agree. NULL sources form a source, NULL keys count
     as the empty key; rows equal in source, size and key are interchangeable; rows of size 0 are
-    counted like others. An empty table stays empty. `df` is read twice: pass a stored table.
+    counted like others. An empty table stays empty. Columns of the added names are replaced. `df` is
+    read three times: pass a stored table.
     """
+    df = df.drop("source_size", "target", "copies")
     s, band, h, rank = "mix_source", "mix_band", "mix_hash", "mix_rank"
     sizes = df.groupBy(F.col(source).alias("source")).agg(F.sum(size).cast("long").alias("source_size"))
     goal = targets(sizes, weights, share, most).withColumnRenamed("source", s)

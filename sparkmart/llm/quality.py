@@ -30,7 +30,11 @@ def pairs(a: Column, b: Column, skip: int, join) -> Column:
 
 
 def measures(df: DataFrame, text: str = "text") -> DataFrame:
-    """Add n_words, word_chars, n_symbols, n_lines, n_dup_lines and n_repeat_words of the whole text (NULL: none)."""
+    """Add n_words, word_chars, n_symbols, n_lines, n_dup_lines and n_repeat_words of the whole text (NULL: none).
+
+    Columns of these names are replaced.
+    """
+    df = df.drop("n_words", "word_chars", "n_symbols", "n_lines", "n_dup_lines", "n_repeat_words")
     t = whole(text)
     df = df.withColumn("_w", word_array(text)).withColumn("_l", F.filter(F.split(t, "\n"), lambda x: F.btrim(x, F.lit(BLANKS)) != ""))
     df = df.select(
@@ -112,8 +116,9 @@ def verdict(df: DataFrame, lang: str = "lang", source: str = "source") -> DataFr
     Documents that pass the base rules are sketched per (lang, source). A group's fences come from
     its own sketch if it has LEAST_DOCS documents, else from the merged sketch of its language, else
     of all documents. NULL languages and sources are groups of their own. With no document that
-    passes the base rules there are no fences and nothing is kept.
+    passes the base rules there are no fences and nothing is kept. Columns named base_failed and kept are replaced.
     """
+    df = df.drop("base_failed", "kept")
     df = df.withColumn("base_failed", base_failed())
     named = df.withColumn("_lang", F.coalesce(F.concat(F.lit("="), F.col(lang)), F.lit(""))).withColumn("_source", F.coalesce(F.concat(F.lit("="), F.col(source)), F.lit("")))
     own = stored(sketch(named.filter(~F.col("base_failed")), ["_lang", "_source"]))

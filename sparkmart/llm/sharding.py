@@ -34,8 +34,10 @@ def assign(df: DataFrame, key: str, weights: Sequence[float], shard: str = "shar
     """Add each row's shard and, if `slot` is named, its place in it: 0, 1, 2 ... without a gap.
 
     Slots follow the hash of the key, then the key. NULL keys count as the empty key. Rows of equal
-    keys share a shard and take adjacent slots. An empty table stays empty.
+    keys share a shard and take adjacent slots. An empty table stays empty. Columns named like
+    `shard` and `slot` are replaced.
     """
+    df = df.drop(shard, *([slot] if slot else []))
     out = df.withColumn(shard, rendezvous(F.col(key), weights))
     return out if slot is None else place(out.withColumn("slot_hash", hash32(key)), key, shard, slot)
 
