@@ -297,10 +297,10 @@ def main_text(pages: DataFrame, html: str = "html", url: str = "url", text: str
     keyed = pages.withColumn("_host", host_of(url))
     if induce:
         slim = keyed.select(F.col("_host").alias("host"), whole(html).alias("html"), F.xxhash64(whole(url), whole(html)).alias("pick"))
-        keyed = keyed.join(templates(slim).select(F.col("host").alias("_host"), "template"), "_host", "left")
+        keyed = keyed.join(templates(slim).select(F.col("host").alias("_host"), F.col("template").alias("_template")), "_host", "left")
     else:
-        keyed = keyed.withColumn("template", F.lit(None).cast("array<bigint>"))
-    keyed = keyed.select(*pages.columns, F.col("template").alias("_template"))
+        keyed = keyed.withColumn("_template", F.lit(None).cast("array<bigint>"))
+    keyed = keyed.drop("_host")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in by_bytes(batches, html):

@@ -36,14 +36,17 @@ LANDMARKS = 192
 FLOOR = -1.0
 #: Digits and signs that stand for letters.
 FOLD = str.maketrans("0134578@$!|", "oieastbasil")
+#: Punctuation around a word.
+MARKS = ".,;:!?\"'()[]{}<>«»„“”‘’-_*"
 #: Letters in classes: a-z by themselves, all others by code point in the remaining ones.
 CLASSES = 40
 NOT_LETTERS = re.compile(r"[\W_]+")
 
 
 def letters(word: str) -> str:
-    """A word's letters: lower case, look-alike digits and signs folded, punctuation out."""
-    return NOT_LETTERS.sub("", word if word.isalpha() else word.translate(FOLD))
+    """A word's letters: look-alike digits and signs folded, punctuation out."""
+    bare = word.strip(MARKS)
+    return bare if bare.isalpha() else NOT_LETTERS.sub("", bare.translate(FOLD))
 
 
 def words(text: str | None) -> list[str]:
