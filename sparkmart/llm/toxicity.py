@@ -28,10 +28,14 @@ from sparkmart.llm.scan import by_bytes
 
 ORDER, DECAY = 3, 0.6
 #: Longer words are scored in windows of WINDOW letters, half of it apart.
-WINDOW = 20
+WINDOW = 22
 #: Bounds of the training sample, in words: of toxic documents, and of others.
 POSITIVE, NEGATIVE = 3000, 9000
-LANDMARKS = 192
+LANDMARKS = 512
+#: Rounds in which misjudged words are added, NEGATIVE // 2 at most in each.
+ROUNDS = 2
+#: Lengths of word stretches that are counted, end marks included, and the evidence (a log-likelihood ratio) that counts.
+STEMS, EVIDENCE = (5, 6), 8.0
 #: Words below this decision value are as good as absent.
 FLOOR = -1.0
 #: Digits and signs that stand for letters.
@@ -70,7 +74,8 @@ def words(text: str | None) -> list[str]:
 
 
 def pieces(word: str) -> list[str]:
-    """The word, or windows that cover all of it."""
+    """The word between marks of its ends, or windows that cover all of that."""
+    word = f"^{word}$"
     if len(word) <= WINDOW:
         return [word]
     step = WINDOW // 2
@@ -162,8 +167,8 @@ def train_machine(positive: dict[str, float], negative: dict[str, float], landma
     for s in (1.0, -1.0):
         weight[sign == s] /= weight[sign == s].sum()
     # Landmarks: the heaviest words of either kind, half of them each.
-    marks = [r[0] for s in (1.0, -1.0) for r in sorted((r for r in rows if r[2] == s), key=lambda r: (-r[1], r[0]))[: landmarks // 2]]
-    marks = list(dict.fromkeys(marks))
+    heavy = lambda k: [r[0] for r in sorted((r for r in rows if r[2] == k), key=lambda r: (-r[1], r[0]))[: landmarks // 2]]
+    marks = list(dict.fromkeys([*heavy(1.0), *heavy(-1.0)]))
     maps = np.zeros((CLASSES**ORDER, len(marks)), np.float32)
     for j, m in enumerate(marks):
         number, w = subsequences(coded([m]))
@@ -175,7 +180,7 @@ def train_machine(positive: dict[str, float], negative: dict[str, float], landma
     x = evaluate(strings, maps) @ root
     x = np.hstack((x, np.ones((len(x), 1))))
     w = np.zeros(x.shape[1])
-    ridge = np.full(len(w), 1e-4)
+    ridge = np.full(len(w), 1e-5)
     ridge[-1] = 1e-8
     for _ in range(30):
         active = 1 - sign * (x @ w) > 0
@@ -188,11 +193,11 @@ def train_machine(positive: dict[str, float], negative: dict[str, float], landma
 
 
 def fit_curve(top: np.ndarray, second: np.ndarray, label: np.ndarray, n: np.ndarray) -> tuple[float, float, float]:
-    """Logistic regression of the label on the two top decisions, by Newton's method, both kinds weighted alike."""
+    """Logistic regression of the label on the two top decisions, by Newton's method; n rows stand behind each."""
     if not (label == 1).any() or not (label == 0).any():
         return (0.0, 0.0, 20.0 if (label == 1).any() else -20.0)
     x = np.column_stack((top, second, np.ones(len(top))))
-    weight = n * np.where(label == 1, 1.0 / n[label == 1].sum(), 1.0 / n[label == 0].sum()) * n.sum() / 2
+    weight = n
     w = np.zeros(3)
     for _ in range(50):
         p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
@@ -220,6 +225,17 @@ def word_counts(labelled: DataFrame) -> DataFrame:
     return parts.groupBy("word").agg(F.sum(F.col("n") * F.col("label")).alias("toxic"), F.sum(F.col("n") * (1 - F.col("label"))).alias("clean"))
 
 
+def decided(counts: DataFrame, model: Model) -> DataFrame:
+    """(word, clean, decision) of every counted word."""
+
+    def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                yield pa.RecordBatch.from_arrays([batch.column("word"), batch.column("clean"), pa.array(model.decide(batch.column("word").to_pylist()), pa.float64())], ["word", "clean", "decision"])
+
+    return counts.select("word", "clean").mapInArrow(judge, "word string, clean long, decision double")
+
+
 def top_words(docs: DataFrame, model: Model) -> DataFrame:
     """All columns of `docs`, and the decisions of the two most toxic words, FLOOR where there is none."""
     table, bias = model.table, model.bias
@@ -251,12 +267,24 @@ def top_words(docs: DataFrame, model: Model) -> DataFrame:
     return docs.mapInArrow(judge, schema)
 
 
+def evidence(toxic, clean, share: float):
+    """Log-likelihood ratio for more toxic holders than a `share` of all of them; 0 for fewer."""
+    expected = (toxic + clean) * share
+    return F.when((toxic > expected), toxic * F.log(toxic / expected) - (toxic - expected)).otherwise(F.lit(0.0))
+
+
+def stems_of(marked, n: int):
+    """All stretches of n letters."""
+    return F.when(F.length(marked) >= n, F.transform(F.sequence(F.lit(1), F.length(marked) - n + 1), lambda i: F.substring(marked, i, F.lit(n)))).otherwise(F.array().cast("array<string>"))
+
+
 def train(labelled: DataFrame) -> Model:
     """Fit on (text, label) rows, label 1 toxic or 0.
 
-    Word counts cover all labelled rows. Of them the machine takes, as instances, at most POSITIVE
-    words found in toxic documents beyond what clean ones explain, the most frequent first, and
-    NEGATIVE words of clean ones: half the most frequent, half by hash. Without labels of both kinds
+    Counts of words, and of their stretches of STEMS letters, cover all labelled rows. Of the words
+    the machine takes, as instances, at most POSITIVE whose holders, or those of one of their
+    stretches, are toxic far beyond chance, the strongest first, and at most NEGATIVE of clean
+    documents: half the most frequent, half by hash. Without labels of both kinds
     every score is near 0 (or 1, if all are toxic).
     """
     labelled = labelled.filter("label in (0, 1)").select("text", F.col("label").cast("int").alias("label"))
@@ -266,16 +294,29 @@ def train(labelled: DataFrame) -> Model:
     if not n1 or not n0:
         return blank
     counts = stored(word_counts(labelled))
-    beyond = F.col("toxic") / float(n1) - 4 * F.col("clean") / float(n0)
-    pos = counts.filter(beyond > 0).orderBy(F.col("toxic").desc(), "clean", F.xxhash64("word")).limit(POSITIVE).collect()
+    said = counts.agg(F.sum("toxic").alias("t"), F.sum("clean").alias("c")).first()
+    share = (said["t"] or 0) / max(1, (said["t"] or 0) + (said["c"] or 0))
+    if not 0 < share < 1:
+        return blank
+    marked = F.concat(F.lit("^"), "word", F.lit("$"))
+    parts = [stems_of(marked, n) for n in STEMS]
+    stems = counts.select("word", "toxic", "clean", F.explode(F.array_distinct(F.concat(*parts))).alias("stem"))
+    telling = stems.groupBy("stem").agg(F.sum("toxic").alias("t"), F.sum("clean").alias("c")).withColumn("evidence", evidence(F.col("t"), F.col("c"), share)).filter(F.col("evidence") >= EVIDENCE)
+    by_stem = stems.filter("toxic > 0").join(telling.select("stem", "evidence"), "stem").groupBy("word").agg(F.max("evidence").alias("stem_evidence"))
+    judged = counts.filter("toxic > 0").join(by_stem, "word", "left").withColumn("own", evidence(F.col("toxic"), F.col("clean"), share))
+    judged = judged.withColumn("weight", F.greatest(F.when(F.col("own") >= EVIDENCE, F.col("own")).otherwise(0.0), F.coalesce("stem_evidence", F.lit(0.0)))).filter("weight > 0")
+    pos = judged.filter(F.col("toxic") * (1 - share) > F.col("clean") * share * 4).orderBy(F.col("weight").desc(), F.xxhash64("word")).limit(POSITIVE).collect()
     often = counts.filter("clean > 0").orderBy(F.col("clean").desc(), F.xxhash64("word")).limit(NEGATIVE // 2).collect()
     some = counts.filter("clean > 0").orderBy(F.xxhash64("word")).limit(NEGATIVE // 2).collect()
-    # A word that one document holds says little; two and more say much.
-    positive = {r["word"]: float(r["toxic"]) ** 2 / (r["toxic"] + r["clean"] * n1 / n0) for r in pos}
-    negative = {r["word"]: float(r["clean"]) ** 0.5 for r in [*often, *some]}
+    positive = {r["word"]: float(r["toxic"]) for r in pos}
+    negative = {r["word"]: float(r["clean"]) ** 0.5 for r in [*often, *some] if r["word"] not in positive}
     machine = train_machine(positive, negative)
     if machine is None:
         return blank
+    for _ in range(ROUNDS):  # words of clean documents that are taken for insults become instances
+        wrong = decided(counts.filter("clean > 0"), Model(*machine)).filter(F.col("decision") > -0.5).orderBy(F.col("decision").desc(), F.xxhash64("word")).limit(NEGATIVE // 2).collect()
+        negative.update((r["word"], 3.0 * float(r["clean"]) ** 0.5) for r in wrong if r["word"] not in positive)
+        machine = train_machine(positive, negative)
     model = Model(*machine)
     judged = top_words(labelled, model)
     cell = lambda c: F.round(c * 50) / 50

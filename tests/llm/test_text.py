@@ -101,7 +101,7 @@ def test_kernel_by_its_definition():
 
 def test_words_in_letters():
     assert toxicity.words("You i d i o t, st*pid ID1OT a b m.o.r.o.n!") == ["you", "idiot", "stpid", "idiot", "moron"]
-    assert toxicity.words(None) == [] and "".join(sorted(set("".join(toxicity.pieces("x" * 95 + "y"))))) == "xy"
+    assert toxicity.words(None) == [] and "".join(sorted(set("".join(toxicity.pieces("x" * 95 + "y"))))) == "$^xy"
 
 
 def labelled(rng, n):
