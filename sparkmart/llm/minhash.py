@@ -3,18 +3,19 @@
 A document's signature has COORDS coordinates, each the smallest hash of its shingles under one of
 as many multipliers. Documents are posted under their coordinate-value pairs, and a pair of documents
 is a candidate if it agrees in MATCHES coordinates. At a similarity of exactly 0.75 a pair agrees in
-96 of 128 on average, with a deviation of 4.9; fewer than MATCHES = 64 have odds of some 1e-10.
+144 of 192 on average, with a deviation of 6.0; fewer than MATCHES = 106 have odds of some 1e-9.
 
 Postings stay short in three ways.
 * Skip: a value that one document has cannot collide. Of the first SCOUTS coordinates a linked
   document has fewer than SCOUT_HITS shared ones with odds of some 1e-10; such documents are left out
-  before the others are posted in full.
+  before the others are read again and posted in full.
 * Prefix: with the values of all documents ordered from rare to frequent, two documents that agree
   in MATCHES of COORDS share one of their COORDS - MATCHES + 1 rarest values. Only those are posted,
   and a passage that many documents hold makes its values frequent, so they fall behind the prefix.
-* Merging: documents with equal sets are one. In each posting list all are first compared with its
-  smallest document only. What that joins needs no more comparisons: then only documents of one list
-  and of different components are paired.
+* Merging: documents with equal sets are one. In each posting list all others first meet one hub; a
+  document is compared with the hub it shares most lists with. What that joins needs no more
+  comparisons: after some rounds, only documents of one list and of different components are paired,
+  and of them only those with enough shingles that other components hold.
 """
 
 from __future__ import annotations
@@ -29,47 +30,51 @@ from sparkmart.llm.common import components, stored
 from sparkmart.llm.scan import by_bytes, set_id, shingle_sets
 
 WIDTH, NEAR = 5, 75
-COORDS, MATCHES = 128, 64
+COORDS, MATCHES = 192, 106
 SCOUTS, SCOUT_HITS = 32, 7
+#: Rounds with hubs; each takes another one of every list.
+ROUNDS = 3
 U = np.uint64
 #: Odd multipliers; the shingle hashes they meet are mixed already.
 MULTIPLIERS = np.array([pow(0x2545F4914F6CDD1D, 2 * i + 1, 2**64) for i in range(COORDS)], dtype=U)
 
 
-def signature(shingles: np.ndarray) -> np.ndarray:
-    """COORDS minima of 32 bits."""
-    low = np.full(COORDS, ~U(0), U)
+def signature(shingles: np.ndarray, coords: int) -> np.ndarray:
+    """The first `coords` minima, of 32 bits."""
+    low = np.full(coords, ~U(0), U)
     for at in range(0, len(shingles), 2048):
-        np.minimum(low, (shingles[at : at + 2048, None] * MULTIPLIERS[None, :]).min(axis=0), out=low)
+        np.minimum(low, (shingles[at : at + 2048, None] * MULTIPLIERS[None, :coords]).min(axis=0), out=low)
     return (low >> U(32)).astype(np.uint32)
 
 
-def _signed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in by_bytes(batches, "text"):
-        n, ids, sigs = [], [], []
-        for s in shingle_sets(batch.column("text").to_pylist(), WIDTH):
-            n.append(len(s))
-            ids.append(set_id(s) if len(s) else None)
-            sigs.append(signature(s).tobytes() if len(s) else None)
-        yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(n, pa.int64()), pa.array(ids, pa.binary()), pa.array(sigs, pa.binary())], ["doc_id", "n_shingles", "set_id", "sig"])
+def signatures(docs: DataFrame, coords: int, sets: bool = False) -> DataFrame:
+    """doc_id, n_shingles, set_id, sig, and on request the sorted shingles, of every whole text; NULL without a word."""
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in by_bytes(batches, "text"):
+            n, ids, sigs, held = [], [], [], []
+            for s in shingle_sets(batch.column("text").to_pylist(), WIDTH):
+                n.append(len(s))
+                ids.append(set_id(s) if len(s) else None)
+                sigs.append(signature(s, coords).tobytes() if len(s) else None)
+                held.append(s.tobytes() if sets else None)
+            columns = [batch.column("doc_id"), pa.array(n, pa.int64()), pa.array(ids, pa.binary()), pa.array(sigs, pa.binary())]
+            names = ["doc_id", "n_shingles", "set_id", "sig"]
+            yield pa.RecordBatch.from_arrays([*columns, pa.array(held, pa.binary())] if sets else columns, [*names, "shingles"] if sets else names)
 
-def signatures(docs: DataFrame) -> DataFrame:
-    """doc_id, n_shingles, set_id, sig of every whole text; NULL set_id and sig without a word."""
-    return docs.select("doc_id", "text").mapInArrow(_signed, "doc_id long, n_shingles long, set_id binary, sig binary")
+    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, n_shingles long, set_id binary, sig binary" + (", shingles binary" if sets else ""))
 
 
-def postings(sigs: DataFrame, first: int, end: int) -> DataFrame:
-    """(key, doc_id) for coordinates first to end - 1; the key holds the value and the coordinate."""
+def postings(sigs: DataFrame, coords: int) -> DataFrame:
+    """(key, doc_id) for every coordinate; the key holds the value and the coordinate."""
 
     def post(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at in range(0, batch.num_rows, 2000):
                 part = batch.slice(at, 2000)
-                flat = np.frombuffer(b"".join(part.column("sig").to_pylist()), np.uint32).reshape(-1, COORDS)[:, first:end].astype(np.int64)
-                keys = (flat << 7) + np.arange(first, end)
-                ids = np.repeat(part.column("doc_id").to_numpy(zero_copy_only=False), end - first)
-                yield pa.RecordBatch.from_arrays([pa.array(keys.ravel()), pa.array(ids, pa.int64())], ["key", "doc_id"])
+                flat = np.frombuffer(b"".join(part.column("sig").to_pylist()), np.uint32).reshape(-1, coords).astype(np.int64)
+                ids = np.repeat(part.column("doc_id").to_numpy(zero_copy_only=False), coords)
+                yield pa.RecordBatch.from_arrays([pa.array(((flat << 8) + np.arange(coords)).ravel()), pa.array(ids, pa.int64())], ["key", "doc_id"])
 
     return sigs.select("doc_id", "sig").mapInArrow(post, "key long, doc_id long")
 
@@ -83,7 +88,7 @@ def shared(posts: DataFrame) -> DataFrame:
 def prefixes(sigs: DataFrame) -> DataFrame:
     """The postings that can join two documents: the rarest shared values of documents that share enough."""
     each = Window.partitionBy("doc_id")
-    ranked = shared(postings(sigs, 0, COORDS)).withColumn("at", F.row_number().over(each.orderBy("n", "key"))).withColumn("held", F.count(F.lit(1)).over(each))
+    ranked = shared(postings(sigs, COORDS)).withColumn("at", F.row_number().over(each.orderBy("n", "key"))).withColumn("held", F.count(F.lit(1)).over(each))
     return ranked.filter(F.col("at") <= F.col("held") - MATCHES + 1).select("key", "doc_id")
 
 
@@ -103,37 +108,80 @@ def _linked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield batch.filter(pa.array(keep, pa.bool_())).select(["a", "b"])
 
 
-def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in by_bytes(batches, "text"):
-        sets = [s.tobytes() for s in shingle_sets(batch.column("text").to_pylist(), WIDTH)]
-        yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(sets, pa.binary())], ["doc_id", "shingles"])
-
-
 def _attach(pairs: DataFrame, table: DataFrame, column: str, name: str) -> DataFrame:
     for side in ("a", "b"):
         pairs = pairs.join(table.select(F.col("doc_id").alias(side), F.col(column).alias(f"{name}_{side}")), side)
     return pairs
 
 
-def confirmed(pairs: DataFrame, sigs: DataFrame, docs: DataFrame) -> DataFrame:
+def confirmed(pairs: DataFrame, sigs: DataFrame) -> DataFrame:
     """The pairs (a, b) that agree in MATCHES coordinates and whose full sets are NEAR percent alike."""
     likely = stored(_attach(pairs, sigs, "sig", "sig").mapInArrow(_alike, "a long, b long").distinct())
-    wanted = likely.select(F.col("a").alias("doc_id")).union(likely.select("b")).distinct()
-    sets = stored(docs.select("doc_id", "text").join(wanted, "doc_id").mapInArrow(_sets, "doc_id long, shingles binary"))
-    return _attach(likely, sets, "shingles", "set").mapInArrow(_linked, "a long, b long").distinct()
+    return stored(_attach(likely, sigs, "shingles", "set").mapInArrow(_linked, "a long, b long").distinct())
+
+
+def sizes_fit(a: str, b: str):
+    """Whether sets of these sizes can be NEAR percent alike."""
+    return (F.col(a) * 100 >= F.col(b) * NEAR) & (F.col(b) * 100 >= F.col(a) * NEAR)
 
 
-def across(posts: DataFrame, labels: DataFrame) -> DataFrame:
-    """Pairs of documents of one posting list and different components."""
+def parted(posts: DataFrame, labels: DataFrame) -> DataFrame:
+    """The postings of lists that hold several components, with each document's component."""
     known = posts.join(labels.withColumnRenamed("id", "doc_id"), "doc_id", "left").select("key", "doc_id", "n_shingles", F.coalesce("label", "doc_id").alias("part"))
     divided = known.groupBy("key").agg(F.min("part").alias("x"), F.max("part").alias("y")).filter("x < y").select("key")
-    known = stored(known.join(divided, "key"))
-    parts = known.select("key", "part").distinct()
-    both = parts.select("key", F.col("part").alias("p")).join(parts.select("key", F.col("part").alias("q")), "key").filter("p < q")
-    left = known.select("key", F.col("part").alias("p"), F.col("doc_id").alias("x"), F.col("n_shingles").alias("nx"))
-    right = known.select("key", F.col("part").alias("q"), F.col("doc_id").alias("y"), F.col("n_shingles").alias("ny"))
-    size = (F.col("nx") * 100 >= F.col("ny") * NEAR) & (F.col("ny") * 100 >= F.col("nx") * NEAR)
-    pairs = both.join(left, ["key", "p"]).join(right, ["key", "q"]).filter(size)
+    return stored(known.join(divided, "key"))
+
+
+def spokes(known: DataFrame, turn: int) -> DataFrame:
+    """(a, b): each document with the hub, of another component and a size that fits, that most of its lists name."""
+    pick = F.xxhash64("doc_id", F.lit(turn)) if turn else F.col("doc_id")
+    hubs = known.groupBy("key").agg(F.min(F.struct(pick.alias("pick"), "doc_id", "n_shingles", "part")).alias("hub"))
+    hubs = hubs.select("key", F.col("hub.doc_id").alias("a"), F.col("hub.n_shingles").alias("na"), F.col("hub.part").alias("hub_part"))
+    met = known.join(hubs, "key").filter((F.col("part") != F.col("hub_part")) & sizes_fit("na", "n_shingles"))
+    often = met.groupBy("doc_id", "a").agg(F.count(F.lit(1)).alias("n"))
+    return often.groupBy("doc_id").agg(F.max(F.struct("n", (-F.col("a")).alias("a"))).alias("m")).select((-F.col("m.a")).alias("a"), F.col("doc_id").alias("b"))
+
+
+def exploded(sets: DataFrame) -> DataFrame:
+    """(shingle, doc_id) of every shingle of every set."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in by_bytes(batches, "shingles", 1 << 20):
+            held = batch.column("shingles").to_pylist()
+            ids = np.repeat(batch.column("doc_id").to_numpy(zero_copy_only=False), [len(x) // 8 for x in held])
+            yield pa.RecordBatch.from_arrays([pa.array(np.frombuffer(b"".join(held), np.int64)), pa.array(ids, pa.int64())], ["shingle", "doc_id"])
+
+    return sets.select("doc_id", "shingles").mapInArrow(run, "shingle long, doc_id long")
+
+
+def reaching(known: DataFrame, sigs: DataFrame) -> DataFrame:
+    """The postings of documents that can be linked across components, with `out`: how many of their shingles other components hold.
+
+    A link shares no other shingles, so `out` bounds what two documents share.
+    """
+    docs = known.select("doc_id", "part").distinct()
+    each = exploded(sigs.join(docs.select("doc_id").distinct(), "doc_id", "left_semi")).distinct().join(docs, "doc_id")
+    far = each.groupBy("shingle").agg(F.min("part").alias("x"), F.max("part").alias("y")).filter("x < y").select("shingle")
+    out = each.join(far, "shingle").groupBy("doc_id").agg(F.count(F.lit(1)).alias("out"))
+    return stored(known.join(out, "doc_id").filter(F.col("out") * 100 >= F.col("n_shingles") * NEAR))
+
+
+def enough(out_a: str, out_b: str, n_a: str, n_b: str):
+    """Whether sets of sizes n that share at most `out` shingles can be NEAR percent alike."""
+    return F.least(out_a, out_b) * (100 + NEAR) >= (F.col(n_a) + F.col(n_b)) * NEAR
+
+
+def across(known: DataFrame, sigs: DataFrame) -> DataFrame:
+    """Pairs of documents of one posting list and different components that can be linked."""
+    known = reaching(known, sigs)
+    parts = known.groupBy("key", "part").agg(F.min("n_shingles").alias("low"), F.max("n_shingles").alias("high"), F.max("out").alias("out"))
+    one, two = (parts.select("key", *(F.col(c).alias(f"{c}_{s}") for c in ("part", "low", "high", "out"))) for s in "pq")
+    fit = (F.col("high_p") * 100 >= F.col("low_q") * NEAR) & (F.col("high_q") * 100 >= F.col("low_p") * NEAR)
+    fit = fit & enough("out_p", "out_q", "low_p", "low_q")
+    both = one.join(two, "key").filter((F.col("part_p") < F.col("part_q")) & fit).select("key", "part_p", "part_q")
+    left = known.select("key", F.col("part").alias("part_p"), F.col("doc_id").alias("x"), F.col("n_shingles").alias("nx"), F.col("out").alias("ox"))
+    right = known.select("key", F.col("part").alias("part_q"), F.col("doc_id").alias("y"), F.col("n_shingles").alias("ny"), F.col("out").alias("oy"))
+    pairs = both.join(left, ["key", "part_p"]).join(right, ["key", "part_q"]).filter(sizes_fit("nx", "ny") & enough("ox", "oy", "nx", "ny"))
     return pairs.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
 
 
@@ -146,22 +194,23 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     word are linked with nothing. Rows with equal doc_id are one document, linked if one of them
     is; a NULL doc_id is never linked: its component_id is NULL and it is kept. An empty table stays empty.
     """
-    signed = stored(signatures(docs))
+    signed = stored(signatures(docs, SCOUTS))
     real = signed.filter(F.col("set_id").isNotNull() & F.col("doc_id").isNotNull())
     heads = stored(real.groupBy("set_id").agg(F.min("doc_id").alias("head")))
     own = real.join(heads, (real.set_id == heads.set_id) & (real.doc_id == heads["head"]), "left_semi").dropDuplicates(["set_id"])
 
-    scouts = shared(postings(own, 0, SCOUTS))
+    scouts = shared(postings(own, SCOUTS))
     active = scouts.groupBy("doc_id").agg(F.count(F.lit(1)).alias("hits")).filter(F.col("hits") >= SCOUT_HITS).select("doc_id")
-    sigs = stored(own.join(active, "doc_id", "left_semi").select("doc_id", "n_shingles", "sig"))
+    sigs = stored(signatures(docs.select("doc_id", "text").join(active, "doc_id"), COORDS, sets=True).filter("set_id IS NOT NULL").dropDuplicates(["doc_id", "set_id"]))
     posts = stored(prefixes(sigs).join(sigs.select("doc_id", "n_shingles"), "doc_id").select("key", "doc_id", "n_shingles"))
 
-    hubs = posts.groupBy("key").agg(F.min(F.struct("doc_id", "n_shingles")).alias("hub")).select("key", F.col("hub.doc_id").alias("a"), F.col("hub.n_shingles").alias("na"))
-    size = (F.col("na") * 100 >= F.col("n_shingles") * NEAR) & (F.col("n_shingles") * 100 >= F.col("na") * NEAR)
-    spokes = posts.join(hubs, "key").filter((F.col("doc_id") != F.col("a")) & size).select("a", F.col("doc_id").alias("b")).distinct()
-    links = stored(confirmed(spokes, sigs, docs))
-    rest = across(posts, components(links))
-    links = links.union(stored(confirmed(rest, sigs, docs)))
+    links = None
+    labels = sigs.limit(0).select(F.col("doc_id").alias("id"), F.col("doc_id").alias("label"))
+    for turn in range(ROUNDS + 1):
+        known = parted(posts, labels)
+        found = confirmed(spokes(known, turn) if turn < ROUNDS else across(known, sigs), sigs)
+        links = found if links is None else links.union(found)
+        labels = components(links)
 
     # Rows of one doc_id with different texts tie their sets together.
     ties = real.join(heads, "set_id").filter(F.col("head") != F.col("doc_id")).select(F.col("head").alias("a"), F.col("doc_id").alias("b"))
