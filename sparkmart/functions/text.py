@@ -75,10 +75,11 @@ def path_to_column(c, sep: str = ".") -> Column:
 
 
 def split_name(c) -> tuple[Column, Column]:
-    """(first token, second to tenth token) of a full name."""
-    words = F.split(F.trim(as_col(c)), " ")
-    rest = F.array_join(F.slice(words, 2, 9), " ")
-    return words[0], rest
+    """(first token, all that follows the first blank) of a full name."""
+    name = F.trim(as_col(c))
+    blank = F.position(F.lit(" "), name)
+    rest = F.when(blank > 0, F.substring(name, blank + 1, F.length(name))).when(name.isNotNull(), F.lit(""))
+    return F.when(blank > 0, F.substring(name, F.lit(1), blank - 1)).otherwise(name), rest
 
 
 def ipv4_number(c) -> Column:

@@ -118,8 +118,9 @@ def pivot_values(df, by, col, values, agg, else_value=None, prefix="", suffix=""
     return df.groupBy(*by).agg(*out)
 
 
-def column_values(df, col, order: Column, limit=200) -> list:
-    """Distinct values of a low-cardinality column, ordered by an aggregate; fails when there are more than `limit`."""
+def column_values(df, col, order: Column, limit: int) -> list:
+    """Distinct values of a low-cardinality column, ordered by an aggregate. They become columns on
+    the driver, so the caller states how many there may be; more than `limit` is an error."""
     rows = df.filter(as_col(col).isNotNull()).groupBy(as_col(col).alias("v")).agg(order.alias("o")).orderBy(F.desc("o"), "v").limit(limit + 1).collect()
     if len(rows) > limit:
         raise ValueError(f"more than {limit} distinct values: not a column domain")

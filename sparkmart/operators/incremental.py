@@ -35,9 +35,9 @@ def known_only(target, batch, key) -> DataFrame:
 
 
 def with_overlap(target, source, ts, key, order, minutes=30) -> DataFrame:
-    """Re-read an overlap before the watermark for late rows and keep one row per key."""
+    """Re-read an overlap before the watermark for late rows and keep one row per key; an empty target takes all."""
     mark = target.select(F.max(as_col(ts))).scalar()
-    late = source.filter(as_col(ts) >= mark - F.expr(f"INTERVAL {minutes} MINUTES"))
+    late = source.filter(mark.isNull() | (as_col(ts) >= mark - F.expr(f"INTERVAL {minutes} MINUTES")))
     return upsert(target, late, key, order)
 
 

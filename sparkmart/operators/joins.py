@@ -38,15 +38,21 @@ def full_match(lists: dict, key, statuses) -> DataFrame:
     """Full outer join of keyed lists with one presence flag each and a match status.
 
     One union and one aggregate do the work of a chain of full joins; each list
-    holds a key at most once. statuses: [(names that must be present, label)].
+    holds a key at most once. NULL keys match nothing: each stays a row of its own list.
+    Value columns that several lists have are named list_column. statuses: [(names that
+    must be present, label)].
     """
     names = list(lists)
+    held = [c for df in lists.values() for c in df.columns if c != key]
+    lists = {n: df.select(key, *[F.col(c).alias(f"{n}_{c}" if held.count(c) > 1 else c) for c in df.columns if c != key]) for n, df in lists.items()}
     parts = [df.select(key, *[c for c in df.columns if c != key]).withColumn(f"in_{n}", F.lit(True)) for n, df in lists.items()]
     both = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
     values = [c for c in both.columns if c != key and not c.startswith("in_")]
-    merged = both.groupBy(key).agg(
+    merged = both.filter(F.col(key).isNotNull()).groupBy(key).agg(
         *[F.coalesce(F.bool_or(f"in_{n}"), F.lit(False)).alias(f"in_{n}") for n in names],
         *[F.max(c).alias(c) for c in values])
+    alone = both.filter(F.col(key).isNull()).withColumns({f"in_{n}": F.coalesce(f"in_{n}", F.lit(False)) for n in names})
+    merged = merged.unionByName(alone)
     status = None
     for present, label in statuses:
         cond = _and([F.col(f"in_{n}") if n in present else ~F.col(f"in_{n}") for n in names])
@@ -86,25 +92,43 @@ def explode_interval(df, start, end, out="month", unit="month") -> DataFrame:
 def asof(df, ts, scd, key, valid_from, valid_to, cols, tiebreak, chunk=None, how="left") -> DataFrame:
     """Attributes valid at a point in time: valid_from <= ts <= valid_to, latest start wins.
 
-    The validity rows of a key must not overlap beyond shared ends (audit with
-    `scd.overlaps`). Both inputs are merged into one ordered pass per key that
-    carries the last validity row forward, so cost is linear in both sides.
-    `chunk` maps a time column to a chunk (see `windows`) for hot keys.
+    Both inputs are merged into one ordered pass per key that carries the last validity
+    row forward, so cost is linear in both sides. Only a point whose last row has ended is
+    looked up once more, among the rows that reach over the start of a later one; a history
+    without overlaps has none. Of equal starts the one that ends last wins, an open one
+    before all. NULL keys match nothing. `chunk` maps a time column to a chunk (see
+    `windows`) for hot keys; `tiebreak` is unique within a key and time.
     """
     keys = [key] if isinstance(key, str) else list(key)
+    known = _and([as_col(k).isNotNull() for k in keys])
+    lost, df, scd = df.filter(~known), df.filter(known), scd.filter(known)
     payload = F.struct(as_col(valid_to).alias("__to"), *[as_col(c) for c in cols])
     right = scd.select(*keys, as_col(valid_from).alias("__t"), F.lit(0).alias("__side"), payload.alias("__p"))
     left = df.withColumn("__t", as_col(ts)).withColumn("__side", F.lit(1))
     merged = left.unionByName(right, allowMissingColumns=True)
-    order = [F.col("__t"), F.col("__side"), F.col(tiebreak)]
+    merged = merged.withColumn("__open", (F.col("__p").isNotNull() & F.col("__p")["__to"].isNull()).cast("int")).withColumn("__end", F.col("__p")["__to"])
+    order = [F.col("__t"), F.col("__side"), F.col("__open"), F.col("__end"), F.col(tiebreak)]
     merged = wn.last_known(merged, "__hit", keys, order, "__p", chunk=None if chunk is None else chunk(F.col("__t")))
     hit = F.when((F.col("__hit")["__to"].isNull()) | (F.col("__t") <= F.col("__hit")["__to"]), F.col("__hit"))
-    out = merged.filter("__side = 1").withColumn("__hit", hit)
+    out = merged.filter("__side = 1").withColumn("__ended", F.col("__hit").isNotNull() & hit.isNull()).withColumn("__hit", hit)
+    # Rows that are still valid when a later one starts can serve a point after that one's end.
+    spans = scd.select(*keys, as_col(valid_from).alias("__t"), as_col(valid_to).alias("__to"), payload.alias("__q"))
+    spans = wn.lead(spans.withColumn("__o", F.coalesce(F.col("__to").isNull().cast("int"), F.lit(0))), "__later", keys, ["__t", "__o", "__to"], "__t", chunk=None if chunk is None else chunk(F.col("__t")))
+    long = spans.filter(F.col("__later").isNotNull() & (F.col("__to").isNull() | (F.col("__to") > F.col("__later"))))
+    long = long.select(*[F.col(k).alias(f"__k_{k}") for k in keys], F.col("__t").alias("__f"), "__to", "__q")
+    missed = out.filter("__ended").select(*keys, "__t", tiebreak)
+    reach = _and([F.col(k) == F.col(f"__k_{k}") for k in keys]) & (F.col("__f") <= F.col("__t")) & (F.col("__to").isNull() | (F.col("__to") >= F.col("__t")))
+    best = F.max_by("__q", F.struct("__f", F.col("__to").isNull(), "__to"))
+    found = missed.join(long, reach).groupBy(*keys, "__t", tiebreak).agg(best.alias("__again"))
+    again = [F.col(c).alias(f"__j_{c}") for c in (*keys, "__t", tiebreak)]
+    out = out.join(found.select(*again, "__again"), _and([F.col(c).eqNullSafe(F.col(f"__j_{c}")) for c in (*keys, "__t", tiebreak)]) & F.col("__ended"), "left")
+    out = out.withColumn("__hit", F.coalesce("__hit", "__again"))
     if how == "inner":
         out = out.filter(F.col("__hit").isNotNull())
     for c in cols:
-        out = out.withColumn(c if isinstance(c, str) else c, F.col("__hit")[c])
-    return out.drop("__t", "__side", "__p", "__hit")
+        out = out.withColumn(c, F.col("__hit")[c])
+    out = out.select(*df.columns, *[c for c in cols if c not in df.columns])
+    return out if how == "inner" else out.unionByName(lost, allowMissingColumns=True)
 
 
 def range_lookup(df, point, ranges, low, high, width) -> DataFrame:
@@ -119,22 +143,32 @@ def range_lookup(df, point, ranges, low, high, width) -> DataFrame:
     return points.join(spread, (points["__b"] == spread["__b"]) & (as_col(point) >= as_col(low)) & (as_col(point) <= as_col(high))).drop("__b")
 
 
-def overlap_join(a, b, key, a_span, b_span, bucket, step) -> DataFrame:
+def overlap_join(a, b, key, a_span, b_span, unit) -> DataFrame:
     """Pairs of intervals of one key that overlap, with their intersection.
 
-    Spans are (from, to) column names, both ends included and distinct between the
-    sides. Each interval is copied to every bucket it touches; a pair is kept only
-    in the bucket where the later of the two starts, so no pair appears twice and
-    rows far apart in time never meet.
+    Spans are (from, to) column names, both ends included and distinct between the sides;
+    a NULL end is open, and so is the end of an overlap of two open ones. Of two that
+    overlap, one holds the start of the other. `unit` maps a time to a whole number that
+    never decreases. An interval is filed in the cells, of the smallest power of two that is
+    no shorter than itself, that it touches: two at most, one cell in all if it is open. A start
+    looks into its cell of every size in use, so no copy depends on how long an interval is.
     """
     keys = [key] if isinstance(key, str) else list(key)
-    spread = lambda df, span: df.withColumn("__b", F.explode(F.sequence(bucket(F.col(span[0])), bucket(F.col(span[1])), step)))
-    left, right = spread(a, a_span), spread(b, b_span)
-    af, at = (F.col(c) for c in a_span)
-    bf, bt = (F.col(c) for c in b_span)
-    joined = left.join(right, [*keys, "__b"]).filter((af <= bt) & (bf <= at))
-    return (joined.filter(F.col("__b") == bucket(F.greatest(af, bf))).drop("__b")
-            .withColumn("overlap_from", F.greatest(af, bf)).withColumn("overlap_to", F.least(at, bt)))
+
+    def held(wide, wide_span, starts, start_span, strict) -> DataFrame:
+        low, high = unit(F.col(wide_span[0])).cast("long"), unit(F.col(wide_span[1])).cast("long")
+        size = F.when(high.isNull(), F.lit(-1)).otherwise(F.length(F.bin(F.greatest(high - low, F.lit(0)))))
+        cell = lambda x, n: F.when(n < 0, F.lit(0).cast("long")).otherwise(F.call_function("shiftright", x, F.greatest(n, F.lit(0))))
+        filed = wide.withColumn("__n", size).withColumn("__c", F.explode(F.array_distinct(F.array(cell(low, F.col("__n")), F.coalesce(cell(high, F.col("__n")), F.lit(0).cast("long"))))))
+        sizes = filed.select("__n").distinct().agg(F.collect_set("__n").alias("s")).select("s").scalar()  # 65 sizes at most
+        at = unit(F.col(start_span[0])).cast("long")
+        looking = starts.withColumn("__n", F.explode(sizes)).withColumn("__c", cell(at, F.col("__n")))
+        found = filed.join(looking, [*keys, "__n", "__c"]).drop("__n", "__c")
+        inside = F.col(wide_span[0]) < F.col(start_span[0]) if strict else F.col(wide_span[0]) <= F.col(start_span[0])
+        return found.filter(inside & (F.col(wide_span[1]).isNull() | (F.col(start_span[0]) <= F.col(wide_span[1]))) & (F.col(start_span[1]).isNull() | (F.col(start_span[1]) >= F.col(start_span[0]))))
+
+    joined = held(a, a_span, b, b_span, False).unionByName(held(b, b_span, a, a_span, True))
+    return joined.withColumn("overlap_from", F.greatest(a_span[0], b_span[0])).withColumn("overlap_to", F.least(a_span[1], b_span[1]))
 
 
 def offset_self_join(df, keys, month, months, cols, prefix="prior_") -> DataFrame:
@@ -216,11 +250,12 @@ def map_key_join(df, map_col, keys, key) -> DataFrame:
 
 
 def nearest(df, ts, other, other_ts, key, tiebreak, cols, chunk=None) -> DataFrame:
-    """The other row of the same key closest in time, the earlier one on a tie.
+    """The other row of the same key closest in time, the earlier one on a tie; NULL keys match nothing.
 
     Carries the last row before and the first row after into each row, so cost is
     linear where pairing all rows of a key would be quadratic.
     """
+    lost, df, other = df.filter(F.col(key).isNull()), df.filter(F.col(key).isNotNull()), other.filter(F.col(key).isNotNull())
     payload = F.struct(as_col(other_ts).alias("__at"), *[as_col(c) for c in cols])
     right = other.select(key, as_col(other_ts).alias("__t"), F.lit(0).alias("__side"), payload.alias("__p"))
     left = df.withColumn("__t", as_col(ts)).withColumn("__side", F.lit(1))
@@ -236,4 +271,5 @@ def nearest(df, ts, other, other_ts, key, tiebreak, cols, chunk=None) -> DataFra
     out = merged.filter("__side = 1").withColumn("__hit", F.when(F.col("__before").isNull(), F.col("__after")).otherwise(pick))
     for c in cols:
         out = out.withColumn(c, F.col("__hit")[c])
-    return out.withColumn("nearest_at", F.col("__hit")["__at"]).drop("__t", "__side", "__p", "__before", "__after", "__hit")
+    out = out.withColumn("nearest_at", F.col("__hit")["__at"]).drop("__t", "__side", "__p", "__before", "__after", "__hit")
+    return out.unionByName(lost, allowMissingColumns=True)

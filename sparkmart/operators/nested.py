@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, functions as F
 
 from sparkmart.functions import as_col, json_path, null_negative, regexp_to_array, tokens
@@ -20,16 +22,20 @@ def flatten_levels(df, json_col, schema: str, levels, outputs: dict) -> DataFram
     return out
 
 
-def flatten_paths(df, key, json_col, max_depth=4) -> DataFrame:
-    """(key, path, value) leaves of a document with unknown keys.
+def flatten_paths(df, key, json_col, max_depth=None, containers=False) -> DataFrame:
+    """(key, path, value) leaves of a document with unknown keys, whatever its depth.
 
     Each level explodes containers and passes leaves on unchanged, so the whole
-    document is one chain over a single scan. `too_deep` marks leaves that are still
-    containers at `max_depth`.
+    document is one chain over a single scan; levels are added until no container is
+    left, or `max_depth` is reached: `too_deep` then marks leaves that still are
+    containers. With `containers`, objects and arrays are rows too, as JSON text.
     """
     container = "substr(schema_of_variant(__v), 1, 6) IN ('OBJECT', 'ARRAY<')"
     out = df.select(as_col(key).alias("__key"), F.lit("").alias("__path"), F.try_parse_json(as_col(json_col)).alias("__v"))
-    for _ in range(max_depth):
+    boxes, depth = [], 0
+    while (max_depth is None or depth < max_depth) and not out.filter(container).isEmpty():
+        if containers and depth:
+            boxes.append(out.filter(container))
         out = out.withColumn("__box", F.expr(f"CASE WHEN {container} THEN __v END"))
         out = out.lateralJoin(out.sparkSession.tvf.variant_explode_outer(F.col("__box").outer()))
         step = F.coalesce(F.col("key"), F.concat(F.lit("["), F.col("pos").cast("string"), F.lit("]")))
@@ -37,8 +43,10 @@ def flatten_paths(df, key, json_col, max_depth=4) -> DataFrame:
         out = out.select(
             "__key", F.when(F.col("pos").isNull(), F.col("__path")).otherwise(F.concat("__path", glue, step)).alias("__path"),
             F.when(F.col("pos").isNull(), F.col("__v")).otherwise(F.col("value")).alias("__v"))
-    return out.filter("__v IS NOT NULL").select(
-        F.col("__key").alias(key), F.col("__path").alias("path"), F.expr("try_cast(__v AS string)").alias("value"), F.expr(container).alias("too_deep"))
+        depth += 1
+    final = lambda d, deep: d.filter("__v IS NOT NULL").select(
+        F.col("__key").alias(key), F.col("__path").alias("path"), F.expr("coalesce(try_cast(__v AS string), to_json(__v))").alias("value"), deep.alias("too_deep"))
+    return reduce(lambda a, b: a.union(b), [final(b, F.lit(False)) for b in boxes], final(out, F.expr(container)))
 
 
 def extract_context(df, contexts, schema_like, fields: dict) -> DataFrame:
@@ -69,7 +77,7 @@ def parse_kv_text(df, col, spec: dict, sep=": ") -> DataFrame:
     out = df.withColumn("__l", F.split(as_col(col), "\n"))
     out = out.withColumn("__k", F.transform("__l", lambda x: F.split_part(x, F.lit(sep), F.lit(1))))
     out = out.withColumn("__v", F.transform("__l", lambda x: F.nullif(F.trim(F.regexp_replace(
-        F.when(F.contains(x, F.lit(sep)), F.array_join(F.slice(F.split(x, sep), 2, 1000000), sep)).otherwise(F.lit("")), "^'|'$", "")), F.lit(""))))
+        F.when(F.contains(x, F.lit(sep)), F.substring(x, F.position(F.lit(sep), x) + len(sep), F.length(x))).otherwise(F.lit("")), "^'|'$", "")), F.lit(""))))
     for key, (name, kind) in spec.items():
         at = F.array_position("__k", F.lit(key))
         own = F.get("__v", (at - 1).cast("int"))

@@ -271,11 +271,11 @@ def priority_score(df, account, deal, priority, growth_arr, keep_arr, urgency) -
     return out.withColumn("priority_score", F.col("combined_score") * as_col(urgency))
 
 
-def prune_terms(df, key, version, start, end, end_year, look_ahead=14, chunk=None) -> DataFrame:
+def prune_terms(df, key, version, start, end, end_year, look_ahead: int, chunk=None) -> DataFrame:
     """Latest valid version of each renewal term.
 
     A version is superseded when one of the next two ends alike, the next one ends in
-    the same fiscal year or starts alike, or any of the next `look_ahead` starts earlier.
+    the same fiscal year or starts alike, or any of the next `look_ahead` starts earlier. The rule itself looks no further ahead.
     """
     s = as_col(start)
     tests = {

@@ -111,10 +111,10 @@ def spine_daily(df, last_done, as_of) -> DataFrame:
 
 
 def collapse_islands(df, key, value, start, end, tiebreak, chunk=None) -> DataFrame:
-    """Merge consecutive rows with an unchanged value into one interval."""
+    """Merge consecutive rows with an unchanged value into one interval; it stays open if one of them is."""
     keys = _keys(key)
     df = wn.change_counter(df, "island", keys, [start, tiebreak], value, chunk=chunk)
-    return df.groupBy(*keys, "island", value).agg(F.min(start).alias(start), F.max(end).alias(end))
+    return df.groupBy(*keys, "island", value).agg(F.min(start).alias(start), F.when(F.bool_and(F.col(end).isNotNull()), F.max(end)).alias(end))
 
 
 def overlaps_on(df, key, dates, start="valid_from", end="valid_to") -> DataFrame:
@@ -147,9 +147,9 @@ def hash_diff(df, prior, cols, now: datetime) -> DataFrame:
 
 
 def intersect_histories(a, b, key, a_span, b_span) -> DataFrame:
-    """Two attribute histories cut to the times both are valid."""
-    both = joins.overlap_join(a, b, key, a_span, b_span, F.to_date, F.expr("INTERVAL 1 DAY"))
-    return both.filter("overlap_to > overlap_from")
+    """Two attribute histories cut to the times both are valid; two open versions meet in an open one."""
+    both = joins.overlap_join(a, b, key, a_span, b_span, lambda c: F.unix_date(F.to_date(c)))
+    return both.filter("overlap_to IS NULL OR overlap_to > overlap_from")
 
 
 def valid_on(df, day, start="valid_from", end="valid_to") -> DataFrame:

@@ -78,12 +78,14 @@ def totals_with_estimates(facts, shares, on, recorded, hosted: Column) -> DataFr
 def adoption(usage, counters, month, subscription, release, metric, metric_release) -> DataFrame:
     """Share of subscriptions, per month and metric, on a version that has the counter.
 
-    Counting per month and release comes first; a running total from the newest
-    release down then answers every counter of a release at once. Metrics meet the
-    totals through an equi join on (month, release).
+    A subscription counts once a month, with its newest release of that month. Counting
+    per month and release comes first; a running total from the newest release down then
+    answers every counter of a release at once. Metrics meet the totals through an equi
+    join on (month, release).
     """
-    counts = usage.groupBy(month, as_col(release).alias("__r")).agg(F.count_distinct(subscription).alias("__n"))
-    totals = usage.groupBy(month).agg(F.count_distinct(subscription).alias("__all"))
+    usage = usage.groupBy(month, subscription).agg(F.max(as_col(release)).alias("__r")).filter(F.col(subscription).isNotNull())
+    counts = usage.groupBy(month, "__r").agg(F.count(F.lit(1)).alias("__n"))
+    totals = usage.groupBy(month).agg(F.count(F.lit(1)).alias("__all"))
     releases = counters.select(as_col(metric_release).alias("__r")).distinct()
     last = usage.select(F.max(month)).scalar()
     wanted = releases.filter(F.col("__r") <= last).select("__r", F.explode(F.sequence(F.col("__r"), last, F.expr("INTERVAL 1 MONTH"))).alias(month), F.lit(True).alias("__want"))

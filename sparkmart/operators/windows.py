@@ -3,19 +3,24 @@
 A plain window puts every row of a partition key into one task. Where a key may hold
 a large share of the table, pass `chunk`:
 
-* a column expression that never decreases along the first sort column, such as a
+* a column expression that never decreases as the first sort column grows, such as a
   calendar period for a time order: every key is cut there;
 * `HotKeys(expression)`: only keys above a row limit are cut, the others stay whole.
 
+Rows whose chunk is NULL, as the order column of some is, are a chunk of their own, in
+Spark's default place for NULL. Ranks and running aggregates follow a first sort column of
+either direction; lag, lead and the nearest known value need ascending columns when cut.
+
 Rows are then windowed inside (key, chunk). What a row must know of earlier chunks
 arrives as one seed row per (key, chunk), computed from a summary that combines on the
 map side and holds a row per chunk. Seeds join the rows by union, so the rows are
-shuffled once, as for the plain window. Chunked orders are ascending and end in a
-unique tiebreak (except for rank); ties of the sort column share a chunk.
+shuffled once, as for the plain window. Chunked orders end in a unique tiebreak
+(except for rank); ties of the sort column share a chunk.
 """
 
 from __future__ import annotations
 
+import re
 from dataclasses import dataclass
 from functools import reduce
 
@@ -40,6 +45,30 @@ class HotKeys:
     rows: int = 1_000_000
 
 
+@dataclass(frozen=True)
+class Cut:
+    """A chunk column that `cut` made: NULL for a whole key, else a struct of the chunk."""
+
+    name: str
+
+
+def _descending(order, mixed=True) -> bool:
+    """Whether the first sort column descends. NULLs must stand where Spark puts them by default;
+    without `mixed`, all columns must ascend."""
+    ways = [re.search(r" (ASC|DESC) NULLS (FIRST|LAST)'>$", str(as_col(c))) for c in _list(order)]
+    for m in ways if not mixed else ways[:1]:
+        if m and (m[1] == "ASC") != (m[2] == "FIRST"):
+            raise ValueError("a cut window needs NULLs in their default place")
+        if m and m[1] == "DESC" and not mixed:
+            raise ValueError("a cut lag, lead or known value needs an ascending order")
+    return bool(ways[0]) and ways[0][1] == "DESC"
+
+
+def _by_chunk(by, order, frame=None):
+    """Window over a key's chunks, in the order of its rows."""
+    return window(by, F.col(_CHUNK).desc() if _descending(order) else F.col(_CHUNK).asc(), frame)
+
+
 def _list(x) -> list:
     if x is None:
         return []
@@ -71,24 +100,26 @@ def join_back(df: DataFrame, side: DataFrame, keys: list[str], how: str = "left"
 
 
 def cut(df: DataFrame, by, chunk, name="__cut"):
-    """Resolve hot keys once: the frame with a chunk column and that column.
+    """Resolve hot keys once: the frame with a chunk column and its name as `Cut`.
 
-    NULL keeps a key whole. Operators that chain several windows cut first and hand
-    the column on, so the keys are counted once.
+    Operators that chain several windows cut first and hand the result on, so the keys
+    are counted once.
     """
     by = _list(by)
     if not isinstance(chunk, HotKeys):
         return df, chunk
     if not by:
-        return df.withColumn(name, chunk.fine), F.col(name)
-    # At most (rows of the table / chunk.rows) keys can be hot, which bounds the broadcast.
+        return df.withColumn(name, F.struct(chunk.fine.alias("c"))), Cut(name)
     hot = df.groupBy(*by).agg(F.count(F.lit(1)).alias("__n")).filter(F.col("__n") > chunk.rows).select(*by, F.lit(True).alias("__hot"))
-    return join_back(df, F.broadcast(hot), by).withColumn(name, F.when(F.col("__hot"), chunk.fine)).drop("__hot"), F.col(name)
+    return join_back(df, hot, by).withColumn(name, F.when(F.col("__hot"), F.struct(chunk.fine.alias("c")))).drop("__hot"), Cut(name)
 
 
 def _cut(df: DataFrame, by: list[str], chunk) -> DataFrame:
-    df, col = cut(df, by, chunk, _CHUNK)
-    return df if isinstance(chunk, HotKeys) else df.withColumn(_CHUNK, as_col(col))
+    if isinstance(chunk, HotKeys):
+        return cut(df, by, chunk, _CHUNK)[0]
+    if isinstance(chunk, Cut):
+        return df.withColumn(_CHUNK, F.col(chunk.name))
+    return df.withColumn(_CHUNK, F.struct(as_col(chunk).alias("c")))
 
 
 def _per_chunk(df: DataFrame, keys: list[str], agg: Column) -> DataFrame:
@@ -122,7 +153,7 @@ def rank(df, out, by, order, chunk=None) -> DataFrame:
         return df.withColumn(out, F.rank().over(window(by, order)))
     df, keys = _cut(df, by, chunk), by + [_CHUNK]
     counts = _per_chunk(df, keys, F.count(F.lit(1)).alias("__n"))
-    seeds = counts.select(*keys, F.coalesce(F.sum("__n").over(window(by, _CHUNK, BEFORE)), F.lit(0)).alias("__v"))
+    seeds = counts.select(*keys, F.coalesce(F.sum("__n").over(_by_chunk(by, order, BEFORE)), F.lit(0)).alias("__v"))
     both, inside = _seeded(df, seeds), ["__seed", *_list(order)]
     # Where a seed leads, it counts as one row of the rank and brings the rows before.
     offset = F.coalesce(F.first("__v").over(window(keys, inside, RUNNING)) - 1, F.lit(0))
@@ -144,7 +175,7 @@ def rank_of_value(df, out, by, col, descending=False, chunk=None) -> DataFrame:
 
     Equal values are counted, not sorted, so neither a large key nor a value shared by
     most rows weighs on one task. `chunk` maps the value to a band that never decreases
-    in sort order; without it a key's distinct values are one window.
+    as the value grows; without it a key's distinct values are one window.
     """
     by = _list(by)
     values = df.groupBy(*by, as_col(col).alias("__k")).agg(F.count(F.lit(1)).alias("__c"))
@@ -157,12 +188,13 @@ def rank_of_value(df, out, by, col, descending=False, chunk=None) -> DataFrame:
 # ---------------------------------------------------------------- offset
 
 def _neighbour(df, out, by, order, col, default, chunk, forward) -> DataFrame:
+    _descending(order, mixed=False)
     order_cols = [as_col(c) for c in _list(order)]
     df = _cut(df.withColumn("__v", F.struct(as_col(col).alias("v"))).withColumn("__o", F.struct(*order_cols)), by, chunk)
     keys = by + [_CHUNK]
     edge = F.min_by("__v", "__o") if forward else F.max_by("__v", "__o")
     step = F.lead if forward else F.lag
-    seeds = _per_chunk(df, keys, edge.alias("__e")).select(*keys, step("__e").over(window(by, _CHUNK)).alias("__v"))
+    seeds = _per_chunk(df, keys, edge.alias("__e")).select(*keys, step("__e").over(_by_chunk(by, order)).alias("__v"))
     both = _seeded(df, seeds, at_end=forward)
     near = step("__v").over(window(keys, ["__seed", *order_cols]))
     value = near["v"] if default is None else F.when(near.isNull(), F.lit(default)).otherwise(near["v"])
@@ -188,13 +220,14 @@ def lead(df, out, by, order, col, n=1, default=None, chunk=None) -> DataFrame:
 
 
 def _nearest_known(df, out, by, order, col, frame, chunk, forward) -> DataFrame:
+    _descending(order, mixed=False)
     order_cols = [as_col(c) for c in _list(order)]
     value = as_col(col)
     df = _cut(df.withColumn("__v", value).withColumn("__o", F.when(value.isNotNull(), F.struct(*order_cols))), by, chunk)
     keys = by + [_CHUNK]
     edge = F.min_by("__v", "__o") if forward else F.max_by("__v", "__o")
     pick, side = (F.first, AFTER) if forward else (F.last, BEFORE)
-    seeds = _per_chunk(df, keys, edge.alias("__e")).select(*keys, pick("__e", ignorenulls=True).over(window(by, _CHUNK, side)).alias("__v"))
+    seeds = _per_chunk(df, keys, edge.alias("__e")).select(*keys, pick("__e", ignorenulls=True).over(_by_chunk(by, order, side)).alias("__v"))
     both = _seeded(df, seeds, at_end=forward)
     return _unseed(both.withColumn(out, pick("__v", ignorenulls=True).over(window(keys, ["__seed", *order_cols], frame))))
 
@@ -288,7 +321,7 @@ def running(df, out, by, order, col, agg="sum", include_current=True, chunk=None
     if agg == "count":
         value, fn = value.isNotNull().cast("long"), F.sum
     df, keys = _cut(df.withColumn("__v", value), by, chunk), by + [_CHUNK]
-    seeds = _per_chunk(df, keys, fn("__v").alias("__p")).select(*keys, fn("__p").over(window(by, _CHUNK, BEFORE)).alias("__s"))
+    seeds = _per_chunk(df, keys, fn("__v").alias("__p")).select(*keys, fn("__p").over(_by_chunk(by, order, BEFORE)).alias("__s"))
     both = _seeded(df, seeds.withColumnRenamed("__s", "__v"))
     total = fn("__v").over(window(keys, ["__seed", *_list(order)], frame))
     return _unseed(both.withColumn(out, F.coalesce(total, F.lit(0)) if agg == "count" else total))

@@ -187,7 +187,7 @@ def _(t):
 
 
 @query("scd_8_collapse_islands", f"""
-SELECT o_custkey, island, o_orderstatus, MIN(valid_from) AS valid_from, MAX(valid_to) AS valid_to FROM (SELECT *, CAST(SUM(ch) OVER (PARTITION BY o_custkey ORDER BY valid_from, o_orderkey ROWS UNBOUNDED PRECEDING) AS BIGINT) AS island FROM
+SELECT o_custkey, island, o_orderstatus, MIN(valid_from) AS valid_from, CASE WHEN COUNT(*) = COUNT(valid_to) THEN MAX(valid_to) END AS valid_to FROM (SELECT *, CAST(SUM(ch) OVER (PARTITION BY o_custkey ORDER BY valid_from, o_orderkey ROWS UNBOUNDED PRECEDING) AS BIGINT) AS island FROM
  (SELECT *, CASE WHEN lag(o_orderstatus) OVER (PARTITION BY o_custkey ORDER BY valid_from, o_orderkey) <> o_orderstatus THEN 1 ELSE 0 END AS ch FROM ({CHANGES_SQL}))) GROUP BY 1, 2, 3""")
 def _(t):
     return S.collapse_islands(status_history(t), "o_custkey", "o_orderstatus", "valid_from", "valid_to", "o_orderkey", chunk=by_day("valid_from"))

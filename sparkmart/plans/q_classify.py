@@ -75,7 +75,7 @@ FROM (SELECT *, rank() OVER (ORDER BY arr DESC) AS arr_rank FROM (SELECT o_custk
 def _(t):
     arr = t.orders.groupBy("o_custkey").agg(F.sum(F.col("o_totalprice").cast("decimal(18,2)")).alias("arr"))
     # The rank is global: distinct values are counted inside bands, from the highest band down.
-    df = C.arr_segmentation(arr, "arr", chunk=lambda v: -F.floor(v / 10000))
+    df = C.arr_segmentation(arr, "arr", chunk=lambda v: F.floor(v / 10000))
     return df.drop("arr")
 
 

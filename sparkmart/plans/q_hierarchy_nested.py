@@ -119,10 +119,10 @@ def _(t):
 
 
 @query("nst_2_flatten_paths", """
-SELECT event_id, unnest(['uid', 'e.kind', 'e.m.value', 'tags[0]', 'tags[1].t']) AS path, unnest([CAST(user_id AS VARCHAR), event_type, CAST(CAST(round(value * 100) AS BIGINT) AS VARCHAR), 'x', event_type]) AS value, false AS too_deep FROM events""")
+SELECT event_id, unnest(['uid', 'e.kind', 'e.m.value', 'e.m.n.o.p[0].q', 'tags[0]', 'tags[1].t']) AS path, unnest([CAST(user_id AS VARCHAR), event_type, CAST(CAST(round(value * 100) AS BIGINT) AS VARCHAR), CAST(event_id AS VARCHAR), 'x', event_type]) AS value, false AS too_deep FROM events""")
 def _(t):
-    doc = F.format_string('{"uid": %d, "e": {"kind": "%s", "m": {"value": %d}}, "tags": ["x", {"t": "%s"}]}', "user_id", "event_type", F.round(F.col("value") * 100).cast("long"), "event_type")
-    return N.flatten_paths(t.events.select("event_id", doc.alias("doc")), "event_id", "doc", 4)
+    doc = F.format_string('{"uid": %d, "e": {"kind": "%s", "m": {"value": %d, "n": {"o": {"p": [{"q": %d}]}}}}, "tags": ["x", {"t": "%s"}]}', "user_id", "event_type", F.round(F.col("value") * 100).cast("long"), "event_id", "event_type")
+    return N.flatten_paths(t.events.select("event_id", doc.alias("doc")), "event_id", "doc")
 
 
 @query("nst_3_extract_context", "SELECT event_id, event_type AS plan, user_id AS project_id FROM events WHERE event_type <> 'error'")

@@ -105,7 +105,7 @@ def _(t):
         ev = wn.lead(ev, "nxt", "user_id", ["ts", "event_id"], "ts", chunk=by_minute())
         return ev.select("user_id", F.col("event_id").alias(f"{n}_id"), F.col("ts").alias(f"{n}_from"), F.coalesce("nxt", F.col("ts") + F.expr("INTERVAL 1 DAY")).alias(f"{n}_to"))
 
-    out = J.overlap_join(hist("view", "a"), hist("click", "b"), "user_id", ("a_from", "a_to"), ("b_from", "b_to"), F.to_date, F.expr("INTERVAL 1 DAY"))
+    out = J.overlap_join(hist("view", "a"), hist("click", "b"), "user_id", ("a_from", "a_to"), ("b_from", "b_to"), lambda c: F.unix_date(F.to_date(c)))
     return out.select("a_id", "b_id", "overlap_from", "overlap_to")
 
 

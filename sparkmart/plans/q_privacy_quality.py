@@ -51,7 +51,7 @@ def _(t):
 
 
 @query("prv_6_split_name", """
-SELECT doc_id, w[1] AS first_name, array_to_string(w[2:10], ' ') AS last_name FROM (SELECT doc_id, string_split(trim(replace(text, chr(10), ' ')), ' ') AS w FROM documents)""")
+SELECT doc_id, w[1] AS first_name, array_to_string(w[2:], ' ') AS last_name FROM (SELECT doc_id, string_split(trim(replace(text, chr(10), ' ')), ' ') AS w FROM documents)""")
 def _(t):
     first, last = split_name(F.replace("text", F.lit("\n"), F.lit(" ")))
     return t.documents.select("doc_id", first.alias("first_name"), last.alias("last_name"))

@@ -246,4 +246,4 @@ def _(t):
     price = F.floor("o_totalprice").cast("int")
     df = t.orders.select("o_orderkey", "o_custkey", "o_orderdate", F.trunc(F.date_add("o_orderdate", price % 500), "month").alias("s"), F.trunc(F.date_add("o_orderdate", 365 + price % 700), "month").alias("e"))
     df = df.withColumn("version", F.struct("o_orderdate", "o_orderkey")).withColumn("fy", F.year("e"))
-    return R.prune_terms(df, "o_custkey", "version", "s", "e", "fy", chunk=by_day("o_orderdate")).select("o_orderkey")
+    return R.prune_terms(df, "o_custkey", "version", "s", "e", "fy", look_ahead=14, chunk=by_day("o_orderdate")).select("o_orderkey")

@@ -69,7 +69,7 @@ def _(t):
 
 @query("src_9_probe_load", "SELECT l_orderkey, l_partkey FROM (SELECT DISTINCT l_orderkey, l_partkey FROM lineitem) ORDER BY l_orderkey, l_partkey LIMIT 100000")
 def _(t):
-    return R.probe_load(t.lineitem.select("l_orderkey", "l_partkey").distinct(), "l_orderkey", ["l_orderkey", "l_partkey"])
+    return R.probe_load(t.lineitem.select("l_orderkey", "l_partkey").distinct(), "l_orderkey", ["l_orderkey", "l_partkey"], 100_000)
 
 
 @query("src_10_schema_drift", "SELECT COUNT(*) AS rows_checked, false AS metadata_only, true AS column_lost FROM orders")
@@ -130,7 +130,7 @@ def _(t):
         df = t.orders.filter(F.year("o_orderdate") == y).select("o_orderkey", F.col("o_custkey").cast("string"), "o_totalprice", F.substring("o_orderpriority", 1, 1).alias("priority"))
         clones[f"orders_{y}0108"] = df.drop("priority") if y == 1998 else df
         clones[f"orders_{y}0115"] = df
-    return R.rollup_clones(clones, schema, last="orders_19960108")
+    return R.rollup_clones(clones, schema, last="orders_19960108", days=[8])
 
 
 @query("src_18_recent_sample", "SELECT event_id FROM events WHERE ts >= TIMESTAMP '2024-01-23' ORDER BY ts DESC, event_id LIMIT 5000000")

@@ -88,8 +88,8 @@ def _(t):
 @query("met_8_counter_adoption", """
 WITH u AS (SELECT CAST(date_trunc('month', o_orderdate) AS DATE) AS month, o_custkey, CAST(date_trunc('month', o_orderdate) - CAST(o_totalprice % 12 AS INTEGER) * INTERVAL 1 MONTH AS DATE) AS rel FROM (SELECT * REPLACE (floor(o_totalprice) AS o_totalprice) FROM orders)),
  c AS (SELECT DISTINCT p_brand || p_type AS metric, CAST(DATE '1995-03-01' + CAST(MIN(p_partkey) OVER (PARTITION BY p_brand, p_type) % 60 AS INTEGER) * INTERVAL 1 MONTH AS DATE) AS rel FROM part),
- n AS (SELECT month, rel, COUNT(DISTINCT o_custkey) AS n FROM u GROUP BY 1, 2), t AS (SELECT month, COUNT(DISTINCT o_custkey) AS al FROM u GROUP BY 1)
-SELECT CAST(t.month AS VARCHAR) AS month, metric, round(SUM(n)::DOUBLE / MAX(al), 6) AS pct_with_counter FROM c JOIN t ON t.month >= c.rel LEFT JOIN n ON n.month = t.month AND n.rel >= c.rel GROUP BY 1, 2""")
+ last AS (SELECT month, o_custkey, rel FROM u QUALIFY row_number() OVER (PARTITION BY month, o_custkey ORDER BY rel DESC) = 1)
+SELECT CAST(last.month AS VARCHAR) AS month, metric, round(COUNT(DISTINCT o_custkey) FILTER (last.rel >= c.rel)::DOUBLE / COUNT(DISTINCT o_custkey), 6) AS pct_with_counter FROM c JOIN last ON last.month >= c.rel GROUP BY 1, 2""")
 def _(t):
     price = F.floor("o_totalprice").cast("int")
     usage = t.orders.select(F.trunc("o_orderdate", "month").alias("month"), "o_custkey", F.add_months(F.trunc("o_orderdate", "month"), -(price % 12)).alias("rel"))

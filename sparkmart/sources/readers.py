@@ -91,7 +91,7 @@ def jdbc_read_ranged(spark: SparkSession, url: str, table: str, key: str, low: i
     return reader.options(**options).load()
 
 
-def probe_load(df, key, order, n=100_000) -> DataFrame:
+def probe_load(df, key, order, n: int) -> DataFrame:
     """First rows of a new table with a key."""
     return df.filter(as_col(key).isNotNull()).orderBy(*order).limit(n)
 
@@ -102,16 +102,20 @@ def read_day(df, ts, day: str) -> DataFrame:
     return df.filter((as_col(ts) >= d.cast("timestamp_ntz")) & (as_col(ts) < F.date_add(d, 1).cast("timestamp_ntz")))
 
 
-def rollup_clones(clones: dict[str, DataFrame], schema: T.StructType, last: str | None = None) -> DataFrame:
+def rollup_clones(clones: dict[str, DataFrame], schema: T.StructType | None = None, last: str | None = None, days=None) -> DataFrame:
     """Dated clones (name_YYYYMMDD) in one table, cast to the target's types.
 
-    Only clones of the eighth of a month that are newer than `last` are taken; columns
-    a clone lacks are NULL.
+    Clones newer than `last` are taken, with `days` only those of these days of a month;
+    columns a clone lacks are NULL. Without a schema the columns are those of all clones,
+    with the type of the newest clone that has them.
     """
     parts = []
+    if schema is None:
+        found = {f.name: f for _, df in sorted(clones.items(), key=lambda c: c[0][-8:]) for f in df.schema.fields}
+        schema = T.StructType(list(found.values()))
     for name, df in sorted(clones.items()):
         day = name[-8:]
-        if not re.fullmatch(r"\d{8}", day) or day[-2:] != "08" or (last and day <= last[-8:]):
+        if not re.fullmatch(r"\d{8}", day) or (days is not None and int(day[-2:]) not in days) or (last and day <= last[-8:]):
             continue
         have = set(df.columns)
         cols = [(F.col(f.name).try_cast(f.dataType) if f.name in have else F.lit(None).cast(f.dataType)).alias(f.name) for f in schema.fields]

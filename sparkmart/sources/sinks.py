@@ -92,19 +92,24 @@ def reconcile_counts(source, target) -> DataFrame:
     return both.withColumn("matches", F.col("source_rows") == F.col("target_rows"))
 
 
-def pump(df, path, ts=None, start=None, end=None, limit=1_000_000, order=None, **options) -> None:
-    """Export to quoted CSV with header, optionally one time window, at most `limit` rows."""
+def pump(df, path, ts=None, start=None, end=None, limit=None, order=None, **options) -> None:
+    """Export to quoted CSV with header, optionally one time window.
+
+    All rows go out unless a `limit` is asked for, which needs an order to say which ones stay.
+    """
     out = pump_rows(df, ts, start, end, limit, order)
     out.write.mode("overwrite").option("header", True).option("quoteAll", True).options(**options).csv(path)
 
 
-def pump_rows(df, ts=None, start=None, end=None, limit=1_000_000, order=None) -> DataFrame:
+def pump_rows(df, ts=None, start=None, end=None, limit=None, order=None) -> DataFrame:
+    if limit is not None and order is None:
+        raise ValueError("a limited export needs an order")
     out = df
     if ts is not None:
         out = out.filter(as_col(ts).between(F.lit(start).cast("timestamp_ntz"), F.lit(end).cast("timestamp_ntz")))
     if order is not None:
         out = out.orderBy(*order)
-    return out.limit(limit)
+    return out if limit is None else out.limit(limit)
 
 
 def _by_month(df, ts) -> DataFrame:

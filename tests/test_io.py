@@ -45,6 +45,10 @@ def test_writes(spark, tmp_path):
     assert W.schema_changed(df, df.drop("v")) and not W.schema_changed(df, df.withColumn("_uploaded_at", F.lit(1)))
     W.pump(df, str(tmp_path / "csv"), limit=2, order=["k"])
     assert spark.read.option("header", True).csv(str(tmp_path / "csv")).count() == 2
+    with pytest.raises(ValueError):
+        W.pump(df, str(tmp_path / "csv"), limit=2)
+    W.pump(spark.range(1_200_000), str(tmp_path / "all"))
+    assert spark.read.csv(str(tmp_path / "all"), header=True).count() == 1_200_000
 
 
 def test_recent_sample_is_exact(spark):
@@ -59,7 +63,7 @@ def test_recent_sample_is_exact(spark):
 def test_rollup_clones(spark):
     schema = T.StructType([T.StructField("k", T.LongType()), T.StructField("v", T.DoubleType())])
     a = spark.createDataFrame([("1", "x")], "k string, v string")
-    out = R.rollup_clones({"t_20240108": a, "t_20240109": a, "t_20240208": a.drop("v"), "t_20231208": a}, schema, "t_20231208")
+    out = R.rollup_clones({"t_20240108": a, "t_20240109": a, "t_20240208": a.drop("v"), "t_20231208": a}, schema, "t_20231208", days=[8])
     assert sorted((r["k"], r["v"], r["original_table_name"], str(r["snapshot_date"])) for r in out.collect()) == [(1, None, "t_20240108", "2024-01-08"), (1, None, "t_20240208", "2024-02-08")]
 
 
@@ -87,7 +91,11 @@ def test_flatten_reports_depth(spark):
     df = spark.createDataFrame([(1, '{"a": {"b": {"c": 1}}, "d": [1, {"e": null}], "f": "x"}'), (2, "broken")], "id int, doc string")
     got = sorted((r["path"], r["too_deep"]) for r in N.flatten_paths(df, "id", "doc", 2).filter("id = 1").collect())
     assert ("a.b", True) in got and ("d[0]", False) in got and ("f", False) in got
-    assert N.flatten_paths(df, "id", "doc", 4).filter("too_deep").count() == 0
+    assert N.flatten_paths(df, "id", "doc").filter("too_deep").count() == 0
+    deep = spark.createDataFrame([(1, '{"a":{"b":{"c":{"d":{"e":{"f":1}}}}}}')], "id int, doc string")
+    assert [(r["path"], r["value"]) for r in N.flatten_paths(deep, "id", "doc").collect()] == [("a.b.c.d.e.f", "1")]
+    boxes = {r["path"]: r["value"] for r in N.flatten_paths(deep, "id", "doc", containers=True).collect()}
+    assert set(boxes) == {"a", "a.b", "a.b.c", "a.b.c.d", "a.b.c.d.e", "a.b.c.d.e.f"} and boxes["a.b.c.d.e"] == '{"f":1}'
 
 
 def test_incremental(spark):

@@ -33,10 +33,15 @@ def test_overlap_join_equals_brute_force(spark):
     rnd = random.Random(3)
     make = lambda: [(rnd.randint(1, 3), i, *sorted(rnd.sample(range(60), 2))) for i in range(40)]
     a, b = make(), make()
+    for rows in (a, b):  # open ends, the end of time, a NULL key
+        rows += [(1, 100, 7, None), (2, 101, 30, None), (2, 102, 5, 2_000_000_000), (None, 103, 1, None)]
+    a[0], b[0] = (1, 0, 7, 7), (1, 0, 7, 7)
+    a = [x for x in a if x[0] is not None] + [(None, 103, 1, None)]
     da = spark.createDataFrame(a, "k int, ai int, af int, at int")
     db = spark.createDataFrame(b, "k int, bi int, bf int, bt int")
-    got = J.overlap_join(da, db, "k", ("af", "at"), ("bf", "bt"), lambda c: F.floor(c / 5), F.lit(1))
-    want = sorted((x[1], y[1]) for x in a for y in b if x[0] == y[0] and x[2] <= y[3] and y[2] <= x[3])
+    got = J.overlap_join(da, db, "k", ("af", "at"), ("bf", "bt"), lambda c: F.floor(c / 5))
+    end = lambda x: 10**9 if x is None else x
+    want = sorted((x[1], y[1]) for x in a for y in b if x[0] is not None and x[0] == y[0] and x[2] <= end(y[3]) and y[2] <= end(x[3]))
     assert sorted((r["ai"], r["bi"]) for r in got.collect()) == want
 
 
@@ -134,3 +139,25 @@ def test_plans_scale(spark):
         bad = [f for f in findings(physical(all_queries()[key](spark, "/root/testdata/sf0.001"))) if not f.startswith("global window")]
         assert not bad, (key, bad)
     assert wn.HotKeys(F.lit(1)).rows == 1_000_000
+
+
+def test_full_match_keeps_null_keys_apart(spark):
+    a = spark.createDataFrame([(1, "x"), (None, "n")], "k int, v string")
+    b = spark.createDataFrame([(1, "y"), (2, "z"), (None, "m")], "k int, v string")
+    got = J.full_match({"a": a, "b": b}, "k", [(("a", "b"), "both"), (("a",), "only a"), (("b",), "only b")]).collect()
+    assert sorted((r["k"] or 0, r["a_v"] or "", r["b_v"] or "", r["match_status"]) for r in got) == [(0, "", "m", "only b"), (0, "n", "", "only a"), (1, "x", "y", "both"), (2, "", "z", "only b")]
+
+
+def test_adoption_counts_a_subscription_once(spark):
+    from sparkmart.operators import usage as U
+    d = __import__("datetime").date
+    use = spark.createDataFrame([(d(2024, 3, 1), 1, d(2024, 1, 1)), (d(2024, 3, 1), 1, d(2024, 2, 1)), (d(2024, 3, 1), 2, d(2023, 12, 1))], "month date, s int, rel date")
+    counters = spark.createDataFrame([("m", d(2024, 1, 1)), ("n", d(2023, 1, 1))], "metric string, rel date")
+    got = {r["metric"]: r["pct_with_counter"] for r in U.adoption(use, counters, "month", "s", "rel", "metric", "rel").filter("month = '2024-03-01'").collect()}
+    assert got == {"m": 0.5, "n": 1.0}
+
+
+def test_overlap_reads_all_into_an_empty_target(spark):
+    from sparkmart.operators import incremental as I
+    rows = spark.createDataFrame([(1, "2024-01-01"), (2, "2024-01-02")], "k int, t string").select("k", F.col("t").cast("timestamp_ntz").alias("ts"))
+    assert I.with_overlap(rows.limit(0), rows, "ts", "k", [F.desc("ts")]).count() == 2
