@@ -5,20 +5,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from sparkmart.llm import line_dedup, minhash, mixing, pieces, toxicity
-from sparkmart.llm.common import stored, word_array
-from sparkmart.session import tune
+from sparkmart.llm.common import stored, table, word_array
 
 #: Columns of documents, which every stage but the last returns.
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 
-def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return tune(spark).read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-
-
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the toxicity model rejects go; it learns from the labelled documents of `documents`."""
-    return toxicity.keep_clean(docs, read(spark, sf_dir, "labels"), read(spark, sf_dir, "documents")).select(*docs.columns)
+    return toxicity.keep_clean(docs, table(spark, sf_dir, "labels"), table(spark, sf_dir, "documents")).select(*docs.columns)
 
 
 def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -55,7 +50,7 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = read(spark, sf_dir, "documents").select(*COLUMNS)
+    docs = table(spark, sf_dir, "documents").select(*COLUMNS)
     for _, stage in STAGES[:-1]:
         docs = stored(stage(spark, docs, sf_dir))
     return STAGES[-1][1](spark, docs, sf_dir)

@@ -7,13 +7,25 @@ import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
-from sparkmart.session import ensure_checkpoint_dir
+from sparkmart.session import ensure_checkpoint_dir, tune
 
 #: The six white-space characters between words, as text and as a regular expression.
 BLANKS = " \t\n\x0b\x0c\r"
 BLANK_RUN = r"[\x20\x09-\x0D]+"
 
 
+#: Rows and bytes of the batches that tasks hand to Python: what a worker holds at a time.
+BATCHES = {"spark.sql.execution.arrow.maxRecordsPerBatch": "1000", "spark.sql.execution.arrow.maxBytesPerBatch": "8388608"}
+
+
+def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    """A table of the folder, in a session that sends small batches to Python."""
+    tune(spark)
+    for key, value in BATCHES.items():
+        spark.conf.set(key, value)
+    return spark.read.parquet(f"{folder.rstrip('/')}/{name}.parquet")
+
+
 def whole(text) -> Column:
     """The text, '' for NULL."""
     return F.coalesce(F.col(text) if isinstance(text, str) else text, F.lit(""))

@@ -7,11 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from sparkmart.llm import html_text, line_dedup, minhash, mixing, oracles, pieces, quality, sharding, toxicity, warc, winnow
-from sparkmart.session import tune
-
-
-def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return tune(spark).read.parquet(f"{folder.rstrip('/')}/{name}.parquet")
+from sparkmart.llm.common import table
 
 
 def op1_source_mix(spark: SparkSession, folder: str) -> DataFrame:

@@ -119,7 +119,7 @@ def set_id(shingles: np.ndarray) -> bytes:
     return hashlib.blake2b(shingles.tobytes(), digest_size=16).digest()
 
 
-def by_bytes(batches: Iterable[pa.RecordBatch], column: str, limit: int = 8 << 20) -> Iterator[pa.RecordBatch]:
+def by_bytes(batches: Iterable[pa.RecordBatch], column: str, limit: int = 2 << 20) -> Iterator[pa.RecordBatch]:
     """The same rows in batches of about `limit` bytes of that column, so that long texts do not pile up."""
     for batch in batches:
         n = batch.num_rows
