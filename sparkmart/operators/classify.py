@@ -179,7 +179,7 @@ def grouped(c, groups) -> Column:
 
 def product_category(c, own=()) -> Column:
     """`own` adds (patterns, label) rules for a company's own product names."""
-    rules = [*likes(c, R.PRODUCT_CATEGORY), *members(F.trim(as_col(c)), R.PRODUCT_CATEGORY_NAMES), *likes(c, own)]
+    rules = [*likes(c, R.PRODUCT_CATEGORY), *likes(F.ltrim(as_col(c)), R.PRODUCT_CATEGORY_LEADING), *members(F.trim(as_col(c)), R.PRODUCT_CATEGORY_NAMES), *likes(c, own)]
     return case(rules, "Not Applicable")
 
 

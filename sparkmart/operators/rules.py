@@ -104,8 +104,8 @@ LEAD_SOURCE_BUCKET = {
         "Web Chat", "White Paper",
     ],
     "outbound": [
-        "AE Generated", "Clearbit", "Datanyze", "DiscoverOrg", "Leadware", "LinkedIn", "Live Event", "Prospecting",
-        "Prospecting - General", "Prospecting - LeadIQ", "SDR Generated", "Zoominfo",
+        "AE Generated", "Clearbit", "Datanyze", "DiscoverOrg", "Gemnasium", "Gitorious", "gmail", "Leadware", "LinkedIn",
+        "Live Event", "Prospecting", "Prospecting - General", "Prospecting - LeadIQ", "SDR Generated", "seamless.ai", "Zoominfo",
     ],
     "paid demand gen": [
         "Advertisement", "Conference", "Executive Roundtable", "Field Event", "Owned Event", "Promotion", "Virtual Sponsorship",
@@ -183,6 +183,8 @@ PRODUCT_CATEGORY = [
     (["ci runner%"], "SaaS - Other"),
     (["discount%"], "Other"),
 ]
+# The same, blanks before the text ignored.
+PRODUCT_CATEGORY_LEADING = [(["githost%"], "GitHost")]
 # label -> exact names, blanks around them ignored
 PRODUCT_CATEGORY_NAMES = {
     "Trueup": ["Trueup"],

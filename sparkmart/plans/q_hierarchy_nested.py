@@ -202,7 +202,12 @@ def _(t):
     return t.documents.select("doc_id", F.array_join(found, "|").alias("numbers"), F.size(found).alias("n"))
 
 
-@query("udf_3_crc32")
+@query("udf_3_crc32", """
+WITH RECURSIVE nibble(i, step, v) AS (SELECT i, 0, i FROM range(16) AS r(i) UNION ALL SELECT i, step + 1, CASE WHEN v % 2 = 1 THEN xor(v // 2, 3988292384) ELSE v // 2 END FROM nibble WHERE step < 4),
+ t AS (SELECT list(v ORDER BY i) AS t FROM nibble WHERE step = 4),
+ digits AS (SELECT c_custkey, list_transform(string_split(hex(encode(c_name)), ''), lambda c: CAST('0x' || c AS BIGINT)) AS h FROM customer),
+ low_first AS (SELECT c_custkey, list_transform(range(len(h)), lambda i: CASE WHEN i % 2 = 0 THEN h[i + 2] ELSE h[i] END) AS h FROM digits)
+SELECT c_custkey, xor(list_reduce(list_prepend(4294967295::BIGINT, h), lambda crc, n: xor(t[1 + (xor(crc, n) & 15)], crc // 16)), 4294967295) AS crc FROM low_first, t""")
 def _(t):
     return t.customer.select("c_custkey", crc32_text("c_name").alias("crc"))
 
