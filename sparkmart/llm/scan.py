@@ -9,7 +9,7 @@ import numpy as np
 import pyarrow as pa
 
 #: Code points that are put into one array at a time; a longer text is an array of its own.
-CHUNK = 200_000
+CHUNK = 100_000
 
 U = np.uint64
 RADIX, SHIFT = 0x9E3779B97F4A7C15, U(32)
