@@ -29,12 +29,12 @@ def classify(df: DataFrame, output: str, rules, default=None) -> DataFrame:
 def ranges(c, table) -> list:
     c = as_col(c)
     out = []
-    for low, high, label in table:
+    for low, high, label, *strict in table:
         cond = F.lit(True)
         if low is not None:
             cond = cond & (c >= low)
         if high is not None:
-            cond = cond & (c <= high)
+            cond = cond & (c < high if strict else c <= high)
         out.append((cond, label))
     return out
 

@@ -4,8 +4,9 @@ Product and company names of a particular business are not listed here; pass
 them to the classifier as extra entries.
 """
 
-# (low, high, label), both ends included, first match wins; None is open.
+# (low, high, label), both ends included unless a fourth item says "below", first match wins; None is open.
 ARR_BUCKETS = [
+    (None, 0, "[00] < 0", "below"),
     (0, 250, "[01] 0-250"),
     (250, 500, "[02] 250-500"),
     (500, 1000, "[03] 500-1K"),
@@ -17,7 +18,6 @@ ARR_BUCKETS = [
     (50000, 100000, "[09] 50K-100K"),
     (100000, 500000, "[10] 100K-500K"),
     (500000, 1000000, "[11] 500K-1M"),
-    (None, 0, "[00] < 0"),
     (1000000, None, "[12] 1M+"),
 ]
 

@@ -13,8 +13,8 @@ def lit(v):
 
 def sql_ranges(c, table):
     tests = []
-    for lo, hi, label in table:
-        cond = " AND ".join(x for x in (f"{c} >= {lo}" if lo is not None else "", f"{c} <= {hi}" if hi is not None else "") if x)
+    for lo, hi, label, *strict in table:
+        cond = " AND ".join(x for x in (f"{c} >= {lo}" if lo is not None else "", f"{c} {'<' if strict else '<='} {hi}" if hi is not None else "") if x)
         tests.append(f"WHEN {cond} THEN {lit(label)}")
     return "CASE " + " ".join(tests) + " END"
 
