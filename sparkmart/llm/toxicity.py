@@ -121,7 +121,7 @@ def norms(number: np.ndarray, weight: np.ndarray) -> np.ndarray:
 def evaluate(strings: list[str], table: np.ndarray) -> np.ndarray:
     """Inner product of each string's normalised subsequence weights with `table` (or its columns)."""
     shape = (len(strings),) if table.ndim == 1 else (len(strings), table.shape[1])
-    out = np.zeros(shape)
+    out = np.zeros(shape, table.dtype)
     by_length: dict[int, list[int]] = {}
     for i, s in enumerate(strings):
         by_length.setdefault(len(s), []).append(i)
@@ -179,15 +179,21 @@ def train_machine(positive: dict[str, float], negative: dict[str, float], landma
     value, vector = np.linalg.eigh(between.astype(float))
     good = value > 1e-6 * value[-1]
     root = vector[:, good] / np.sqrt(value[good])
-    x = evaluate(strings, maps) @ root
-    x = np.hstack((x, np.ones((len(x), 1))))
+    x = np.ones((len(strings), root.shape[1] + 1), np.float32)
+    for at in range(0, len(strings), 2000):  # blocks keep the driver small
+        x[at : at + 2000, :-1] = evaluate(strings[at : at + 2000], maps) @ root
     w = np.zeros(x.shape[1])
     ridge = np.full(len(w), 1e-5)
     ridge[-1] = 1e-8
     for _ in range(30):
         active = 1 - sign * (x @ w) > 0
-        xa = x[active] * weight[active, None]
-        new = np.linalg.solve(xa.T @ x[active] + np.diag(ridge), xa.T @ sign[active])
+        square, cross = np.diag(ridge), np.zeros(len(w))
+        for at in range(0, len(x), 2000):
+            part = np.flatnonzero(active[at : at + 2000]) + at
+            block = x[part].astype(float)
+            scaled = block * weight[part, None]
+            square, cross = square + scaled.T @ block, cross + scaled.T @ sign[part]
+        new = np.linalg.solve(square, cross)
         if np.allclose(new, w, atol=1e-9):
             break
         w = new
