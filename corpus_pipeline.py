@@ -18,7 +18,7 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Lines that an earlier line holds go, and documents of which nothing is left."""
-    return line_dedup.dedup_lines(docs).select(*docs.columns)
+    return line_dedup.dedup_lines(docs, exact=line_dedup.LEAST_EXACT).select(*docs.columns)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

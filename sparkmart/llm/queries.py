@@ -27,7 +27,7 @@ def op4_warc_derivatives(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op5_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
-    return line_dedup.digest(table(spark, folder, "documents"))
+    return line_dedup.digest(table(spark, folder, "documents"), line_dedup.LEAST_EXACT)
 
 
 def op6_adaptive_quality(spark: SparkSession, folder: str) -> DataFrame:

@@ -185,3 +185,17 @@ def test_line_digest_is_whole(spark):
         if r["doc_id"] is not None:
             drop = sorted(i for (known, doc, i), (keeper, _) in want.items() if known and doc == r["doc_id"] and keeper != (known, doc, i))
             assert r["dropped"] == drop and r["n_dropped"] == len(drop)
+
+
+def test_short_lines_lose_exact_copies(spark):
+    short = "all rights reserved."
+    rows = [(1, f"{short}\nowned", "en", "s", 9), (2, "One\n  All  Rights reserved. \nall rights reserved!", None, None, 1), (3, short, "en", "s", 1), (None, "owned\nx", None, None, 1)]
+    df = frame(spark, rows)
+    got = {r["doc_id"]: r for r in line_dedup.digest(df, line_dedup.LEAST_EXACT).collect()}
+    assert {d: r["dropped"] for d, r in got.items()} == {None: [], 1: [1], 2: [1], 3: [0]} and not any(r["n_links"] for r in got.values())
+    texts = {r["doc_id"]: r["text"] for r in line_dedup.dedup_lines(df, exact=line_dedup.LEAST_EXACT).collect()}
+    assert texts == {None: "owned\nx", 1: short, 2: "One\nall rights reserved!"}
+    rows = lines_case(random.Random(4))
+    short = plain_repeats(rows, 0, 1)
+    with_short = line_dedup.repeated(frame(spark, rows), exact=line_dedup.LEAST_EXACT).collect()
+    assert {(r["doc_id"] is not None, r["doc_id"] or 0, r["line"]) for r in with_short} == set(short) | set(plain_repeats(rows, line_dedup.THRESHOLD, line_dedup.LEAST_WORDS))
