@@ -33,7 +33,7 @@ LINKS = 0.6
 # HTML's block elements, void elements and elements without readable text.
 BLOCKS = frozenset("address article aside blockquote body center dd details dialog dir div dl dt fieldset figcaption figure footer form frameset h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main menu nav ol p pre section summary table tbody tfoot thead tr ul".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW = frozenset("script style noscript template textarea title iframe object svg math select button canvas audio video head".split())
+RAW = frozenset("script style noscript template textarea title iframe object svg math select button canvas audio video".split())
 SPACED = frozenset("br td th img wbr option".split())
 ENDS = {"li": {"li": "ul ol menu dir"}, "dt": {"dt": "dl", "dd": "dl"}, "dd": {"dt": "dl", "dd": "dl"}, "tr": {"tr": "table"}}
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
@@ -48,6 +48,22 @@ REPLIES = frozenset("comment comments disqus respond reply replies".split())
 TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*'|[\"'])*?)>|[^<]+|<", re.S)
 ATTRIBUTE = re.compile(r"([a-zA-Z-]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
 NAME = re.compile(r"[a-z0-9]+")
+#: Elements whose content is text up to their own closing tag, whatever stands in it.
+UNPARSED = frozenset("script style textarea title iframe".split())
+CLOSING = {tag: re.compile(rf"</{tag}(?=[\s/>])", re.I) for tag in UNPARSED}
+BODY = re.compile(r"<body(?=[\s/>])", re.I)
+
+
+def tokens(source: str) -> Iterator[re.Match]:
+    """Matches of TOKEN, without the content of unparsed elements; one that is never closed ends at the body, or at the end."""
+    at = 0
+    while m := TOKEN.match(source, at):
+        yield m
+        at = m.end()
+        tag = (m[2] or "").lower()
+        if tag in UNPARSED and not m[1] and not m[3].endswith("/"):
+            end = CLOSING[tag].search(source, at) or BODY.search(source, at)
+            at = end.start() if end else len(source)
 
 
 class Node:
@@ -81,7 +97,7 @@ class Page:
                 self.blocks.append((said, node, linked))
             text, linked = [], 0
 
-        for m in TOKEN.finditer(source or ""):
+        for m in tokens(source or ""):
             tag = m[2]
             if tag is None:
                 piece = m[0]
@@ -95,7 +111,7 @@ class Page:
             if skip:
                 if m[1] and tag == skip:
                     skip = ""
-                elif not (skip == "head" and tag == "body"):
+                elif m[1] or tag != "body" or skip not in UNPARSED:
                     continue
                 else:
                     skip = ""

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from sparkmart.llm.common import whole
-from sparkmart.llm.html_text import ATTRIBUTE, TOKEN, Page, entities
+from sparkmart.llm.html_text import ATTRIBUTE, Page, entities, tokens
 from sparkmart.llm.scan import by_bytes
 
 Headers = list[tuple[str, str]]
@@ -132,7 +132,7 @@ def page_facts(source: str, uri: str) -> tuple[str, str, list[str]]:
     """Title, language and outgoing links, each once, in page order."""
     title = re.search(r"<title[^>]*>(.*?)</title", source, re.I | re.S)
     lang, links = "", []
-    for m in TOKEN.finditer(source):
+    for m in tokens(source):
         tag = (m[2] or "").lower()
         if m[1] or tag not in ("html", "a"):
             continue

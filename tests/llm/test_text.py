@@ -247,3 +247,16 @@ def test_warc_of_pages(spark):
     one = [r for r in got if r["page_id"] == 1 and r["warc_type"] == "conversion"]
     assert {r["block"] for r in one} == {"x"} and one[0]["source_payload_digest"] == warc.digest_of(b"<p>x</p>")
     assert hashlib.sha1(b"").digest() and warc.digest(spark.createDataFrame([], "page_id long, url string, html string")).count() == 0
+
+
+def test_markup_inside_scripts_and_open_heads():
+    def said(source):
+        return [text for text, _, _ in html_text.Page(source).blocks]
+
+    loop = "<script>for(i=0;i<n;i++){x()}</script>"
+    assert said(f"{loop}<p>main text</p>") == ["main text"] and said(f"<body><p>a</p>{loop.upper()}<p>b</p></body>") == ["a", "b"]
+    assert said("<style>a<b{}</style><p>x</p><textarea>1<2 <p>no</textarea><p>y") == ["x", "y"]
+    assert said("<head><title>t <b</title><meta charset=x><noscript><img src=i><p>no</p></noscript><div>one</div><p>two") == ["one", "two"]
+    assert said("<head><title>never closed<body><p>x</p>") == ["x"] and said("<script>never") == [] and said("<script src=a /><p>x</p>") == ["x"]
+    title, lang, links = warc.page_facts(f"<title>T</title>{loop}<script>'<a href=/no>'</script><a href=/yes>y</a>", "http://h/")
+    assert (title, lang, links) == ("T", "", ["http://h/yes"])
