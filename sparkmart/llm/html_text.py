@@ -12,9 +12,11 @@ from __future__ import annotations
 
 import hashlib
 import html as entities
+import math
 import re
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -25,8 +27,6 @@ from sparkmart.llm.scan import by_bytes
 CONSTANT, LEAST_PAGES = 0.9, 4
 #: A host most of whose content text is constant holds copies of one page; nothing is template there.
 COPIES = 0.5
-#: Sibling lists of more than so many pairs are aligned from both ends.
-PAIRS = 40_000
 #: Outside of an article, a block with this share of its characters in links is a menu.
 LINKS = 0.6
 
@@ -197,50 +197,112 @@ class Page:
         return out
 
 
-def matched(a: Node, b: Node) -> list[tuple[Node, Node]]:
-    """Pairs of nodes of the largest match of the two trees (simple tree matching)."""
-    best: dict[tuple[int, int], tuple[int, list]] = {}
-
-    def match(x: Node, y: Node) -> tuple[int, list]:
-        """Size of the largest match with x on y, and the child pairs it uses."""
-        if x.tag != y.tag:
-            return 0, []
-        p, q = x.children, y.children
-        if not p or not q:
-            return 1, []
-        key = (id(x), id(y))
-        if key in best:
-            return best[key]
-        if len(p) * len(q) > PAIRS:
-            n = min(len(p), len(q))
-            half = n // 2
-            ends = list(zip(p[:half], q[:half])) + (list(zip(p[half - n :], q[half - n :])) if n > half else [])
-            used = [(u, v) for u, v in ends if u.tag == v.tag]
-            best[key] = 1 + sum(match(u, v)[0] for u, v in used), used
-            return best[key]
-        size = [[0] * (len(q) + 1) for _ in range(len(p) + 1)]
-        for i, u in enumerate(p, 1):
-            above, row = size[i - 1], size[i]
-            for j, v in enumerate(q, 1):
-                w = match(u, v)[0] if u.tag == v.tag else 0
-                row[j] = max(above[j], row[j - 1], above[j - 1] + w)
-        used, i, j = [], len(p), len(q)
+class Shapes:
+    """Numbers of subtrees, equal for equal tags all the way down, and the sizes of the largest matches of two of them."""
+
+    def __init__(self):
+        self.numbers: dict[tuple, int] = {}
+        self.tags: list[str] = []
+        self.kids: list[tuple[int, ...]] = []
+        self.nodes: list[int] = []
+        self.of: dict[int, int] = {}
+        self.best: dict[tuple[int, int], int] = {}
+
+    def add(self, root: Node) -> None:
+        order, todo = [], [root]
+        while todo:
+            order.append(todo.pop())
+            todo += order[-1].children
+        for node in reversed(order):
+            form = (node.tag, *(self.of[id(c)] for c in node.children))
+            if form not in self.numbers:
+                self.numbers[form] = len(self.tags)
+                self.tags.append(node.tag)
+                self.kids.append(form[1:])
+                self.nodes.append(1 + sum(self.nodes[k] for k in form[1:]))
+            self.of[id(node)] = self.numbers[form]
+
+    def known(self, x: int, y: int) -> int | None:
+        """The size of the largest match of x and y, None if it is still to be computed."""
+        if x == y:
+            return self.nodes[x]
+        if self.tags[x] != self.tags[y]:
+            return 0
+        return self.best.get((x, y)) if self.kids[x] and self.kids[y] else 1
+
+    def solve(self, x: int, y: int) -> None:
+        todo = [(x, y)]
+        while todo:
+            x, y = todo[-1]
+            if self.known(x, y) is None:
+                missing = [(u, v) for u in set(self.kids[x]) for v in set(self.kids[y]) if self.known(u, v) is None]
+                if missing:
+                    todo += missing
+                    continue
+                *_, last = self.rows(x, y)
+                self.best[x, y] = 1 + int(last[-1])
+            todo.pop()
+
+    def rows(self, x: int, y: int, first: Sequence[int] | None = None, start: int = 0, stop: int | None = None) -> Iterator[Sequence[int]]:
+        """Row i holds the sizes of the largest matches of the first i children of x with the first 0, 1, ... children of y."""
+        if len(self.kids[x]) * len(self.kids[y]) <= 1024:  # the same rows, faster without arrays
+            row = [0] * (len(self.kids[y]) + 1) if first is None else first
+            yield row
+            for u in self.kids[x][start:stop]:
+                after = [0]
+                for j, v in enumerate(self.kids[y]):
+                    after.append(max(row[j + 1], after[j], row[j] + self.known(u, v)))
+                row = after
+                yield row
+            return
+        others, place = np.unique(np.array(self.kids[y]), return_inverse=True)
+        others, gains = others.tolist(), {}
+        row = np.zeros(len(place) + 1, np.int32) if first is None else first
+        yield row
+        for u in self.kids[x][start:stop]:
+            if u not in gains:
+                gains[u] = np.array([self.known(u, v) for v in others], np.int32)
+            after = row.copy()
+            np.maximum(row[1:], row[:-1] + gains[u][place], out=after[1:])
+            row = np.maximum.accumulate(after)
+            yield row
+
+    def used(self, x: int, y: int) -> list[tuple[int, int]]:
+        """The child pairs of the largest match. Only every step-th row is kept, the rows between are computed again."""
+        if not self.kids[x] or not self.kids[y]:
+            return []
+        i, j = len(self.kids[x]), len(self.kids[y])
+        if x == y:
+            return [(k, k) for k in range(i)]
+        step = math.isqrt(i) + 1
+        marks = [row for k, row in enumerate(self.rows(x, y)) if k % step == 0]
+        out = []
         while i and j:
-            if size[i][j] == size[i - 1][j]:
-                i -= 1
-            elif size[i][j] == size[i][j - 1]:
-                j -= 1
-            else:
-                used.append((p[i - 1], q[j - 1]))
-                i, j = i - 1, j - 1
-        best[key] = 1 + size[-1][-1], used[::-1]
-        return best[key]
+            low = (i - 1) // step * step
+            size = list(self.rows(x, y, marks[low // step], low, i))
+            while i > low and j:
+                if size[i - low][j] == size[i - low - 1][j]:
+                    i -= 1
+                elif size[i - low][j] == size[i - low][j - 1]:
+                    j -= 1
+                else:
+                    out.append((i - 1, j - 1))
+                    i, j = i - 1, j - 1
+        return out[::-1]
+
 
+def matched(a: Node, b: Node) -> list[tuple[Node, Node]]:
+    """Pairs of nodes of the largest match of the two trees (simple tree matching), exact for sibling lists of any length."""
+    shapes = Shapes()
+    shapes.add(a)
+    shapes.add(b)
     out, todo = [], [(a, b)]
     while todo:
         x, y = todo.pop()
         out.append((x, y))
-        todo += match(x, y)[1]
+        p, q = shapes.of[id(x)], shapes.of[id(y)]
+        shapes.solve(p, q)
+        todo += [(x.children[i], y.children[j]) for i, j in shapes.used(p, q)]
     return out
 
 

@@ -260,3 +260,17 @@ def test_markup_inside_scripts_and_open_heads():
     assert said("<head><title>never closed<body><p>x</p>") == ["x"] and said("<script>never") == [] and said("<script src=a /><p>x</p>") == ["x"]
     title, lang, links = warc.page_facts(f"<title>T</title>{loop}<script>'<a href=/no>'</script><a href=/yes>y</a>", "http://h/")
     assert (title, lang, links) == ("T", "", ["http://h/yes"])
+
+
+def test_long_sibling_lists_are_aligned():
+    def tree(tags):
+        root = html_text.Node("body", False, False, False)
+        root.children = [html_text.Node(t, False, False, False) for t in tags]
+        return root
+
+    rng = random.Random(8)
+    tags = [rng.choice(("p", "ul", "h2", "div", "table")) for _ in range(900)]
+    less = tags[:100] + tags[101:500] + tags[503:]
+    assert len(html_text.matched(tree(tags), tree(less))) == 1 + len(less) == len(html_text.matched(tree(less), tree(tags)))
+    deep = [html_text.Page("<div>" * 3000 + "<p>x").root for _ in range(2)]
+    assert len(html_text.matched(*deep)) == 3002
