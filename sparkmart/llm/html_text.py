@@ -1,8 +1,9 @@
 """Main text of web pages by wrapper induction.
 
-Pages of a host are made by the same template. One page per host, chosen by hash, is its reference;
-the tree of every page is aligned with the reference's by simple tree matching, which finds the
-largest order-preserving match of equal tags, top down. A reference node whose text is the same in
+Pages of a host are made by a few templates. A page's layout is its set of tag paths. A reference page
+is chosen for all pages of a host, for those with the same upper paths, and for each layout, if there
+are enough pages; the tree of every page is aligned with its references' by simple tree matching, which
+finds the largest order-preserving match of equal tags, top down. A reference node whose text is the same in
 nearly all pages it was matched in is template; nodes whose text varies are slots that hold content.
 Menus, adverts and footers vary too, so what an element calls itself (its tag, role, class and id)
 closes the slots inside it.
@@ -25,8 +26,10 @@ from sparkmart.llm.scan import by_bytes
 
 #: A node is template if it has its text in this share of at least LEAST_PAGES matched, different pages.
 CONSTANT, LEAST_PAGES = 0.9, 4
-#: A host most of whose content text is constant holds copies of one page; nothing is template there.
+#: A group of pages most of whose content text is constant holds copies of one page; nothing is template there.
 COPIES = 0.5
+#: Levels of a tag path that pages of similar layouts share.
+UPPER = 4
 #: Outside of an article, a block with this share of its characters in links is a menu.
 LINKS = 0.6
 
@@ -315,23 +318,81 @@ def host_of(url: str | Column) -> Column:
     return F.lower(F.regexp_extract(whole(url), r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)", 1))
 
 
+def layout(page: Page) -> tuple[int, int]:
+    """Hashes of the page's tag paths, cut to UPPER levels and whole."""
+    numbers: dict[tuple, int] = {}
+    paths, upper, at = set(), set(), 0
+    todo = [(-1, 0, c) for c in page.root.children]
+    while at < len(todo):
+        above, depth, node = todo[at]
+        at += 1
+        key = (above, node.tag)
+        if key not in numbers:
+            numbers[key] = said_hash(f"{above} {node.tag}")
+            paths.add(numbers[key])
+            if depth < UPPER:
+                upper.add(numbers[key])
+        todo += [(numbers[key], depth + 1, c) for c in node.children]
+    return tuple(said_hash(" ".join(map(str, sorted(x)))) for x in (upper, paths))
+
+
+def laid_out(pages: DataFrame, keep_html: bool) -> DataFrame:
+    """(host, pick, upper, full[, html]) of the pages that have content."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in by_bytes(batches, "html"):
+            keep, keys = [], []
+            for source in batch.column("html").to_pylist():
+                page = Page(source)
+                keep.append(bool(page.content()))
+                if keep[-1]:
+                    keys.append(layout(page))
+            batch = batch.filter(pa.array(keep, pa.bool_()))
+            upper, full = zip(*keys) if keys else ((), ())
+            columns = [batch.column("host"), batch.column("pick"), pa.array(upper, pa.int64()), pa.array(full, pa.int64())]
+            names = ["host", "pick", "upper", "full"]
+            yield pa.RecordBatch.from_arrays(columns + [batch.column("html")] * keep_html, names + ["html"] * keep_html)
+
+    return pages.select("host", "html", "pick").mapInArrow(run, "host string, pick long, upper long, full long" + ", html string" * keep_html)
+
+
+def grouped(pages: DataFrame) -> DataFrame:
+    """(host, upper, full, pick): the groups of at least LEAST_PAGES pages and the page each is judged by.
+
+    NULL stands for any layout. A group that is all of a wider one is left out. The reference is of the
+    group's most frequent layout.
+    """
+    layouts = stored(laid_out(pages, False).groupBy("host", "upper", "full").agg(F.count(F.lit(1)).alias("n"), F.min("pick").alias("pick")))
+    first = F.min(F.struct((-F.col("n")).alias("n"), "full", "pick")).alias("first")
+    uppers = layouts.groupBy("host", "upper").agg(F.sum("n").alias("m"), first)
+    hosts = layouts.groupBy("host").agg(F.sum("n").alias("all"), first)
+    none = F.lit(None).cast("long")
+    whole_hosts = hosts.filter(F.col("all") >= LEAST_PAGES).select("host", none.alias("upper"), none.alias("full"), "first.pick")
+    parts = uppers.join(hosts.select("host", "all"), "host").filter((F.col("m") >= LEAST_PAGES) & (F.col("m") < F.col("all"))).select("host", "upper", none.alias("full"), "first.pick")
+    single = layouts.join(uppers.select("host", "upper", "m"), ["host", "upper"]).filter((F.col("n") >= LEAST_PAGES) & (F.col("n") < F.col("m"))).select("host", "upper", "full", "pick")
+    return stored(whole_hosts.union(parts).union(single))
+
+
 def aligned(pages: DataFrame) -> DataFrame:
-    """(host, body, slot, said, same, weight): for each page, the reference's content nodes it was matched in.
+    """(host, group, body, slot, said, same, weight): for each page and reference, the reference's content nodes it was matched in.
 
     `body` stands for the page's content text, `said` for the reference node's text, `same` tells whether the page has it there.
+    A row of slot -1 gives the length of the page's own content.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known: dict[str, Page] = {}
+        known: dict[tuple, Page] = {}
         for batch in by_bytes(batches, "html"):
             rows: list[tuple] = []
-            for host, source, other in zip(*(batch.column(c).to_pylist() for c in ("host", "html", "reference"))):
-                if host not in known:
+            for host, group, source, other in zip(*(batch.column(c).to_pylist() for c in ("host", "group", "html", "reference"))):
+                if (host, group) not in known:
                     if len(known) > 200:
                         known.clear()
-                    known[host] = Page(other)
-                page, ref = Page(source), known[host]
-                body = said_hash("\n".join(page.blocks[i][0] for i in page.content()))
+                    known[host, group] = Page(other)
+                page, ref = Page(source), known[host, group]
+                own = [page.blocks[i][0] for i in page.content()]
+                body = said_hash("\n".join(own))
+                rows.append((host, group, body, -1, 0, False, sum(map(len, own))))
                 partner = {id(x): y for x, y in matched(ref.root, page.root)}
                 for i in ref.content():
                     text, node, _ = ref.blocks[i]
@@ -339,29 +400,37 @@ def aligned(pages: DataFrame) -> DataFrame:
                     if mate is not None and mate.blocks:
                         at = node.blocks.index(i)
                         same = at < len(mate.blocks) and page.blocks[mate.blocks[at]][0] == text
-                        rows.append((host, body, i, said_hash(text), same, len(text)))
-            names = ["host", "body", "slot", "said", "same", "weight"]
-            kinds = [pa.string(), pa.int64(), pa.int32(), pa.int64(), pa.bool_(), pa.int64()]
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows) if rows else [()] * 6, kinds)], names)
+                        rows.append((host, group, body, i, said_hash(text), same, len(text)))
+            names = ["host", "group", "body", "slot", "said", "same", "weight"]
+            kinds = [pa.string(), pa.string(), pa.int64(), pa.int32(), pa.int64(), pa.bool_(), pa.int64()]
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows) if rows else [()] * 7, kinds)], names)
 
-    return pages.select("host", "html", "reference").mapInArrow(run, "host string, body long, slot int, said long, same boolean, weight long")
+    return pages.select("host", "group", "html", "reference").mapInArrow(run, "host string, group string, body long, slot int, said long, same boolean, weight long")
 
 
 def templates(pages: DataFrame) -> DataFrame:
-    """(host, template): hashes of the texts that are constant in the host's pages. `pages` has host, html and pick."""
-    picks = pages.groupBy("host").agg(F.min("pick").alias("pick"))
-    references = stored(pages.join(picks, ["host", "pick"]).dropDuplicates(["host"]).select("host", F.col("html").alias("reference")))
-    nodes = aligned(pages.join(references, "host"))
+    """(host, template): hashes of the texts that are constant in a group of the host's pages. `pages` has host, html and pick."""
+    groups = grouped(pages)
+    name = F.concat_ws(" ", F.coalesce(F.col("upper").cast("string"), F.lit("-")), F.coalesce(F.col("full").cast("string"), F.lit("-"))).alias("group")
+    html = pages.join(groups.select("host", "pick").distinct(), ["host", "pick"]).dropDuplicates(["host", "pick"]).select("host", "pick", "html")
+    references = stored(groups.join(html, ["host", "pick"]).select("host", name, F.col("html").alias("reference")))
+    full = F.concat_ws(" ", F.col("upper").cast("string"), F.col("full").cast("string"))
+    mine = F.array(F.lit("- -"), F.concat(F.col("upper").cast("string"), F.lit(" -")), full)
+    # A page goes on once for each of its groups that has a reference; on a host of one layout that is one.
+    held = references.groupBy("host").agg(F.collect_set("group").alias("held"))
+    sided = laid_out(pages, True).join(held, "host").select("host", "html", F.explode(F.array_intersect(mine, "held")).alias("group"))
+    nodes = aligned(sided.join(references, ["host", "group"]))
     # Pages with equal content count once, so that copies of a page do not look like a template.
-    once = nodes.groupBy("host", "slot", "said", "weight", "body").agg(F.max("same").alias("same"))
-    slots = once.groupBy("host", "slot", "said", "weight").agg(F.count(F.lit(1)).alias("n"), F.sum(F.col("same").cast("int")).alias("same"))
-    constant = (F.col("n") >= LEAST_PAGES) & (F.col("same") >= F.col("n") * CONSTANT)
-    by_host = slots.groupBy("host").agg(
+    once = nodes.groupBy("host", "group", "slot", "said", "weight", "body").agg(F.max("same").alias("same"))
+    slots = once.groupBy("host", "group", "slot", "said", "weight").agg(F.count(F.lit(1)).alias("n"), F.sum(F.col("same").cast("int")).alias("same"))
+    constant = (F.col("slot") >= 0) & (F.col("n") >= LEAST_PAGES) & (F.col("same") >= F.col("n") * CONSTANT)
+    by_group = slots.groupBy("host", "group").agg(
         F.collect_set(F.when(constant, F.col("said"))).alias("template"),
-        F.sum(F.when(constant, F.col("weight")).otherwise(0)).alias("fixed"),
-        F.sum("weight").alias("all"),
+        F.sum(F.when(constant, F.col("weight") * F.col("same")).otherwise(0)).alias("fixed"),
+        F.sum(F.when(F.col("slot") < 0, F.col("weight") * F.col("n")).otherwise(0)).alias("all"),
     )
-    return stored(by_host.filter((F.size("template") > 0) & (F.col("fixed") <= F.col("all") * COPIES)).select("host", "template"))
+    kept = by_group.filter((F.size("template") > 0) & (F.col("fixed") <= F.col("all") * COPIES))
+    return stored(kept.groupBy("host").agg(F.array_distinct(F.flatten(F.collect_list("template"))).alias("template")))
 
 
 def main_text(pages: DataFrame, html: str = "html", url: str = "url", text: str = "text", induce: bool = True) -> DataFrame:

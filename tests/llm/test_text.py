@@ -274,3 +274,26 @@ def test_long_sibling_lists_are_aligned():
     assert len(html_text.matched(tree(tags), tree(less))) == 1 + len(less) == len(html_text.matched(tree(less), tree(tags)))
     deep = [html_text.Page("<div>" * 3000 + "<p>x").root for _ in range(2)]
     assert len(html_text.matched(*deep)) == 3002
+
+
+def test_templates_of_several_layouts(spark):
+    rng = random.Random(6)
+    rows, want = [], {}
+
+    def add(host, page, own, source):
+        rows.append((page, f"http://{host}/{page}", source))
+        want[page] = own
+
+    for i in range(24):
+        own = " ".join(prose(rng, 12).split())
+        add("two.org", i, own, (f"<div><p>Welcome here</p></div><div><p>{own}</p></div>", f"<section><h2>Also on this site</h2></section><ul><li>{own}</ul><section><p>Kept by us</p></section>")[i % 2])
+        add("holes.org", 100 + i, own, f"<div><p>Welcome here</p></div><div><p>{own}</p></div>")
+    rows += [(200 + i, f"http://holes.org/e{i}", (None, "", "<body></body>")[i % 3]) for i in range(60)]
+    want |= {200 + i: "" for i in range(60)}
+    for i in range(12):
+        own = "ok" if i % 2 else " ".join(prose(rng, 60).split())
+        add("short.org", 300 + i, f"{own} {i}", f"<div><p>Welcome to all of our pages here</p></div><div><p>{own} {i}</p></div>")
+    for k in range(3):  # whichever page has the smallest hash
+        shifted = [(p, u and f"{u}?{k}", h) for p, u, h in rows]
+        got = {r["page_id"]: r["text"] for r in html_text.digest(spark.createDataFrame(shifted, "page_id long, url string, html string")).collect()}
+        assert got == want
