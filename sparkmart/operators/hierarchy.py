@@ -78,14 +78,43 @@ def resolve_chain(df, id_col, next_col) -> DataFrame:
     return _double(state).select(F.col("id").alias(id_col), F.col("path").alias("chain"), last.alias("last_id"), (last != F.col("id")).alias("is_moved"))
 
 
+def _longest(nodes: DataFrame) -> DataFrame:
+    """(id, path): the longest path from each node to a leaf, ties to the smallest text.
+
+    Level by level from the leaves: a node is settled once all its successors are, so there is one row
+    per node and one checkpointed join per level. What leads into a cycle is never settled; only there
+    are paths enumerated, without those that meet themselves. Paths to missing nodes are dropped.
+    """
+    ensure_checkpoint_dir(nodes.sparkSession)
+    linked = nodes.select("id", F.explode_outer("renewals").alias("next")).distinct().checkpoint()
+    edges = linked.join(linked.select(F.col("id").alias("next")).distinct(), "next", "left_semi").select("id", "next").checkpoint()
+    order = F.when(F.col("path").isNotNull(), F.struct(-F.size("path"), F.array_join("path", ",")))
+    # Per node: successors still open, and the best path so far.
+    ends = linked.select("id", F.lit(0).cast("long").alias("open"), F.when(F.col("next").isNull(), F.array("id")).alias("path"))
+    state = ends.unionByName(edges.select("id", F.lit(1).cast("long").alias("open"), F.lit(None).cast(ends.schema["path"].dataType).alias("path")))
+    settled = None
+    while True:
+        state = state.groupBy("id").agg(F.sum("open").alias("open"), F.min_by("path", order).alias("path")).checkpoint()
+        level = state.filter("open = 0").select("id", "path")
+        if level.isEmpty():
+            break
+        settled = level if settled is None else settled.unionByName(level)
+        heard = edges.join(level.withColumnsRenamed({"id": "next"}), "next").select("id", F.lit(-1).cast("long").alias("open"), F.concat(F.array("id"), "path").alias("path"))
+        state = state.filter("open > 0").unionByName(heard)
+    if not state.isEmpty():
+        known = state.filter("path IS NOT NULL").select("id", "path", F.lit(None).cast(nodes.schema["id"].dataType).alias("next"))
+        inner = edges.join(state.select("id"), "id", "left_semi").join(state.select(F.col("id").alias("next")), "next", "left_semi")
+        cyclic = _double(known.unionByName(inner.select("id", F.array("id").alias("path"), "next")))
+        cyclic = cyclic.groupBy("id").agg(F.min_by("path", order).alias("path"))
+        settled = cyclic if settled is None else settled.unionByName(cyclic)
+    return (state.select("id", "path") if settled is None else settled).filter("path IS NOT NULL")
+
+
 def renewal_lineage(df, id_col, next_ids) -> DataFrame:
     """Longest renewal chain per record as text: the record, all its direct renewals,
     then the longest continuation of one of them. Ties take the smallest text."""
     nodes = df.select(as_col(id_col).cast("string").alias("id"), F.transform(as_col(next_ids), lambda x: x.cast("string")).alias("renewals"))
-    state = nodes.select("id", F.array("id").alias("path"), F.explode_outer("renewals").alias("next"))
-    paths = _double(state)
-    text = F.array_join("path", ",")
-    best = paths.groupBy("id").agg(F.min_by("path", F.struct(-F.size("path"), text)).alias("path"))
+    best = _longest(nodes)
     tails = best.select(F.col("id").alias("renewal"), F.slice("path", F.lit(2), F.size("path")).alias("tail"))
     options = nodes.select("id", "renewals", F.explode_outer("renewals").alias("renewal")).join(tails, "renewal", "left")
     parts = F.concat(F.array("id"), F.coalesce("renewals", F.array().cast("array<string>")), F.coalesce("tail", F.array().cast("array<string>")))

@@ -100,3 +100,18 @@ def test_checkpoint_dir_needs_a_shared_folder(spark, monkeypatch):
 
     with pytest.raises(ValueError):
         session.ensure_checkpoint_dir(FakeSpark())
+
+
+def test_longest_renewals_without_all_paths(spark):
+    def chosen(out):
+        return {r["id"]: r["lineage"] for r in out.collect()}
+
+    # Ten levels of six nodes, all linked: 6 ** 9 paths from each node of the first.
+    levels = [[10 * (k + 1) + i for i in range(6)] for k in range(10)]
+    full = [(n, levels[k + 1] if k < 9 else None) for k, held in enumerate(levels) for n in held]
+    lin = chosen(H.renewal_lineage(spark.createDataFrame(full, "id int, nxt array<int>"), "id", "nxt"))
+    assert lin["10"] == ",".join(map(str, [10, *levels[1], *[x[0] for x in levels[2:]]])) and lin["105"] == "105" and len(lin) == 60
+    # A cycle, a missing node, a dead end and a NULL among the renewals.
+    odd = [(1, [2, 5]), (2, [3]), (3, [1, 4]), (4, None), (5, [99]), (6, [5, 4]), (7, [None, 4])]
+    best = {r["id"]: r["path"] for r in H._longest(spark.createDataFrame([(str(i), n and [None if x is None else str(x) for x in n]) for i, n in odd], "id string, renewals array<string>")).collect()}
+    assert best == {"1": ["1", "2", "3", "4"], "2": ["2", "3", "4"], "3": ["3", "4"], "4": ["4"], "6": ["6", "4"], "7": ["7", "4"]}
