@@ -113,3 +113,25 @@ l AS (SELECT a, min(b) AS low FROM reach GROUP BY a)
 SELECT d.doc_id, CAST(coalesce(n, 0) AS BIGINT) AS n_shingles, least(d.doc_id, coalesce(low, d.doc_id)) AS component_id, least(d.doc_id, coalesce(low, d.doc_id)) = d.doc_id AS kept
 FROM d LEFT JOIN n ON d.doc_id = n.doc_id LEFT JOIN l ON l.a = d.doc_id
 """
+
+
+COLLOCATIONS = r"""
+WITH p AS (
+  SELECT doc_id, coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece FROM documents),
+w AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM p),
+s AS (SELECT lang, w, unnest(range(1, len(w) + 1)) AS i FROM w),
+g AS (SELECT lang, s AS words, array_to_string(w[i : i + s - 1], ' ') AS phrase FROM s, range(1, 5) AS r(s) WHERE i + s - 1 <= len(w)),
+f AS (SELECT lang, words, phrase, count(*) AS f FROM g GROUP BY ALL),
+n AS (SELECT lang, CAST(sum(f) AS BIGINT) AS n FROM f WHERE words = 1 GROUP BY lang),
+c AS (SELECT lang, words, phrase, f AS a, string_split(phrase, ' ') AS w FROM f WHERE words > 1 AND f >= 30),
+k AS (SELECT c.*, unnest(range(1, words)) AS k FROM c),
+z AS (SELECT k.lang, k.phrase, a, k, x.f AS l, y.f AS r, CAST(2000000::HUGEINT * a // (x.f + y.f) AS BIGINT) AS score
+  FROM k JOIN f x ON x.lang = k.lang AND x.phrase = array_to_string(k.w[1 : k], ' ') JOIN f y ON y.lang = k.lang AND y.phrase = array_to_string(k.w[k + 1 : k.words], ' ')),
+b AS (SELECT * FROM z QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+t AS (
+  SELECT * FROM b WHERE NOT EXISTS (
+    SELECT 1 FROM (SELECT lang, array_to_string(w[i : i + s - 1], ' ') AS phrase, max(a) AS most FROM c, range(2, 4) AS r(s), range(1, 4) AS q(i) WHERE s < words AND i + s - 1 <= words GROUP BY ALL) o
+    WHERE o.lang = b.lang AND o.phrase = b.phrase AND 100 * CAST(most AS HUGEINT) >= 80 * CAST(b.a AS HUGEINT)))
+SELECT t.lang, CAST(row_number() OVER (PARTITION BY t.lang ORDER BY score DESC, a DESC, phrase) AS BIGINT) AS rank, phrase, a, l, r, n, score
+FROM t JOIN n ON t.lang = n.lang QUALIFY rank <= 2000
+"""

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from sparkmart.llm import html_text, line_dedup, minhash, mixing, oracles, pieces, quality, sharding, toxicity, warc, winnow
+from sparkmart.llm import html_text, line_dedup, minhash, mixing, oracles, phrases, pieces, quality, sharding, toxicity, warc, winnow
 from sparkmart.llm.common import table
 
 
@@ -50,8 +50,12 @@ def op10_minhash_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, folder, "documents"))
 
 
+def op13_collocations(spark: SparkSession, folder: str) -> DataFrame:
+    return phrases.collocations(table(spark, folder, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (
-    op1_source_mix, op2_sentencepiece, op3_toxicity, op4_warc_derivatives, op5_line_dedup, op6_adaptive_quality, op7_html_text, op8_winnowing, op9_rendezvous_shards, op10_minhash_near_duplicates,
+    op1_source_mix, op2_sentencepiece, op3_toxicity, op4_warc_derivatives, op5_line_dedup, op6_adaptive_quality, op7_html_text, op8_winnowing, op9_rendezvous_shards, op10_minhash_near_duplicates, op13_collocations,
 )}
 
 ORACLES: dict[str, str] = {
@@ -59,4 +63,5 @@ ORACLES: dict[str, str] = {
     "op6_adaptive_quality": oracles.quality(quality.METRICS, quality.LEAST_DOCS, quality.REACH, quality.CELLS),
     "op9_rendezvous_shards": oracles.SHARDS,
     "op10_minhash_near_duplicates": oracles.NEAR,
+    "op13_collocations": oracles.COLLOCATIONS,
 }
