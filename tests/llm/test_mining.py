@@ -1,13 +1,16 @@
 """Phrase collocations, tokens aligned across vocabularies, and terms that disclose personal data."""
 
+import hashlib
 import random
 import re
 from collections import Counter
 
 import pytest
+import sentencepiece
+import tokenizers
 
-from sparkmart.llm import phrases
-from tests.llm.cases import DOCS, awkward, frame
+from sparkmart.llm import alignment, phrases
+from tests.llm.cases import DOCS, FOLDER, awkward, frame
 
 
 def every_phrase(rows):
@@ -79,3 +82,79 @@ def test_frequencies_of_copies(spark, least):
     got = {(r["lang"], r["phrase"]): r["f"] for r in phrases.frequencies(frame(spark, rows), least=least).collect() if r["words"]}
     want, words = every_phrase(rows)
     assert got == {(lang, " ".join(p)): n for (lang, p), n in want.items() if n >= least}
+
+
+def linked_by_definition(texts):
+    """Per text (n_a, n_b, n_groups, n_links, n_best, count_sum, groups_sha256), and documents and links of every pair."""
+    path_a, path_b = alignment.default_files()
+    a_file, b_file = tokenizers.Tokenizer.from_file(path_a), sentencepiece.SentencePieceProcessor(model_file=path_b)
+    a_file.encode_special_tokens = True
+    letters = alignment.byte_letters()
+    spelled = {i: bytes(letters[c] for c in t) for t, i in a_file.get_vocab(with_added_tokens=False).items()}
+
+    def piece(i):
+        p = b_file.id_to_piece(i)
+        return bytes([int(p[3:5], 16)]) if b_file.is_byte(i) else p.replace("\u2581", " ").encode()
+
+    every, docs, links = [], Counter(), Counter()
+    for t in texts:
+        groups = []
+        if t:
+            a, b = a_file.encode(" " + t, add_special_tokens=False).ids, b_file.encode(t)
+            say_a, say_b = [spelled[i] for i in a], [piece(i) for i in b]
+            if b"".join(say_a) == b"".join(say_b) == (" " + t).encode():
+                ends = lambda said: [sum(map(len, said[: i + 1])) for i in range(len(said))] if len(said) < 3000 else list(running(said))
+                end_a, end_b = ends(say_a), ends(say_b)
+                x = y = 0
+                for cut in sorted(set(end_a) & set(end_b)):
+                    p, q = x, y
+                    while x < len(a) and end_a[x] <= cut:
+                        x += 1
+                    while y < len(b) and end_b[y] <= cut:
+                        y += 1
+                    groups.append((a[p:x], b[q:y]))
+        pairs = Counter((i, j) for p, q in groups for i in p for j in q)
+        docs.update(pairs.keys())
+        links.update(pairs)
+        every.append((groups, pairs))
+    top = Counter()
+    for (i, _), n in docs.items():
+        top[i] = max(top[i], n)
+    out = []
+    for groups, pairs in every:
+        said = ";".join(",".join(map(str, p)) + "|" + ",".join(map(str, q)) for p, q in groups)
+        out.append((sum(len(p) for p, _ in groups), sum(len(q) for _, q in groups), len(groups), sum(pairs.values()), sum(n for k, n in pairs.items() if docs[k] == top[k[0]]),
+                    sum(n * docs[k] for k, n in pairs.items()), hashlib.sha256(said.encode()).hexdigest() if groups else ""))
+    return out, docs, links
+
+
+def running(said):
+    total = 0
+    for x in said:
+        total += len(x)
+        yield total
+
+
+ODD = ["<|endoftext|> <s> <unk> <0x41>", "a\u2581b", "\x00\x01", " two  blanks ", "\u00e9\u6f22\U0001f600" * 30, "=" * 3000 + " x" * 50, "it's we'll I'D 12345678 \n\n\t x", "\ufb01 \u212b", "q" * 999 + "\n" * 77]
+
+
+@pytest.mark.parametrize("docs, entries, wide", [(alignment.DOCS, alignment.ENTRIES, alignment.WIDE), (5, 300, 2)])
+def test_links_equal_the_definition(spark, monkeypatch, docs, entries, wide):
+    monkeypatch.setattr(alignment, "DOCS", docs)
+    monkeypatch.setattr(alignment, "ENTRIES", entries)
+    monkeypatch.setattr(alignment, "WIDE", wide)
+    given = [r["text"] for r in spark.read.parquet(f"{FOLDER}/documents.parquet").limit(60).collect()]
+    rows = awkward(random.Random(5)) + [(200 + i, t, None, "s", 1) for i, t in enumerate([*ODD, *given, *given[:9]])]
+    df = frame(spark, rows, extra=True).withColumn("block", phrases.F.lit("mine")).withColumn("n_best", phrases.F.lit("mine")).repartition(3)
+    want, docs_of, links = linked_by_definition([r[1] for r in rows])
+    got = alignment.align(df).collect()
+    assert {r["block"] for r in got} == {"mine"} and len(got) == len(rows)
+    said = Counter((r["doc_id"], r["n_a"], r["n_b"], r["n_groups"], r["n_links"], r["n_best"], r["count_sum"], r["groups_sha256"]) for r in got)
+    assert said == Counter((r[0], *w) for r, w in zip(rows, want))
+    table = {(r["a"], r["b"]): (r["n_docs"], r["n_links"]) for r in alignment.pair_table(df).collect()}
+    assert table == {k: (n, links[k]) for k, n in docs_of.items()}
+
+
+def test_alignment_of_nothing(spark):
+    assert alignment.digest(spark.createDataFrame([], DOCS)).count() == 0
+    assert [tuple(r)[1:] for r in alignment.digest(spark.createDataFrame([(1, None, None, None, None)], DOCS)).collect()] == [(0, 0, 0, 0, 0, 0, "")]
