@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from sparkmart.llm import alignment, html_text, line_dedup, minhash, mixing, oracles, phrases, pieces, quality, sharding, toxicity, warc, winnow
+from sparkmart.llm import alignment, disclosure, html_text, line_dedup, minhash, mixing, oracles, phrases, pieces, quality, sharding, toxicity, warc, winnow
 from sparkmart.llm.common import table
 
 
@@ -54,12 +54,16 @@ def op11_token_alignment(spark: SparkSession, folder: str) -> DataFrame:
     return alignment.digest(table(spark, folder, "documents"))
 
 
+def op12_disclosure(spark: SparkSession, folder: str) -> DataFrame:
+    return disclosure.digest(table(spark, folder, "documents"))
+
+
 def op13_collocations(spark: SparkSession, folder: str) -> DataFrame:
     return phrases.collocations(table(spark, folder, "documents"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (
-    op1_source_mix, op2_sentencepiece, op3_toxicity, op4_warc_derivatives, op5_line_dedup, op6_adaptive_quality, op7_html_text, op8_winnowing, op9_rendezvous_shards, op10_minhash_near_duplicates, op11_token_alignment, op13_collocations,
+    op1_source_mix, op2_sentencepiece, op3_toxicity, op4_warc_derivatives, op5_line_dedup, op6_adaptive_quality, op7_html_text, op8_winnowing, op9_rendezvous_shards, op10_minhash_near_duplicates, op11_token_alignment, op12_disclosure, op13_collocations,
 )}
 
 ORACLES: dict[str, str] = {
