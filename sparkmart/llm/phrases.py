@@ -32,8 +32,8 @@ LEAST, INSIDE, PLACES = 30, 80, 2000
 SCALE = 2_000_000
 #: Bits of the bitmap of frequent phrases, in bitmaps of 2**15 bits each.
 BITS, PAGE = 26, 15
-#: Characters of distinct chunks that a task holds before it hands them on.
-HELD = 8_000_000
+#: Characters of distinct chunks, and counts of hashes, that a task holds before it hands them on.
+HELD, PENDING = 8_000_000, 4_000_000
 
 BREAKS = ".,;:!?\n\x0b\x0c\r"
 SEED = U(0x8CB92BA72F3D8DD7)
@@ -121,109 +121,147 @@ def lang_seed(lang: str) -> np.uint64:
     return mixed(Hasher(points)(np.array([0]), np.array([len(points)])))[0]
 
 
-def counted(dictionary: DataFrame, n: int, frequent: np.ndarray | None) -> DataFrame:
-    """(lang, phrase, uses) of phrases of n words, partial sums; for n = 1 also all words of a language as phrase NULL.
+class Chunks:
+    """Chunks of the dictionary one after the other in one array of code points, with their words."""
 
-    `frequent` is the bitmap of phrases of n - 1 words.
-    """
-
-    def summed(batch: pa.RecordBatch, at: int, texts: list[str]) -> Iterator[tuple[str, str | None, int]]:
-        points = code_points("\n".join(texts))
-        starts, ends, breaks = layout(points)
+    def __init__(self, batch: pa.RecordBatch, texts: list[str]):
+        self.points = code_points("\n".join(texts))
+        self.starts, self.ends, self.breaks = layout(self.points)
         size = np.fromiter((len(t) + 1 for t in texts), np.int64, len(texts))
-        cuts = np.searchsorted(starts, np.concatenate(([0], np.cumsum(size))))
-        held = batch.slice(at, len(texts))
-        names = held.column("lang").dictionary_encode()
-        kinds = names.dictionary.to_pylist()
-        of = np.repeat(np.arange(len(texts)), np.diff(cuts))
-        lang = np.asarray(names.indices)[of]
-        uses = np.asarray(held.column("uses"))[of]
-        owned = cuts[1:] - np.where(np.asarray(held.column("last").to_pylist(), bool), 0, OVERLAP)
-        m = len(starts) - n + 1
+        cuts = np.searchsorted(self.starts, np.concatenate(([0], np.cumsum(size))))
+        names = batch.column("lang").dictionary_encode()
+        self.kinds = names.dictionary.to_pylist()
+        self.of = np.repeat(np.arange(len(texts)), np.diff(cuts))
+        self.lang = np.asarray(names.indices)[self.of]
+        self.uses = np.asarray(batch.column("uses"))[self.of]
+        last = np.asarray(batch.column("last").to_pylist(), bool)
+        self.owned = np.arange(len(self.starts)) < (cuts[1:] - np.where(last, 0, OVERLAP))[self.of]
+        self.words = word_hashes(self.points, self.starts, self.ends)
+        self.seeds = np.array([lang_seed(x) for x in self.kinds], U)[self.lang]
+
+    def phrases(self, n: int, parts: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+        """(first word, hash) of the phrases of n words that start in what a chunk owns; only those whose parts the bitmap holds."""
+        m = len(self.starts) - n + 1
         if m <= 0:
-            return
-        words = word_hashes(points, starts, ends)
-        seeds = np.array([lang_seed(x) for x in kinds], U)[lang]
-        ok = (np.arange(len(starts)) < owned[of])[:m]
-        ok &= breaks[starts[n - 1 :]] == breaks[starts[:m]]
-        if n > 1:
-            ok &= of[n - 1 :] == of[:m]
-            part = phrase_hashes(words, n - 1, seeds) & U(2**BITS - 1)
-            hit = (frequent[(part >> U(3)).astype(np.int64)] >> (part & U(7)).astype(np.uint8) & 1).astype(bool)
+            return np.empty(0, np.int64), np.empty(0, U)
+        ok = self.owned[:m] & (self.breaks[self.starts[n - 1 :]] == self.breaks[self.starts[:m]]) & (self.of[n - 1 :] == self.of[:m])
+        if parts is not None:
+            hit = holds(parts, phrase_hashes(self.words, n - 1, self.seeds))
             ok &= hit[:m] & hit[1 : m + 1]
-        place = np.flatnonzero(ok)
-        if not len(place):
-            return
-        key = phrase_hashes(words, n, seeds)[place]
-        order = np.argsort(key, kind="stable")
-        place, key = place[order], key[order]
-        # Equal hashes are one phrase where a second hash agrees; should it ever not, phrases are told apart by their text.
-        check = np.zeros(len(place), U)
-        for k in range(n):
-            check += mixed(words[place + k] ^ SEED) * FACTORS[k + 5]
-        same = key[1:] == key[:-1]
-        alike = same & (check[1:] == check[:-1])
-        head = np.flatnonzero(np.append(True, ~alike))
-        total = np.add.reduceat(uses[place], head)
-        said = points.tobytes().decode("utf-32-le", "surrogatepass")
-        bounds = [(starts[place[head] + k].tolist(), ends[place[head] + k].tolist()) for k in range(n)]
-        names_of = [kinds[i] for i in lang[place[head]].tolist()]
-        parts = [[said[a:b] for a, b in zip(*x)] for x in bounds]
-        yield from zip(names_of, map(" ".join, zip(*parts)), total.tolist())
-        if n == 1:
-            per = np.zeros(len(kinds), np.int64)
-            np.add.at(per, lang[place], uses[place])
-            yield from ((k, None, int(v)) for k, v in zip(kinds, per))
+        at = np.flatnonzero(ok)
+        return at, phrase_hashes(self.words, n, self.seeds)[at]
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in by_bytes(batches, "chunk", 4 << 20):
-            rows: dict[tuple[str, str | None], int] = {}
-            for at, texts in groups(batch.column("chunk").to_pylist(), 1_000_000):
-                for name, phrase, uses in summed(batch, at, texts):
-                    rows[name, phrase] = rows.get((name, phrase), 0) + uses
-            langs, said = zip(*rows) if rows else ((), ())
-            yield pa.RecordBatch.from_arrays([pa.array(langs, pa.string()), pa.array(said, pa.string()), pa.array(rows.values(), pa.int64())], ["lang", "phrase", "uses"])
 
-    return dictionary.mapInArrow(run, "lang string, phrase string, uses long")
+def chunks_of(batches: Iterator[pa.RecordBatch]) -> Iterator[Chunks]:
+    for batch in by_bytes(batches, "chunk", 4 << 20):
+        for at, texts in groups(batch.column("chunk").to_pylist(), 1_000_000):
+            yield Chunks(batch.slice(at, len(texts)), texts)
+
 
+def holds(bits: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+    h = hashes & U(2**BITS - 1)
+    return (bits[(h >> U(3)).astype(np.int64)] >> (h & U(7)).astype(np.uint8) & 1).astype(bool)
 
-def bitmap(phrases: DataFrame, n: int) -> np.ndarray:
-    """Bitmap of the hashes of phrases of n words: 2**BITS bits whatever the number of phrases."""
+
+def added(hashes: list[np.ndarray], uses: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Sums by hash."""
+    key, back = np.unique(np.concatenate(hashes), return_inverse=True)
+    total = np.zeros(len(key), np.int64)
+    np.add.at(total, back, np.concatenate(uses))
+    return key, total
+
+
+def frequent(dictionary: DataFrame, n: int, parts: np.ndarray | None, least: int) -> np.ndarray:
+    """Bitmap of the hashes that phrases of n words have `least` times or more: it holds every phrase as frequent as that.
+
+    2**BITS bits, whatever the number of phrases. `parts` is the bitmap of phrases of n - 1 words.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            langs, said = batch.column("lang").to_pylist(), batch.column("phrase").to_pylist()
-            if not said:
-                continue
-            points = code_points("\n".join(said))
-            starts, ends, _ = layout(points)
-            seeds = {x: lang_seed(x) for x in set(langs)}
-            words = word_hashes(points, starts, ends)
-            hashes = phrase_hashes(words, n, np.repeat(np.array([seeds[x] for x in langs], U), n))[::n] & U(2**BITS - 1)
-            yield pa.RecordBatch.from_arrays([pa.array((hashes >> U(PAGE)).astype(np.int64)), pa.array((hashes & U(2**PAGE - 1)).astype(np.int64))], ["page", "bit"])
-
-    pages = phrases.select("lang", "phrase").mapInArrow(run, "page long, bit long").groupBy("page").agg(F.bitmap_construct_agg("bit").alias("bits"))
-    out = np.zeros(2**BITS >> 3, np.uint8)
+        hashes, uses, room = [], [], PENDING
+
+        def out() -> pa.RecordBatch:
+            key, total = added(hashes, uses)
+            return pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), pa.array(total)], ["hash", "uses"])
+
+        for some in chunks_of(batches):
+            at, key = some.phrases(n, parts)
+            hashes.append(key)
+            uses.append(some.uses[at])
+            room -= len(key)
+            if room < 0:
+                yield out()
+                hashes, uses, room = [], [], PENDING
+        if hashes:
+            yield out()
+
+    often = dictionary.mapInArrow(run, "hash long, uses long").groupBy("hash").agg(F.sum("uses").alias("uses")).filter(F.col("uses") >= least)
+    slot = F.col("hash").bitwiseAND(F.lit(2**BITS - 1))
+    pages = often.groupBy(F.shiftright(slot, PAGE).alias("page")).agg(F.bitmap_construct_agg(slot.bitwiseAND(F.lit(2**PAGE - 1))).alias("bits"))
+    bits = np.zeros(2**BITS >> 3, np.uint8)
     for row in pages.toLocalIterator():
         at = row["page"] << PAGE >> 3
-        out[at : at + (1 << PAGE >> 3)] = np.frombuffer(row["bits"], np.uint8)
-    return out
+        bits[at : at + (1 << PAGE >> 3)] = np.frombuffer(row["bits"], np.uint8)
+    return bits
+
+
+def counted(dictionary: DataFrame, bitmaps: list[np.ndarray]) -> DataFrame:
+    """(lang, words, phrase, uses) of all phrases in the bitmaps of 1, 2, ... words, partial sums; words = 0 counts a language's words."""
+
+    def shown(some: Chunks) -> Iterator[tuple[str, int, str | None, int]]:
+        said = some.points.tobytes().decode("utf-32-le", "surrogatepass")
+        for n, bits in enumerate(bitmaps, 1):
+            at, key = some.phrases(n)
+            if n == 1:
+                per = np.zeros(len(some.kinds), np.int64)
+                np.add.at(per, some.lang[at], some.uses[at])
+                yield from ((k, 0, None, int(v)) for k, v in zip(some.kinds, per))
+            hit = holds(bits, key)
+            at, key = at[hit], key[hit]
+            if not len(at):
+                continue
+            order = np.argsort(key, kind="stable")
+            at, key = at[order], key[order]
+            # Equal hashes are one phrase where a second hash agrees; where not, phrases are told apart by their text.
+            check = np.zeros(len(at), U)
+            for k in range(n):
+                check += mixed(some.words[at + k] ^ SEED) * FACTORS[k + 5]
+            head = np.flatnonzero(np.append(True, (key[1:] != key[:-1]) | (check[1:] != check[:-1])))
+            total = np.add.reduceat(some.uses[at], head)
+            first = at[head]
+            parts = [[said[a:b] for a, b in zip(some.starts[first + k].tolist(), some.ends[first + k].tolist())] for k in range(n)]
+            names = [some.kinds[i] for i in some.lang[first].tolist()]
+            yield from zip(names, [n] * len(first), map(" ".join, zip(*parts)), total.tolist())
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows: dict[tuple[str, int, str | None], int] = {}
+
+        def out() -> pa.RecordBatch:
+            langs, words, said = zip(*rows) if rows else ((), (), ())
+            return pa.RecordBatch.from_arrays([pa.array(langs, pa.string()), pa.array(words, pa.int32()), pa.array(said, pa.string()), pa.array(rows.values(), pa.int64())], ["lang", "words", "phrase", "uses"])
+
+        for some in chunks_of(batches):
+            for lang, words, phrase, uses in shown(some):
+                rows[lang, words, phrase] = rows.get((lang, words, phrase), 0) + uses
+            if len(rows) > PENDING >> 4:
+                yield out()
+                rows.clear()
+        yield out()
+
+    return dictionary.mapInArrow(run, "lang string, words int, phrase string, uses long")
 
 
 def frequencies(df: DataFrame, text: str = "text", lang: str = "lang", least: int = LEAST) -> DataFrame:
-    """(lang, words, phrase, f) of all phrases of 1 to LONGEST words found `least` times or more; words = 0 is a language's number of words."""
+    """(lang, words, phrase, f) of all phrases of 1 to LONGEST words found `least` times or more; words = 0 is a language's number of words.
+
+    Hashes decide which phrases may be as frequent as that, level by level; then these are counted by their text.
+    """
     dictionary = stored(parse(df, text, lang))
-    levels, frequent = [], None
+    bitmaps: list[np.ndarray] = []
     for n in range(1, LONGEST + 1):
-        total = counted(dictionary, n, frequent).groupBy("lang", "phrase").agg(F.sum("uses").alias("f"))
-        level = stored(total.filter((F.col("f") >= least) | F.col("phrase").isNull()))
-        if n < LONGEST:
-            frequent = bitmap(level.filter("phrase IS NOT NULL"), n)
-        levels.append(level.select("lang", F.when(F.col("phrase").isNull(), 0).otherwise(n).alias("words"), "phrase", "f"))
-    out = levels[0]
-    for level in levels[1:]:
-        out = out.unionByName(level)
-    return out
+        bitmaps.append(frequent(dictionary, n, bitmaps[-1] if bitmaps else None, least))
+    total = counted(dictionary, bitmaps).groupBy("lang", "words", "phrase").agg(F.sum("uses").alias("f"))
+    return total.filter((F.col("f") >= least) | (F.col("words") == 0))
 
 
 def _stretch(first: int, size: int) -> F.Column:
