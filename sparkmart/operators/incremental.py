@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from sparkmart.functions import as_col
 from sparkmart.operators import topk
-from sparkmart.operators.windows import join_back
+from sparkmart.operators.windows import RUNNING, window
 
 
 def increment(source, target, ts) -> DataFrame:
@@ -51,18 +51,56 @@ def tumble(df, ts, width, keys=(), **aggs: Column) -> DataFrame:
 def slide(df, ts, days, keys=(), distinct=None) -> DataFrame:
     """Trailing windows of `days`, one per day: events, and distinct values of a column.
 
-    Days are aggregated first and only the daily rows are copied to the windows they
-    belong to, so the expansion does not multiply the events.
+    Nothing is copied to the windows it belongs to. A day's events enter a running total on that
+    day and leave it `days` later. A value's days, each with the windows that hold it, are one or
+    more unbroken stretches of windows: it enters at the start of a stretch and leaves behind its
+    end, so a value costs two rows at most for each of its days, however wide the window.
     """
-    day = F.to_date(as_col(ts))
-    spread = F.explode(F.sequence(F.col("day"), F.date_add("day", days - 1), F.expr("INTERVAL 1 DAY"))).alias("window_end")
-    daily = df.groupBy(day.alias("day"), *keys).agg(F.count(F.lit(1)).alias("n"))
-    out = daily.select(spread, *keys, "n").groupBy("window_end", *keys).agg(F.sum("n").alias("events"))
-    if distinct is None:
-        return out
-    seen = df.select(day.alias("day"), *keys, as_col(distinct).alias("__v")).filter(F.col("__v").isNotNull()).distinct()
-    uniq = seen.select(spread, *keys, "__v").distinct().groupBy("window_end", *keys).agg(F.count(F.lit(1)).alias(f"distinct_{distinct}"))
-    return join_back(out, uniq, ["window_end", *keys]).fillna(0, [f"distinct_{distinct}"])
+    day, keys = F.to_date(as_col(ts)), list(keys)
+    moves = lambda rows, *cols: rows.select(*keys, F.inline(F.array(F.struct(F.col("day"), *[c.alias(n) for n, c in cols]), F.struct(F.col("out").alias("day"), *[(-c).alias(n) for n, c in cols]))))
+    daily = df.groupBy(day.alias("day"), *keys).agg(F.count(F.lit(1)).alias("n")).withColumn("out", F.date_add("day", days))
+    deltas = moves(daily, ("__events", F.col("n")), ("__values", F.lit(0).cast("long")))
+    if distinct is not None:
+        seen = df.select(day.alias("day"), *keys, as_col(distinct).alias("__v")).filter(F.col("__v").isNotNull()).distinct()
+        w = window([*keys, "__v"], "day")
+        broken = lambda a, b: a.isNull() | (F.datediff(b, a) > days)
+        ends = seen.withColumn("__from", broken(F.lag("day").over(w), F.col("day"))).withColumn("__to", broken(F.lead("day").over(w), F.col("day")) | (F.datediff(F.lead("day").over(w), "day") > days))
+        came = ends.groupBy("day", *keys).agg(F.count_if("__from").alias("__values"))
+        left = ends.groupBy(F.date_add("day", days).alias("day"), *keys).agg((-F.count_if("__to")).alias("__values"))
+        deltas = deltas.unionByName(came.unionByName(left).withColumn("__events", F.lit(0).cast("long")))
+    steps = deltas.groupBy("day", *keys).agg(F.sum("__events").alias("__events"), F.sum("__values").alias("__values"))
+    # One row per day and key: a window holds days, not events.
+    so_far = window(keys, "day", RUNNING)
+    steps = steps.select("day", *keys, F.sum("__events").over(so_far).alias("events"), F.sum("__values").over(so_far).alias("__values"), F.lead("day").over(window(keys, "day")).alias("__next"))
+    until = F.sequence(F.col("day"), F.date_sub("__next", 1), F.expr("INTERVAL 1 DAY"))
+    out = steps.filter("events > 0").select(F.explode(until).alias("window_end"), *keys, "events", F.col("__values").alias(f"distinct_{distinct}"))
+    return out if distinct is not None else out.drop(f"distinct_{distinct}")
+
+
+def sessions(df, ts, gap_seconds: float, keys, counts=(), sums=(), lows=(), highs=()) -> DataFrame:
+    """Session windows of a table, whose keys may be hot: like `session`, with mergeable measures.
+
+    As there, a row that comes the whole gap after the last still belongs to it. Rows of a key that fall
+    into one cell of the gap's width are less than the gap apart, so they share a session whatever else happens. Cells are therefore summed up before anything is shuffled by key,
+    and only their ends are put in order: a key with half of all events brings as many rows as it has
+    active cells. counts: names of row counts; sums, lows, highs: {output: column}.
+    """
+    keys = [keys] if isinstance(keys, str) else list(keys)
+    counts = list(counts) or ["events"]
+    parts = [(F.count(F.lit(1)), F.sum, n) for n in counts]
+    parts += [(F.sum(as_col(c)), F.sum, n) for n, c in dict(sums).items()]
+    parts += [(F.min(as_col(c)), F.min, n) for n, c in dict(lows).items()] + [(F.max(as_col(c)), F.max, n) for n, c in dict(highs).items()]
+    gap = int(gap_seconds * 1_000_000)
+    at = F.unix_micros(as_col(ts).cast("timestamp"))
+    cells = df.filter(as_col(ts).isNotNull()).groupBy(*keys, F.expr("0").alias("__z"), F.floor(at / gap).alias("__cell")).agg(
+        F.min(as_col(ts)).alias("__lo"), F.max(as_col(ts)).alias("__hi"), *[first.alias(n) for first, _, n in parts]).drop("__z")
+    w = window(keys, "__cell")
+    micros = lambda c: F.unix_micros(F.col(c).cast("timestamp"))
+    new = F.coalesce((micros("__lo") - F.lag(micros("__hi")).over(w) > gap).cast("int"), F.lit(1))
+    numbered = cells.withColumn("__new", new).withColumn("__s", F.sum("__new").over(window(keys, "__cell", RUNNING)))
+    out = numbered.groupBy(*keys, "__s").agg(F.min("__lo").alias("session_start"), F.max("__hi").alias("__hi"), *[merge(n).alias(n) for _, merge, n in parts])
+    end = F.col("__hi") + F.make_dt_interval(secs=F.lit(gap / 1_000_000))
+    return out.select(F.col("session_start"), end.alias("session_end"), *keys, *[n for *_, n in parts])
 
 
 def session(df, ts, gap, keys, **aggs: Column) -> DataFrame:

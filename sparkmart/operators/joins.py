@@ -14,6 +14,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, functions as F
 
 from sparkmart.functions import as_col
+from sparkmart.functions.ip import network_of, parse_ip
 from sparkmart.operators import windows as wn
 from sparkmart.operators.windows import join_back
 
@@ -143,6 +144,27 @@ def range_lookup(df, point, ranges, low, high, width) -> DataFrame:
     return points.join(spread, (points["__b"] == spread["__b"]) & (as_col(point) >= as_col(low)) & (as_col(point) <= as_col(high))).drop("__b")
 
 
+def prefix_lookup(df, ip, prefixes, prefix, cols, tiebreak) -> DataFrame:
+    """Columns of the longest prefix (CIDR, version 4 or 6) that holds each row's address; NULL without one.
+
+    Distinct addresses are cut to every prefix length in use, 162 at most, and met by one equi
+    join on (family, length, network); the longest hit wins. Of equal prefixes the one with the
+    smallest `tiebreak` counts. Malformed addresses and prefixes match nothing.
+    """
+    nets = prefixes.withColumn("__n", parse_ip(prefix)).filter("__n IS NOT NULL").select(
+        F.col("__n.family").alias("__f"), F.col("__n.prefix").alias("__bits"), F.col("__n.start_hi").alias("__hi"), F.col("__n.start_lo").alias("__lo"),
+        F.struct(*[as_col(c) for c in cols]).alias("__p"), as_col(tiebreak).alias("__tie"))
+    nets = nets.groupBy("__f", "__bits", "__hi", "__lo").agg(F.min_by("__p", "__tie").alias("__p"))
+    used = nets.select("__f", "__bits").distinct().agg(F.collect_set(F.struct("__f", "__bits")).alias("u")).select("u").scalar()
+    known = df.select(as_col(ip).alias("__ip")).distinct().withColumn("__a", parse_ip("__ip")).filter("__a IS NOT NULL")
+    cut = known.withColumn("__u", F.explode(used)).filter(F.col("__u.__f") == F.col("__a.family"))
+    hi, lo = network_of(F.col("__a.family"), F.col("__u.__bits"), F.col("__a.hi"), F.col("__a.lo"))
+    cut = cut.select("__ip", F.col("__a.family").alias("__f"), F.col("__u.__bits").alias("__bits"), hi.alias("__hi"), lo.alias("__lo"))
+    best = cut.join(nets, ["__f", "__bits", "__hi", "__lo"]).groupBy("__ip").agg(F.max_by("__p", "__bits").alias("__p"))
+    out = df.withColumn("__ip", as_col(ip)).join(best, "__ip", "left")
+    return out.select(*[F.col(c) for c in df.columns if c not in cols], *[F.col("__p")[c].alias(c) for c in cols])
+
+
 def overlap_join(a, b, key, a_span, b_span, unit) -> DataFrame:
     """Pairs of intervals of one key that overlap, with their intersection.
 

@@ -81,7 +81,8 @@ def adoption(usage, counters, month, subscription, release, metric, metric_relea
     A subscription counts once a month, with its newest release of that month. Counting
     per month and release comes first; a running total from the newest release down then
     answers every counter of a release at once. Metrics meet the totals through an equi
-    join on (month, release).
+    join on (month, release). A month without usage has no row; where nobody has the
+    counter, the share is 0.
     """
     usage = usage.groupBy(month, subscription).agg(F.max(as_col(release)).alias("__r")).filter(F.col(subscription).isNotNull())
     counts = usage.groupBy(month, "__r").agg(F.count(F.lit(1)).alias("__n"))
@@ -89,30 +90,13 @@ def adoption(usage, counters, month, subscription, release, metric, metric_relea
     releases = counters.select(as_col(metric_release).alias("__r")).distinct()
     last = usage.select(F.max(month)).scalar()
     wanted = releases.filter(F.col("__r") <= last).select("__r", F.explode(F.sequence(F.col("__r"), last, F.expr("INTERVAL 1 MONTH"))).alias(month), F.lit(True).alias("__want"))
-    merged = counts.unionByName(wanted, allowMissingColumns=True).groupBy(month, "__r").agg(F.sum("__n").alias("__n"), F.bool_or("__want").alias("__want"))
+    merged = counts.unionByName(wanted, allowMissingColumns=True).groupBy(month, "__r").agg(F.coalesce(F.sum("__n"), F.lit(0)).alias("__n"), F.bool_or("__want").alias("__want"))
     merged = wn.running(merged, "__with", [month], F.desc("__r"), "__n").filter("__want").select(month, "__r", "__with")
-    merged = join_back(merged, totals, [month])
+    merged = join_back(merged, totals, [month], "inner")
     own = counters.select(as_col(metric).alias("metric"), as_col(metric_release).alias("__r")).distinct()
     return own.join(merged, "__r").select(month, "metric", ratio("__with", "__all").alias("pct_with_counter"))
 
 
-def run_metrics(tables: dict, specs: dict, date) -> DataFrame:
-    """Metric dictionary to long rows (metric, value, date): {metric: (table, aggregate[, filter])}.
-
-    All metrics of a table are computed in one scan.
-    """
-    parts = []
-    for table, df in tables.items():
-        mine = {m: s for m, s in specs.items() if s[0] == table}
-        if mine:
-            one = df.agg(*[s[1].cast("double").alias(m) for m, s in mine.items()])
-            parts.append(one.unpivot([], list(mine), "metric", "value"))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out.withColumn("ping_date", F.lit(date))
-
-
 def metric_versions(df, keys, version_id, version, instance) -> DataFrame:
     """First and last version in which a metric was seen and the number of instances."""
     return df.groupBy(*keys).agg(

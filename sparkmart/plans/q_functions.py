@@ -2,6 +2,7 @@
 
 from pyspark.sql import functions as F
 
+from sparkmart.functions.ip import parse_ip
 from sparkmart.functions import (
     boundary_diff, date_id, day_of_week, decode, div0, div_null, greatest_strict, ipv4_number, json_path, least_strict,
     month_of, rlike_full, tokens, trunc_to, url_parameter,
@@ -100,3 +101,23 @@ SELECT event_id, CASE WHEN o < 256 THEN 10 * 16777216 + (user_id % 256) * 65536
 def _(t):
     ip = F.format_string("10.%d.%d.%d", F.col("user_id") % 256, F.col("event_id") % 256, F.col("event_id") % 300)
     return t.events.select("event_id", ipv4_number(ip).alias("ip_number"))
+
+
+V4, V6 = ["ipv4", "ipv4_range_start", "ipv4_range_end"], ["hex_ip", "hex_ip_range_start", "hex_ip_range_end"]
+NIBBLES = "array_to_string(list_transform(range(0, 32), lambda i: substr('0123456789abcdef', 1 + 8 * CAST(b[4 * i + 1] AS INT) + 4 * CAST(b[4 * i + 2] AS INT) + 2 * CAST(b[4 * i + 3] AS INT) + CAST(b[4 * i + 4] AS INT), 1)), '')"
+
+
+@query("fn_parse_ip", f"""
+WITH e AS (SELECT event_id, 167772160 + (user_id % 256) * 65536 + (event_id % 256) * 256 + event_id % 300 AS n, event_id % 300 < 256 AND event_id % 35 <= 32 AS ok, event_id % 35 AS p4, event_id % 131 AS p6,
+ lpad(bin(536939960), 32, '0') || lpad(bin(user_id % 65536), 16, '0') || repeat('0', 48) || lpad(bin(event_id % 65536), 16, '0') || lpad(bin((event_id * 7) % 65536), 16, '0') AS bits FROM events),
+ f AS (SELECT event_id, unnest([0, 1, 2]) AS which, unnest([bits, left(bits, p6) || repeat('0', greatest(128 - p6, 0)), left(bits, p6) || repeat('1', greatest(128 - p6, 0))]) AS b FROM e WHERE p6 <= 128),
+ h AS (SELECT event_id, MAX(x) FILTER (which = 0) AS hex_ip, MAX(x) FILTER (which = 1) AS hex_ip_range_start, MAX(x) FILTER (which = 2) AS hex_ip_range_end FROM (SELECT event_id, which, {NIBBLES} AS x FROM f) GROUP BY 1)
+SELECT event_id, CASE WHEN ok THEN n END AS ipv4, CASE WHEN ok THEN n - n % (1::BIGINT << greatest(32 - p4, 0)) END AS ipv4_range_start,
+ CASE WHEN ok THEN n - n % (1::BIGINT << greatest(32 - p4, 0)) + (1::BIGINT << greatest(32 - p4, 0)) - 1 END AS ipv4_range_end, hex_ip, hex_ip_range_start, hex_ip_range_end, CASE WHEN ok THEN 4 END AS family_4, CASE WHEN hex_ip IS NOT NULL THEN 6 END AS family_6
+FROM e LEFT JOIN h USING (event_id)""")
+def _(t):
+    u, e = F.col("user_id"), F.col("event_id")
+    four = F.format_string("10.%d.%d.%d/%d", u % 256, e % 256, e % 300, e % 35)
+    six = F.format_string("2001:DB8:%x::%x:%x/%d", u % 65536, e % 65536, (e * 7) % 65536, e % 131)
+    both = t.events.select("event_id", parse_ip(four).alias("a"), parse_ip(six).alias("b"))
+    return both.select("event_id", *[F.col("a")[c].alias(c) for c in V4], *[F.col("b")[c].alias(c) for c in V6], F.col("a.family").alias("family_4"), F.col("b.family").alias("family_6"))

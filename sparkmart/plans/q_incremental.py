@@ -4,6 +4,7 @@ from datetime import datetime
 
 from pyspark.sql import functions as F
 
+from sparkmart.functions import money
 from sparkmart.operators import incremental as I
 from sparkmart.plans.registry import query
 from sparkmart.sources import sinks as W
@@ -120,6 +121,11 @@ def _(t):
     return I.session(t.events, "ts", "6 hours", ["user_id"])
 
 
+@query("inc_9_session_hot_keys", f"SELECT s.*, total, high FROM ({SESSION_SQL}) s JOIN (SELECT user_id, session_start, CAST(SUM(CAST(value AS DECIMAL(18,2))) AS DOUBLE) AS total, MAX(value) AS high FROM (SELECT e.*, MAX(session_start) AS session_start FROM events e JOIN ({SESSION_SQL}) x ON x.user_id = e.user_id AND x.session_start <= e.ts GROUP BY ALL) GROUP BY 1, 2) USING (user_id, session_start)".replace("s.*", "s.user_id, s.session_start, session_end, events"))
+def _(t):
+    return I.sessions(t.events, "ts", 6 * 3600, ["user_id"], ["events"], {"total": money("value")}, highs={"high": "value"})
+
+
 @query("inc_9_session_stream", f"SELECT * FROM ({SESSION_SQL}) WHERE session_end <= (SELECT MAX(ts) - INTERVAL 30 MINUTE FROM events)")
 def _(t):
     return J.session_counts(stream(t), "ts", "6 hours", ["user_id"], W.scratch(t.spark, "sessions"))

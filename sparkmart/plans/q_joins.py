@@ -91,6 +91,19 @@ def _(t):
     return J.range_lookup(t.orders.select("o_orderkey", "o_totalprice"), "o_totalprice", bands, "lo", "hi", 100).select("o_orderkey", "p_partkey")
 
 
+@query("jn_9_prefix_lookup", """
+WITH n AS (SELECT p_partkey, 4 + p_partkey % 25 AS bits, 167772160 + (p_partkey % 7) * 65536 + (p_partkey % 200) * 256 + p_partkey % 250 AS a FROM part),
+ r AS (SELECT p_partkey, bits, a - a % (1::BIGINT << (32 - bits)) AS lo, a - a % (1::BIGINT << (32 - bits)) + (1::BIGINT << (32 - bits)) - 1 AS hi FROM n),
+ e AS (SELECT event_id, CASE WHEN event_id % 300 < 256 THEN 167772160 + (user_id % 9) * 65536 + (event_id % 256) * 256 + event_id % 300 END AS x FROM events),
+ d AS (SELECT x, arg_max(p_partkey, bits * 10000000 - p_partkey) AS p_partkey, MAX(bits) AS bits FROM (SELECT DISTINCT x FROM e) JOIN r ON x BETWEEN lo AND hi GROUP BY x)
+SELECT event_id, p_partkey, bits FROM e LEFT JOIN d USING (x)""")
+def _(t):
+    bits = F.col("p_partkey") % 25 + 4
+    nets = t.part.select("p_partkey", bits.cast("int").alias("bits"), F.format_string("10.%d.%d.%d/%d", F.col("p_partkey") % 7, F.col("p_partkey") % 200, F.col("p_partkey") % 250, bits).alias("net"))
+    ev = t.events.select("event_id", F.format_string("10.%d.%d.%d", F.col("user_id") % 9, F.col("event_id") % 256, F.col("event_id") % 300).alias("ip"))
+    return J.prefix_lookup(ev, "ip", nets, "net", ["p_partkey", "bits"], "p_partkey").drop("ip")
+
+
 def _hist(kind, n):
     return f"SELECT user_id, event_id AS {n}_id, ts AS {n}_from, coalesce(lead(ts) OVER (PARTITION BY user_id ORDER BY ts, event_id), ts + INTERVAL 1 DAY) AS {n}_to FROM events WHERE event_type = '{kind}'"
 

@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from sparkmart.functions import money, ratio
-from sparkmart.operators import calendar as CAL, scd as S, topk, usage as U, windows as wn
+from sparkmart.operators import calendar as CAL, metrics as M, scd as S, topk, usage as U, windows as wn
 from sparkmart.plans.registry import by_day, by_minute, dsum, query
 
 # Monthly counter per customer; months without an order have no ping (NULL).
@@ -104,9 +104,56 @@ SELECT 'customers' AS metric, COUNT(*)::DOUBLE AS value, '2024-01-31' AS ping_da
 UNION ALL SELECT 'active_users', COUNT(DISTINCT user_id), '2024-01-31' FROM events UNION ALL SELECT 'max_value', MAX(value), '2024-01-31' FROM events UNION ALL SELECT 'purchase_value', CAST(SUM(CAST(value AS DECIMAL(18,2))) FILTER (event_type = 'purchase') AS DOUBLE), '2024-01-31' FROM events""")
 def _(t):
     bought = F.col("event_type") == "purchase"
-    specs = {"customers": ("customer", F.count(F.lit(1))), "rich_customers": ("customer", F.count_if(F.col("c_acctbal") > 5000)),
-             "active_users": ("events", F.count_distinct("user_id")), "max_value": ("events", F.max("value")), "purchase_value": ("events", F.sum(F.when(bought, money("value"))))}
-    return U.run_metrics({"customer": t.customer, "events": t.events}, specs, "2024-01-31")
+    specs = {"customers": M.count("customer"), "rich_customers": M.count("customer", where=F.col("c_acctbal") > 5000),
+             "active_users": M.distinct("events", "user_id"), "max_value": M.total("events", "value", how="max"), "purchase_value": M.total("events", money("value"), bought)}
+    return M.run_metrics({"customer": t.customer, "events": t.events}, specs, "2024-01-31")
+
+
+def _counted(name: str, select: str) -> str:
+    return f"SELECT '{name}' AS metric, CAST(({select}) AS DOUBLE) AS value, '2024-01-31' AS ping_date"
+
+
+FORMS = {
+    "orders": "SELECT COUNT(o_orderkey) FROM orders",
+    "open_orders": "SELECT COUNT(o_orderkey) FROM orders WHERE o_orderstatus = 'O' AND o_totalprice > 1000",
+    "building_buyers": "SELECT COUNT(DISTINCT o_custkey) FROM orders JOIN customer ON c_custkey = o_custkey WHERE c_mktsegment = 'BUILDING' AND o_orderstatus IN ('O', 'F')",
+    "buyers": "SELECT COUNT(DISTINCT o_custkey) FROM orders",
+    "statuses": "SELECT COUNT(DISTINCT o_orderstatus) FROM orders WHERE o_totalprice > 50000",
+    "regular_buyers": "SELECT COUNT(*) FROM (SELECT o_custkey FROM orders GROUP BY 1 HAVING COUNT(*) > 12)",
+    "regular_open_buyers": "SELECT COUNT(*) FROM (SELECT o_custkey FROM orders JOIN customer ON c_custkey = o_custkey WHERE c_acctbal > 0 AND o_orderstatus = 'O' GROUP BY 1 HAVING COUNT(*) BETWEEN 3 AND 8)",
+    "mean_price": "SELECT round(avg(CAST(o_totalprice AS DECIMAL(18,2))), 4) FROM orders WHERE o_orderstatus <> 'P'",
+    "no_price": "SELECT MIN(o_totalprice) FROM orders WHERE o_orderstatus = '?'",
+    "discounted_lines": "SELECT COUNT(l_orderkey) FROM lineitem JOIN orders ON o_orderkey = l_orderkey WHERE l_discount > 0.05 AND o_orderstatus = 'F'",
+    "shipped_orders": "SELECT COUNT(DISTINCT l_orderkey) FROM lineitem WHERE l_returnflag = 'R'",
+    "dear_line_parts": "SELECT COUNT(DISTINCT p_partkey) FROM part JOIN lineitem ON l_partkey = p_partkey WHERE l_extendedprice > 30000 AND p_size > 10",
+}
+
+
+@query("met_9_metric_forms", " UNION ALL ".join(_counted(n, q) for n, q in FORMS.items()) + " UNION ALL "
+       + _counted("either_line", f"SELECT ({FORMS['discounted_lines']}) + ({FORMS['shipped_orders']})") + " UNION ALL " + _counted("orders_per_buyer", f"SELECT round(({FORMS['orders']}) / ({FORMS['buyers']}), 6)"))
+def _(t):
+    tables = {"orders": t.orders, "customer": t.customer, "lineitem": t.lineitem, "part": t.part}
+    by_customer, by_order = M.Join("customer", (("o_custkey", "c_custkey"),), unique=True), M.Join("orders", (("l_orderkey", "o_orderkey"),), unique=True)
+    lines = M.Join("lineitem", (("p_partkey", "l_partkey"),))
+    status, price = F.col("o_orderstatus"), F.col("o_totalprice")
+    specs = {
+        "orders": M.count("orders", "o_orderkey"),
+        "open_orders": M.count("orders", "o_orderkey", (status == "O") & (price > 1000)),
+        "building_buyers": M.distinct("orders", "o_custkey", (F.col("customer_c_mktsegment") == "BUILDING") & status.isin("O", "F"), [by_customer]),
+        "buyers": M.distinct("orders", "o_custkey"),
+        "statuses": M.distinct("orders", "o_orderstatus", price > 50000),
+        "regular_buyers": M.groups("orders", "o_custkey", lambda n: n > 12),
+        "regular_open_buyers": M.groups("orders", "o_custkey", lambda n: n.between(3, 8), (F.col("customer_c_acctbal") > 0) & (status == "O"), [by_customer]),
+        "mean_price": M.total("orders", money("o_totalprice"), status != "P", how="avg"),
+        "no_price": M.total("orders", "o_totalprice", status == "?", how="min"),
+        "discounted_lines": M.count("lineitem", "l_orderkey", (F.col("l_discount") > 0.05) & (F.col("orders_o_orderstatus") == "F"), [by_order]),
+        "shipped_orders": M.distinct("lineitem", "l_orderkey", F.col("l_returnflag") == "R"),
+        "dear_line_parts": M.distinct("part", "p_partkey", (F.col("l_extendedprice") > 30000) & (F.col("p_size") > 10), [lines]),
+        "either_line": M.combined(lambda a, b: a + b, "discounted_lines", "shipped_orders"),
+        "orders_per_buyer": M.combined(lambda a, b: F.round(a / b, 6), "orders", "buyers"),
+    }
+    out = M.run_metrics(tables, specs, "2024-01-31")
+    return out.withColumn("value", F.when(F.col("metric") == "mean_price", F.round("value", 4)).otherwise(F.col("value")))
 
 
 @query("met_10_metric_versions", """
