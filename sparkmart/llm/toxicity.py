@@ -118,8 +118,8 @@ def norms(number: np.ndarray, weight: np.ndarray) -> np.ndarray:
     return np.sqrt(np.bincount(row, sums**2, minlength=len(number)))
 
 
-def evaluate(strings: list[str], table: np.ndarray) -> np.ndarray:
-    """Inner product of each string's normalised subsequence weights with `table` (or its columns)."""
+def evaluate(strings: list[str], table: np.ndarray, rows: np.ndarray | None = None) -> np.ndarray:
+    """Inner product of each string's normalised subsequence weights with `table` (or its columns); `rows` says where a subsequence stands in it."""
     shape = (len(strings),) if table.ndim == 1 else (len(strings), table.shape[1])
     out = np.zeros(shape, table.dtype)
     by_length: dict[int, list[int]] = {}
@@ -128,14 +128,16 @@ def evaluate(strings: list[str], table: np.ndarray) -> np.ndarray:
     for n, at in by_length.items():
         if n < ORDER:
             continue
-        room = max(1, 300_000 // (len(list(combinations(range(n), ORDER))) * (1 if table.ndim == 1 else 8)))
+        # What is gathered at a time stays at a few megabytes, for the columns of a table as for one.
+        room = max(1, 300_000 // (len(list(combinations(range(n), ORDER))) * (1 if table.ndim == 1 else table.shape[1] // 4 + 1)))
         for k in range(0, len(at), room):
             some = at[k : k + room]
             number, weight = subsequences(coded([strings[i] for i in some]))
             if table.ndim == 1:
                 out[some] = (table[number] @ weight) / norms(number, weight)
             else:
-                out[some] = np.einsum("rsl,s->rl", table[number], weight) / norms(number, weight)[:, None]
+                place = number if rows is None else rows[number]
+                out[some] = np.einsum("rsl,s->rl", table[place], weight) / norms(number, weight)[:, None]
     return out
 
 
@@ -171,17 +173,21 @@ def train_machine(positive: dict[str, float], negative: dict[str, float], landma
     # Landmarks: the heaviest words of either kind, half of them each.
     heavy = lambda k: [r[0] for r in sorted((r for r in rows if r[2] == k), key=lambda r: (-r[1], r[0]))[: landmarks // 2]]
     marks = list(dict.fromkeys([*heavy(1.0), *heavy(-1.0)]))
-    maps = np.zeros((CLASSES**ORDER, len(marks)), np.float32)
-    for j, m in enumerate(marks):
-        number, w = subsequences(coded([m]))
-        np.add.at(maps[:, j], number[0], w / norms(number, w)[0])
+    # Only subsequences that some landmark has get a row, behind a first one of zeros for all others.
+    own = [subsequences(coded([m])) for m in marks]
+    used = np.unique(np.concatenate([number.ravel() for number, _ in own]))
+    rows_of = np.zeros(CLASSES**ORDER, np.int32)
+    rows_of[used] = np.arange(1, len(used) + 1)
+    maps = np.zeros((len(used) + 1, len(marks)), np.float32)
+    for j, (number, w) in enumerate(own):
+        np.add.at(maps[:, j], rows_of[number[0]], w / norms(number, w)[0])
     between = maps.T @ maps
     value, vector = np.linalg.eigh(between.astype(float))
     good = value > 1e-6 * value[-1]
     root = vector[:, good] / np.sqrt(value[good])
     x = np.ones((len(strings), root.shape[1] + 1), np.float32)
     for at in range(0, len(strings), 2000):  # blocks keep the driver small
-        x[at : at + 2000, :-1] = evaluate(strings[at : at + 2000], maps) @ root
+        x[at : at + 2000, :-1] = evaluate(strings[at : at + 2000], maps, rows_of) @ root
     w = np.zeros(x.shape[1])
     ridge = np.full(len(w), 1e-5)
     ridge[-1] = 1e-8
@@ -197,7 +203,9 @@ def train_machine(positive: dict[str, float], negative: dict[str, float], landma
         if np.allclose(new, w, atol=1e-9):
             break
         w = new
-    return (maps @ (root @ w[:-1])).astype(np.float64), float(w[-1])
+    table = np.zeros(CLASSES**ORDER)
+    table[used] = (maps @ (root @ w[:-1]))[1:]
+    return table, float(w[-1])
 
 
 def fit_curve(top: np.ndarray, second: np.ndarray, label: np.ndarray, n: np.ndarray) -> tuple[float, float, float]:
