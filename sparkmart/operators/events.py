@@ -12,9 +12,9 @@ from sparkmart.operators import sets, windows as wn
 
 @dataclass(frozen=True)
 class EventSpec:
-    """One entity table read as events."""
+    """One entity table read as events; a table that holds many kinds names them by a column."""
 
-    name: str
+    name: Column | str
     stage: str
     df: DataFrame
     key: Column | str
@@ -33,7 +33,7 @@ def unify_events(specs: list[EventSpec], users=None, parents=None) -> DataFrame:
     for s in specs:
         null = F.lit(None).cast("bigint")
         parts.append(s.df.select(
-            F.lit(s.name).alias("event_name"), F.lit(s.stage).alias("stage_name"), as_col(s.key).cast("bigint").alias("event_id"), as_col(s.at).alias("event_at"),
+            (F.lit(s.name) if isinstance(s.name, str) else s.name).alias("event_name"), F.lit(s.stage).alias("stage_name"), as_col(s.key).cast("bigint").alias("event_id"), as_col(s.at).alias("event_at"),
             (as_col(s.user).cast("bigint") if s.user is not None else null).alias("user_id"), (as_col(s.parent).cast("bigint") if s.parent is not None else null).alias("parent_id")))
     out = sets.union_all(*parts).withColumn("event_pk", surrogate_key("event_name", "event_id"))
     for side, name in ((users, "user"), (parents, "parent")):

@@ -167,13 +167,17 @@ def waterfall(schedule, line, contract, segment, created, period, amount) -> Dat
     """Revenue waterfall: what was scheduled per line as of each period, zero rows for
     the periods a contract outlives its lines, and the total released before.
 
-    Periods are month numbers. Every row generates its own as-of periods and every
-    line its own missing months.
+    Periods are month numbers. What is scheduled for a period changes only when a row is created, so
+    a running total along the creation periods gives the amount of every stretch of as-of periods,
+    and only stretches are windowed and joined; their as-of periods are written out last. What was
+    released before each of a line's months is a running total of its own, handed over as a map,
+    bounded by the calendar.
     """
     keys = [contract, line, segment]
-    plan = schedule.groupBy(*keys, as_col(created).alias("__created"), as_col(period).alias("period")).agg(F.sum(as_col(amount)).alias("amount"))
-    spread = plan.withColumn("as_of_period", F.explode(F.sequence("__created", "period")))
-    base = spread.groupBy(*keys, "as_of_period", "period").agg(F.sum("amount").alias("amount"))
+    plan = schedule.filter(as_col(created) <= as_col(period)).groupBy(*keys, as_col(created).alias("__created"), as_col(period).alias("period")).agg(F.sum(as_col(amount)).alias("amount"))
+    along = window([*keys, "period"], "__created")
+    steps = plan.select(*keys, "period", F.col("__created").alias("__from"), F.coalesce(F.lead("__created").over(along) - 1, F.col("period")).alias("__until"),
+                        F.sum("amount").over(window([*keys, "period"], "__created", wn.RUNNING)).alias("amount"))
     # A line's last row has its last period, both as period and as as-of period; the
     # segments scheduled there are the ones carried on.
     last = plan.groupBy(*keys).agg(F.max("period").alias("__hi"))
@@ -182,14 +186,15 @@ def waterfall(schedule, line, contract, segment, created, period, amount) -> Dat
     ends = plan.groupBy(contract).agg(F.max("period").alias("__end"))
     grid = last.join(whole, [contract, line]).filter("__hi = __last").join(ends, contract)
     missing = F.explode(F.array_except(F.sequence("__first", "__end"), "__months"))
-    filler = grid.select(*keys, missing.alias("period")).select(*keys, F.col("period").alias("as_of_period"), "period", F.lit(0).cast(base.schema["amount"].dataType).alias("amount"))
-    full = base.unionByName(filler)
-    # Released so far, where the as-of period itself has a released row; months bound the window.
-    own = F.col("as_of_period") == F.col("period")
-    by_time = window([line, segment], "as_of_period")
-    prior = F.sum(F.when(own, F.col("amount"))).over(by_time.rangeBetween(wn.BEFORE[0], -1))
-    here = F.max(own).over(by_time.rangeBetween(0, 0))
-    return full.withColumn("prior_total", F.when(here, F.coalesce(prior, F.lit(0))).otherwise(0))
+    filler = grid.select(*keys, missing.alias("period")).withColumn("amount", F.lit(0).cast(steps.schema["amount"].dataType))
+    # Released: rows whose as-of period is their own.
+    own = plan.select(line, segment, "period", "amount").unionByName(filler.select(line, segment, "period", "amount")).groupBy(line, segment, "period").agg(F.sum("amount").alias("__own"))
+    before = own.withColumn("__before", F.coalesce(F.sum("__own").over(window([line, segment], "period", wn.BEFORE)), F.lit(0)))
+    before = before.groupBy(line, segment).agg(F.map_from_entries(F.collect_list(F.struct("period", "__before"))).alias("__before"))
+    rows = steps.unionByName(filler.select(*keys, "period", F.col("period").alias("__from"), F.col("period").alias("__until"), "amount"))
+    rows = join_back(rows, before, [line, segment]).withColumn("as_of_period", F.explode(F.sequence("__from", "__until")))
+    prior = F.coalesce(F.try_element_at("__before", F.col("as_of_period")), F.lit(0))
+    return rows.select(*keys, "as_of_period", "period", "amount", prior.alias("prior_total"))
 
 
 def renewals(df, key, end_month, as_of) -> DataFrame:

@@ -11,13 +11,12 @@ GAP = 6 * 3600
 
 @query("evt_1_unify_events", """
 WITH u AS (SELECT 'order placed' AS event_name, 'plan' AS stage_name, o_orderkey AS event_id, o_orderdate AS event_at, o_custkey AS user_id, o_custkey % 25 AS parent_id FROM orders UNION ALL SELECT 'item shipped', 'ship', l_partkey, l_shipdate, NULL, l_suppkey FROM lineitem
- UNION ALL SELECT 'app ' || event_type, 'use', event_id, ts, user_id, NULL FROM events WHERE event_type IN ('purchase', 'signup'))
+ UNION ALL SELECT 'app ' || event_type, 'use', event_id, ts, user_id, NULL FROM events)
 SELECT event_name, stage_name, COUNT(*) AS n, COUNT(user_id) AS with_user, COUNT(f) AS known_user, CAST(SUM(date_diff('day', f, event_at)) AS BIGINT) AS user_days, COUNT(s_name) AS known_parent FROM u LEFT JOIN (SELECT o_custkey AS k, MIN(o_orderdate) AS f FROM orders GROUP BY 1) ON k = user_id LEFT JOIN supplier ON s_suppkey = parent_id GROUP BY 1, 2""")
 def _(t):
-    ev = t.events
     specs = [E.EventSpec("order placed", "plan", t.orders, "o_orderkey", "o_orderdate", "o_custkey", F.col("o_custkey") % 25),
              E.EventSpec("item shipped", "ship", t.lineitem, "l_partkey", "l_shipdate", None, "l_suppkey"),
-             *[E.EventSpec(f"app {k}", "use", ev.filter(F.col("event_type") == k), "event_id", "ts", "user_id") for k in ("purchase", "signup")]]
+             E.EventSpec(F.concat(F.lit("app "), "event_type"), "use", t.events, "event_id", "ts", "user_id")]
     users = t.orders.groupBy(F.col("o_custkey").alias("id")).agg(F.min("o_orderdate").alias("created_at"))
     parents = t.supplier.select(F.col("s_suppkey").alias("id"), F.lit("1990-01-01").cast("timestamp_ntz").alias("created_at"), F.col("s_name").alias("name"))
     df = E.unify_events(specs, users, parents)

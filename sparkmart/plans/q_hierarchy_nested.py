@@ -60,8 +60,8 @@ def _(t):
 
 
 RENEWAL_SQL = """
-RECURSIVE k AS (SELECT o_custkey, o_orderkey, dense_rank() OVER (PARTITION BY o_custkey ORDER BY date_trunc('year', o_orderdate)) AS g FROM orders WHERE o_orderstatus = 'F'),
- b AS (SELECT o_custkey, g - 1 AS g, list_sort(list_distinct([MIN(o_orderkey), MAX(o_orderkey)])) AS nx FROM k GROUP BY 1, 2), n AS (SELECT o_orderkey AS id, nx FROM k JOIN b USING (o_custkey, g)),
+RECURSIVE k AS (SELECT o_custkey, o_orderkey, dense_rank() OVER (PARTITION BY o_custkey ORDER BY date_trunc('year', o_orderdate)) AS g FROM orders),
+ b AS (SELECT o_custkey, g - 1 AS g, list_sort(list(o_orderkey)) AS nx FROM k GROUP BY 1, 2), n AS (SELECT o_orderkey AS id, nx FROM k JOIN b USING (o_custkey, g)),
  e AS (SELECT id, unnest(nx) AS nxt FROM n), leaf AS (SELECT o_orderkey AS id FROM k WHERE o_orderkey NOT IN (SELECT id FROM n)),
  r AS (SELECT id, [id] AS l FROM leaf UNION ALL SELECT e.id, list_prepend(e.id, r.l) FROM r JOIN e ON e.nxt = r.id),
  best AS (SELECT id, l FROM r QUALIFY row_number() OVER (PARTITION BY id ORDER BY len(l) DESC, array_to_string(l, ',')) = 1),
@@ -70,9 +70,9 @@ RECURSIVE k AS (SELECT o_custkey, o_orderkey, dense_rank() OVER (PARTITION BY o_
 
 
 def renewals(t):
-    """A won order is renewed by the first and the last won order of the customer's next year with any."""
-    k = wn.dense_rank(t.orders.filter("o_orderstatus = 'F'").select("o_custkey", "o_orderkey", F.year("o_orderdate").alias("y")), "g", ["o_custkey"], "y")
-    nxt = k.groupBy("o_custkey", (F.col("g") - 1).alias("g")).agg(F.array_distinct(F.array(F.min("o_orderkey"), F.max("o_orderkey"))).alias("renewals"))
+    """An order is renewed by all orders of the customer's next year with any."""
+    k = wn.dense_rank(t.orders.select("o_custkey", "o_orderkey", F.year("o_orderdate").alias("y")), "g", ["o_custkey"], "y")
+    nxt = k.groupBy("o_custkey", (F.col("g") - 1).alias("g")).agg(F.array_sort(F.collect_list("o_orderkey")).alias("renewals"))
     return k.join(nxt, ["o_custkey", "g"], "left").select("o_orderkey", "renewals")
 
 
