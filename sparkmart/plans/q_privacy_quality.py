@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from sparkmart.functions import money, split_name
 from sparkmart.operators import calendar as CAL, privacy as P, quality as Q, scd as S
 from sparkmart.plans.registry import dsum, query
+from sparkmart.sources import sinks as W, versions as V
 
 SALTS = {"name": "nsalt", "email": "esalt", "ip": "isalt", "other": "osalt"}
 
@@ -42,6 +43,18 @@ def _(t):
     return P.erase_subjects(people(t), subjects, ["email"]).select("c_custkey")
 
 
+@query("prv_5_erase_files", """
+WITH p AS (SELECT c_custkey, CAST(c_nationkey AS VARCHAR) AS part, c_nationkey IN (3, 4) AND c_acctbal < 0 AS gone FROM customer)
+SELECT part, COUNT(*) FILTER (NOT gone) AS rows, NOT bool_or(gone) AS kept FROM p GROUP BY 1 HAVING COUNT(*) FILTER (NOT gone) > 0""")
+def _(t):
+    path = W.scratch(t.spark, "erase")
+    V.publish(people(t), path, "c_nationkey")
+    before = [r.file for r in V.manifest(t.spark, path).select("file").collect()]
+    subjects = people(t).filter("c_acctbal < 0 AND c_nationkey IN (3, 4)").select(F.sha2("email", 256).alias("email_sha"))
+    V.erase(t.spark, path, subjects, ["email"], "c_nationkey")
+    return V.manifest(t.spark, path).groupBy("part").agg(F.max("rows").alias("rows"), F.bool_and(F.col("file").isin(*before)).alias("kept"))
+
+
 @query("prv_5_redact", """
 SELECT c_custkey, CASE WHEN c_custkey IN (7, 11) THEN 'GDPR Redacted' ELSE c_name END AS c_name, CASE WHEN c_custkey IN (7, 11) THEN sha256(lower(c_name) || '@x.org') ELSE lower(c_name) || '@x.org' END AS email FROM customer""")
 def _(t):

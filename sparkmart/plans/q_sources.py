@@ -6,7 +6,7 @@ from pyspark.sql import functions as F, types as T
 
 from sparkmart.functions import money
 from sparkmart.plans.registry import query
-from sparkmart.sources import readers as R, sinks as W
+from sparkmart.sources import readers as R, sinks as W, versions as V
 
 
 @query("src_1_seed", "SELECT n_nationkey, CASE WHEN n_regionkey <> 2 THEN n_name END AS n_name, n_regionkey FROM nation")
@@ -87,6 +87,23 @@ def _(t):
     return t.spark.read.parquet(path)
 
 
+@query("src_11_versions", "SELECT c_custkey, c_mktsegment FROM customer")
+def _(t):
+    path = W.scratch(t.spark, "versions")
+    V.publish(t.customer.select("c_custkey", F.lit("old").alias("c_mktsegment")), path)
+    V.publish(t.customer.select("c_custkey", "c_mktsegment"), path)
+    return V.read(t.spark, path)
+
+
+@query("src_12_changed_parts", "SELECT o_orderstatus AS part, COUNT(*) AS rows, o_orderstatus <> 'P' AS kept FROM orders GROUP BY 1")
+def _(t):
+    path = W.scratch(t.spark, "parts")
+    V.publish(t.orders, path, "o_orderstatus")
+    before = V.manifest(t.spark, path).select("file").collect()
+    V.publish(t.orders.withColumn("o_totalprice", F.when(F.col("o_orderstatus") == "P", -F.col("o_totalprice")).otherwise(F.col("o_totalprice"))), path, "o_orderstatus")
+    return V.manifest(t.spark, path).groupBy("part").agg(F.max("rows").alias("rows"), F.bool_and(F.col("file").isin(*[r.file for r in before])).alias("kept"))
+
+
 @query("src_12_write_if_changed", "SELECT 'same rows in another order' AS step, false AS wrote, COUNT(*) AS rows FROM orders UNION ALL SELECT 'one value changed', true, COUNT(*) FROM orders")
 def _(t):
     path = W.scratch(t.spark, "changed")

@@ -40,7 +40,8 @@ def schema_changed(source, target, ignore=("_uploaded_at", "_task_instance", "_u
 
 
 def swap_write(df, path) -> None:
-    """Write beside the target, then swap the folders, so readers see old or new, never half."""
+    """Write beside the target, then swap the folders: readers never see half a table, but none at all
+    between the two renames. `versions.publish` has no such moment."""
     spark = df.sparkSession
     staging, old = f"{path.rstrip('/')}__staging_{uuid.uuid4().hex}", f"{path.rstrip('/')}__old_{uuid.uuid4().hex}"
     df.write.parquet(staging)

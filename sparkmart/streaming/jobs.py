@@ -4,10 +4,15 @@ Every job drains what is available and stops (`availableNow`), with its progress
 checkpoint folder. Results are written one folder per micro-batch and overwritten when
 a batch is replayed after a failure, so each batch counts once. Readers take the newest
 row per key.
+
+What a job must remember of earlier batches is keyed state in RocksDB with a change log: a batch
+reads its own input and the state of its keys, never the results written so far.
 """
 
 from __future__ import annotations
 
+import re
+import uuid
 from collections.abc import Callable
 from datetime import datetime
 
@@ -18,6 +23,12 @@ from sparkmart.operators import incremental as inc, topk
 from sparkmart.sources import sinks
 
 
+STATE = {
+    "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+}
+
+
 def read_stream(spark: SparkSession, path: str, schema, files_per_batch: int | None = None) -> DataFrame:
     """Parquet file stream over a folder or glob."""
     reader = spark.readStream.schema(schema)
@@ -38,6 +49,8 @@ def drain(stream: DataFrame, folder: str, mode: str, write: Callable[[DataFrame,
     def default(batch: DataFrame, batch_id: int) -> None:
         batch.write.mode("overwrite").parquet(f"{data}/batch_id={batch_id}")
 
+    for key, value in STATE.items():
+        stream.sparkSession.conf.set(key, value)
     query = (stream.writeStream.outputMode(mode).option("checkpointLocation", f"{folder.rstrip('/')}/checkpoint")
              .trigger(availableNow=True).foreachBatch(write or default).start())
     query.awaitTermination()
@@ -86,40 +99,62 @@ def route(stream, bad, folder) -> tuple[DataFrame, DataFrame]:
         tagged.write.mode("overwrite").partitionBy("side").parquet(f"{root}/data/batch_id={batch_id}")
 
     data = drain(stream, folder, "append", write)
-    rows = spark.read.parquet(data).drop("batch_id")
+    rows = drained(stream.withColumn("side", F.lit("")), data).drop("batch_id")
     return rows.filter("side = 'good'").drop("side"), rows.filter("side = 'bad'").drop("side")
 
 
 def upsert(stream, key, order, folder) -> DataFrame:
-    """Latest row per key: each batch keeps its own winners, readers merge them.
+    """Latest row per key. order: descending columns with a unique tiebreak.
 
-    order: descending columns with a unique tiebreak.
+    The newest row of a key is state; a batch writes the keys it touched. Written batches are merged
+    when they are as large as what was merged before, so readers meet a number of folders that grows
+    with the logarithm of all rows, and a row is merged as often as that.
     """
-    root = folder.rstrip("/")
-
-    def write(batch: DataFrame, batch_id: int) -> None:
-        topk.latest_per_key(batch, [key], order).write.mode("overwrite").parquet(f"{root}/data/batch_id={batch_id}")
-
-    data = drain(stream, folder, "append", write)
-    return topk.latest_per_key(drained(stream, data).drop("batch_id"), [key], order)
+    keys = [key] if isinstance(key, str) else list(key)
+    names = [c if isinstance(c, str) else re.search(r"'(.*?) DESC", str(c))[1] for c in order]
+    newest = F.max_by(F.struct(*[F.col(f"`{c}`") for c in stream.columns]), F.struct(*names))
+    rows = stream.groupBy(*keys).agg(newest.alias("__row")).select("__row.*")
+    data = drain(rows, folder, "update")
+    winners = lambda df: topk.latest_per_key(df, keys, [F.desc(n) for n in names])
+    if sinks.path_exists(stream.sparkSession, data):
+        compact(stream.sparkSession, data, winners)
+    return winners(drained(rows, data, stream.schema).drop("batch_id"))
+
+
+def compact(spark, data: str, merge: Callable[[DataFrame], DataFrame]) -> int:
+    """Merge the newest batches of a folder, as far back as those before are no larger than twice what
+    follows; returns the number of folders left. A merge of batches up to n is folder -(n + 1). The old
+    folders go last: until then readers meet rows twice, which `merge` is to take for one."""
+    fs, path = sinks._fs(spark, data)
+    found = [(int(s.getPath().getName().split("=")[1]), s.getPath()) for s in fs.listStatus(path) if s.getPath().getName().startswith("batch_id=")]
+    runs = sorted(((n if n >= 0 else -n - 1, p, fs.getContentSummary(p).getLength()) for n, p in found), key=lambda r: (r[0], r[1].getName()))
+    take, size = [runs[-1]], runs[-1][2]
+    for run in reversed(runs[:-1]):
+        if run[2] > 2 * size:
+            break
+        take.append(run)
+        size += run[2]
+    if len(take) < 2:
+        return len(runs)
+    last = max(r[0] for r in take)
+    beside = f"{data}/../merging-{uuid.uuid4().hex}"
+    merge(spark.read.parquet(*[r[1].toString() for r in take])).write.parquet(beside)
+    target = spark._jvm.org.apache.hadoop.fs.Path(f"{data}/batch_id={-(last + 1)}")
+    old = [p for _, p, _ in take if p.getName() != target.getName()]
+    if fs.exists(target):
+        fs.delete(target, True)
+    if not fs.rename(spark._jvm.org.apache.hadoop.fs.Path(beside), target):
+        raise OSError(f"cannot put {target.toString()} in place")
+    for p in old:
+        fs.delete(p, True)
+    return len(runs) - len(take) + 1
 
 
 def last_changed(stream, key, cols, now: datetime, folder) -> DataFrame:
-    """Time each content hash was first seen, kept across batches.
-
-    A batch adds only hashes unknown so far; the known ones are read from the folder
-    the earlier batches wrote.
-    """
-    spark, root = stream.sparkSession, folder.rstrip("/")
-
-    def write(batch: DataFrame, batch_id: int) -> None:
-        hashed = batch.select(key, surrogate_key(*cols).alias("content_hash")).distinct().withColumn("last_changed", F.lit(now).cast("timestamp_ntz"))
-        if batch_id and sinks.path_exists(spark, f"{root}/data"):
-            known = spark.read.parquet(f"{root}/data").filter(F.col("batch_id") < batch_id).select(key, "content_hash")
-            hashed = hashed.join(known, [key, "content_hash"], "left_anti")
-        hashed.write.mode("overwrite").parquet(f"{root}/data/batch_id={batch_id}")
-
-    return spark.read.parquet(drain(stream, folder, "append", write)).drop("batch_id")
+    """Time each content hash was first seen, kept across batches: hashes seen are keyed state."""
+    hashed = stream.select(key, surrogate_key(*cols).alias("content_hash")).dropDuplicates([key, "content_hash"])
+    hashed = hashed.withColumn("last_changed", F.lit(now).cast("timestamp_ntz"))
+    return drained(hashed, drain(hashed, folder, "append")).drop("batch_id")
 
 
 def increment(spark, path, schema, folder) -> DataFrame:
