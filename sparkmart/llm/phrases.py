@@ -9,8 +9,10 @@ Phrases are counted inside distinct chunks and weighted by those numbers. A phra
 chunk in which it starts before the overlap (in a document's last chunk: anywhere), so one that lies
 in two chunks counts once; as an overlap has LONGEST - 1 words, the phrase never leaves that chunk.
 
-A phrase of n words is only counted if its first and its last n - 1 words are frequent themselves.
-What is frequent travels as a bitmap of fixed size, whose false hits cost time and change nothing.
+Words stand as 64-bit hashes, seeded by their language, and phrases as lists of them; the text of a
+phrase is only looked up once it has a place in the report or ties for one. A phrase of n words is
+only counted if its first and its last n - 1 words are frequent themselves. What is frequent travels
+as a bitmap of fixed size, whose false hits cost time and change nothing.
 """
 
 from __future__ import annotations
@@ -36,7 +38,6 @@ BITS, PAGE = 26, 15
 HELD, PENDING = 8_000_000, 4_000_000
 
 BREAKS = ".,;:!?\n\x0b\x0c\r"
-SEED = U(0x8CB92BA72F3D8DD7)
 
 
 def layout(points: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -108,11 +109,11 @@ def parse(df: DataFrame, text: str = "text", lang: str = "lang") -> DataFrame:
     return found.groupBy("lang", "chunk", "last").agg(F.sum("uses").alias("uses"))
 
 
-def phrase_hashes(words: np.ndarray, n: int, seeds: np.ndarray) -> np.ndarray:
-    """Hash of the n words from each word on, for the language whose seed stands at the word."""
-    out = seeds[: len(words) - n + 1] + U(n)
-    for k in range(n):
-        out = out + words[k : k + len(out)] * FACTORS[k]
+def combined(words: list[np.ndarray]) -> np.ndarray:
+    """Hash of phrases whose first, second, ... words are given."""
+    out = np.full(len(words[0]), U(len(words)))
+    for k, w in enumerate(words):
+        out += w * FACTORS[k]
     return mixed(out)
 
 
@@ -136,20 +137,24 @@ class Chunks:
         self.uses = np.asarray(batch.column("uses"))[self.of]
         last = np.asarray(batch.column("last").to_pylist(), bool)
         self.owned = np.arange(len(self.starts)) < (cuts[1:] - np.where(last, 0, OVERLAP))[self.of]
-        self.words = word_hashes(self.points, self.starts, self.ends)
-        self.seeds = np.array([lang_seed(x) for x in self.kinds], U)[self.lang]
+        seeds = np.array([lang_seed(x) for x in self.kinds], U)[self.lang]
+        self.words = mixed(word_hashes(self.points, self.starts, self.ends) ^ seeds)
 
-    def phrases(self, n: int, parts: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
-        """(first word, hash) of the phrases of n words that start in what a chunk owns; only those whose parts the bitmap holds."""
+    def stretches(self, n: int) -> list[np.ndarray]:
+        """The first, second, ... word of the n words from each word on."""
+        m = max(0, len(self.words) - n + 1)
+        return [self.words[k : k + m] for k in range(n)]
+
+    def phrases(self, n: int, parts: np.ndarray | None = None) -> np.ndarray:
+        """First words of the phrases of n words that start in what a chunk owns; only those whose parts the bitmap holds."""
         m = len(self.starts) - n + 1
         if m <= 0:
-            return np.empty(0, np.int64), np.empty(0, U)
+            return np.empty(0, np.int64)
         ok = self.owned[:m] & (self.breaks[self.starts[n - 1 :]] == self.breaks[self.starts[:m]]) & (self.of[n - 1 :] == self.of[:m])
         if parts is not None:
-            hit = holds(parts, phrase_hashes(self.words, n - 1, self.seeds))
+            hit = holds(parts, combined(self.stretches(n - 1)))
             ok &= hit[:m] & hit[1 : m + 1]
-        at = np.flatnonzero(ok)
-        return at, phrase_hashes(self.words, n, self.seeds)[at]
+        return np.flatnonzero(ok)
 
 
 def chunks_of(batches: Iterator[pa.RecordBatch]) -> Iterator[Chunks]:
@@ -163,41 +168,62 @@ def holds(bits: np.ndarray, hashes: np.ndarray) -> np.ndarray:
     return (bits[(h >> U(3)).astype(np.int64)] >> (h & U(7)).astype(np.uint8) & 1).astype(bool)
 
 
-def added(hashes: list[np.ndarray], uses: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-    """Sums by hash."""
-    key, back = np.unique(np.concatenate(hashes), return_inverse=True)
-    total = np.zeros(len(key), np.int64)
-    np.add.at(total, back, np.concatenate(uses))
-    return key, total
-
+def added(words: list[np.ndarray], uses: np.ndarray) -> tuple[list[np.ndarray], np.ndarray]:
+    """Sums by phrase."""
+    _, first, back = np.unique(combined(words), return_index=True, return_inverse=True)
+    if not all((w[first][back] == w).all() for w in words):
+        return words, uses  # two phrases share a hash: nothing is summed up here
+    total = np.zeros(len(first), np.int64)
+    np.add.at(total, back, uses)
+    return [w[first] for w in words], total
 
-def frequent(dictionary: DataFrame, n: int, parts: np.ndarray | None, least: int) -> np.ndarray:
-    """Bitmap of the hashes that phrases of n words have `least` times or more: it holds every phrase as frequent as that.
 
-    2**BITS bits, whatever the number of phrases. `parts` is the bitmap of phrases of n - 1 words.
-    """
+def level(dictionary: DataFrame, n: int, parts: np.ndarray | None) -> DataFrame:
+    """(w0, w1, ..., uses) of all phrases of n words, whose parts are in the bitmap; for n = 1 with their `lang`, and all its words as w0 NULL."""
+    cols = [f"w{k}" for k in range(n)]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes, uses, room = [], [], PENDING
+        words, uses, room = [[] for _ in cols], [], PENDING
 
         def out() -> pa.RecordBatch:
-            key, total = added(hashes, uses)
-            return pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), pa.array(total)], ["hash", "uses"])
+            keys, total = added([np.concatenate(w) for w in words], np.concatenate(uses))
+            return pa.RecordBatch.from_arrays([*(pa.array(w.view(np.int64)) for w in keys), pa.array(total)], [*cols, "uses"])
 
         for some in chunks_of(batches):
-            at, key = some.phrases(n, parts)
-            hashes.append(key)
+            at = some.phrases(n, parts)
+            for held, w in zip(words, some.stretches(n)):
+                held.append(w[at])
             uses.append(some.uses[at])
-            room -= len(key)
+            room -= len(at)
             if room < 0:
                 yield out()
-                hashes, uses, room = [], [], PENDING
-        if hashes:
+                words, uses, room = [[] for _ in cols], [], PENDING
+        if uses:
             yield out()
 
-    often = dictionary.mapInArrow(run, "hash long, uses long").groupBy("hash").agg(F.sum("uses").alias("uses")).filter(F.col("uses") >= least)
-    slot = F.col("hash").bitwiseAND(F.lit(2**BITS - 1))
-    pages = often.groupBy(F.shiftright(slot, PAGE).alias("page")).agg(F.bitmap_construct_agg(slot.bitwiseAND(F.lit(2**PAGE - 1))).alias("bits"))
+    def run_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for some in chunks_of(batches):
+            at = some.phrases(1)
+            for i, name in enumerate(some.kinds):
+                mine = at[some.lang[at] == i]
+                (w,), total = added([some.words[mine]], some.uses[mine])
+                yield pa.RecordBatch.from_arrays([pa.array([name] * (len(w) + 1), pa.string()), pa.array([*w.view(np.int64).tolist(), None], pa.int64()), pa.array([*total.tolist(), int(total.sum())], pa.int64())], ["lang", "w0", "uses"])
+
+    if n == 1:
+        return dictionary.mapInArrow(run_words, "lang string, w0 long, uses long").groupBy("lang", "w0").agg(F.sum("uses").alias("uses"))
+    return dictionary.mapInArrow(run, ", ".join(f"{c} long" for c in cols) + ", uses long").groupBy(*cols).agg(F.sum("uses").alias("uses"))
+
+
+def bitmap(phrases: DataFrame, n: int) -> np.ndarray:
+    """Bitmap of phrases of n words: 2**BITS bits whatever their number."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                h = combined([np.asarray(batch.column(k)).view(U) for k in range(n)]) & U(2**BITS - 1)
+                yield pa.RecordBatch.from_arrays([pa.array((h >> U(PAGE)).astype(np.int64)), pa.array((h & U(2**PAGE - 1)).astype(np.int64))], ["page", "bit"])
+
+    pages = phrases.select(*[f"w{k}" for k in range(n)]).mapInArrow(run, "page long, bit long").groupBy("page").agg(F.bitmap_construct_agg("bit").alias("bits"))
     bits = np.zeros(2**BITS >> 3, np.uint8)
     for row in pages.toLocalIterator():
         at = row["page"] << PAGE >> 3
@@ -205,75 +231,63 @@ def frequent(dictionary: DataFrame, n: int, parts: np.ndarray | None, least: int
     return bits
 
 
-def counted(dictionary: DataFrame, bitmaps: list[np.ndarray]) -> DataFrame:
-    """(lang, words, phrase, uses) of all phrases in the bitmaps of 1, 2, ... words, partial sums; words = 0 counts a language's words."""
-
-    def shown(some: Chunks) -> Iterator[tuple[str, int, str | None, int]]:
-        said = some.points.tobytes().decode("utf-32-le", "surrogatepass")
-        for n, bits in enumerate(bitmaps, 1):
-            at, key = some.phrases(n)
-            if n == 1:
-                per = np.zeros(len(some.kinds), np.int64)
-                np.add.at(per, some.lang[at], some.uses[at])
-                yield from ((k, 0, None, int(v)) for k, v in zip(some.kinds, per))
-            hit = holds(bits, key)
-            at, key = at[hit], key[hit]
-            if not len(at):
-                continue
-            order = np.argsort(key, kind="stable")
-            at, key = at[order], key[order]
-            # Equal hashes are one phrase where a second hash agrees; where not, phrases are told apart by their text.
-            check = np.zeros(len(at), U)
-            for k in range(n):
-                check += mixed(some.words[at + k] ^ SEED) * FACTORS[k + 5]
-            head = np.flatnonzero(np.append(True, (key[1:] != key[:-1]) | (check[1:] != check[:-1])))
-            total = np.add.reduceat(some.uses[at], head)
-            first = at[head]
-            parts = [[said[a:b] for a, b in zip(some.starts[first + k].tolist(), some.ends[first + k].tolist())] for k in range(n)]
-            names = [some.kinds[i] for i in some.lang[first].tolist()]
-            yield from zip(names, [n] * len(first), map(" ".join, zip(*parts)), total.tolist())
+def counted(dictionary: DataFrame, least: int = LEAST) -> tuple[DataFrame, DataFrame]:
+    """(lang, w, f) of all phrases of 1 to LONGEST words found `least` times or more, and (lang, n) of all words."""
+    words = stored(level(dictionary, 1, None))
+    often = words.filter(F.col("w0").isNotNull() & (F.col("uses") >= least))
+    levels, bits = [], bitmap(often, 1)
+    for n in range(2, LONGEST + 1):
+        found = stored(level(dictionary, n, bits).filter(F.col("uses") >= least))
+        if n < LONGEST:
+            bits = bitmap(found, n)
+        levels.append(found.select(F.array(*[f"w{k}" for k in range(n)]).alias("w"), F.col("uses").alias("f")))
+    longer = levels[0]
+    for found in levels[1:]:
+        longer = longer.unionByName(found)
+    named = often.select(F.col("w0").alias("__first"), "lang")
+    longer = longer.join(named, F.col("w")[0] == F.col("__first")).select("lang", "w", "f")
+    totals = words.filter("w0 IS NULL").select("lang", F.col("uses").alias("n"))
+    return often.select("lang", F.array("w0").alias("w"), F.col("uses").alias("f")).unionByName(longer), totals
+
+
+def spelled(dictionary: DataFrame, wanted: DataFrame) -> DataFrame:
+    """(w, phrase): the text of the phrases (column `w`) that are wanted."""
+    bitmaps = {n: bitmap(wanted.filter(F.size("w") == n).select(*[F.col("w")[k].alias(f"w{k}") for k in range(n)]), n) for n in range(1, LONGEST + 1)}
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rows: dict[tuple[str, int, str | None], int] = {}
-
-        def out() -> pa.RecordBatch:
-            langs, words, said = zip(*rows) if rows else ((), (), ())
-            return pa.RecordBatch.from_arrays([pa.array(langs, pa.string()), pa.array(words, pa.int32()), pa.array(said, pa.string()), pa.array(rows.values(), pa.int64())], ["lang", "words", "phrase", "uses"])
-
+        known: dict[tuple[int, ...], str] = {}
         for some in chunks_of(batches):
-            for lang, words, phrase, uses in shown(some):
-                rows[lang, words, phrase] = rows.get((lang, words, phrase), 0) + uses
-            if len(rows) > PENDING >> 4:
-                yield out()
-                rows.clear()
-        yield out()
-
-    return dictionary.mapInArrow(run, "lang string, words int, phrase string, uses long")
+            said = some.points.tobytes().decode("utf-32-le", "surrogatepass")
+            for n, bits in bitmaps.items():
+                if not bits.any():
+                    continue
+                at, words = some.phrases(n), some.stretches(n)
+                at = at[holds(bits, combined([w[at] for w in words]))]
+                for i, key in zip(at.tolist(), zip(*(w[at].view(np.int64).tolist() for w in words))):
+                    if key not in known:
+                        known[key] = " ".join(said[some.starts[i + k] : some.ends[i + k]] for k in range(n))
+            if len(known) > PENDING >> 3:
+                yield pa.RecordBatch.from_arrays([pa.array(map(list, known), pa.list_(pa.int64())), pa.array(known.values(), pa.string())], ["w", "phrase"])
+                known = {}
+        yield pa.RecordBatch.from_arrays([pa.array(map(list, known), pa.list_(pa.int64())), pa.array(known.values(), pa.string())], ["w", "phrase"])
+
+    found = dictionary.mapInArrow(run, "w array<long>, phrase string").groupBy("w").agg(F.min("phrase").alias("phrase"))
+    return found.join(wanted.select("w").distinct(), "w")
 
 
 def frequencies(df: DataFrame, text: str = "text", lang: str = "lang", least: int = LEAST) -> DataFrame:
-    """(lang, words, phrase, f) of all phrases of 1 to LONGEST words found `least` times or more; words = 0 is a language's number of words.
-
-    Hashes decide which phrases may be as frequent as that, level by level; then these are counted by their text.
-    """
+    """(lang, words, phrase, f) of all phrases of 1 to LONGEST words found `least` times or more."""
     dictionary = stored(parse(df, text, lang))
-    bitmaps: list[np.ndarray] = []
-    for n in range(1, LONGEST + 1):
-        bitmaps.append(frequent(dictionary, n, bitmaps[-1] if bitmaps else None, least))
-    total = counted(dictionary, bitmaps).groupBy("lang", "words", "phrase").agg(F.sum("uses").alias("f"))
-    return total.filter((F.col("f") >= least) | (F.col("words") == 0))
-
+    f = stored(counted(dictionary, least)[0])
+    return f.join(spelled(dictionary, f), "w").select("lang", F.size("w").alias("words"), "phrase", "f")
 
-def _stretch(first: int, size: int) -> F.Column:
-    return F.array_join(F.slice("w", first, size), " ")
 
-
-def ranked(df: DataFrame, places: int) -> DataFrame:
-    """First rows of a language; each of many parts keeps its own first before they meet."""
-    order = [F.col("score").desc(), F.col("a").desc(), F.col("phrase")]
-    parts = Window.partitionBy("lang", F.pmod(F.xxhash64("phrase"), F.lit(256))).orderBy(*order)
-    some = df.withColumn("rank", F.row_number().over(parts)).filter(F.col("rank") <= places)
-    return some.withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy(*order)).cast("long")).filter(F.col("rank") <= places)
+def ranked(df: DataFrame, places: int, order: list[F.Column], ties: bool, salt: str) -> DataFrame:
+    """First rows of a language, with those that tie for the last place if wanted; each of many parts keeps its own first before they meet."""
+    place = F.rank() if ties else F.row_number()
+    parts = Window.partitionBy("lang", F.pmod(F.xxhash64(salt), F.lit(256))).orderBy(*order)
+    some = df.withColumn("rank", place.over(parts)).filter(F.col("rank") <= places)
+    return some.withColumn("rank", place.over(Window.partitionBy("lang").orderBy(*order)).cast("long")).filter(F.col("rank") <= places)
 
 
 def collocations(df: DataFrame, text: str = "text", lang: str = "lang", least: int = LEAST, inside: int = INSIDE, places: int = PLACES) -> DataFrame:
@@ -286,21 +300,26 @@ def collocations(df: DataFrame, text: str = "text", lang: str = "lang", least: i
     one longer phrase. Ties in score stand by `a`, then by the phrase's bytes. An empty table gives no
     rows, and other columns are not looked at, whatever their names.
     """
-    f = stored(frequencies(df, text, lang, least))
-    named = f.filter("words > 0")
-    phrases = named.filter("words > 1").select("lang", "phrase", "words", F.col("f").alias("a"), F.split("phrase", " ").alias("w"))
-    cuts = phrases.select("lang", "phrase", "a", "words", "w", F.explode(F.sequence(F.lit(1), F.col("words") - 1)).alias("k"))
-    cuts = cuts.select("lang", "phrase", "a", "k", _stretch(1, F.col("k")).alias("left"), _stretch(F.col("k") + 1, F.col("words") - F.col("k")).alias("right"))
-    part = lambda side, count: named.select(F.col("lang"), F.col("phrase").alias(side), F.col("f").alias(count))
-    cuts = cuts.join(part("left", "l"), ["lang", "left"]).join(part("right", "r"), ["lang", "right"])
+    dictionary = stored(parse(df, text, lang))
+    f, totals = counted(dictionary, least)
+    f = stored(f)
+    phrases = f.filter(F.size("w") > 1).select("lang", "w", F.size("w").alias("words"), F.col("f").alias("a"))
+    cuts = phrases.withColumn("k", F.explode(F.sequence(F.lit(1), F.col("words") - 1)))
+    cuts = cuts.select("lang", "w", "a", "k", F.slice("w", F.lit(1), F.col("k")).alias("left"), F.slice("w", F.col("k") + 1, F.col("words") - F.col("k")).alias("right"))
+    part = lambda side, count: f.select(F.col("w").alias(side), F.col("f").alias(count))
+    cuts = cuts.join(part("left", "l"), "left").join(part("right", "r"), "right")
     score = F.expr(f"CAST(CAST(a AS DECIMAL(28, 0)) * {SCALE} DIV (CAST(l AS DECIMAL(20, 0)) + CAST(r AS DECIMAL(20, 0))) AS BIGINT)")
-    best = cuts.withColumn("score", score).groupBy("lang", "phrase", "a").agg(F.min(F.struct("score", "k", "l", "r")).alias("best"))
+    best = cuts.withColumn("score", score).groupBy("lang", "w", "a").agg(F.min(F.struct("score", "k", "l", "r")).alias("best"))
 
     longer = phrases.filter("words > 2").withColumn("size", F.explode(F.sequence(F.lit(2), F.col("words") - 1)))
     longer = longer.withColumn("first", F.explode(F.sequence(F.lit(1), F.col("words") - F.col("size") + 1)))
-    around = longer.groupBy("lang", _stretch(F.col("first"), F.col("size")).alias("phrase")).agg(F.max("a").alias("most"))
+    around = longer.groupBy(F.slice("w", F.col("first"), F.col("size")).alias("w")).agg(F.max("a").alias("most"))
     big = lambda c: F.col(c).cast("decimal(28,0)")
-    kept = best.join(around, ["lang", "phrase"], "left").filter(F.col("most").isNull() | (big("most") * 100 < big("a") * inside))
-    top = ranked(kept.select("lang", "phrase", "a", "best.l", "best.r", "best.score"), places)
-    words = f.filter("words = 0").select("lang", F.col("f").alias("n"))
-    return top.join(words, "lang").select("lang", "rank", "phrase", "a", "l", "r", "n", "score")
+    kept = best.join(around, "w", "left").filter(F.col("most").isNull() | (big("most") * 100 < big("a") * inside))
+    kept = kept.select("lang", "w", "a", "best.l", "best.r", "best.score")
+    order = [F.col("score").desc(), F.col("a").desc()]
+    # Only phrases that have a place, whatever their text, or tie for one are spelled.
+    contenders = stored(ranked(kept, places, order, True, "w").drop("rank"))
+    shown = contenders.join(spelled(dictionary, contenders), "w")
+    top = ranked(shown, places, [*order, F.col("phrase")], False, "phrase")
+    return top.join(totals, "lang").select("lang", "rank", "phrase", "a", "l", "r", "n", "score")
