@@ -1,13 +1,19 @@
-"""Data-quality tests. Each returns the violations; an empty result passes."""
+"""Data-quality tests. Each returns the violations; an empty result passes.
+
+A `Suite` asks many tests at once: their numbers of violations come from one scan a table, and only
+tests that fail are asked for their rows.
+"""
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from dataclasses import dataclass, field
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
 from sparkmart.functions import as_col, surrogate_key
-from sparkmart.operators import sets
+from sparkmart.operators import metrics as M, sets
 from sparkmart.operators.windows import join_back
 
 
@@ -140,3 +146,83 @@ def allow_list(df, col, allowed, allowed_col) -> DataFrame:
     seen, known = df.select(as_col(col).alias("value")).distinct(), allowed.select(as_col(allowed_col).alias("value")).distinct()
     extra = seen.join(known, "value", "left_anti").withColumn("problem", F.lit("not allowed"))
     return extra.unionByName(known.join(seen, "value", "left_anti").withColumn("problem", F.lit("not used")))
+
+
+@dataclass
+class Suite:
+    """Tests over named tables. Methods add one test each, under a name, and return the suite.
+
+    The tests of a table share one scan with one aggregation: distinct keys of every unique test are
+    grouped in it, related tables hang on it by left joins of their distinct keys.
+    """
+
+    tables: dict[str, DataFrame]
+    metrics: dict[str, M.Metric] = field(default_factory=dict)
+    verdicts: dict[str, tuple[tuple[str, ...], Callable[..., Column]]] = field(default_factory=dict)
+    rows: dict[str, Callable[[], DataFrame]] = field(default_factory=dict)
+
+    def _add(self, name: str, rows: Callable[[], DataFrame], verdict: Callable[..., Column] | None = None, **metrics: M.Metric) -> Suite:
+        if name in self.verdicts:
+            raise ValueError(f"two tests named {name}")
+        parts = {f"{name}\0{k}": m for k, m in metrics.items()}
+        self.metrics |= parts
+        self.verdicts[name] = tuple(parts), verdict or (lambda n: n)
+        self.rows[name] = rows
+        return self
+
+    def not_null(self, name, table, col, where=None) -> Suite:
+        return self._add(name, lambda: not_null(self.tables[table], col, where), n=M.count(table, where=_all(as_col(col).isNull(), where)))
+
+    def unique(self, name, table, cols, where=None) -> Suite:
+        cols = [cols] if isinstance(cols, str) else list(cols)
+        present = reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in cols])
+        key = F.col(cols[0]) if len(cols) == 1 else F.struct(*cols)
+        return self._add(name, lambda: unique(self.tables[table], cols, where), n=M.groups(table, key, lambda n: n > 1, _all(present, where)))
+
+    def unique_combination(self, name, table, cols, where=None) -> Suite:
+        return self._add(name, lambda: unique_combination(self.tables[table], cols, where), n=M.groups(table, F.struct(*cols), lambda n: n > 1, _all(None, where)))
+
+    def at_least_one(self, name, table, col, where=None) -> Suite:
+        return self._add(name, lambda: at_least_one(self.tables[table], col, where), lambda n: (n == 0).cast("double"), n=M.count(table, as_col(col), _all(None, where)))
+
+    def accepted_values(self, name, table, col, values, where=None) -> Suite:
+        c = as_col(col)
+        return self._add(name, lambda: accepted_values(self.tables[table], col, values, where), n=M.distinct(table, c, _all(~c.isin(*values), where)))
+
+    def relationships(self, name, table, col, other, other_col, where=None) -> Suite:
+        """`col` is a column name; rows whose key has no partner in `other` are violations."""
+        keys = f"{other}_{other_col}_keys"
+        self.tables = {**self.tables, keys: self.tables[other].select(as_col(other_col).alias("k")).filter("k IS NOT NULL").distinct()}
+        join = M.Join(keys, ((col, "k"),), unique=True)
+        known = _all(F.col(col).isNotNull(), where)
+        return self._add(name, lambda: relationships(self.tables[table], col, self.tables[other], other_col, where), lambda n, hit: n - hit, n=M.count(table, where=known), hit=M.count(table, where=known, joins=[join]))
+
+    def expression_is_true(self, name, table, expr: Column | str, where=None) -> Suite:
+        cond = F.expr(expr) if isinstance(expr, str) else expr
+        return self._add(name, lambda: expression_is_true(self.tables[table], expr, where), n=M.count(table, where=_all(~F.coalesce(cond, F.lit(False)), where)))
+
+    def row_count(self, name, table, minimum, where=None) -> Suite:
+        return self._add(name, lambda: row_count(self.tables[table], minimum, where), lambda n: (n < minimum).cast("double"), n=M.count(table, where=_all(None, where)))
+
+    def column_sum(self, name, table, col, minimum, where=None) -> Suite:
+        short = lambda s: (F.coalesce(s, F.lit(0.0)) < minimum).cast("double")
+        return self._add(name, lambda: column_sum(self.tables[table], col, minimum, where), short, n=M.total(table, as_col(col), _all(None, where)))
+
+    def report(self) -> DataFrame:
+        """(test, violations, passed): what each test's own function would return, counted."""
+        names = {name: M.combined(verdict, *parts) for name, (parts, verdict) in self.verdicts.items()}
+        out = M.run_metrics(self.tables, self.metrics | names, "")
+        out = out.filter(F.col("metric").isin(*names)).select(F.col("metric").alias("test"), F.col("value").cast("long").alias("violations"))
+        return out.withColumn("passed", F.col("violations") == 0)
+
+    def failures(self) -> dict[str, DataFrame]:
+        """Violating rows of the tests that fail; no other test is asked."""
+        failed = [r.test for r in self.report().filter(~F.col("passed")).collect()]
+        return {name: self.rows[name]() for name in failed}
+
+
+def _all(cond: Column | None, where) -> Column | None:
+    """Both conditions, NULL counting as false."""
+    where = F.expr(where) if isinstance(where, str) else where
+    given = [c for c in (cond, where) if c is not None]
+    return reduce(lambda a, b: a & b, given) if given else None

@@ -82,6 +82,48 @@ def _(t):
             .unionByName(n("duplicate order", Q.unique(t.orders, "o_orderkey"))).unionByName(n("never filled", Q.at_least_one(t.orders, F.when(F.col("o_totalprice") < -1, 1)))))
 
 
+SUITE = {
+    "orderkey filled": "SELECT COUNT(*) FROM lineitem WHERE l_orderkey IS NULL",
+    "flag filled": "SELECT COUNT(*) FROM lineitem WHERE nullif(l_returnflag, 'A') IS NULL",
+    "date filled": "SELECT COUNT(*) FROM lineitem WHERE l_shipdate IS NULL",
+    "flag filled for parts": "SELECT COUNT(*) FROM lineitem WHERE nullif(l_returnflag, 'A') IS NULL AND l_partkey > 100",
+    "line unique": "SELECT COUNT(*) FROM (SELECT 1 FROM lineitem GROUP BY l_orderkey, l_linenumber HAVING COUNT(*) > 1)",
+    "order unique": "SELECT COUNT(*) FROM (SELECT 1 FROM lineitem GROUP BY l_orderkey HAVING COUNT(*) > 1)",
+    "part unique in returns": "SELECT COUNT(*) FROM (SELECT 1 FROM lineitem WHERE l_returnflag = 'R' GROUP BY l_partkey HAVING COUNT(*) > 1)",
+    "order and part": "SELECT COUNT(*) FROM (SELECT 1 FROM lineitem GROUP BY l_orderkey, l_partkey HAVING COUNT(*) > 1)",
+    "tax filled once": "SELECT CASE WHEN COUNT(l_tax) = 0 THEN 1 ELSE 0 END FROM lineitem",
+    "never above 100": "SELECT CASE WHEN COUNT(*) = 0 THEN 1 ELSE 0 END FROM lineitem WHERE l_quantity > 100",
+    "flags known": "SELECT COUNT(DISTINCT l_returnflag) FROM lineitem WHERE l_returnflag NOT IN ('A', 'N')",
+    "numbers known": "SELECT COUNT(DISTINCT l_linenumber) FROM lineitem WHERE l_linenumber NOT IN (1, 2, 3)",
+    "part exists": "SELECT COUNT(*) FROM lineitem WHERE l_partkey NOT IN (SELECT p_partkey FROM part)",
+    "part is large": "SELECT COUNT(*) FROM lineitem WHERE l_partkey NOT IN (SELECT p_partkey FROM part WHERE p_size > 10)",
+    "order exists": "SELECT COUNT(*) FROM lineitem WHERE l_orderkey NOT IN (SELECT o_orderkey FROM orders)",
+    "price positive": "SELECT COUNT(*) FROM lineitem WHERE NOT l_extendedprice > 0",
+    "discount small": "SELECT COUNT(*) FROM lineitem WHERE NOT l_discount < 0.05",
+    "many rows": "SELECT CASE WHEN COUNT(*) < 1000000000 THEN 1 ELSE 0 END FROM lineitem",
+    "some returns": "SELECT CASE WHEN COUNT(*) < 10 THEN 1 ELSE 0 END FROM lineitem WHERE l_returnflag = 'R'",
+    "quantity sold": "SELECT CASE WHEN SUM(l_quantity) < 1000 THEN 1 ELSE 0 END FROM lineitem",
+}
+
+
+def line_suite(t):
+    flag = F.nullif(F.col("l_returnflag"), F.lit("A"))
+    s = Q.Suite({"lineitem": t.lineitem, "part": t.part, "large_part": t.part.filter("p_size > 10"), "orders": t.orders})
+    s.not_null("orderkey filled", "lineitem", "l_orderkey").not_null("flag filled", "lineitem", flag).not_null("date filled", "lineitem", "l_shipdate")
+    s.not_null("flag filled for parts", "lineitem", flag, "l_partkey > 100").unique("line unique", "lineitem", ["l_orderkey", "l_linenumber"]).unique("order unique", "lineitem", "l_orderkey")
+    s.unique("part unique in returns", "lineitem", "l_partkey", "l_returnflag = 'R'").unique_combination("order and part", "lineitem", ["l_orderkey", "l_partkey"])
+    s.at_least_one("tax filled once", "lineitem", "l_tax").at_least_one("never above 100", "lineitem", F.lit(1), "l_quantity > 100")
+    s.accepted_values("flags known", "lineitem", "l_returnflag", ["A", "N"]).accepted_values("numbers known", "lineitem", "l_linenumber", [1, 2, 3])
+    s.relationships("part exists", "lineitem", "l_partkey", "part", "p_partkey").relationships("part is large", "lineitem", "l_partkey", "large_part", "p_partkey").relationships("order exists", "lineitem", "l_orderkey", "orders", "o_orderkey")
+    s.expression_is_true("price positive", "lineitem", "l_extendedprice > 0").expression_is_true("discount small", "lineitem", F.col("l_discount") < 0.05)
+    return s.row_count("many rows", "lineitem", 10**9).row_count("some returns", "lineitem", 10, "l_returnflag = 'R'").column_sum("quantity sold", "lineitem", "l_quantity", 1000)
+
+
+@query("dq_suite", " UNION ALL ".join(f"SELECT '{n}' AS test, CAST(n AS BIGINT) AS violations, n = 0 AS passed FROM ({q}) AS x(n)" for n, q in SUITE.items()))
+def _(t):
+    return line_suite(t).report()
+
+
 @query("dq_2_accepted_values", "SELECT o_orderpriority AS value, COUNT(*) AS rows FROM orders WHERE o_orderpriority NOT IN ('1-URGENT', '2-HIGH', '3-MEDIUM') GROUP BY 1")
 def _(t):
     return Q.accepted_values(t.orders, "o_orderpriority", ["1-URGENT", "2-HIGH", "3-MEDIUM"]).withColumnRenamed("o_orderpriority", "value")

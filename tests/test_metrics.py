@@ -110,3 +110,14 @@ def test_adoption_without_users(spark):
     counters = spark.createDataFrame([("old", "2024-01-01"), ("new", "2024-03-01")], "metric string, r string").selectExpr("metric", "CAST(r AS DATE) AS r")
     got = {(r.metric, str(r.month)): r.pct_with_counter for r in U.adoption(usage, counters, "month", "s", "r", "metric", "r").collect()}
     assert got == {("old", "2024-01-01"): 1.0, ("old", "2024-03-01"): 0.0, ("new", "2024-03-01"): 0.0}
+
+
+def test_a_suite_scans_a_table_once(spark):
+    from sparkmart.plans.q_privacy_quality import SUITE, line_suite
+    from sparkmart.plans.registry import Tables
+
+    suite = line_suite(Tables(spark, FOLDER))
+    assert len(SUITE) == 20 and scans(suite.report()) == 1 + 3  # lineitem, and one a related table
+    failed = suite.failures()
+    report = {r.test: r for r in suite.report().collect()}
+    assert set(failed) == {n for n, r in report.items() if not r.passed} and {n: df.count() for n, df in failed.items()} == {n: report[n].violations for n in failed}
