@@ -39,8 +39,10 @@ def pad_both(c, s: str = " ") -> Column:
 
 def slugify(c, filler: str = "-") -> Column:
     """Lower-case slug: ' || ' becomes '|', blanks collapse, other characters become filler."""
-    c = F.regexp_replace(as_col(c), r"\s+\|{2}\s+", "|")
-    c = F.regexp_replace(c, r"[ ]{2,}", " ")
+    c = as_col(c)
+    # The first two patterns only run on texts that can hold them.
+    c = F.when(c.contains("||"), F.regexp_replace(c, r"\s+\|{2}\s+", "|")).otherwise(c)
+    c = F.when(c.contains("  "), F.regexp_replace(c, r"[ ]{2,}", " ")).otherwise(c)
     return F.trim(F.lower(F.regexp_replace(c, r"[^A-Za-z0-9|]", filler)))
 
 

@@ -116,6 +116,9 @@ def asof(df, ts, scd, key, valid_from, valid_to, cols, tiebreak, chunk=None, how
     spans = scd.select(*keys, as_col(valid_from).alias("__t"), as_col(valid_to).alias("__to"), payload.alias("__q"))
     spans = wn.lead(spans.withColumn("__o", F.coalesce(F.col("__to").isNull().cast("int"), F.lit(0))), "__later", keys, ["__t", "__o", "__to"], "__t", chunk=None if chunk is None else chunk(F.col("__t")))
     long = spans.filter(F.col("__later").isNotNull() & (F.col("__to").isNull() | (F.col("__to") > F.col("__later"))))
+    finish = lambda rows: rows.withColumns({c: F.col("__hit")[c] for c in cols}).select(*df.columns, *[c for c in cols if c not in df.columns])
+    if long.isEmpty():  # the history alone says that no version overlaps another: one pass is all
+        return finish(out.filter(F.col("__hit").isNotNull())) if how == "inner" else finish(out).unionByName(lost, allowMissingColumns=True)
     long = long.select(*[F.col(k).alias(f"__k_{k}") for k in keys], F.col("__t").alias("__f"), "__to", "__q")
     missed = out.filter("__ended").select(*keys, "__t", tiebreak)
     reach = _and([F.col(k) == F.col(f"__k_{k}") for k in keys]) & (F.col("__f") <= F.col("__t")) & (F.col("__to").isNull() | (F.col("__to") >= F.col("__t")))
@@ -124,12 +127,7 @@ def asof(df, ts, scd, key, valid_from, valid_to, cols, tiebreak, chunk=None, how
     again = [F.col(c).alias(f"__j_{c}") for c in (*keys, "__t", tiebreak)]
     out = out.join(found.select(*again, "__again"), _and([F.col(c).eqNullSafe(F.col(f"__j_{c}")) for c in (*keys, "__t", tiebreak)]) & F.col("__ended"), "left")
     out = out.withColumn("__hit", F.coalesce("__hit", "__again"))
-    if how == "inner":
-        out = out.filter(F.col("__hit").isNotNull())
-    for c in cols:
-        out = out.withColumn(c, F.col("__hit")[c])
-    out = out.select(*df.columns, *[c for c in cols if c not in df.columns])
-    return out if how == "inner" else out.unionByName(lost, allowMissingColumns=True)
+    return finish(out.filter(F.col("__hit").isNotNull())) if how == "inner" else finish(out).unionByName(lost, allowMissingColumns=True)
 
 
 def range_lookup(df, point, ranges, low, high, width) -> DataFrame:

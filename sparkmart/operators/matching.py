@@ -19,16 +19,17 @@ def _zero(c):
 def match_score(df, group, org, role, user, weights=None) -> DataFrame:
     """Best organisation of each group with its score and match type.
 
-    Members are counted distinct per group and per (group, organisation); everything
-    after works on those counts. The match type grades how far creators, owners and
-    users point at the same organisation (7 best, 0 none).
+    Members are counted distinct per (group, member) and per (group, organisation), one aggregate
+    each; totals, the two largest organisations and the best one are windows over the latter, so a
+    group weighs as many rows as organisations it touches, whatever its members. The match type
+    grades how far creators, owners and users point at the same organisation (7 best, 0 none).
     """
     weights = weights or WEIGHTS
     d = df.select(as_col(group).alias("g"), as_col(org).alias("o"), as_col(role).alias("r"), as_col(user).alias("u")).distinct()
-    distinct_roles = d.select("g", "r", "u").distinct().groupBy("g").agg(*[F.count_if(F.col("r") == k).alias(f"total_{k}") for k in weights])
-    members = d.groupBy("g").agg(F.count_distinct("u").alias("total_members"), F.count_distinct("o").alias("orgs"))
+    person = d.groupBy("g", "u").agg(*[F.max((F.col("r") == k).cast("int")).alias(f"is_{k}") for k in weights])
+    totals = person.groupBy("g").agg(F.count("u").alias("total_members"), *[F.coalesce(F.sum(f"is_{k}"), F.lit(0)).alias(f"total_{k}") for k in weights])
     per = d.filter("o IS NOT NULL").groupBy("g", "o").agg(*[F.count_if(F.col("r") == k).alias(f"n_{k}") for k in weights])
-    s = per.join(distinct_roles, "g").join(members, "g")
+    s = per.join(totals, "g")
     nc, no, nu = F.col("n_creator"), F.col("n_owner"), F.col("n_user")
     both = lambda a, b: F.when((a > 0) & (b > 0), 1).otherwise(0)
     s = s.withColumn("org_members", nc + no + nu)
@@ -36,10 +37,10 @@ def match_score(df, group, org, role, user, weights=None) -> DataFrame:
     s = s.withColumn("dominance", F.when(ratio("org_members", "total_members") > 0.5, 1).otherwise(0))
     s = s.withColumn("similarity", (both(nc, nu) + both(nc, no) + both(no, nu)).cast("double") / 3)
     s = s.withColumn("combined_score", (F.col("user_score") + F.col("dominance") + F.col("similarity")) / 3 * 100)
+    s = s.withColumn("orgs", F.count(F.lit(1)).over(window("g")))
     for name, c in (("user", nu), ("owner", no)):
-        top = s.select("g", "o", c.alias("__n")).withColumn("__r", F.row_number().over(window("g", [F.desc("__n"), "o"]))).filter("__r <= 2")
-        top = top.groupBy("g").agg(F.max(F.when(F.col("__r") == 1, F.col("__n"))).alias(f"top_{name}"), F.coalesce(F.max(F.when(F.col("__r") == 2, F.col("__n"))), F.lit(0)).alias(f"second_{name}"))
-        s = s.join(top, "g")
+        by_size = window("g", [c.desc(), "o"], wn.FULL)
+        s = s.withColumns({f"top_{name}": F.first(c).over(by_size), f"second_{name}": F.coalesce(F.nth_value(c, 2).over(by_size), F.lit(0))})
     best = topk.latest_per_key(s, ["g"], [F.desc("combined_score"), F.asc("o")])
     creator, owner, has_user = nc > 0, no > 0, nu > 0
     top_user, top_owner = nu == F.col("top_user"), no == F.col("top_owner")

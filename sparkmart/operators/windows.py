@@ -5,7 +5,8 @@ a large share of the table, pass `chunk`:
 
 * a column expression that never decreases as the first sort column grows, such as a
   calendar period for a time order: every key is cut there;
-* `HotKeys(expression)`: only keys above a row limit are cut, the others stay whole.
+* `HotKeys(expression)`: only keys above a row limit are cut, the others stay whole. The keys are
+  counted when the plan is made; where none is hot, the plan is the plain window.
 
 Rows whose chunk is NULL, as the order column of some is, are a chunk of their own, in
 Spark's default place for NULL. Ranks and running aggregates follow a first sort column of
@@ -34,7 +35,7 @@ BEFORE = (W.unboundedPreceding, -1)
 AFTER = (1, W.unboundedFollowing)
 ONWARD = (W.currentRow, W.unboundedFollowing)
 
-_CHUNK = "__chunk"
+_CHUNK, _HOT = "__chunk", "__hot_cut"
 
 
 @dataclass(frozen=True)
@@ -100,7 +101,8 @@ def join_back(df: DataFrame, side: DataFrame, keys: list[str], how: str = "left"
 
 
 def cut(df: DataFrame, by, chunk, name="__cut"):
-    """Resolve hot keys once: the frame with a chunk column and its name as `Cut`.
+    """Resolve hot keys once: the frame with a chunk column and its name as `Cut`, or the frame as it is
+    and None where no key is hot.
 
     Operators that chain several windows cut first and hand the result on, so the keys
     are counted once.
@@ -111,12 +113,12 @@ def cut(df: DataFrame, by, chunk, name="__cut"):
     if not by:
         return df.withColumn(name, F.struct(chunk.fine.alias("c"))), Cut(name)
     hot = df.groupBy(*by).agg(F.count(F.lit(1)).alias("__n")).filter(F.col("__n") > chunk.rows).select(*by, F.lit(True).alias("__hot"))
+    if hot.isEmpty():
+        return df, None
     return join_back(df, hot, by).withColumn(name, F.when(F.col("__hot"), F.struct(chunk.fine.alias("c")))).drop("__hot"), Cut(name)
 
 
 def _cut(df: DataFrame, by: list[str], chunk) -> DataFrame:
-    if isinstance(chunk, HotKeys):
-        return cut(df, by, chunk, _CHUNK)[0]
     if isinstance(chunk, Cut):
         return df.withColumn(_CHUNK, F.col(chunk.name))
     return df.withColumn(_CHUNK, F.struct(as_col(chunk).alias("c")))
@@ -134,21 +136,23 @@ def _seeded(rows: DataFrame, seeds: DataFrame, at_end=False) -> DataFrame:
 
 
 def _unseed(df: DataFrame) -> DataFrame:
-    return df.filter("__row").drop("__v", "__o", "__seed", "__row", _CHUNK)
+    return df.filter("__row").drop("__v", "__o", "__seed", "__row", _CHUNK, _HOT)
 
 
 # ---------------------------------------------------------------- ranking
 
 def row_number(df, out, by, order, chunk=None) -> DataFrame:
     """ROW_NUMBER; `order` must end in a unique tiebreak."""
+    df, chunk = cut(df, by, chunk, _HOT)
     if chunk is None:
         return df.withColumn(out, F.row_number().over(window(by, order)))
-    return running(df, out, by, order, F.lit(1).cast("long"), chunk=chunk)
+    return running(df, out, by, order, F.lit(1).cast("long"), chunk=chunk).drop(_HOT)
 
 
 def rank(df, out, by, order, chunk=None) -> DataFrame:
     """RANK: one plus the number of rows strictly before."""
     by = _list(by)
+    df, chunk = cut(df, by, chunk, _HOT)
     if chunk is None:
         return df.withColumn(out, F.rank().over(window(by, order)))
     df, keys = _cut(df, by, chunk), by + [_CHUNK]
@@ -203,6 +207,7 @@ def _neighbour(df, out, by, order, col, default, chunk, forward) -> DataFrame:
 
 def lag(df, out, by, order, col, n=1, default=None, chunk=None) -> DataFrame:
     """Value n rows earlier."""
+    df, chunk = cut(df, by, chunk, _HOT)
     if chunk is None:
         return df.withColumn(out, F.lag(as_col(col), n, default).over(window(by, order)))
     if n != 1:
@@ -212,6 +217,7 @@ def lag(df, out, by, order, col, n=1, default=None, chunk=None) -> DataFrame:
 
 def lead(df, out, by, order, col, n=1, default=None, chunk=None) -> DataFrame:
     """Value n rows later."""
+    df, chunk = cut(df, by, chunk, _HOT)
     if chunk is None:
         return df.withColumn(out, F.lead(as_col(col), n, default).over(window(by, order)))
     if n != 1:
@@ -235,6 +241,7 @@ def _nearest_known(df, out, by, order, col, frame, chunk, forward) -> DataFrame:
 def last_known(df, out, by, order, col, include_current=True, chunk=None) -> DataFrame:
     """Last non-NULL value up to here (LAG IGNORE NULLS when the current row is excluded)."""
     frame = RUNNING if include_current else BEFORE
+    df, chunk = cut(df, by, chunk, _HOT)
     if chunk is None:
         return df.withColumn(out, F.last(as_col(col), ignorenulls=True).over(window(by, order, frame)))
     return _nearest_known(df, out, _list(by), order, col, frame, chunk, forward=False)
@@ -242,6 +249,7 @@ def last_known(df, out, by, order, col, include_current=True, chunk=None) -> Dat
 
 def next_known(df, out, by, order, col, chunk=None) -> DataFrame:
     """First non-NULL value from here on (back-fill)."""
+    df, chunk = cut(df, by, chunk, _HOT)
     if chunk is None:
         return df.withColumn(out, F.first(as_col(col), ignorenulls=True).over(window(by, order, ONWARD)))
     return _nearest_known(df, out, _list(by), order, col, ONWARD, chunk, forward=True)
@@ -316,6 +324,7 @@ def running(df, out, by, order, col, agg="sum", include_current=True, chunk=None
     frame = RUNNING if include_current else BEFORE
     fn = {"sum": F.sum, "count": F.count, "min": F.min, "max": F.max}[agg]
     value = as_col(col)
+    df, chunk = cut(df, by, chunk, _HOT)
     if chunk is None:
         return df.withColumn(out, fn(value).over(window(by, order, frame)))
     if agg == "count":
