@@ -99,6 +99,13 @@ def ranges(first: np.ndarray, size: np.ndarray) -> np.ndarray:
     return np.repeat(first - ends + size, size) + np.arange(ends[-1] if len(ends) else 0)
 
 
+def shared(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Values that two sorted arrays have in common, each once."""
+    x = x[np.append(True, x[1:] != x[:-1])]
+    at = np.minimum(np.searchsorted(y, x), len(y) - 1)
+    return x[y[at] == x]
+
+
 class Speller:
     """Bytes and decimal digits of tokens, many at once."""
 
@@ -156,7 +163,7 @@ class Aligner:
         a, b = np.concatenate(ids_a).astype(np.int64), np.concatenate(ids_b).astype(np.int64)
         # Both vocabularies spell the same bytes, so ends count through all texts alike. Tokens of no byte end with the token before.
         end_a, end_b = np.cumsum(self.say_a.size[a]), np.cumsum(self.say_b.size[b])
-        common = np.intersect1d(end_a, end_b)
+        common = shared(end_a, end_b)
         group_a, group_b = np.searchsorted(common, end_a), np.searchsorted(common, end_b)
         in_a, in_b = np.bincount(group_a, minlength=len(common)), np.bincount(group_b, minlength=len(common))
         first_a, first_b = np.cumsum(in_a) - in_a, np.cumsum(in_b) - in_b
