@@ -4,7 +4,8 @@ Pages of a host are made by a few templates. A page's layout is its set of tag p
 is chosen for all pages of a host, for those with the same upper paths, and for each layout, if there
 are enough pages; the tree of every page is aligned with its references' by simple tree matching, which
 finds the largest order-preserving match of equal tags, top down. A reference node whose text is the same in
-nearly all pages it was matched in is template; nodes whose text varies are slots that hold content.
+nearly all pages it was matched in is template, and so is that text in the nodes matched to it, nowhere else;
+nodes whose text varies are slots that hold content. Markup is read once; trees and blocks are stored.
 Menus, adverts and footers vary too, so what an element calls itself (its tag, role, class and id)
 closes the slots inside it.
 """
@@ -19,7 +20,8 @@ from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark import TaskContext
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from sparkmart.llm.common import stored, whole
 from sparkmart.llm.scan import by_bytes
@@ -28,6 +30,8 @@ from sparkmart.llm.scan import by_bytes
 CONSTANT, LEAST_PAGES = 0.9, 4
 #: A group of pages most of whose content text is constant holds copies of one page; nothing is template there.
 COPIES = 0.5
+#: Parts into which the pages of a group are dealt to meet their reference.
+SALTS = 16
 #: Levels of a tag path that pages of similar layouts share.
 UPPER = 4
 #: Outside of an article, a block with this share of its characters in links is a menu.
@@ -336,33 +340,71 @@ def layout(page: Page) -> tuple[int, int]:
     return tuple(said_hash(" ".join(map(str, sorted(x)))) for x in (upper, paths))
 
 
-def laid_out(pages: DataFrame, keep_html: bool) -> DataFrame:
-    """(host, pick, upper, full[, html]) of the pages that have content."""
+def preorder(root: Node) -> tuple[list[Node], list[int]]:
+    """Nodes, each behind its parent, and the places of their parents; -1 for the root."""
+    nodes, up, todo = [], [], [(root, -1)]
+    while todo:
+        node, above = todo.pop()
+        here = len(nodes)
+        nodes.append(node)
+        up.append(above)
+        todo += [(c, here) for c in reversed(node.children)]
+    return nodes, up
+
+
+def tree(tags: str, up: Sequence[int]) -> list[Node]:
+    """The nodes that `preorder` wrote down."""
+    nodes = [Node(t, False, False, False) for t in tags.split(" ")]
+    for node, above in zip(nodes, up):
+        if above >= 0:
+            nodes[above].children.append(node)
+    return nodes
+
+
+INT, LONG, TEXT = pa.list_(pa.int32()), pa.list_(pa.int64()), pa.list_(pa.string())
+#: What is kept of a page: its layout, its tree, and per block of content its text, node, place among the node's blocks, hash and length.
+PARSED = {
+    "id": ("long", pa.int64()), "upper": ("long", pa.int64()), "full": ("long", pa.int64()), "body": ("long", pa.int64()), "tags": ("string", pa.string()), "up": ("array<int>", INT),
+    "texts": ("array<string>", TEXT), "node": ("array<int>", INT), "nth": ("array<int>", INT), "said": ("array<long>", LONG), "size": ("array<int>", INT),
+}
+
+
+def parsed(pages: DataFrame) -> DataFrame:
+    """The one time that markup is read: `row`, `host`, `pick` and PARSED of every page, stored."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        number = TaskContext.get().partitionId() << 33
         for batch in by_bytes(batches, "html"):
-            keep, keys = [], []
+            found: dict[str, list] = {c: [] for c in PARSED}
             for source in batch.column("html").to_pylist():
                 page = Page(source)
-                keep.append(bool(page.content()))
-                if keep[-1]:
-                    keys.append(layout(page))
-            batch = batch.filter(pa.array(keep, pa.bool_()))
-            upper, full = zip(*keys) if keys else ((), ())
-            columns = [batch.column("host"), batch.column("pick"), pa.array(upper, pa.int64()), pa.array(full, pa.int64())]
-            names = ["host", "pick", "upper", "full"]
-            yield pa.RecordBatch.from_arrays(columns + [batch.column("html")] * keep_html, names + ["html"] * keep_html)
-
-    return pages.select("host", "html", "pick").mapInArrow(run, "host string, pick long, upper long, full long" + ", html string" * keep_html)
+                nodes, up = preorder(page.root)
+                place = {id(n): i for i, n in enumerate(nodes)}
+                some = page.content()
+                texts = [page.blocks[i][0] for i in some]
+                upper, full = layout(page)
+                node = [place[id(page.blocks[i][1])] for i in some]
+                nth = [page.blocks[i][1].blocks.index(i) for i in some]
+                values = (number, upper, full, said_hash("\n".join(texts)), " ".join(n.tag for n in nodes), up, texts, node, nth, list(map(said_hash, texts)), list(map(len, texts)))
+                for c, v in zip(found, values):
+                    found[c].append(v)
+                number += 1
+            yield pa.RecordBatch.from_arrays([batch.column("row"), batch.column("host"), batch.column("pick"), *(pa.array(found[c], kind) for c, (_, kind) in PARSED.items())], ["row", "host", "pick", *found])
+
+    out = T.StructType().add("row", pages.schema["row"].dataType).add("host", "string").add("pick", "long")
+    kinds = {"long": T.LongType(), "string": T.StringType(), "array<int>": T.ArrayType(T.IntegerType()), "array<long>": T.ArrayType(T.LongType()), "array<string>": T.ArrayType(T.StringType())}
+    for name, (kind, _) in PARSED.items():
+        out = out.add(name, kinds[kind])
+    return stored(pages.select("row", "host", "pick", "html").mapInArrow(run, out))
 
 
 def grouped(pages: DataFrame) -> DataFrame:
     """(host, upper, full, pick): the groups of at least LEAST_PAGES pages and the page each is judged by.
 
     NULL stands for any layout. A group that is all of a wider one is left out. The reference is of the
-    group's most frequent layout.
+    group's most frequent layout. Pages without content are in no group.
     """
-    layouts = stored(laid_out(pages, False).groupBy("host", "upper", "full").agg(F.count(F.lit(1)).alias("n"), F.min("pick").alias("pick")))
+    layouts = stored(pages.filter(F.size("node") > 0).groupBy("host", "upper", "full").agg(F.count(F.lit(1)).alias("n"), F.min("pick").alias("pick")))
     first = F.min(F.struct((-F.col("n")).alias("n"), "full", "pick")).alias("first")
     uppers = layouts.groupBy("host", "upper").agg(F.sum("n").alias("m"), first)
     hosts = layouts.groupBy("host").agg(F.sum("n").alias("all"), first)
@@ -373,96 +415,92 @@ def grouped(pages: DataFrame) -> DataFrame:
     return stored(whole_hosts.union(parts).union(single))
 
 
+SHAPE = ("tags", "up", "node", "nth", "said", "size")
+
+
 def aligned(pages: DataFrame) -> DataFrame:
-    """(host, group, body, slot, said, same, weight): for each page and reference, the reference's content nodes it was matched in.
+    """(id, host, group, body, slot, mine, said, same, weight): per page and reference, the reference's blocks of content whose node was matched.
 
-    `body` stands for the page's content text, `said` for the reference node's text, `same` tells whether the page has it there.
-    A row of slot -1 gives the length of the page's own content.
+    `mine` is the page's block in the same place of the matched node, -1 without one, `same` whether it
+    says the same. A row of slot -1 gives the length of the page's own content.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known: dict[tuple, Page] = {}
-        for batch in by_bytes(batches, "html"):
+        known: dict[tuple, tuple] = {}
+        names = ["id", "host", "group", "body", "slot", "mine", "said", "same", "weight"]
+        kinds = [pa.int64(), pa.string(), pa.string(), pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.bool_(), pa.int64()]
+        for batch in batches:
             rows: list[tuple] = []
-            for host, group, source, other in zip(*(batch.column(c).to_pylist() for c in ("host", "group", "html", "reference"))):
-                if (host, group) not in known:
+            for r in batch.to_pylist():
+                key = r["host"], r["group"]
+                if key not in known:
                     if len(known) > 200:
                         known.clear()
-                    known[host, group] = Page(other)
-                page, ref = Page(source), known[host, group]
-                own = [page.blocks[i][0] for i in page.content()]
-                body = said_hash("\n".join(own))
-                rows.append((host, group, body, -1, 0, False, sum(map(len, own))))
-                partner = {id(x): y for x, y in matched(ref.root, page.root)}
-                for i in ref.content():
-                    text, node, _ = ref.blocks[i]
-                    mate = partner.get(id(node))
-                    if mate is not None and mate.blocks:
-                        at = node.blocks.index(i)
-                        same = at < len(mate.blocks) and page.blocks[mate.blocks[at]][0] == text
-                        rows.append((host, group, body, i, said_hash(text), same, len(text)))
-            names = ["host", "group", "body", "slot", "said", "same", "weight"]
-            kinds = [pa.string(), pa.string(), pa.int64(), pa.int32(), pa.int64(), pa.bool_(), pa.int64()]
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows) if rows else [()] * 7, kinds)], names)
-
-    return pages.select("host", "group", "html", "reference").mapInArrow(run, "host string, group string, body long, slot int, said long, same boolean, weight long")
-
-
-def templates(pages: DataFrame) -> DataFrame:
-    """(host, template): hashes of the texts that are constant in a group of the host's pages. `pages` has host, html and pick."""
+                    known[key] = tree(r["ref_tags"], r["ref_up"])
+                ref, page = known[key], tree(r["tags"], r["up"])
+                head = r["id"], *key, r["body"]
+                rows.append((*head, -1, -1, 0, False, sum(r["size"])))
+                place = {id(n): i for i, n in enumerate(page)}
+                partner = {id(x): place[id(y)] for x, y in matched(ref[0], page[0])}
+                blocks = {(n, k): i for i, (n, k) in enumerate(zip(r["node"], r["nth"]))}
+                holds = set(r["node"])
+                for slot, (n, k, said, size) in enumerate(zip(r["ref_node"], r["ref_nth"], r["ref_said"], r["ref_size"])):
+                    mate = partner.get(id(ref[n]))
+                    if mate in holds:
+                        mine = blocks.get((mate, k), -1)
+                        rows.append((*head, slot, mine, said, mine >= 0 and r["said"][mine] == said, size))
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows) if rows else [()] * len(kinds), kinds)], names)
+
+    return pages.mapInArrow(run, "id long, host string, group string, body long, slot int, mine int, said long, same boolean, weight long")
+
+
+def template(pages: DataFrame) -> DataFrame:
+    """(id, fixed): the numbers of a page's blocks that stand in a node matched to a constant one, and say what that says."""
     groups = grouped(pages)
-    name = F.concat_ws(" ", F.coalesce(F.col("upper").cast("string"), F.lit("-")), F.coalesce(F.col("full").cast("string"), F.lit("-"))).alias("group")
-    html = pages.join(groups.select("host", "pick").distinct(), ["host", "pick"]).dropDuplicates(["host", "pick"]).select("host", "pick", "html")
-    references = stored(groups.join(html, ["host", "pick"]).select("host", name, F.col("html").alias("reference")))
-    full = F.concat_ws(" ", F.col("upper").cast("string"), F.col("full").cast("string"))
-    mine = F.array(F.lit("- -"), F.concat(F.col("upper").cast("string"), F.lit(" -")), full)
+    name = lambda upper, full: F.concat_ws(" ", F.coalesce(F.col(upper).cast("string"), F.lit("-")), F.coalesce(F.col(full).cast("string"), F.lit("-")))
+    shapes = pages.select("host", "pick", *[F.col(c).alias(f"ref_{c}") for c in SHAPE])
+    references = stored(groups.withColumn("group", name("upper", "full")).join(shapes, ["host", "pick"]).dropDuplicates(["host", "group"]).select("host", "group", *[f"ref_{c}" for c in SHAPE]))
+    mine = F.array(F.lit("- -"), F.concat(F.col("upper").cast("string"), F.lit(" -")), name("upper", "full"))
     # A page goes on once for each of its groups that has a reference; on a host of one layout that is one.
+    # References are few: each stands SALTS times, so that a host with very many pages is spread.
     held = references.groupBy("host").agg(F.collect_set("group").alias("held"))
-    sided = laid_out(pages, True).join(held, "host").select("host", "html", F.explode(F.array_intersect(mine, "held")).alias("group"))
-    nodes = aligned(sided.join(references, ["host", "group"]))
+    sided = pages.filter(F.size("node") > 0).select("id", "host", "body", *SHAPE, mine.alias("mine")).join(held, "host")
+    sided = sided.select("id", "host", "body", *SHAPE, F.explode(F.array_intersect("mine", "held")).alias("group"), F.pmod("id", F.lit(SALTS)).alias("salt"))
+    spread = references.withColumn("salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long"))))
+    nodes = stored(aligned(sided.join(spread, ["host", "group", "salt"]).drop("salt")))
     # Pages with equal content count once, so that copies of a page do not look like a template.
     once = nodes.groupBy("host", "group", "slot", "said", "weight", "body").agg(F.max("same").alias("same"))
-    slots = once.groupBy("host", "group", "slot", "said", "weight").agg(F.count(F.lit(1)).alias("n"), F.sum(F.col("same").cast("int")).alias("same"))
+    slots = once.groupBy("host", "group", "slot", "weight").agg(F.count(F.lit(1)).alias("n"), F.sum(F.col("same").cast("int")).alias("same"))
     constant = (F.col("slot") >= 0) & (F.col("n") >= LEAST_PAGES) & (F.col("same") >= F.col("n") * CONSTANT)
     by_group = slots.groupBy("host", "group").agg(
-        F.collect_set(F.when(constant, F.col("said"))).alias("template"),
+        F.collect_set(F.when(constant, F.col("slot"))).alias("slots"),
         F.sum(F.when(constant, F.col("weight") * F.col("same")).otherwise(0)).alias("fixed"),
         F.sum(F.when(F.col("slot") < 0, F.col("weight") * F.col("n")).otherwise(0)).alias("all"),
     )
-    kept = by_group.filter((F.size("template") > 0) & (F.col("fixed") <= F.col("all") * COPIES))
-    return stored(kept.groupBy("host").agg(F.array_distinct(F.flatten(F.collect_list("template"))).alias("template")))
+    kept = by_group.filter((F.size("slots") > 0) & (F.col("fixed") <= F.col("all") * COPIES)).select("host", "group", F.explode("slots").alias("slot"))
+    return nodes.filter("same").join(kept, ["host", "group", "slot"]).groupBy("id").agg(F.collect_set("mine").alias("fixed"))
 
 
-def main_text(pages: DataFrame, html: str = "html", url: str = "url", text: str = "text", induce: bool = True) -> DataFrame:
-    """Add the main text of every page; all other columns stay, an existing column of that name is replaced.
+def main_text(pages: DataFrame, html: str = "html", url: str = "url", text: str = "text", induce: bool = True, keep: list[str] | None = None) -> DataFrame:
+    """Add the main text of every page; all other columns stay (or those in `keep`), an existing column of that name is replaced.
 
     Character references are decoded, white space inside a block becomes one blank, blocks are joined
     in page order by a line feed. A NULL, empty or textless page gives ''. Pages with a NULL url share
-    the host ''. Without `induce` only what the elements call themselves decides.
+    the host ''. Repeated rows count each, equal contents of a group as one page; of references that
+    tie, the smallest hash is taken. An empty table stays empty, and columns may have any names.
+    Without `induce` only what the elements call themselves decides.
     """
-    pages = pages.drop(text)
-    keyed = pages.withColumn("_host", host_of(url))
+    carried = [c for c in (keep or pages.columns) if c != text]
+    slim = pages.select(F.struct(*(F.col(f"`{c}`") for c in carried)).alias("row"), host_of(F.col(f"`{url}`")).alias("host"), whole(F.col(f"`{html}`")).alias("html"), F.xxhash64(whole(F.col(f"`{url}`")), whole(F.col(f"`{html}`"))).alias("pick"))
+    read = parsed(slim)
     if induce:
-        slim = keyed.select(F.col("_host").alias("host"), whole(html).alias("html"), F.xxhash64(whole(url), whole(html)).alias("pick"))
-        keyed = keyed.join(templates(slim).select(F.col("host").alias("_host"), F.col("template").alias("_template")), "_host", "left")
+        read = read.select("id", "row", "texts").join(template(read), "id", "left")
+        said = F.filter("texts", lambda x, i: ~F.array_contains(F.coalesce("fixed", F.array().cast("array<int>")), i))
     else:
-        keyed = keyed.withColumn("_template", F.lit(None).cast("array<bigint>"))
-    keyed = keyed.drop("_host")
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in by_bytes(batches, html):
-            out = []
-            for source, fixed in zip(batch.column(html).to_pylist(), batch.column("_template").to_pylist()):
-                page, fixed = Page(source), set(fixed or ())
-                said = (page.blocks[i][0] for i in page.content())
-                out.append("\n".join(t for t in said if not fixed or said_hash(t) not in fixed))
-            kept = [c for c in batch.schema.names if c != "_template"]
-            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in kept), pa.array(out, pa.string())], [*kept, text])
-
-    schema = type(pages.schema)([*pages.schema.fields]).add(text, "string")
-    return keyed.mapInArrow(run, schema)
+        said = F.col("texts")
+    return read.select(*(F.col(f"row.`{c}`").alias(c) for c in carried), F.array_join(said, "\n").alias(text))
 
 
 def digest(pages: DataFrame) -> DataFrame:
-    out = main_text(pages.select("page_id", "url", "html"))
+    out = main_text(pages, keep=["page_id", "url"])
     return out.select("page_id", "url", "text", F.char_length("text").cast("long").alias("n_chars"))

@@ -297,3 +297,21 @@ def test_templates_of_several_layouts(spark):
         shifted = [(p, u and f"{u}?{k}", h) for p, u, h in rows]
         got = {r["page_id"]: r["text"] for r in html_text.digest(spark.createDataFrame(shifted, "page_id long, url string, html string")).collect()}
         assert got == want
+
+
+def test_induction_alone_finds_the_text(spark):
+    """Pages without article, main or telling names; one says in its text what stands in the template."""
+    def body(i, extra=""):
+        return f"<html><body><div><p>Motto of the house.</p><p>Home</p></div><div><div><p>Text {i} of day {i * 7}.</p><p>More of it: {i * i}.</p>{extra}</div></div><div><p>Imprint, and so on.</p></div></body></html>"
+
+    pages = [(i, f"http://a.example/{i}", body(i)) for i in range(12)]
+    pages[3] = (3, "http://a.example/3", body(3, "<p>Motto of the house.</p>"))
+    pages += [(20 + i, "http://a.example/4", pages[4][2]) for i in range(30)] + [(90, None, None), (91, "http://b.example/", body(1)), (92, "http://a.example/", "")]
+    df = spark.createDataFrame(pages, "page_id long, url string, html string")
+    got = {r["page_id"]: r["text"] for r in html_text.digest(df).collect()}
+    for i in range(12):
+        assert got[i] == f"Text {i} of day {i * 7}.\nMore of it: {i * i}." + ("\nMotto of the house." if i == 3 else "")
+    assert {got[20 + i] for i in range(30)} == {got[4]} and got[90] == got[92] == ""
+    assert got[91] == "Motto of the house.\nHome\nText 1 of day 7.\nMore of it: 1.\nImprint, and so on."  # one page of a host shows no template
+    named = df.selectExpr("*", "'mine' AS row", "'mine' AS _host", "'mine' AS _template", "'mine' AS texts", "'mine' AS id")
+    assert {(r["row"], r["_host"], r["_template"], r["texts"], r["id"]) for r in html_text.main_text(named).collect()} == {("mine",) * 5}
