@@ -28,8 +28,8 @@ from sparkmart.llm.scan import by_bytes
 
 #: A node is template if it has its text in this share of at least LEAST_PAGES matched, different pages.
 CONSTANT, LEAST_PAGES = 0.9, 4
-#: A group of pages most of whose content text is constant holds copies of one page; nothing is template there.
-COPIES = 0.5
+#: A group of n different pages with more than 1 - 2 / n, or COPIES, of their content text constant holds copies of one page; nothing is template there.
+COPIES = 0.8
 #: Parts into which the pages of a group are dealt to meet their reference.
 SALTS = 16
 #: Levels of a tag path that pages of similar layouts share.
@@ -476,8 +476,10 @@ def template(pages: DataFrame) -> DataFrame:
         F.collect_set(F.when(constant, F.col("slot"))).alias("slots"),
         F.sum(F.when(constant, F.col("weight") * F.col("same")).otherwise(0)).alias("fixed"),
         F.sum(F.when(F.col("slot") < 0, F.col("weight") * F.col("n")).otherwise(0)).alias("all"),
+        F.sum(F.when(F.col("slot") < 0, F.col("n")).otherwise(0)).alias("bodies"),
     )
-    kept = by_group.filter((F.size("slots") > 0) & (F.col("fixed") <= F.col("all") * COPIES)).select("host", "group", F.explode("slots").alias("slot"))
+    most = F.least(F.lit(COPIES), 1 - F.lit(2.0) / F.col("bodies"))
+    kept = by_group.filter((F.size("slots") > 0) & (F.col("fixed") <= F.col("all") * most)).select("host", "group", F.explode("slots").alias("slot"))
     return nodes.filter("same").join(kept, ["host", "group", "slot"]).groupBy("id").agg(F.collect_set("mine").alias("fixed"))
 
 
