@@ -1,6 +1,6 @@
 """Headline queries, and the rewrites against their plain forms.
 
-Prints one JSON line: seconds per query (best of BENCH_RUNS warm runs, every result row
+Prints one JSON line: seconds per query (median of BENCH_RUNS warm runs, every result row
 produced) and, under "plain", the same question asked the obvious way.
 """
 
@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import json
 import os
+import statistics
 import time
 
 from pyspark.sql import functions as F
@@ -70,23 +71,22 @@ PLAIN = {
 
 
 def seconds(run, runs) -> float:
-    best = None
-    for i in range(runs + 1):
+    """Median of the runs after a first one that warms up."""
+    took = []
+    for _ in range(runs + 1):
         start = time.perf_counter()
         run().write.format("noop").mode("overwrite").save()
-        took = time.perf_counter() - start
-        if i and (best is None or took < best):
-            best = took
-    return round(best, 3)
+        took.append(time.perf_counter() - start)
+    return round(statistics.median(took[1:]), 3)
 
 
 def main() -> None:
     folder = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
-    runs = int(os.environ.get("BENCH_RUNS", "2"))
+    runs = int(os.environ.get("BENCH_RUNS", "3"))
     spark = local_session(os.environ.get("BENCH_CPUS", "8"), "bench")
     registry, tables = all_queries(), Tables(spark, folder)
     timed = {key: seconds(lambda q=registry[key]: q(spark, folder), runs) for key in HEADLINE}
-    plain = {key: seconds(lambda fn=fn: fn(tables), 1) for key, fn in PLAIN.items()}
+    plain = {key: seconds(lambda fn=fn: fn(tables), runs) for key, fn in PLAIN.items()}
     print(json.dumps({"metric": "headline queries", "value": round(sum(timed.values()), 3), "unit": "sec", "queries": timed, "plain": plain, "sf": folder.rstrip("/").rsplit("sf", 1)[-1]}))
     spark.stop()
 

@@ -14,7 +14,7 @@ def physical(df) -> str:
 def findings(plan: str) -> list[str]:
     """Operators that do not scale: nested loops, Python workers, windows over one partition."""
     out = []
-    for bad in ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "ArrowEvalPython", "FlatMapGroupsInPandas", "MapInPandas"):
+    for bad in ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "ArrowEvalPython", "FlatMapGroupsIn", "MapInPandas", "MapInArrow"):
         if bad in plan:
             out.append(f"{bad} x{plan.count(bad)}")
     for line in plan.splitlines():
