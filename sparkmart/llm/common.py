@@ -42,11 +42,11 @@ def shared_folder(spark: SparkSession) -> str:
     return (spark.conf.get("spark.checkpoint.dir", None) or ensure_checkpoint_dir(spark)).rstrip("/")
 
 
-def stored(df: DataFrame) -> DataFrame:
-    """Written to the shared folder and read again: computed once, lineage cut, safe when executors are lost."""
+def stored(df: DataFrame, codec: str | None = None) -> DataFrame:
+    """Written to the shared folder and read again: computed once, lineage cut, safe when executors are lost. `codec` compresses large texts harder."""
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/sparkmart-llm/{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    (df.write.option("compression", codec) if codec else df.write).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

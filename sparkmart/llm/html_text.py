@@ -395,7 +395,7 @@ def parsed(pages: DataFrame) -> DataFrame:
     kinds = {"long": T.LongType(), "string": T.StringType(), "array<int>": T.ArrayType(T.IntegerType()), "array<long>": T.ArrayType(T.LongType()), "array<string>": T.ArrayType(T.StringType())}
     for name, (kind, _) in PARSED.items():
         out = out.add(name, kinds[kind])
-    return stored(pages.select("row", "host", "pick", "html").mapInArrow(run, out))
+    return stored(pages.select("row", "host", "pick", "html").mapInArrow(run, out), "zstd")
 
 
 def grouped(pages: DataFrame) -> DataFrame:
@@ -495,8 +495,9 @@ def main_text(pages: DataFrame, html: str = "html", url: str = "url", text: str
     carried = [c for c in (keep or pages.columns) if c != text]
     slim = pages.select(F.struct(*(F.col(f"`{c}`") for c in carried)).alias("row"), host_of(F.col(f"`{url}`")).alias("host"), whole(F.col(f"`{html}`")).alias("html"), F.xxhash64(whole(F.col(f"`{url}`")), whole(F.col(f"`{html}`"))).alias("pick"))
     read = parsed(slim)
-    if induce:
-        read = read.select("id", "row", "texts").join(template(read), "id", "left")
+    fixed = stored(template(read)) if induce else None
+    if fixed is not None and not fixed.isEmpty():  # texts only meet what is taken out of them where there is any
+        read = read.select("id", "row", "texts").join(fixed, "id", "left")
         said = F.filter("texts", lambda x, i: ~F.array_contains(F.coalesce("fixed", F.array().cast("array<int>")), i))
     else:
         said = F.col("texts")
