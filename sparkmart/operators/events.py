@@ -39,11 +39,19 @@ def unify_events(specs: list[EventSpec], users=None, parents=None) -> DataFrame:
     for side, name in ((users, "user"), (parents, "parent")):
         if side is not None:
             dim = side.select(F.col("id").alias(f"{name}_id"), F.col("created_at").alias(f"{name}_created_at"), *[F.col(c).alias(f"{name}_{c}") for c in side.columns if c not in ("id", "created_at")])
-            out = out.join(dim, f"{name}_id", "left")
+            out = _with_dimension(out, dim, f"{name}_id")
             out = out.withColumn(f"days_since_{name}_creation", boundary_diff("day", f"{name}_created_at", "event_at"))
     return out
 
 
+def _with_dimension(df, dim, key) -> DataFrame:
+    """Left join on `key`. Rows without a key have no partner and stay out of the join, whose
+    shuffle would put all of them into one task."""
+    none = [F.lit(None).cast(f.dataType).alias(f.name) for f in dim.schema.fields if f.name != key]
+    known = df.filter(F.col(key).isNotNull()).join(dim, key, "left")
+    return known.unionByName(df.filter(F.col(key).isNull()).select("*", *none))
+
+
 def event_daily(df, ts, keys) -> DataFrame:
     return df.groupBy(F.to_date(as_col(ts)).alias("event_date"), *keys).agg(F.count(F.lit(1)).alias("event_count"))
 
