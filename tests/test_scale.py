@@ -30,3 +30,16 @@ def test_events_without_a_user_are_not_dealt_to_one_task(spark):
         assert len({r.task for r in got if r.user_id is None}) == 4
     finally:
         back()
+
+
+def test_percentiles_by_flag_meet_the_lines_without_a_shuffle(spark, tmp_path):
+    from sparkmart.plans.registry import all_queries
+    back = settings(spark, autoBroadcastJoinThreshold="-1")
+    try:
+        rows = spark.range(0, 2000, 1, 3).select(F.when(F.col("id") % 2 == 0, "A").otherwise("R").alias("l_returnflag"), F.col("id").cast("double").alias("l_extendedprice"))
+        rows.write.parquet(f"{tmp_path}/lineitem.parquet")
+        out = all_queries()["ag_11_percentile_approx"](spark, str(tmp_path))
+        assert "SortMergeJoin" not in physical(out)
+        assert sorted(tuple(r) for r in out.collect()) == [("A", True, True), ("R", True, True)]
+    finally:
+        back()
