@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from sparkmart.functions import as_col
 from sparkmart.functions.ip import network_of, parse_ip
-from sparkmart.operators import windows as wn
+from sparkmart.operators import topk, windows as wn
 from sparkmart.operators.windows import join_back
 
 
@@ -254,13 +254,13 @@ def eq_all(a, b, keys, cols) -> DataFrame:
 def fallback_match(tiers: list[tuple[str, DataFrame]], key) -> DataFrame:
     """Matches of the first tier that has any for a key; later tiers fill the rest.
 
-    All tiers meet in one union; the best tier per key is a small aggregate joined
-    back, instead of one anti join per tier.
+    All tiers meet in one union, and a rank by tier keeps the best: each tier is computed once, and
+    worse tiers that meet a better one in a task are dropped before the shuffle. The rank has a key
+    column of its own, so that tiers dealt alike do not share tasks and add up their memory there.
     """
     parts = [df.withColumn("tier", F.lit(i)).withColumn("tier_name", F.lit(name)) for i, (name, df) in enumerate(tiers)]
     both = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
-    best = both.groupBy(key).agg(F.min("tier").alias("__best"))
-    return join_back(both, best, [key]).filter(F.col("tier") == F.col("__best")).drop("__best", "tier")
+    return topk.top_k(both.withColumn("__key", F.struct(key)), ["__key"], "tier", 1, ties=True).drop("tier", "__key")
 
 
 def map_key_join(df, map_col, keys, key) -> DataFrame:

@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from sparkmart.functions import money, ratio
-from sparkmart.operators import events as E, joins as J, matching as M
+from sparkmart.operators import events as E, joins as J, matching as M, windows as wn
 from sparkmart.plans.registry import by_minute, dsum, query
 
 GAP = 6 * 3600
@@ -162,9 +162,10 @@ WITH m AS (SELECT l_orderkey AS k, l_suppkey AS cand, SUM(CAST(l_extendedprice A
 SELECT k, cand, tier_name FROM t QUALIFY rank() OVER (PARTITION BY k ORDER BY tier) = 1""")
 def _(t):
     from sparkmart.operators import topk
-    m = t.lineitem.groupBy(F.col("l_orderkey").alias("k"), F.col("l_suppkey").alias("cand")).agg(F.sum(money("l_extendedprice")).alias("amt"), F.min("l_shipdate").alias("since"))
-    n = m.groupBy("k").agg(F.count(F.lit(1)).alias("c"))
-    j = m.join(n, "k").join(t.orders.select(F.col("o_orderkey").alias("k"), money("o_totalprice").alias("total")), "k")
+    # Lines are dealt by order once: candidates, their number and the join with the order use that one shuffle.
+    lines = t.lineitem.select(F.col("l_orderkey").alias("k"), F.col("l_suppkey").alias("cand"), "l_extendedprice", "l_shipdate").filter("k IS NOT NULL").repartition("k")
+    m = lines.groupBy("k", "cand").agg(F.sum(money("l_extendedprice")).alias("amt"), F.min("l_shipdate").alias("since"))
+    j = m.withColumn("c", F.count(F.lit(1)).over(wn.window("k"))).join(t.orders.select(F.col("o_orderkey").alias("k"), money("o_totalprice").alias("total")), "k")
     many = j.filter("c > 1")
     tiers = [("only candidate", j.filter("c = 1")), ("amount fits", many.filter(F.col("amt").between(F.col("total") * F.lit(0.25).cast("decimal(3,2)"), F.col("total") * F.lit(0.5).cast("decimal(2,1)")))),
              ("earliest", topk.latest_per_key(many, ["k"], ["since", "cand"]))]

@@ -51,3 +51,11 @@ def test_lists_of_values_do_not_carry_other_metrics(spark):
     out = M.run_metrics({"t": df}, specs, "d")
     assert "inline" not in physical(out)
     assert {r.metric: r.value for r in out.collect()} == {"a": 1.0, "b": 2.0, "twice": 1.0, "c": 5.0, "none": 0.0}
+
+
+def test_each_tier_is_computed_once(spark):
+    tiers = [("few", spark.range(0, 3)), ("more", spark.range(1, 5)), ("all", spark.range(0, 6))]
+    out = J.fallback_match([(n, df.select(F.when(F.col("id") < 5, F.col("id")).alias("k"), "id")) for n, df in tiers], "k")
+    assert physical(out).count("Range (") == 3
+    assert sorted((r.id, r.tier_name) for r in out.collect()) == [(0, "few"), (1, "few"), (2, "few"), (3, "more"), (4, "more"), (5, "all")]
+    assert out.columns == ["k", "id", "tier_name"]
