@@ -169,32 +169,45 @@ def waterfall(schedule, line, contract, segment, created, period, amount) -> Dat
 
     Periods are month numbers. What is scheduled for a period changes only when a row is created, so
     a running total along the creation periods gives the amount of every stretch of as-of periods,
-    and only stretches are windowed and joined; their as-of periods are written out last. What was
-    released before each of a line's months is a running total of its own, handed over as a map,
-    bounded by the calendar.
+    and only stretches are windowed and joined; their as-of periods are written out last. Zero rows
+    are stretches as well. What was released before each of a line's months is a running total of its
+    own, handed over as a map, bounded by the calendar.
     """
     keys = [contract, line, segment]
-    plan = schedule.filter(as_col(created) <= as_col(period)).groupBy(*keys, as_col(created).alias("__created"), as_col(period).alias("period")).agg(F.sum(as_col(amount)).alias("amount"))
+    valid = schedule.filter(as_col(created) <= as_col(period)).select(*keys, as_col(created).alias("__created"), as_col(period).alias("period"), as_col(amount).alias("__x"))
+    plan = valid.groupBy(*keys, "__created", "period").agg(F.sum("__x").alias("amount"))
     along = window([*keys, "period"], "__created")
     steps = plan.select(*keys, "period", F.col("__created").alias("__from"), F.coalesce(F.lead("__created").over(along) - 1, F.col("period")).alias("__until"),
                         F.sum("amount").over(window([*keys, "period"], "__created", wn.RUNNING)).alias("amount"))
-    # A line's last row has its last period, both as period and as as-of period; the
-    # segments scheduled there are the ones carried on.
-    last = plan.groupBy(*keys).agg(F.max("period").alias("__hi"))
-    # The months a line has are a set bounded by the calendar, so the missing ones need no anti join.
-    whole = plan.groupBy(contract, line).agg(F.min("period").alias("__first"), F.max("period").alias("__last"), F.collect_set("period").alias("__months"))
-    ends = plan.groupBy(contract).agg(F.max("period").alias("__end"))
-    grid = last.join(whole, [contract, line]).filter("__hi = __last").join(ends, contract)
-    missing = F.explode(F.array_except(F.sequence("__first", "__end"), "__months"))
-    filler = grid.select(*keys, missing.alias("period")).withColumn("amount", F.lit(0).cast(steps.schema["amount"].dataType))
-    # Released: rows whose as-of period is their own.
-    own = plan.select(line, segment, "period", "amount").unionByName(filler.select(line, segment, "period", "amount")).groupBy(line, segment, "period").agg(F.sum("amount").alias("__own"))
-    before = own.withColumn("__before", F.coalesce(F.sum("__own").over(window([line, segment], "period", wn.BEFORE)), F.lit(0)))
-    before = before.groupBy(line, segment).agg(F.map_from_entries(F.collect_list(F.struct("period", "__before"))).alias("__before"))
-    rows = steps.unionByName(filler.select(*keys, "period", F.col("period").alias("__from"), F.col("period").alias("__until"), "amount"))
-    rows = join_back(rows, before, [line, segment]).withColumn("as_of_period", F.explode(F.sequence("__from", "__until")))
-    prior = F.coalesce(F.try_element_at("__before", F.col("as_of_period")), F.lit(0))
-    return rows.select(*keys, "as_of_period", "period", "amount", prior.alias("prior_total"))
+    # A line's last row has its last period, both as period and as as-of period; the segments scheduled
+    # there are the ones carried on. The months a line has are a set bounded by the calendar, so the missing
+    # ones need no anti join: they are the stretches between those months, and from the last one to the
+    # contract's end.
+    whole = valid.groupBy(contract, line).agg(F.max("period").alias("__last"), F.collect_set(F.struct("period", as_col(segment).alias("segment"))).alias("__held"))
+    ends = valid.groupBy(contract).agg(F.max("period").alias("__end"))
+    grid = whole.filter(as_col(line).isNotNull()).join(ends, contract)
+    months = F.array_sort(F.array_distinct(F.col("__held.period")))
+    after = lambda m, i: F.struct((m + 1).alias("__from"), F.coalesce(F.get("__months", i + 1) - 1, F.col("__end")).alias("__until"))
+    gaps = F.filter(F.transform("__months", after), lambda g: g["__from"] <= g["__until"])
+    carried = F.filter("__held", lambda h: h["period"] == F.col("__last"))
+    filler = (grid.withColumn("__months", months).select(contract, line, carried.alias("__carried"), F.inline(gaps))
+              .select(contract, line, F.explode("__carried.segment").alias(segment), "__from", "__until"))
+    # Released: rows whose as-of period is their own. Those of fillers add nothing, but they have a total before.
+    own = valid.groupBy(line, segment, "period").agg(F.sum("__x").alias("__own"))
+    own = own.withColumn("__through", F.coalesce(F.sum("__own").over(window([line, segment], "period", wn.RUNNING)), F.lit(0)))
+    known = own.groupBy(line, segment).agg(F.max("period").alias("__hi"), F.max_by("__through", "period").alias("__total"), F.array_sort(F.collect_list(F.struct("period", "__through"))).alias("__own"))
+    idle = filler.groupBy(line, segment).agg(F.collect_set(F.struct("__from", "__until")).alias("__idle"))
+    known = join_back(known, idle, [line, segment])
+    # Up to the last released month the total before is looked up by month, where the month has a row; later it is the whole total.
+    before = lambda a: F.coalesce(F.try_element_at(F.filter("__own", lambda o: o["period"] < a), F.lit(-1))["__through"], F.lit(0))
+    has = lambda a: F.exists("__own", lambda o: o["period"] == a) | F.exists("__idle", lambda g: a.between(g["__from"], g["__until"]))
+    span = F.filter(F.sequence(F.col("__own")[0]["period"], "__hi"), lambda a: F.coalesce(has(a), F.lit(False)))
+    total = own.schema["__through"].dataType
+    known = known.select(line, segment, "__hi", "__total", F.map_from_entries(F.transform(span, lambda a: F.struct(a, before(a).cast(total)))).alias("__before"))
+    rows = steps.unionByName(filler.withColumn("amount", F.lit(0).cast(steps.schema["amount"].dataType)), allowMissingColumns=True)
+    rows = join_back(rows, known, [line, segment]).withColumn("as_of_period", F.explode(F.sequence("__from", "__until")))
+    prior = F.when(F.col("as_of_period") > F.col("__hi"), F.col("__total")).otherwise(F.try_element_at("__before", F.col("as_of_period")))
+    return rows.select(*keys, "as_of_period", F.coalesce("period", "as_of_period").alias("period"), "amount", F.coalesce(prior, F.lit(0)).alias("prior_total"))
 
 
 def renewals(df, key, end_month, as_of) -> DataFrame:

@@ -1,8 +1,11 @@
 """Plans and partitions that decide how operators grow: few passes, no key that takes all rows into one task."""
 
+import random
+from collections import Counter
+
 from pyspark.sql import Row, functions as F
 
-from sparkmart.operators import events as E, joins as J, metrics as M
+from sparkmart.operators import events as E, joins as J, metrics as M, revenue as R
 
 
 def physical(df):
@@ -32,6 +35,22 @@ def test_events_without_a_user_are_not_dealt_to_one_task(spark):
         back()
 
 
+def test_each_tier_is_computed_once(spark):
+    tiers = [("few", spark.range(0, 3)), ("more", spark.range(1, 5)), ("all", spark.range(0, 6))]
+    out = J.fallback_match([(n, df.select(F.when(F.col("id") < 5, F.col("id")).alias("k"), "id")) for n, df in tiers], "k")
+    assert physical(out).count("Range (") == 3
+    assert sorted((r.id, r.tier_name) for r in out.collect()) == [(0, "few"), (1, "few"), (2, "few"), (3, "more"), (4, "more"), (5, "all")]
+    assert out.columns == ["k", "id", "tier_name"]
+
+
+def test_lists_of_values_do_not_carry_other_metrics(spark):
+    df = spark.createDataFrame([Row(a=1, b=1, c=2.0), Row(a=1, b=2, c=None), Row(a=None, b=2, c=3.0)])
+    specs = {"a": M.distinct("t", "a"), "b": M.distinct("t", "b", F.col("a").isNotNull()), "twice": M.groups("t", "b", lambda n: n > 1), "c": M.total("t", "c"), "none": M.distinct("t", "b", F.col("a") > 5)}
+    out = M.run_metrics({"t": df}, specs, "d")
+    assert "inline" not in physical(out)
+    assert {r.metric: r.value for r in out.collect()} == {"a": 1.0, "b": 2.0, "twice": 1.0, "c": 5.0, "none": 0.0}
+
+
 def test_percentiles_by_flag_meet_the_lines_without_a_shuffle(spark, tmp_path):
     from sparkmart.plans.registry import all_queries
     back = settings(spark, autoBroadcastJoinThreshold="-1")
@@ -45,17 +64,36 @@ def test_percentiles_by_flag_meet_the_lines_without_a_shuffle(spark, tmp_path):
         back()
 
 
-def test_lists_of_values_do_not_carry_other_metrics(spark):
-    df = spark.createDataFrame([Row(a=1, b=1, c=2.0), Row(a=1, b=2, c=None), Row(a=None, b=2, c=3.0)])
-    specs = {"a": M.distinct("t", "a"), "b": M.distinct("t", "b", F.col("a").isNotNull()), "twice": M.groups("t", "b", lambda n: n > 1), "c": M.total("t", "c"), "none": M.distinct("t", "b", F.col("a") > 5)}
-    out = M.run_metrics({"t": df}, specs, "d")
-    assert "inline" not in physical(out)
-    assert {r.metric: r.value for r in out.collect()} == {"a": 1.0, "b": 2.0, "twice": 1.0, "c": 5.0, "none": 0.0}
+def waterfall_by_hand(rows):
+    """(contract, line, segment, as of, period, amount, prior) by the definition, month by month."""
+    b = Counter()
+    for contract, line, segment, c, p, x in rows:
+        for a in range(c, p + 1):
+            b[contract, line, segment, a, p] += x
+    for (contract, line), hi in {k: max(r[4] for r in rows if (r[0], r[1]) == k and r[3] <= r[4]) for k in {(r[0], r[1]) for r in rows if r[3] <= r[4]}}.items():
+        mine = [r for r in rows if (r[0], r[1]) == (contract, line) and r[3] <= r[4]]
+        end = max(r[4] for r in rows if r[0] == contract and r[3] <= r[4])
+        for segment in {r[2] for r in mine if r[4] == hi}:
+            for p in set(range(min(r[4] for r in mine), end + 1)) - {r[4] for r in mine}:
+                b[contract, line, segment, p, p] += 0
+    own = Counter()
+    for (_, line, segment, a, p), x in b.items():
+        if a == p:
+            own[line, segment, a] += x
+    prior = {k: sum(x for (ln, sg, a), x in own.items() if (ln, sg) == k[:2] and a < k[2]) for k in own}
+    return sorted((*k, x, prior.get((k[1], k[2], k[3]), 0)) for k, x in b.items())
 
 
-def test_each_tier_is_computed_once(spark):
-    tiers = [("few", spark.range(0, 3)), ("more", spark.range(1, 5)), ("all", spark.range(0, 6))]
-    out = J.fallback_match([(n, df.select(F.when(F.col("id") < 5, F.col("id")).alias("k"), "id")) for n, df in tiers], "k")
-    assert physical(out).count("Range (") == 3
-    assert sorted((r.id, r.tier_name) for r in out.collect()) == [(0, "few"), (1, "few"), (2, "few"), (3, "more"), (4, "more"), (5, "all")]
-    assert out.columns == ["k", "id", "tier_name"]
+def test_waterfall_keeps_zero_rows_as_stretches(spark):
+    rng = random.Random(5)
+    rows = []
+    for _ in range(150):
+        c = rng.randrange(1, 20)
+        rows.append((rng.randrange(4), rng.randrange(9), rng.choice("AB"), c, c + rng.randrange(-1, 5), rng.randrange(1, 9)))
+    rows.append((0, 0, "A", 30, 40, 1))
+    df = spark.createDataFrame(rows, "contract long, line long, segment string, c int, p int, x long").withColumn("x", F.col("x").cast("decimal(18,2)"))
+    out = R.waterfall(df, "line", "contract", "segment", "c", "p", "x")
+    # Months are written out once, in the end.
+    assert physical(out).count("Generate explode(sequence") == 1 and "array_except" not in physical(out)
+    assert out.columns == ["contract", "line", "segment", "as_of_period", "period", "amount", "prior_total"]
+    assert sorted((*r[:5], int(r.amount), int(r.prior_total)) for r in out.collect()) == waterfall_by_hand(rows)
