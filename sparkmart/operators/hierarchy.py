@@ -14,6 +14,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, functions as F
 
 from sparkmart.functions import as_col
+from sparkmart.operators import topk, windows as wn
 from sparkmart.session import ensure_checkpoint_dir
 
 
@@ -127,18 +128,18 @@ def lineage_parentage(lineages, id_col, cohorts, cohort) -> DataFrame:
 
     A child belongs to the lineages in which it sits deepest. Where these are
     several, the parent with the earliest cohort wins (then the smaller id) and the
-    other parents become its children.
+    other parents become its children. Lineages are dealt by child once: ranks find the deepest rows and
+    the winner among them, and each row then says which of its rows it adds.
     """
-    flat = lineages.select(as_col(id_col).alias("parent"), F.posexplode(F.split("lineage", ",")).alias("depth", "child"))
-    deepest = flat.groupBy("child").agg(F.max("depth").alias("depth"))
-    base = flat.join(deepest, ["child", "depth"]).join(cohorts.select(F.col(id_col).cast("string").alias("parent"), as_col(cohort).alias("cohort")), "parent", "left")
-    base = base.select("parent", "child", "cohort")
-    first = F.struct(F.col("cohort").isNull(), F.col("cohort"), F.col("parent"))
-    winner = base.groupBy("child").agg(F.min_by("parent", first).alias("__w"), F.min("cohort").alias("__c"))
-    losers = base.join(winner, "child").filter(F.col("parent") != F.col("__w")).select(F.col("__w").alias("parent"), F.col("parent").alias("child"), F.col("__c").alias("cohort"))
-    chosen = winner.select(F.col("__w").alias("parent"), "child", F.col("__c").alias("cohort"))
-    both = chosen.unionByName(losers)
-    return both.groupBy("child").agg(F.min_by("parent", first).alias("ultimate_parent"), F.min("cohort").alias("cohort"))
+    named = lineages.select(as_col(id_col).alias("parent"), "lineage").join(cohorts.select(F.col(id_col).cast("string").alias("parent"), as_col(cohort).alias("cohort")), "parent", "left")
+    flat = named.select("parent", "cohort", F.posexplode(F.split("lineage", ",")).alias("depth", "child"))
+    base = topk.top_k(flat, ["child"], F.desc("depth"), 1, ties=True)
+    order = [F.col("cohort").isNull(), F.col("cohort"), F.col("parent")]
+    ahead = wn.window("child", order, wn.RUNNING)
+    base = base.select("parent", "child", F.row_number().over(wn.window("child", order)).alias("__n"), F.first("parent").over(ahead).alias("__w"), F.first("cohort").over(ahead).alias("__c"))
+    row = lambda c: F.struct(F.col("__w").alias("parent"), F.col(c).alias("child"), F.col("__c").alias("cohort"))
+    both = base.select(F.inline(F.array_compact(F.array(F.when(F.col("__n") == 1, row("child")), F.when(F.col("parent") != F.col("__w"), row("parent"))))))
+    return both.groupBy("child").agg(F.min_by("parent", F.struct(*order)).alias("ultimate_parent"), F.min("cohort").alias("cohort"))
 
 
 def rollup_to_root(facts, lineages, id_col, by, **aggs: Column) -> DataFrame:

@@ -5,7 +5,7 @@ from collections import Counter
 
 from pyspark.sql import Row, functions as F
 
-from sparkmart.operators import events as E, joins as J, metrics as M, revenue as R
+from sparkmart.operators import events as E, hierarchy as H, joins as J, metrics as M, revenue as R
 
 
 def physical(df):
@@ -97,3 +97,17 @@ def test_waterfall_keeps_zero_rows_as_stretches(spark):
     assert physical(out).count("Generate explode(sequence") == 1 and "array_except" not in physical(out)
     assert out.columns == ["contract", "line", "segment", "as_of_period", "period", "amount", "prior_total"]
     assert sorted((*r[:5], int(r.amount), int(r.prior_total)) for r in out.collect()) == waterfall_by_hand(rows)
+
+
+def test_parentage_reads_lineages_once(spark):
+    texts = {1: "1,2,3", 4: "4,5,3", 6: "6,3", 7: "7", 8: "8,9", 10: "10,9"}
+    at = {1: 3, 4: 2, 6: 1, 7: 5, 8: None, 10: None}
+    lineage = F.create_map(*[F.lit(x) for k, v in texts.items() for x in (k, v)])
+    cohort = F.create_map(*[F.lit(x) for k, v in at.items() for x in (k, v)])
+    rows = spark.range(1, 11).filter(F.col("id").isin(*texts))
+    out = H.lineage_parentage(rows.select(F.col("id").cast("string").alias("id"), F.try_element_at(lineage, F.col("id").cast("int")).alias("lineage")), "id", rows.select("id", F.try_element_at(cohort, F.col("id").cast("int")).alias("cohort")), "cohort")
+    # Once for the lineages and once for the cohorts.
+    assert physical(out).count("Range (") == 2
+    # 3 sits deepest with 1 and 4; 4 is earlier and takes 1. Without cohorts the smaller id, as text, wins.
+    got = {r.child: (r.ultimate_parent, r.cohort) for r in out.collect()}
+    assert got == {"1": ("4", 2), "2": ("1", 3), "3": ("4", 2), "4": ("4", 2), "5": ("4", 2), "6": ("6", 1), "7": ("7", 5), "8": ("10", None), "9": ("10", None), "10": ("10", None)}
