@@ -193,7 +193,7 @@ class Suite:
         """`col` is a column name; rows whose key has no partner in `other` are violations."""
         keys = f"{other}_{other_col}_keys"
         self.tables = {**self.tables, keys: self.tables[other].select(as_col(other_col).alias("k")).filter("k IS NOT NULL").distinct()}
-        join = M.Join(keys, ((col, "k"),), unique=True)
+        join = M.Join(keys, ((col, "k"),), unique=True, distinct=True)
         known = _all(F.col(col).isNotNull(), where)
         return self._add(name, lambda: relationships(self.tables[table], col, self.tables[other], other_col, where), lambda n, hit: n - hit, n=M.count(table, where=known), hit=M.count(table, where=known, joins=[join]))
 

@@ -111,3 +111,11 @@ def test_parentage_reads_lineages_once(spark):
     # 3 sits deepest with 1 and 4; 4 is earlier and takes 1. Without cohorts the smaller id, as text, wins.
     got = {r.child: (r.ultimate_parent, r.cohort) for r in out.collect()}
     assert got == {"1": ("4", 2), "2": ("1", 3), "3": ("4", 2), "4": ("4", 2), "5": ("4", 2), "6": ("6", 1), "7": ("7", 5), "8": ("10", None), "9": ("10", None), "10": ("10", None)}
+
+
+def test_lookups_not_known_to_be_distinct_are_shared(spark):
+    df, two = spark.range(3).toDF("a"), spark.createDataFrame([(1,), (1,)], "k long")
+    specs = lambda **kind: {"n": M.count("t"), "held": M.distinct("t", "a", joins=[M.Join("two", (("a", "k"),), unique=True, **kind)])}
+    value = lambda tables, **kind: {r.metric: r.value for r in M.run_metrics(tables, specs(**kind), "d").collect()}
+    assert value({"t": df, "two": two}) == {"n": 4.0, "held": 1.0}
+    assert value({"t": df, "two": two.distinct()}, distinct=True) == {"n": 3.0, "held": 1.0}
