@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from sparkmart.llm.common import components, stored
-from sparkmart.llm.scan import U, Hasher, by_bytes, code_points, groups, lower, mixed, word_bounds
+from sparkmart.llm.scan import U, Hasher, blank, by_bytes, code_points, groups, lower, mixed, word_bounds
 
 THRESHOLD = 1
 #: Lines with fewer words get no near links: short lines are alike by chance.
@@ -43,35 +43,31 @@ class Lines:
         raw = code_points("\n".join(texts))
         starts, ends = word_bounds(raw)
         points = lower(raw)
-        newline = np.concatenate(([0], np.cumsum(raw == 10)))
-        row = newline[starts]
+        newlines = np.flatnonzero(raw == 10)
+        row = np.repeat(np.arange(len(newlines) + 1), np.diff(np.searchsorted(starts, newlines), prepend=0, append=len(starts)))
         first = np.flatnonzero(np.diff(row, prepend=-1))
         last = np.append(first[1:], len(row)) - 1 if len(first) else first
         enough = (last - first + 1) >= least
         first, last = first[enough], last[enough]
         # A word is kept with the blank behind it; any other white space goes.
-        keep = np.zeros(len(raw) + 1, bool)
-        if len(starts):
-            inside = np.zeros(len(raw) + 1, np.int32)
-            np.add.at(inside, starts, 1)
-            np.add.at(inside, ends, -1)
-            keep = np.cumsum(inside) > 0
-            points = np.where(keep[:-1], points, 32)
-            keep[ends] = True
-        place = np.concatenate(([0], np.cumsum(keep[:-1])))
+        keep = np.append(~blank(raw), False)
+        points = np.where(keep[:-1], points, 32)
+        keep[ends] = True
         self.points = points[keep[:-1]]
-        self.start, self.end = place[starts[first]], place[ends[last] - 1] + 1 if len(last) else place[starts[first]]
+        place = np.cumsum(ends - starts + 1)
+        self.start, self.end = place[first] - (ends - starts + 1)[first], place[last] - 1
         size = np.cumsum([0] + [len(t) + 1 for t in texts])
-        at = starts[first]
-        self.text = np.searchsorted(size, at, side="right") - 1
-        self.number = (newline[at] - newline[size[self.text]]).astype(np.int32)
+        self.text = np.searchsorted(size, starts[first], side="right") - 1
+        self.number = (row[first] - np.searchsorted(newlines, size[self.text])).astype(np.int32)
 
     def ids(self) -> list[bytes]:
         """128 bits of the normal form."""
-        return [hashlib.blake2b(self.points[a:b].tobytes(), digest_size=16).digest() for a, b in zip(self.start.tolist(), self.end.tolist())]
+        held = memoryview(self.points.tobytes())
+        return [hashlib.blake2b(held[a:b], digest_size=16).digest() for a, b in zip((self.start * 4).tolist(), (self.end * 4).tolist())]
 
     def forms(self) -> list[str]:
-        return [self.points[a:b].tobytes().decode("utf-32-le", "surrogatepass") for a, b in zip(self.start.tolist(), self.end.tolist())]
+        held = memoryview(self.points.tobytes())
+        return [str(held[a:b], "utf-32-le", "surrogatepass") for a, b in zip((self.start * 4).tolist(), (self.end * 4).tolist())]
 
     def posts(self, threshold: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(line, key, whether the key is a segment of the line's own partition)."""

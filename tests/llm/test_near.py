@@ -2,6 +2,7 @@
 
 import random
 import re
+import time
 from collections import defaultdict
 
 from sparkmart.llm import line_dedup, minhash, scan
@@ -199,3 +200,23 @@ def test_short_lines_lose_exact_copies(spark):
     short = plain_repeats(rows, 0, 1)
     with_short = line_dedup.repeated(frame(spark, rows), exact=line_dedup.LEAST_EXACT).collect()
     assert {(r["doc_id"] is not None, r["doc_id"] or 0, r["line"]) for r in with_short} == set(short) | set(plain_repeats(rows, line_dedup.THRESHOLD, line_dedup.LEAST_WORDS))
+
+
+def test_lines_cost_little_more_than_their_hashes():
+    """Measured against the hashes of the same text, the least of several runs each."""
+    rng = random.Random(21)
+    texts = ["\n".join(prose(rng, rng.randint(1, 30)) for _ in range(40)) for _ in range(40)]
+    points = scan.code_points("\n".join(texts))
+
+    def least(f):
+        took = []
+        for _ in range(9):
+            t = time.process_time()
+            f()
+            took.append(time.process_time() - t)
+        return min(took)
+
+    assert least(lambda: line_dedup.Lines(texts, 1)) < 2 * least(lambda: scan.Hasher(points))
+    found = line_dedup.Lines([*texts, "", " \n a  B\t\n\nc ", "\nD"], 1)
+    want = [(i, n, normal(x, 1)) for i, t in enumerate([*texts, "", " \n a  B\t\n\nc ", "\nD"]) for n, x in enumerate(t.split("\n")) if normal(x, 1)]
+    assert list(zip(found.text.tolist(), found.number.tolist(), found.forms())) == want
