@@ -6,6 +6,7 @@ import random
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import sentencepiece
 
@@ -315,3 +316,25 @@ def test_induction_alone_finds_the_text(spark):
     assert got[91] == "Motto of the house.\nHome\nText 1 of day 7.\nMore of it: 1.\nImprint, and so on."  # one page of a host shows no template
     named = df.selectExpr("*", "'mine' AS row", "'mine' AS _host", "'mine' AS _template", "'mine' AS texts", "'mine' AS id")
     assert {(r["row"], r["_host"], r["_template"], r["texts"], r["id"]) for r in html_text.main_text(named).collect()} == {("mine",) * 5}
+
+
+def test_pairs_are_judged_together_and_memory_is_exact(monkeypatch):
+    """Few remembered pairs, groups of a few letters and a short memory change no id."""
+    monkeypatch.setattr(pieces, "PAIR_BITS", 3)
+    monkeypatch.setattr(pieces, "INDEXED", 50)
+    monkeypatch.setattr(pieces, "REMEMBERED", 20)
+    path = pieces.default_model()
+    judge = sentencepiece.SentencePieceProcessor(model_file=path)
+    encoder, decoder = pieces.Encoder(pieces.Vocabulary.read(path)), pieces.Decoder(pieces.Vocabulary.read(path))
+    texts = [None, "", *hard_texts()[:80]]
+    for at in range(0, len(texts), 9):
+        part = texts[at : at + 9]
+        ids, ends = encoder.encode(part)
+        got = [x.tolist() for x in np.split(ids, ends[:-1])]
+        assert got == [judge.encode(t) if t else [] for t in part]
+        said = decoder.decode_all(pa.array([None, *got], pa.list_(pa.int32()))).to_pylist()
+        assert said == [None, *(decoder.decode(x) for x in got)] == [None, *((t or "").replace(pieces.BLANK, " ") for t in part)]
+    one, two = (x.ravel() for x in np.meshgrid(np.arange(300, 900), np.arange(300, 900)))
+    made = encoder.merges.made
+    one, two = one[made[one] & made[two]], two[made[one] & made[two]]
+    assert encoder.side_by_side(one, two).tolist()[::97] == [encoder.side_by_side(one[i : i + 1], two[i : i + 1])[0] for i in range(0, len(one), 97)]
