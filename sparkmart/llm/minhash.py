@@ -14,8 +14,9 @@ Postings stay short in three ways.
   and a passage that many documents hold makes its values frequent, so they fall behind the prefix.
 * Merging: documents with equal sets are one. In each posting list all others first meet one hub; a
   document is compared with the hub it shares most lists with. What that joins needs no more
-  comparisons: after some rounds, only documents of one list and of different components are paired,
-  and of them only those with enough shingles that other components hold.
+  comparisons. After some rounds, the documents of lists with several components are posted once more
+  under their rarest shingles, of those that several components hold, and two of different components
+  are paired only if, from a common one on, both have enough of them for a link.
 """
 
 from __future__ import annotations
@@ -155,33 +156,36 @@ def exploded(sets: DataFrame) -> DataFrame:
 
 
 def reaching(known: DataFrame, sigs: DataFrame) -> DataFrame:
-    """The postings of documents that can be linked across components, with `out`: how many of their shingles other components hold.
+    """(key, doc_id, n_shingles, part, rest): shingles that can be the first one of a link across components.
 
-    A link shares no other shingles, so `out` bounds what two documents share.
+    A link shares only shingles that several components hold. With those of all documents ordered from
+    rare to frequent, `rest` counts a document's from this one on: it bounds what two documents share
+    of which this is the first common shingle.
     """
-    docs = known.select("doc_id", "part").distinct()
-    each = exploded(sigs.join(docs.select("doc_id").distinct(), "doc_id", "left_semi")).distinct().join(docs, "doc_id")
-    far = each.groupBy("shingle").agg(F.min("part").alias("x"), F.max("part").alias("y")).filter("x < y").select("shingle")
-    out = each.join(far, "shingle").groupBy("doc_id").agg(F.count(F.lit(1)).alias("out"))
-    return stored(known.join(out, "doc_id").filter(F.col("out") * 100 >= F.col("n_shingles") * NEAR))
+    docs = known.select("doc_id", "n_shingles", "part").distinct()
+    each = exploded(sigs.join(docs.select("doc_id").distinct(), "doc_id", "left_semi")).distinct().join(docs.select("doc_id", "part").distinct(), "doc_id")
+    far = each.groupBy("shingle").agg(F.min("part").alias("x"), F.max("part").alias("y"), F.count(F.lit(1)).alias("n")).filter("x < y").select("shingle", "n")
+    back = Window.partitionBy("doc_id").orderBy(F.col("n").desc(), F.col("shingle").desc())
+    ranked = each.select("shingle", "doc_id").join(far, "shingle").withColumn("rest", F.row_number().over(back)).drop("n")
+    return stored(ranked.join(docs, "doc_id").filter(F.col("rest") * 100 >= F.col("n_shingles") * NEAR).withColumnRenamed("shingle", "key"))
 
 
-def enough(out_a: str, out_b: str, n_a: str, n_b: str):
-    """Whether sets of sizes n that share at most `out` shingles can be NEAR percent alike."""
-    return F.least(out_a, out_b) * (100 + NEAR) >= (F.col(n_a) + F.col(n_b)) * NEAR
+def enough(rest_a: str, rest_b: str, n_a: str, n_b: str):
+    """Whether sets of sizes n that share at most `rest` shingles can be NEAR percent alike."""
+    return F.least(rest_a, rest_b) * (100 + NEAR) >= (F.col(n_a) + F.col(n_b)) * NEAR
 
 
 def across(known: DataFrame, sigs: DataFrame) -> DataFrame:
-    """Pairs of documents of one posting list and different components that can be linked."""
+    """Pairs of documents of different components that can be linked, by the first shingle they share."""
     known = reaching(known, sigs)
-    parts = known.groupBy("key", "part").agg(F.min("n_shingles").alias("low"), F.max("n_shingles").alias("high"), F.max("out").alias("out"))
-    one, two = (parts.select("key", *(F.col(c).alias(f"{c}_{s}") for c in ("part", "low", "high", "out"))) for s in "pq")
+    parts = known.groupBy("key", "part").agg(F.min("n_shingles").alias("low"), F.max("n_shingles").alias("high"), F.max("rest").alias("rest"))
+    one, two = (parts.select("key", *(F.col(c).alias(f"{c}_{s}") for c in ("part", "low", "high", "rest"))) for s in "pq")
     fit = (F.col("high_p") * 100 >= F.col("low_q") * NEAR) & (F.col("high_q") * 100 >= F.col("low_p") * NEAR)
-    fit = fit & enough("out_p", "out_q", "low_p", "low_q")
+    fit = fit & enough("rest_p", "rest_q", "low_p", "low_q")
     both = one.join(two, "key").filter((F.col("part_p") < F.col("part_q")) & fit).select("key", "part_p", "part_q")
-    left = known.select("key", F.col("part").alias("part_p"), F.col("doc_id").alias("x"), F.col("n_shingles").alias("nx"), F.col("out").alias("ox"))
-    right = known.select("key", F.col("part").alias("part_q"), F.col("doc_id").alias("y"), F.col("n_shingles").alias("ny"), F.col("out").alias("oy"))
-    pairs = both.join(left, ["key", "part_p"]).join(right, ["key", "part_q"]).filter(sizes_fit("nx", "ny") & enough("ox", "oy", "nx", "ny"))
+    left = known.select("key", F.col("part").alias("part_p"), F.col("doc_id").alias("x"), F.col("n_shingles").alias("nx"), F.col("rest").alias("rx"))
+    right = known.select("key", F.col("part").alias("part_q"), F.col("doc_id").alias("y"), F.col("n_shingles").alias("ny"), F.col("rest").alias("ry"))
+    pairs = both.join(left, ["key", "part_p"]).join(right, ["key", "part_q"]).filter(sizes_fit("nx", "ny") & enough("rx", "ry", "nx", "ny"))
     return pairs.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
 
 

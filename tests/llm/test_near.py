@@ -220,3 +220,22 @@ def test_lines_cost_little_more_than_their_hashes():
     found = line_dedup.Lines([*texts, "", " \n a  B\t\n\nc ", "\nD"], 1)
     want = [(i, n, normal(x, 1)) for i, t in enumerate([*texts, "", " \n a  B\t\n\nc ", "\nD"]) for n, x in enumerate(t.split("\n")) if normal(x, 1)]
     assert list(zip(found.text.tolist(), found.number.tolist(), found.forms())) == want
+
+
+def test_families_around_the_threshold_pair_few(spark, monkeypatch):
+    """Copies that lack words which others lack too share nearly all they have; only few pairs can be alike enough."""
+    rng = random.Random(31)
+    base = prose(rng, 150).split()
+    share = [rng.uniform(0.02, 0.14) for _ in range(150)]
+    rows = [(10 + i, " ".join(w for w in base if rng.random() >= p), None, None, 1) for i, p in enumerate(share)]
+    rows += [(300, base[0], None, None, 1), (300, " ".join(base), None, None, 1), (301, " ".join(base[:120]), None, None, 1)]
+    pairs, across = [], minhash.across
+
+    def counted(known, sigs):
+        pairs.append(across(known, sigs).count())
+        return across(known, sigs)
+
+    monkeypatch.setattr(minhash, "across", counted)
+    want = check_near(spark, rows)
+    assert len(set(want.values())) > 20
+    assert pairs[0] < 2500, pairs
