@@ -338,3 +338,21 @@ def test_pairs_are_judged_together_and_memory_is_exact(monkeypatch):
     made = encoder.merges.made
     one, two = one[made[one] & made[two]], two[made[one] & made[two]]
     assert encoder.side_by_side(one, two).tolist()[::97] == [encoder.side_by_side(one[i : i + 1], two[i : i + 1])[0] for i in range(0, len(one), 97)]
+
+
+def test_a_decoder_reads_the_vocabulary_once():
+    """Every task makes one: its start may not grow with the square of the vocabulary."""
+    reads = []
+
+    class Watched(list):
+        def __iter__(self):
+            reads.append(1)
+            return super().__iter__()
+
+    vocabulary = pieces.Vocabulary.read(pieces.default_model())
+    vocabulary.normal = Watched(vocabulary.normal)
+    decoder = pieces.Decoder(vocabulary)
+    assert len(reads) <= 2
+    control = vocabulary.pieces.index("<s>")
+    assert decoder.table[control] == b"" and decoder.table[vocabulary.unknown] and decoder.table[vocabulary.byte_ids[65]] == b"A"
+    assert decoder.decode([control, vocabulary.pieces.index("▁the")]) == "the"
