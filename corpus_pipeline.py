@@ -27,9 +27,10 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Every document as often as the mix of sources takes it."""
-    sized = docs.withColumn("_size", F.size(word_array("text")).cast("long"))
-    return mixing.repeat(mixing.mix(sized, "_size"), docs.columns)
+    """Every document as often as the mix of sources takes it. Rows are ranked without their texts, which meet the copies by a number of the row."""
+    sized = stored(docs.withColumns({"_row": F.monotonically_increasing_id(), "_size": F.size(word_array("text")).cast("long")}))
+    taken = mixing.mix(sized.select("_row", "doc_id", "source", "_size"), "_size").select("_row", "copies").filter("copies > 0")
+    return mixing.repeat(sized.join(taken, "_row"), docs.columns)
 
 
 def encode_pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
